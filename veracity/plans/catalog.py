@@ -67,7 +67,7 @@ def s_ascii(x):
 
 
 def s_tokens(x):
-    return f"list_filter(string_split_regex(lower({x}), '{WS}+'), t -> t <> '')"
+    return f"list_filter(string_split_regex(lower({x}), '{WS}+'), lambda t: t <> '')"
 
 
 def s_relevant(x, kws):
@@ -736,7 +736,7 @@ WITH v AS ({_VOCAB_SQL}),
            FROM (SELECT doc_id, {s_tokens('text')} AS toks FROM documents)),
      e AS (SELECT t.doc_id, list(coalesce(v.id, 1) ORDER BY t.pos) AS ids FROM t LEFT JOIN v ON t.word = v.word GROUP BY t.doc_id),
      a AS (SELECT d.doc_id, coalesce(e.ids, []::INTEGER[]) AS ids FROM documents d LEFT JOIN e ON d.doc_id = e.doc_id)
-SELECT doc_id, array_to_string(list_concat(ids, list_transform(range(128 - len(ids)), x -> 0)), ' ') AS ids FROM a""")
+SELECT doc_id, array_to_string(list_concat(ids, list_transform(range(128 - len(ids)), lambda x: 0)), ' ') AS ids FROM a""")
 def q_encode_sequences(spark, d):
     docs = X.documents(spark, d)
     vocab = M.build_vocabulary(docs, "doc_id", "text")
@@ -750,7 +750,7 @@ WITH v AS ({_VOCAB_SQL}),
      e AS (SELECT t.doc_id, list(v.id ORDER BY t.pos) FILTER (WHERE v.id IS NOT NULL) AS ids
            FROM t LEFT JOIN v ON t.word = v.word GROUP BY t.doc_id),
      a AS (SELECT d.doc_id, coalesce(e.ids, []::INTEGER[])[1:100] AS ids FROM documents d LEFT JOIN e ON d.doc_id = e.doc_id)
-SELECT doc_id, array_to_string(list_concat(ids, list_transform(range(100 - len(ids)), x -> 0)), ' ') AS ids FROM a""")
+SELECT doc_id, array_to_string(list_concat(ids, list_transform(range(100 - len(ids)), lambda x: 0)), ' ') AS ids FROM a""")
 def q_encode_drop_oov(spark, d):
     docs = X.documents(spark, d)
     vocab = M.build_vocabulary(docs, "doc_id", "text")
@@ -759,7 +759,7 @@ def q_encode_drop_oov(spark, d):
 
 
 _TERMS_SQL = f"""
-SELECT doc_id, list_concat(t, list_transform(range(1, len(t)), i -> t[i] || ' ' || t[i + 1])) AS terms
+SELECT doc_id, list_concat(t, list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])) AS terms
 FROM (SELECT doc_id, regexp_extract_all(lower(text), '{WORD}{{2,}}') AS t FROM documents)"""
 
 
