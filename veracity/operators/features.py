@@ -213,12 +213,14 @@ def term_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.count(F.lit(1)).alias("tf"))
 
 
-def tfidf_fit(docs: DataFrame, id_col: str, text_col: str, max_features: int = TFIDF_MAX_FEATURES) -> DataFrame:
+def tfidf_fit(docs: DataFrame, id_col: str, text_col: str, max_features: int = TFIDF_MAX_FEATURES,
+              counts: DataFrame | None = None) -> DataFrame:
     """M6 fit: ``(term, index, df, idf)`` for the ``max_features`` terms of
     highest corpus frequency (ties: term ascending, after sklearn's sorted
-    vocabulary); ``idf = ln((1+n)/(1+df)) + 1``."""
+    vocabulary); ``idf = ln((1+n)/(1+df)) + 1``. Pass ``counts`` (from
+    :func:`term_counts`) to share one n-gram pass with the transform."""
     n_docs = docs.select(id_col).count()  # one scalar
-    tc = term_counts(docs, id_col, text_col)
+    tc = counts if counts is not None else term_counts(docs, id_col, text_col)
     stats = tc.groupBy("term").agg(F.sum("tf").alias("cf"), F.count(F.lit(1)).alias("df"))
     top = stats.orderBy(F.col("cf").desc(), F.col("term").asc()).limit(max_features)
     w = Window.orderBy("term")  # <= max_features rows
@@ -226,13 +228,26 @@ def tfidf_fit(docs: DataFrame, id_col: str, text_col: str, max_features: int = T
     return top.select("term", (F.row_number().over(w) - 1).cast("int").alias("index"), "df", idf.alias("idf"))
 
 
-def tfidf_transform(docs: DataFrame, vocab: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def tfidf_transform(docs: DataFrame, vocab: DataFrame, id_col: str, text_col: str,
+                    counts: DataFrame | None = None) -> DataFrame:
     """M6 transform: ``(id, term, index, weight)`` with sublinear tf,
-    L2-normalised per document (documents without terms have no rows)."""
-    tc = term_counts(docs, id_col, text_col)
+    L2-normalised per document (documents without terms have no rows).
+
+    The term counts are clustered by document id, so the broadcast join and
+    the per-document norm window add no shuffle."""
+    tc = counts if counts is not None else term_counts(docs, id_col, text_col)
     j = tc.join(F.broadcast(vocab.select("term", "index", "idf")), on="term", how="inner")  # <= 30k rows
     raw = (F.lit(1.0) + F.log(F.col("tf"))) * F.col("idf")
     w = Window.partitionBy(id_col)
     j = j.withColumn("__w", raw)
     norm = F.sqrt(F.sum(F.col("__w") * F.col("__w")).over(w))
     return j.select(id_col, "term", "index", (F.col("__w") / norm).alias("weight"))
+
+
+def tfidf_fit_transform(docs: DataFrame, id_col: str, text_col: str,
+                        max_features: int = TFIDF_MAX_FEATURES) -> tuple[DataFrame, DataFrame]:
+    """M6 on one corpus: the n-gram counts are built once and feed both the
+    vocabulary and the weights (the shared exchange is reused in the plan)."""
+    tc = term_counts(docs, id_col, text_col)
+    vocab = tfidf_fit(docs, id_col, text_col, max_features, counts=tc)
+    return vocab, tfidf_transform(docs, vocab, id_col, text_col, counts=tc)

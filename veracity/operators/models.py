@@ -26,16 +26,16 @@ SVM_MAX_ITER = 2000
 CALIBRATION_FOLDS = 3
 
 
-def linear_score(docs: DataFrame, vocab: DataFrame, coef: DataFrame, id_col: str, text_col: str,
+def linear_score(docs: DataFrame, weights: DataFrame, coef: DataFrame, id_col: str,
                  intercept: float = 0.0) -> DataFrame:
     """M10 (linear form): P(real) = sigmoid(sum(weight * coef) + intercept).
 
-    ``coef`` is ``(term, coef)``, at most ``max_features`` rows (broadcast).
-    Documents without any vocabulary term get the intercept alone."""
-    w = tfidf_transform(docs, vocab, id_col, text_col)
-    m = w.join(F.broadcast(coef), "term").groupBy(id_col).agg(F.sum(F.col("weight") * F.col("coef")).alias("margin"))
-    ids = docs.select(id_col)
-    j = ids.join(m, id_col, "left")
+    ``weights`` is the long TF-IDF table (:func:`tfidf_transform`); ``coef``
+    is ``(term, coef)``, at most ``max_features`` rows (broadcast). Documents
+    without any vocabulary term get the intercept alone."""
+    m = weights.join(F.broadcast(coef), "term").groupBy(id_col).agg(
+        F.sum(F.col("weight") * F.col("coef")).alias("margin"))
+    j = docs.select(id_col).join(m, id_col, "left")
     return j.select(id_col, sigmoid(F.coalesce(F.col("margin"), F.lit(0.0)) + F.lit(intercept)).alias("score"))
 
 

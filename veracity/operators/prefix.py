@@ -25,9 +25,18 @@ from pyspark.sql import functions as F
 
 from veracity.session import materialize, shuffle_partitions
 
+SMALL_BYTES = 64 * 1024 * 1024  # optimizer estimate below which one window suffices
+
 RANGE = "__range"
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # pragma: no cover
+        return 1 << 62
+
+
 def _range_expr(col: Column, cuts: list[float]) -> Column:
     """Binary search over sorted cuts: range i holds cuts[i-1] < x <= cuts[i]."""
 
@@ -60,8 +69,15 @@ def prefix_sums(
     """Add ``cum_<c>`` = inclusive running sum of ``c`` ordered by
     ``order_cols`` within ``group_cols`` (global when empty).
 
-    The first order column must be numeric; it is the one cut into ranges."""
+    The first order column must be numeric; it is the one cut into ranges.
+    When the optimizer estimates the input below ``SMALL_BYTES`` (and no
+    ``n_ranges`` is forced) a single window per group is used instead."""
     spark = df.sparkSession
+    if n_ranges is None and estimated_bytes(df) <= SMALL_BYTES:
+        # small input: one window per group; no sampling job, no checkpoint
+        w = Window.partitionBy(*group_cols).orderBy(*order_cols).rowsBetween(
+            Window.unboundedPreceding, Window.currentRow)
+        return df.select("*", *[F.sum(c).over(w).alias(prefix + c) for c in sum_cols])
     if checkpoint:
         df = materialize(df)
     n_ranges = n_ranges or shuffle_partitions(spark)

@@ -779,9 +779,7 @@ SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight F
 
 @register("tfidf_weights", f"SELECT doc_id, term, round(weight, 6) AS weight FROM ({_TFIDF_SQL})")
 def q_tfidf_weights(spark, d):
-    docs = X.documents(spark, d)
-    vocab = M.tfidf_fit(docs, "doc_id", "text")
-    w = M.tfidf_transform(docs, vocab, "doc_id", "text")
+    _, w = M.tfidf_fit_transform(X.documents(spark, d), "doc_id", "text")
     return w.select("doc_id", "term", F.round("weight", 6).alias("weight"))
 
 
@@ -793,7 +791,7 @@ FROM documents d LEFT JOIN m ON d.doc_id = m.doc_id""")
 def q_linear_score(spark, d):
     from veracity.operators.models import linear_score
     docs = X.documents(spark, d)
-    vocab = M.tfidf_fit(docs, "doc_id", "text")
+    vocab, weights = M.tfidf_fit_transform(docs, "doc_id", "text")
     coef = vocab.select("term", ((C.unit_hash("term", "coef") - 0.5) * 4.0).alias("coef"))
-    s = linear_score(docs, vocab, coef, "doc_id", "text", intercept=0.0)
+    s = linear_score(docs, weights, coef, "doc_id", intercept=0.0)
     return s.select("doc_id", F.round("score", 6).alias("score"))

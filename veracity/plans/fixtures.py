@@ -18,13 +18,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veracity.functions.common import snapshot_file_name, unit_hash
+from veracity.sources.files import read_table
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+TEXT_TABLES = ("documents", "pages", "conversations")
+
+
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
+    """Whole driver table; text tables are spread over the cores when small
+    (see :func:`veracity.sources.files.balance_small`)."""
+    return read_table(spark, f"{d.rstrip('/')}/{name}.parquet", balance=name in TEXT_TABLES)
 
 
 def documents(spark, d):
