@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from veracity.functions.common import hash32
-from veracity.functions.text import ngram_terms, whitespace_tokens
+from veracity.functions.text import ngram_rows, whitespace_tokens
 
 # --- fixed values that must equal the reference's -----------------------------
 VOCAB_SIZE = 20000
@@ -208,9 +208,10 @@ def term_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(id, term, tf)``. Documents are hash-partitioned by id once (the
     text is smaller than its exploded n-grams), after which the per-document
     count and the later per-document norm need no further shuffle."""
-    d = docs.select(id_col, ngram_terms(text_col).alias("__terms")).repartition(id_col)
-    return d.select(id_col, F.explode("__terms").alias("term")).groupBy(id_col, "term").agg(
-        F.count(F.lit(1)).alias("tf"))
+    n = docs.sparkSession.sparkContext.defaultParallelism
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n)
+    d = docs.select(id_col, text_col).repartition(parts, id_col)
+    return ngram_rows(d, id_col, text_col).groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def tfidf_fit(docs: DataFrame, id_col: str, text_col: str, max_features: int = TFIDF_MAX_FEATURES,
