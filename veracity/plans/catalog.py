@@ -795,3 +795,46 @@ def q_linear_score(spark, d):
     coef = vocab.select("term", ((C.unit_hash("term", "coef") - 0.5) * 4.0).alias("coef"))
     s = linear_score(docs, weights, coef, "doc_id", intercept=0.0)
     return s.select("doc_id", F.round("score", 6).alias("score"))
+
+
+# ======================================================================================
+# Streams over a landing folder (run with availableNow, then read back)
+# ======================================================================================
+def _stream_input(spark, df, file_col, max_files):
+    from veracity.streaming import monitor as S
+    landing = S.work_dir(spark, "landing")
+    S.stage_files(df, landing, file_col)
+    return S, S.read_landing(spark, landing, df.schema, max_files)
+
+
+@register("stream_ingest", f"""
+SELECT DISTINCT text FROM (SELECT {s_strip_tweet('text')} AS text FROM documents) WHERE length(text) >= 20""")
+def q_stream_ingest(spark, d):
+    docs = X.documents(spark, d).select("doc_id", "text", "source")
+    S, stream = _stream_input(spark, docs, "source", 10)
+    master, ckpt = S.work_dir(spark, "master"), S.work_dir(spark, "ckpt")
+    S.run_available(S.start_ingest(stream, master, ckpt, "text", order_cols=["doc_id"]))
+    return spark.read.parquet(master).select("text")
+
+
+@register("stream_monitor", f"""
+SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n_articles,
+       round(avg(CASE WHEN {s_relevant('event_type', ['error', 'click'])} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 4) AS relevancy_rate,
+       round(avg(abs({sql_hash('event_id', 'serve')} - 0.5) * 2.0), 4) AS avg_confidence
+FROM events GROUP BY 1""")
+def q_stream_monitor(spark, d):
+    ev = X.snapshots(spark, d).select("event_id", "ts", F.col("event_type").alias("text"),
+                                      C.unit_hash("event_id", "serve").alias("score"), "file")
+    S, stream = _stream_input(spark, ev, "file", 10)
+    out, ckpt = S.work_dir(spark, "monitor"), S.work_dir(spark, "ckpt")
+    S.run_available(S.start_monitor(stream, out, ckpt, "ts", "text", "score", ["error", "click"]))
+    return spark.read.parquet(out)
+
+
+@register("stream_drift", ORACLE["drift_by_snapshot"])
+def q_stream_drift(spark, d):
+    S, stream = _stream_input(spark, X.new_scores(spark, d), "source", 10)
+    out, ckpt = S.work_dir(spark, "drift"), S.work_dir(spark, "ckpt")
+    ref = X.reference_scores(spark, d)
+    S.run_available(S.start_drift(stream, ref, out, ckpt, "source", "text", "score", HIT_KEYWORDS))
+    return spark.read.parquet(out).drop("batch_id")
