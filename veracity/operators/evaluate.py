@@ -227,12 +227,27 @@ def log_loss(df: DataFrame, label: str = "label", score: str = "score",
 def model_comparison(scored: DataFrame, model_col: str = "model", label: str = "label",
                      score: str = "score", threshold: float = CLASS_THRESHOLD) -> DataFrame:
     """Accuracy / F1 macro / F1 fake / F1 real / AUC per model, from a
-    long ``(model, label, score)`` table."""
-    m = classification_metrics(scored, label, score, threshold, [model_col])
-    a = roc_auc(scored, label, score, [model_col])
-    return m.join(a, on=model_col, how="left").select(
-        model_col, "accuracy", "f1_macro", "f1_fake", "f1_real", "auc_roc"
+    long ``(model, label, score)`` table.
+
+    One ``groupBy(model, score)`` feeds everything: the running count of
+    negatives gives the AUC and the same rows, split at the threshold, give
+    the confusion counts, so the scored table is read once."""
+    g = _score_counts(scored, label, score, [model_col])
+    c = prefix_sums(g, ["score"], ["neg"], [model_col])
+    hi = F.col("score") >= F.lit(threshold)
+    zero = F.lit(0).cast("bigint")
+    agg = c.groupBy(model_col).agg(
+        F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") + F.col("neg") * 0.5)).alias("u"),
+        F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"),
+        F.sum(F.when(~hi, F.col("neg")).otherwise(zero)).alias("tn"),
+        F.sum(F.when(hi, F.col("neg")).otherwise(zero)).alias("fp"),
+        F.sum(F.when(~hi, F.col("pos")).otherwise(zero)).alias("fn"),
+        F.sum(F.when(hi, F.col("pos")).otherwise(zero)).alias("tp"),
     )
+    den = F.col("n_pos").cast("double") * F.col("n_neg").cast("double")
+    agg = agg.withColumn("auc_roc", F.round(F.when(den > 0, F.col("u") / den), 4))
+    m = metrics_from_counts(agg, [model_col, "auc_roc"])
+    return m.select(model_col, "accuracy", "f1_macro", "f1_fake", "f1_real", "auc_roc")
 
 
 def best_model(results: DataFrame, model_col: str = "model", metric: str = "f1_macro",
