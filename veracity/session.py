@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,9 +35,27 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let executors import this package, wherever the driver found it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_veracity_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="veracity-code-"), "veracity.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    sc.addPyFile(target)
+    sc._veracity_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; fall back to a fresh local
     folder only when nothing is configured (tests)."""
