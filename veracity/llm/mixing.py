@@ -26,6 +26,8 @@ MAX_EPOCHS = 3
 SEED = "mix"
 #: Rows that one range of a source holds on average at most.
 RANGE_ROWS = 50_000
+#: Sources whose totals may be broadcast: a few MB.
+BROADCAST_SOURCES = 50_000
 
 
 def sized(docs: DataFrame, *keep: str, seed: str = SEED) -> DataFrame:
@@ -73,8 +75,11 @@ def mix(rows: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, range_ro
     slot = F.floor(F.conv(F.substring("key", 1, 7), 16, 10).cast("long") * F.col("__parts") / (1 << 28))
     parts = per.select(named[0].alias("__s"), named[1].alias("__n"), "source_size", "target",
                        F.least(F.lit(65536), F.ceil(F.col("n_rows") / range_rows)).alias("__parts"))
-    ranged = rows.withColumns({"__s": named[0], "__n": named[1]}).join(parts, ["__s", "__n"]).withColumn("__range", slot)
+    if per.count() <= BROADCAST_SOURCES:
+        parts = F.broadcast(parts)
     place = ["__s", "__n", "__range"]
+    # dealt out by range in so many words: a join by source must not leave a source's ranges in one task
+    ranged = rows.withColumns({"__s": named[0], "__n": named[1]}).join(parts, ["__s", "__n"]).withColumn("__range", slot).repartition(*place)
     totals = ranged.groupBy(*place).agg(F.sum("size").alias("__total"))
     before = Window.partitionBy("__s", "__n").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*place, F.coalesce(F.sum("__total").over(before), F.lit(0)).alias("__offset"))
