@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from veracity.llm import chat, mixing, packing, quality, secretscan
+from veracity.llm import chat, mixing, neardup, packing, quality, secretscan
 from veracity.llm.base import ORACLE, QUERIES, WORD, read, register
 from veracity.session import materialize
 
@@ -83,3 +83,9 @@ def op5_source_mixing(spark, d):
 @register("op8_secret_scan")
 def op8_secret_scan(spark, d):
     return secretscan.scanned(read(spark, d, "documents").select("doc_id", F.col("text"))).drop("text")
+
+
+# --- 6: MinHash near-duplicates --------------------------------------------------------
+@register("op6_minhash_near_dedup")
+def op6_minhash_near_dedup(spark, d):
+    return neardup.near_duplicates(read(spark, d, "documents"), shingle_words=2)
