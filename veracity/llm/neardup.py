@@ -9,8 +9,10 @@ with each other: each is paired with one leader of its bucket, and links join
 them to components. Buckets whose members are still in several components get
 other leaders, and after ``leader_rounds`` all pairs across components that
 still share a bucket are tested. So every candidate pair is either tested or
-already in one component: nothing is capped. Pairs are counted by component,
-hence groups of thousands of copies cost about a pair for each member and band.
+already in one component: nothing is capped. Pairs in small buckets are rows;
+the members of large ones are dealt to blocks, and each pair of blocks is
+compared in a task of its own that gives links only. A group of thousands of
+copies so costs about a row for each member, band and block.
 
 A pair is verified by comparing signatures in batches. With m of n values
 equal and a uniform prior, the posterior of the similarity is Beta(m + 1,
@@ -47,6 +49,8 @@ from veracity.session import materialize
 BANDS, ROWS = 40, 5
 MISS = 1e-7
 BATCH = 40
+#: Members of a bucket whose pairs are rows; members of a block for those of larger ones.
+PAIRED, BLOCK = 32, 256
 #: Ids that may be broadcast: 8 MB of values.
 BROADCAST_IDS = 1_000_000
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -146,18 +150,59 @@ def _pruned(size: int, threshold: float, miss: float):
     return run
 
 
+def _overlap(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def _confirmed(percent: int):
     def run(batches):
         for b in batches:
-            hold = []
-            for x, y in zip(b.column("sa").to_pylist(), b.column("sb").to_pylist(), strict=True):
-                x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                hold.append(100 * both >= percent * (len(x) + len(y) - both))
+            hold = [_overlap(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), percent)
+                    for x, y in zip(b.column("sa").to_pylist(), b.column("sb").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(hold, pa.bool_()))
     return run
 
 
+def _across(percent: int, size: int, miss: float):
+    """Links between components within a block, or from one block to another."""
+    needed = least_matches(size, percent / 100, miss)
+
+    def run(key, table):
+        i, j = key[1].as_py(), key[2].as_py()
+        node, comp, block = (table[c].to_numpy() for c in ("node", "comp", "block"))
+        values = np.frombuffer(b"".join(table["signature"].to_pylist()), "<u4").reshape(-1, size)
+        sets = [np.frombuffer(x, "<u8") for x in table["shingles"].to_pylist()]
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        apart = comp[left][:, None] != comp[right][None, :]
+        if i == j:
+            apart &= node[left][:, None] < node[right][None, :]
+        x, y = (side[at] for side, at in zip((left, right), np.nonzero(apart), strict=True))
+        equal, start = np.zeros(len(x), np.int64), 0
+        for end, least in needed.items():
+            equal += (values[x, start:end] == values[y, start:end]).sum(1)
+            stay = equal >= least
+            x, y, equal, start = x[stay], y[stay], equal[stay], end
+        root: dict[int, int] = {}
+
+        def find(c):
+            while c in root:
+                c = root[c]
+            return c
+
+        links = []
+        for at in np.argsort(-equal, kind="stable"):  # likely links first: they spare the rest
+            u, v = x[at], y[at]
+            a, b = find(comp[u]), find(comp[v])
+            if a != b and _overlap(sets[u], sets[v], percent):
+                root[b] = a
+                links.append((node[u], node[v]))
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+    return run
+
+
 def only(rows: DataFrame, ids: DataFrame, column: str, how: str = "left_semi") -> DataFrame:
     """Rows whose ``column`` is (``left_anti``: isn't) in ``ids``; ids are broadcast if they are few."""
     few = ids.count() <= BROADCAST_IDS
@@ -175,7 +220,7 @@ class _Verifier:
 
     def __init__(self, docs: DataFrame, signatures: DataFrame, width: int, percent: int, size: int, miss: float):
         self.docs, self.signatures, self.width, self.percent = docs, signatures, width, percent
-        self.prune = _pruned(size, percent / 100, miss)
+        self.prune, self.across = _pruned(size, percent / 100, miss), _across(percent, size, miss)
         self.tested: list[DataFrame] = []
 
     def sets(self, ids: DataFrame) -> DataFrame:
@@ -207,6 +252,28 @@ class _Verifier:
             return None
         return materialize(_both(alive, materialize(self.sets(ids))).mapInArrow(_confirmed(self.percent), "a long, b long"))
 
+    def block_links(self, held: DataFrame) -> DataFrame | None:
+        """Links between components among rows ``key, node, comp`` that share a key.
+
+        Keys that have members in common come together first, so that a pair
+        is compared once, whatever number of keys it shares."""
+        lead = held.groupBy("key").agg(F.min("node").alias("lead"))
+        groups = components(held.join(lead, "key").select(F.col("lead").alias("a"), F.col("node").alias("b")))
+        members = materialize(groups.toDF("node", "group").join(held.select("node", "comp").distinct(), "node"))
+        if members.isEmpty():
+            return None
+        blocks = members.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+        dealt = members.join(blocks, "group").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        dealt = dealt.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        values = materialize(self.sets(members.select("node"))).toDF("node", "shingles").join(self.signatures, "node")
+        return materialize(
+            dealt.select("group", F.least("block", "to").alias("i"), F.greatest("block", "to").alias("j"), "node", "comp", "block")
+            .join(values, "node").groupBy("group", "i", "j").applyInArrow(self.across, "a long, b long"))
+
+
+def _apart(pairs: DataFrame) -> DataFrame:
+    return pairs.filter("comp <> other_comp").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS,
                     miss: float = MISS, leader_rounds: int = 3) -> DataFrame:
@@ -231,16 +298,18 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
         if comp is None:
             held = held.withColumn("comp", F.col("node"))
         else:
-            held = held.join(comp, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
+            held = held.join(comp, "node", "left").select("key", "node", "members", F.coalesce("comp", "node").alias("comp"))
         leader = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("at"), "node", "comp")) if turn else F.min(F.struct("node", "comp"))
         open_ = held.groupBy("key").agg(leader.alias("leader"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
         if turn < leader_rounds:
             pairs = held.join(open_.select("key", F.col("leader.node").alias("other"), F.col("leader.comp").alias("other_comp")), "key")
+            links = verifier.links(_apart(pairs))
         else:  # the rest: all pairs across components
             held = materialize(held.join(open_.select("key"), "key", "left_semi"))
-            pairs = held.join(held.toDF("key", "other", "other_comp") if held.columns == ["key", "node", "comp"]
-                              else held.select("key", F.col("node").alias("other"), F.col("comp").alias("other_comp")), "key").filter("node < other")
-        links = verifier.links(pairs.filter("comp <> other_comp").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")))
+            few = held.filter(F.col("members") <= PAIRED)
+            pairs = few.join(few.select("key", F.col("node").alias("other"), F.col("comp").alias("other_comp")), "key").filter("node < other")
+            found = [x for x in (verifier.links(_apart(pairs)), verifier.block_links(held.filter(F.col("members") > PAIRED))) if x is not None]
+            links = reduce(DataFrame.unionAll, found) if found else None
         if links is not None:
             known = links if comp is None else links.unionAll(comp.select(F.col("node").alias("a"), F.col("comp").alias("b")))
             comp = materialize(components(known))
