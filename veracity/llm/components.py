@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from veracity.session import materialize
 
 
+EDGES_A_PART = 200_000
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")).unionAll(edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m"))
@@ -38,7 +41,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     edges = materialize(links.filter(F.col(a) != F.col(b)).select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")).distinct())
     state = _state(edges)
     while state[0]:
-        edges = materialize(_small_star(_large_star(edges)))
+        # links hardly grow in number: few of them needn't be spread over many files in every pass
+        parts = 1 + state[0] // EDGES_A_PART
+        edges = materialize(_small_star(_large_star(edges.coalesce(parts)).coalesce(parts)).coalesce(parts))
         state, before = _state(edges), state
         if state == before:
             break

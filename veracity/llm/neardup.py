@@ -5,11 +5,10 @@ Documents with the same set form a class, found by one aggregation on the
 set's digest, and only one signature for each class goes on.
 
 Candidates share a band of the signature. A bucket's members aren't paired
-with each other: each is paired with one leader of its bucket, and links join
-them to components. Buckets whose members are still in several components get
-other leaders, and after ``leader_rounds`` all pairs across components that
-still share a bucket are tested. So every candidate pair is either tested or
-already in one component: nothing is capped. Pairs in small buckets are rows;
+with each other: each is paired with a few leaders of its bucket, and links
+join them to components. Then all pairs that share a bucket and are still in
+two components are tested. So every candidate pair is either tested or in one
+component anyway: nothing is capped. Pairs in small buckets are rows;
 the members of large ones are dealt to blocks, and each pair of blocks is
 compared in a task of its own that gives links only. A group of thousands of
 copies so costs about a row for each member, band and block.
@@ -239,7 +238,7 @@ class _Verifier:
         return rows.groupBy("doc_id").agg(F.min_by("shingles", "digest").alias("shingles"))
 
     def links(self, pairs: DataFrame) -> DataFrame | None:
-        pairs = pairs.distinct()
+        pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
         if self.tested:
             pairs = pairs.join(reduce(DataFrame.unionAll, self.tested), ["a", "b"], "left_anti")
         pairs = materialize(pairs)
@@ -271,12 +270,8 @@ class _Verifier:
             .join(values, "node").groupBy("group", "i", "j").applyInArrow(self.across, "a long, b long"))
 
 
-def _apart(pairs: DataFrame) -> DataFrame:
-    return pairs.filter("comp <> other_comp").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
-
-
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS,
-                    miss: float = MISS, leader_rounds: int = 3) -> DataFrame:
+                    miss: float = MISS, leaders: int = 3) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
 
     Links documents whose sets overlap by ``percent`` of their union or more;
@@ -292,27 +287,28 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     shared = materialize(keys.join(buckets.select("key", "members"), "key"))
     verifier = _Verifier(docs, classes.select("node", "signature"), shingle_words, percent, size, miss)
 
-    comp = None
-    for turn in range(leader_rounds + 1):
-        held = shared.filter("members > 2") if turn else shared
-        if comp is None:
-            held = held.withColumn("comp", F.col("node"))
-        else:
-            held = held.join(comp, "node", "left").select("key", "node", "members", F.coalesce("comp", "node").alias("comp"))
-        leader = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("at"), "node", "comp")) if turn else F.min(F.struct("node", "comp"))
-        open_ = held.groupBy("key").agg(leader.alias("leader"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
-        if turn < leader_rounds:
-            pairs = held.join(open_.select("key", F.col("leader.node").alias("other"), F.col("leader.comp").alias("other_comp")), "key")
-            links = verifier.links(_apart(pairs))
-        else:  # the rest: all pairs across components
-            held = materialize(held.join(open_.select("key"), "key", "left_semi"))
-            few = held.filter(F.col("members") <= PAIRED)
-            pairs = few.join(few.select("key", F.col("node").alias("other"), F.col("comp").alias("other_comp")), "key").filter("node < other")
-            found = [x for x in (verifier.links(_apart(pairs)), verifier.block_links(held.filter(F.col("members") > PAIRED))) if x is not None]
-            links = reduce(DataFrame.unionAll, found) if found else None
-        if links is not None:
-            known = links if comp is None else links.unionAll(comp.select(F.col("node").alias("a"), F.col("comp").alias("b")))
-            comp = materialize(components(known))
+    # members against their bucket's leaders
+    leaders = [F.struct(F.min("node").alias("other")), *[
+        F.struct(F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("other")) for turn in range(1, leaders)]]
+    lead = shared.groupBy("key").agg(F.array_distinct(F.array(*leaders)).alias("leaders"))
+    pairs = shared.join(lead, "key").select("node", F.explode("leaders").alias("at")).select("node", "at.other").filter("node <> other")
+    links = verifier.links(pairs)
+    comp = materialize(components(links)) if links is not None else None
+
+    # across what is still apart in a bucket of three or more; a pair alone was tested
+    if comp is not None:
+        held = shared.filter("members > 2").join(comp, "node", "left").select("key", "node", "members", F.coalesce("comp", "node").alias("comp"))
+    else:
+        held = shared.filter("members > 2").withColumn("comp", F.col("node"))
+    apart = held.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
+    held = materialize(held.join(apart.select("key"), "key", "left_semi"))
+    few = held.filter(F.col("members") <= PAIRED)
+    other = few.select("key", F.col("node").alias("other"), F.col("comp").alias("other_comp"))
+    pairs = few.join(other, "key").filter("node < other and comp <> other_comp")
+    found = [x for x in (verifier.links(pairs), verifier.block_links(held.filter(F.col("members") > PAIRED))) if x is not None]
+    if found:
+        known = found if comp is None else [*found, comp.select(F.col("node").alias("a"), F.col("comp").alias("b"))]
+        comp = materialize(components(reduce(DataFrame.unionAll, known)))
 
     named = classes.select("digest", "node")
     if comp is not None:
