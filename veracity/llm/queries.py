@@ -6,11 +6,13 @@ derive the digest columns from what the operators return.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from veracity.llm import chat, mixing, neardup, packing, quality, secretscan
+from veracity.llm import chat, mixing, neardup, packing, quality, secretscan, urlfilter, warc
 from veracity.llm.base import ORACLE, QUERIES, WORD, read, register
-from veracity.session import materialize
+from veracity.session import ensure_checkpoint_dir, materialize
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -89,3 +91,47 @@ def op8_secret_scan(spark, d):
 @register("op6_minhash_near_dedup")
 def op6_minhash_near_dedup(spark, d):
     return neardup.near_duplicates(read(spark, d, "documents"), shingle_words=2)
+
+
+# --- 4: WARC ---------------------------------------------------------------------------
+@register("op4_warc_reader", f"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+h AS (SELECT *, CASE WHEN payload_bytes >= {warc.MIN_BYTES} THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) END AS holder FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN holder IS NOT NULL AND page_id IS DISTINCT FROM holder THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM holder THEN holder END AS refers_to
+FROM h""")
+def op4_warc_reader(spark, d):
+    folder = f"{ensure_checkpoint_dir(spark)}/warc-{uuid.uuid4().hex}"
+    archives = warc.write_archives(warc.with_revisits(read(spark, d, "pages")), folder)
+    return warc.read_archives(archives, folder).drop("url")
+
+
+# --- 10: URL filters -------------------------------------------------------------------
+_S_HOST = f"translate(coalesce(regexp_extract(url, '{urlfilter.PARTS}', 1), ''), '{urlfilter.UPPER}', '{urlfilter.LOWER}')"
+_S_PATH = f"coalesce(regexp_extract(url, '{urlfilter.PARTS}', 2), '')"
+
+
+@register("op10_url_filter", f"""
+WITH parts AS (SELECT page_id, {_S_HOST} AS host, {_S_PATH} AS path,
+    list_sort(list_filter(string_split(coalesce(regexp_extract(url, '{urlfilter.PARTS}', 3), ''), '&'),
+      lambda x: x <> '' AND NOT regexp_matches(x, '{urlfilter.TRACKING}'))) AS params FROM pages),
+canon AS (SELECT page_id, host, path, CASE WHEN host <> '' THEN
+    regexp_replace(regexp_replace(host, '^www\\.', ''), ':(80|443)$', '') || regexp_replace(path, '/+$', '')
+    || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END END AS canonical FROM parts),
+listed AS (SELECT DISTINCT canonical FROM canon JOIN labels ON page_id = doc_id WHERE toxic = 1 AND canonical IS NOT NULL),
+ruled AS (SELECT page_id, host, path, canonical, CASE
+    WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule FROM canon)
+SELECT page_id, host, path, rule, r.canonical, l.canonical IS NOT NULL AS listed,
+  CASE rule WHEN 'example.net/en/' THEN 'allow' WHEN 'example.com/de/' THEN 'block' WHEN 'org/fr/' THEN 'allow' WHEN 'net/' THEN 'block'
+    ELSE CASE WHEN l.canonical IS NOT NULL THEN 'block' ELSE 'allow' END END AS verdict
+FROM ruled r LEFT JOIN listed l ON r.canonical = l.canonical""")
+def op10_url_filter(spark, d):
+    """The list: canonical URLs of pages whose document is labelled toxic."""
+    pages = read(spark, d, "pages").select("page_id", "url")
+    toxic = read(spark, d, "labels").filter("toxic = 1").select(F.col("doc_id").alias("page_id"))
+    listed = pages.join(toxic, "page_id").select(urlfilter.canonical("url"))
+    return urlfilter.judge(pages, listed).drop("url")
