@@ -14,7 +14,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veracity.llm import mixing, packing, quality, secretscan
+from veracity.llm import mixing, neardup, packing, quality, secretscan
 from veracity.llm.base import read
 from veracity.session import ensure_checkpoint_dir
 
@@ -24,6 +24,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.quality_filter(docs)
 
 
+def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the least id, of each group of near-duplicates (five-word shingles, 0.8)."""
+    return neardup.deduplicated(docs)
+
+
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets replaced by a mark."""
     return secretscan.redacted(docs)
@@ -41,6 +46,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 STAGES = [
     ("quality_rules", quality_rules),
+    ("minhash_near_dedup", minhash_near_dedup),
     ("secret_scan", secret_scan),
     ("source_mixing", source_mixing),
     ("best_fit_packing", best_fit_packing),

@@ -10,7 +10,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from veracity.llm import chat, mixing, neardup, packing, quality, secretscan, urlfilter, warc
+from veracity.llm import chat, chunkdedup, embdup, mixing, neardup, packing, quality, secretscan, urlfilter, warc
 from veracity.llm.base import ORACLE, QUERIES, WORD, read, register
 from veracity.session import ensure_checkpoint_dir, materialize
 
@@ -135,3 +135,15 @@ def op10_url_filter(spark, d):
     toxic = read(spark, d, "labels").filter("toxic = 1").select(F.col("doc_id").alias("page_id"))
     listed = pages.join(toxic, "page_id").select(urlfilter.canonical("url"))
     return urlfilter.judge(pages, listed).drop("url")
+
+
+# --- 7: embedding near-duplicates ------------------------------------------------------
+@register("op7_embedding_near_dedup")
+def op7_embedding_near_dedup(spark, d):
+    return embdup.near_duplicates(read(spark, d, "embeddings"))
+
+
+# --- 9: substring dedup ----------------------------------------------------------------
+@register("op9_substring_dedup")
+def op9_substring_dedup(spark, d):
+    return chunkdedup.repeats(read(spark, d, "documents")).drop("cuts")
