@@ -61,10 +61,17 @@ def word_ids(words: list[str]) -> np.ndarray:
     return np.fromiter((seen.setdefault(w, len(seen)) for w in words), np.int64, len(words))
 
 
+def slices(values, rows: int = 256):
+    """An Arrow batch or array in small parts: only one part at a time is held as Python objects."""
+    for at in range(0, len(values), rows):
+        yield values.slice(at, rows)
+
+
 def arrow_rows(batches: Iterable[pa.RecordBatch], *names: str) -> Iterator[tuple]:
     """Rows of the named columns; values are Python's, so ids keep all their digits beside nulls."""
     for b in batches:
-        yield from zip(*(b.column(n).to_pylist() for n in names), strict=True)
+        for part in slices(b.select(names)):
+            yield from zip(*(c.to_pylist() for c in part.columns), strict=True)
 
 
 def arrow_batches(rows: Iterable[tuple], schema: pa.Schema, size: int = 1 << 22) -> Iterator[pa.RecordBatch]:

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veracity.llm.base import arrow_batches, arrow_rows
+from veracity.llm.base import arrow_batches, arrow_rows, slices
 from veracity.llm.components import components
 from veracity.session import materialize
 
@@ -139,7 +139,7 @@ def _pruned(size: int, threshold: float, miss: float):
     needed = least_matches(size, threshold, miss)
 
     def run(batches):
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole, 2048)):
             left, right = (np.frombuffer(b"".join(b.column(c).to_pylist()), "<u4").reshape(-1, size) for c in ("sa", "sb"))
             alive, equal, start = np.arange(len(left)), np.zeros(len(left), np.int64), 0
             for end, least in needed.items():
@@ -159,8 +159,7 @@ def _overlap(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 def _confirmed(percent: int):
     def run(batches):
         for b in batches:
-            hold = [_overlap(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), percent)
-                    for x, y in zip(b.column("sa").to_pylist(), b.column("sb").to_pylist(), strict=True)]
+            hold = [_overlap(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), percent) for x, y in arrow_rows([b], "sa", "sb")]
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(hold, pa.bool_()))
     return run
 

@@ -21,12 +21,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veracity.llm.base import WORD_RE, word_ids, windows
+from veracity.llm.base import WORD_RE, slices, windows, word_ids
 
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
@@ -89,10 +89,18 @@ def judge(text: str | None) -> tuple:
     return n, chars, symbols, dup, repeats, "".join("-0+"[v + 1] for v in votes)
 
 
-@F.pandas_udf(_SCHEMA)
-def _judged(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+@F.arrow_udf(_SCHEMA)
+def _judge_all(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    kinds = pa.struct([(f.name, pa.string() if f.name == "votes" else pa.int64()) for f in _SCHEMA])
     for texts in batches:
-        yield pd.DataFrame([judge(t) for t in texts], columns=_SCHEMA.names)
+        parts = [pa.StructArray.from_arrays(
+            [pa.array(c, k.type) for c, k in zip(zip(*map(judge, part.to_pylist()), strict=True), kinds, strict=True)], fields=list(kinds))
+            for part in slices(texts)]
+        yield pa.concat_arrays(parts) if parts else pa.array([], kinds)
+
+
+#: Not evaluated a second time where a filter stands on its result.
+_judged = _judge_all.asNondeterministic()
 
 
 def fit_votes(patterns: list[str], counts: list[int], rounds: int = 100, prior: float = 0.9,

@@ -26,11 +26,13 @@ import zlib
 from collections.abc import Callable, Iterator
 from functools import cache
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from veracity.llm.base import slices
+
 # --- fixed values: the kinds' expressions ---------------------------------------------
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
@@ -125,16 +127,24 @@ def summary(text: str | None) -> tuple:
     return *counts, hashlib.sha256(listed(BASE).encode()).hexdigest(), listed(KINDS)
 
 
-@F.pandas_udf(_FOUND)
-def _scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+@F.arrow_udf(_FOUND)
+def _scan_all(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    kinds = pa.struct([(f.name, pa.int64() if isinstance(f.dataType, T.LongType) else pa.string()) for f in _FOUND])
     for texts in batches:
-        yield pd.DataFrame([summary(t) for t in texts], columns=_FOUND.names)
+        parts = [pa.StructArray.from_arrays(
+            [pa.array(c, k.type) for c, k in zip(zip(*map(summary, part.to_pylist()), strict=True), kinds, strict=True)], fields=list(kinds))
+            for part in slices(texts)]
+        yield pa.concat_arrays(parts) if parts else pa.array([], kinds)
 
 
-@F.pandas_udf(T.StringType())
-def _redact(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+@F.arrow_udf(T.StringType())
+def _redact_all(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for texts in batches:
-        yield texts.map(redact, na_action="ignore")
+        yield pa.concat_arrays([pa.array(map(redact, part.to_pylist()), pa.string()) for part in slices(texts)] or [pa.array([], pa.string())])
+
+
+#: Not evaluated again for each column that is made of their result.
+_scan, _redact = _scan_all.asNondeterministic(), _redact_all.asNondeterministic()
 
 
 def scanned(docs: DataFrame, text_col: str = "text") -> DataFrame:
