@@ -43,7 +43,7 @@ class _Gear(dict):
     """A random value for each word, those seen lately at hand."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1 << 18:
+        if len(self) >= 1 << 16:
             self.clear()
         self[word] = value = xxhash.xxh3_64_intdigest(word, 9)
         return value

@@ -24,8 +24,8 @@ from veracity.session import materialize
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 SEED = "mix"
-#: Rows that one range of a source holds on average at most.
-RANGE_ROWS = 50_000
+#: Rows that one range of a source holds on average at most; with texts some 15 MB.
+RANGE_ROWS = 4_000
 #: Sources whose totals may be broadcast: a few MB.
 BROADCAST_SOURCES = 50_000
 
@@ -74,7 +74,7 @@ def mix(rows: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, range_ro
     named = F.coalesce(F.col("source"), F.lit("")), F.col("source").isNull()
     slot = F.floor(F.conv(F.substring("key", 1, 7), 16, 10).cast("long") * F.col("__parts") / (1 << 28))
     parts = per.select(named[0].alias("__s"), named[1].alias("__n"), "source_size", "target",
-                       F.least(F.lit(65536), F.ceil(F.col("n_rows") / range_rows)).alias("__parts"))
+                       F.least(F.lit(1 << 22), F.ceil(F.col("n_rows") / range_rows)).alias("__parts"))
     if per.count() <= BROADCAST_SOURCES:
         parts = F.broadcast(parts)
     place = ["__s", "__n", "__range"]

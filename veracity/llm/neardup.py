@@ -61,7 +61,7 @@ class _WordHash(dict):
     """Hashes of words seen lately."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1 << 18:
+        if len(self) >= 1 << 16:
             self.clear()
         self[word] = value = xxhash.xxh3_64_intdigest(word)
         return value

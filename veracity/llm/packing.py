@@ -18,7 +18,11 @@ columns are not read.
 
 from __future__ import annotations
 
+import base64
+import json
+import os
 import zlib
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,25 +48,32 @@ class Tokenizer:
     token's string go to the first, since only that one knows it."""
 
     def __init__(self, vocabulary: str = VOCABULARY, folder: str | None = None):
-        import base64
-        import os
-
         import public_tokenizers
         import tiktoken
-        import tokenizers
 
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         place = (lambda name: os.path.join(folder, name)) if folder else public_tokenizers.path
-        self.full = tokenizers.Tokenizer.from_file(place(f"{vocabulary}.json"))
-        self.special = [t.content for t in self.full.get_added_tokens_decoder().values()]
+        self.file, self.full = place(f"{vocabulary}.json"), None
+        with open(self.file, encoding="utf-8") as f:
+            self.special = [t["content"] for t in json.load(f)["added_tokens"]]
         with open(place(f"{vocabulary}.tiktoken"), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.fast = tiktoken.Encoding(vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def __call__(self, text: str) -> list[int]:
-        if any(s in text for s in self.special):
-            return self.full.encode(text, add_special_tokens=False).ids
-        return self.fast.encode_ordinary(text)
+        if not any(s in text for s in self.special):
+            return self.fast.encode_ordinary(text)
+        if self.full is None:
+            import tokenizers
+
+            os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+            self.full = tokenizers.Tokenizer.from_file(self.file)
+        return self.full.encode(text, add_special_tokens=False).ids
+
+
+@cache
+def tokenizer(vocabulary: str, folder: str | None) -> Tokenizer:
+    """One for each worker process."""
+    return Tokenizer(vocabulary, folder)
 
 
 def cuts(length: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
@@ -80,7 +91,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULA
                        + [("ids", pa.list_(pa.int32()))] * with_ids)
 
     def run(batches):
-        encode = Tokenizer(vocabulary, folder)
+        encode = tokenizer(vocabulary, folder)
 
         def out():
             for doc_id, text in arrow_rows(batches, "doc_id", "text"):
