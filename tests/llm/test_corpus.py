@@ -1,0 +1,257 @@
+"""Operators over a corpus: packing, mixing, near-duplicates, substrings, the pipeline."""
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from veracity.llm import chunkdedup, embdup, mixing, neardup, packing
+from veracity.llm.components import components
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, piece string, size string, comp string"
+
+
+def frame(spark, rows, schema=DOCS):
+    """``rows``: (doc_id, text, source)."""
+    return spark.createDataFrame([(i, t, "en", s, None if t is None else len(t), "x", "x", "x") for i, t, s in rows], schema)
+
+
+def prose(r, n, vocabulary=4000):
+    return " ".join(f"w{r.randrange(vocabulary)}" for _ in range(n))
+
+
+# --- packing ---------------------------------------------------------------------------
+def test_sum_of_squares_rule():
+    r = random.Random(0)
+    lengths = np.array([r.randrange(1, 13) for _ in range(300)])
+    bins, offsets = packing.place(lengths, 12)
+    gaps, count = {}, lambda g: sum(x == g for x in gaps.values() if x)
+    for length, b, o in zip(lengths, bins, offsets):
+        def cost(target):
+            after = dict(gaps)
+            after[target] = after.get(target, 12) - length
+            held = list(after.values())
+            return sum(held.count(g) ** 2 for g in set(held) if g)
+        options = {cost(x) for x in [k for k, g in gaps.items() if g >= length] + ["new"]}
+        assert cost(b if b in gaps else "new") == min(options) and o == 12 - gaps.get(b, 12)
+        gaps[b] = gaps.get(b, 12) - length
+    assert count(0) == 0
+
+
+@pytest.mark.parametrize("length", [1, 2047, 2048, 2049, 4096, 5000])
+def test_cuts(length):
+    got = packing.cuts(length)
+    assert sum(n for _, n in got) == length and got[0][0] == 0 and all(n == 2048 for _, n in got[1:])
+
+
+def test_packing_is_whole_and_gapless(spark):
+    r = random.Random(5)
+    rows = [(i, prose(r, r.choice([1, 5, 50, 400, 3000])), "s") for i in range(60)] + [(60, None, "s"), (61, "", "s"), (None, "no id", "s"), (3, "again", "s"),
+            (62, "a <|endoftext|> b", "s")]
+    out = packing.pack(packing.pieces(frame(spark, rows), with_ids=True)).collect()
+    full = packing.Tokenizer()
+    import tokenizers
+    plain = tokenizers.Tokenizer.from_file(full.file)
+    want = sorted((-1 if i is None else i, tuple(plain.encode(t or "", add_special_tokens=False).ids + [0])) for i, t, _ in rows)
+    by_doc = {}
+    for p in sorted(out, key=lambda p: p.start):
+        assert p.ids_crc32 == zlib.crc32(np.array(p.ids, "<u4").tobytes()) and p.length == len(p.ids)
+        by_doc.setdefault(p.doc_id if p.doc_id is not None else -1, []).append(p)
+    assert sorted((k, tuple(x for p in v for x in p.ids)) for k, v in by_doc.items() if k != 3) == [w for w in want if w[0] != 3]
+    bins = {}
+    for p in out:
+        bins.setdefault(p.sequence_id, []).append((p.offset, p.length))
+    for held in bins.values():
+        at = 0
+        for o, n in sorted(held):
+            assert o == at
+            at += n
+        assert at <= 2048
+    gaps = []  # best fit, longest first
+    for n in sorted((p.length for p in out), reverse=True):
+        fits = [g for g in gaps if g >= n]
+        if fits:
+            gaps.remove(min(fits))
+        gaps.append((min(fits) if fits else 2048) - n)
+    assert len(bins) <= 1.02 * len(gaps) + 1
+    assert packing.pack(packing.pieces(frame(spark, []))).count() == 0
+
+
+# --- mixing ----------------------------------------------------------------------------
+def water_fill(sizes, weights, epochs=3):
+    total, target, free = sum(sizes.values()), {}, set(sizes)
+    while free:
+        left, w = total - sum(target.values()), sum(weights[s] for s in free)
+        over = [s for s in free if left * weights[s] / w > epochs * sizes[s]]
+        if not over:
+            return target | {s: left * weights[s] / w for s in free}
+        target |= {s: float(epochs * sizes[s]) for s in over}
+        free -= set(over)
+    return target
+
+
+@pytest.mark.parametrize("range_rows", [3, 4000])
+def test_mix_meets_its_targets(spark, range_rows):
+    r = random.Random(7)
+    rows = [(i, prose(r, r.randrange(0, 40)), r.choice(["a", "a", "a", "b", "é", "z", None])) for i in range(400)] + [(999, None, "b"), (5, "twice", "a"), (None, "x y", "q")]
+    df = frame(spark, rows)
+    out = mixing.mix(mixing.sized(df), range_rows=range_rows).collect()
+    assert len(out) == len(rows)
+    sizes = {}
+    for _, t, s in rows:
+        sizes[s] = sizes.get(s, 0) + len((t or "").split())
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    target = water_fill(sizes, {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)})
+    for s in sizes:
+        mine = [x for x in out if x.source == s]
+        assert mine[0].target == pytest.approx(target[s]) and sum(x.taken for x in mine) == int(mine[0].target)
+        assert all(0 <= x.taken <= 3 * x.size for x in mine)
+    again = mixing.mix(mixing.sized(df.repartition(3)), range_rows=7)
+    key = lambda x: (x.doc_id or -1, x.size, x.taken)
+    assert sorted(map(key, out)) == sorted(map(key, again.collect()))
+    copies = mixing.mixed_documents(df)
+    assert copies.columns == df.columns
+    words = {}
+    for c in copies.collect():
+        words[c.source] = words.get(c.source, 0) + len((c.text or "").split())
+    assert words == {s: int(t + 1e-9) for s, t in target.items()}
+    assert mixing.mix(mixing.sized(frame(spark, []))).count() == 0
+
+
+# --- near-duplicates -------------------------------------------------------------------
+def linked(sets, percent=80):
+    parent = {d: d for d in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    ids = sorted(sets)
+    for n, a in enumerate(ids):
+        for b in ids[n + 1:]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    return {d: find(d) for d in sets}
+
+
+def shingles(text, width):
+    words = (text or "").lower().split()
+    return {tuple(words[i:i + width]) for i in range(len(words) - width + 1)} if len(words) >= width else {tuple(words)} if words else set()
+
+
+@pytest.mark.parametrize("width", [2, 5])
+def test_near_duplicates_match_all_pairs(spark, width, monkeypatch):
+    monkeypatch.setattr(neardup, "PAIRED", 4)  # so that blocks are compared too
+    monkeypatch.setattr(neardup, "BLOCK", 16)
+    r = random.Random(width)
+    rows = [(1000, None, "s"), (1001, "", "s"), (1002, " \n", "s"), (1003, "one", "s"), (1004, "ONE", "s"), (1005, "one two", "s")]
+    for group in range(6):
+        base = prose(r, 80).split()
+        for k in range(3 + 12 * (group == 0) * 4):
+            text = list(base)
+            for _ in range(r.randrange(0, 9)):
+                text[r.randrange(80)] = f"n{r.randrange(10 ** 6)}"
+            rows.append((len(rows), " ".join(text), "s"))
+    r.shuffle(rows)
+    out = {x.doc_id: x for x in neardup.near_duplicates(frame(spark, rows), shingle_words=width).collect()}
+    sets = {i: shingles(t, width) for i, t, _ in rows}
+    assert {i: x.n_shingles for i, x in out.items()} == {i: len(s) for i, s in sets.items()}
+    assert {i: x.component_id for i, x in out.items()} == linked(sets)
+    assert all(x.kept == (x.doc_id == x.component_id) for x in out.values())
+
+
+def test_deduplicated_keeps_one(spark):
+    r = random.Random(9)
+    a, b = prose(r, 30), prose(r, 30)
+    df = frame(spark, [(4, a, "s"), (2, a, "s"), (2, a, "s"), (7, b, "s"), (None, a, "s"), (8, None, "s"), (9, "", "s")])
+    out = neardup.deduplicated(df)
+    assert out.columns == df.columns
+    assert sorted((x.doc_id if x.doc_id is not None else -1) for x in out.collect()) == [-1, 2, 7, 8, 9]
+    assert neardup.deduplicated(df.limit(0)).count() == 0
+
+
+def test_pruning_keeps_what_may_reach_the_threshold():
+    needed = neardup.least_matches(200, 0.8, 1e-7)
+    assert list(needed) == [40, 80, 120, 160, 200] and 115 < needed[200] < 140
+    assert all(neardup.least_matches(200, 0.8, 1e-3)[n] >= m for n, m in needed.items())
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(30)] + [(100, 101), (101, 102), (102, 100), (7, 7), (None, 3)]
+    got = {r.node: r.comp for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{i: 0 for i in range(31)}, 100: 100, 101: 100, 102: 100}
+
+
+# --- embeddings ------------------------------------------------------------------------
+def test_embeddings_match_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(embdup, "BLOCK", 8)
+    r = np.random.default_rng(3)
+    centres, rows = r.normal(size=(12, 20)), []
+    for i in range(240):
+        rows.append((i, [float(x) for x in centres[i % 12] + 0.15 * r.normal(size=20)], None if i % 17 == 0 else i % 2))
+    rows += [(300, rows[1][1], 1), (301, rows[1][1], 1), (302, [2 * x for x in rows[1][1]], 1), (303, None, 1), (304, [0.0] * 20, 1), (305, [None] + [1.0] * 19, 1),
+             (306, [float("nan")] * 20, 1), (307, [float("inf")] * 20, 1), (308, [], 1), (309, [1.0, 2.0], 1), (None, rows[1][1], 1)]
+    df = spark.createDataFrame([(*x, 0) for x in rows], "vec_id long, embedding array<double>, label int, node int")
+    out = {x.vec_id: x for x in embdup.near_duplicates(df).collect()}
+    good = [x for x in rows if x[0] is not None and x[2] is not None and x[1] and len(x[1]) == 20 and all(v is not None and np.isfinite(v) for v in x[1]) and any(x[1])]
+    unit = np.array([x[1] for x in good])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    near = (unit @ unit.T >= 0.93) & (np.array([x[2] for x in good])[:, None] == np.array([x[2] for x in good])[None])
+    np.fill_diagonal(near, False)
+    assert sum(out[x[0]].n_links for x in good) >= 0.97 * near.sum() and near.sum() > 1000
+    assert all(out[x[0]].n_links <= n for x, n in zip(good, near.sum(1)))
+    assert out[300].component_id == out[302].component_id == out[1].component_id
+    for i in (303, 304, 305, 306, 307, 308, 309, None):
+        assert (out[i].n_links, out[i].component_id, out[i].kept) == (0, i, True)
+    assert embdup.near_duplicates(df.limit(0)).count() == 0
+
+
+# --- substrings ------------------------------------------------------------------------
+def test_passages_are_found_wherever_they_stand(spark):
+    r = random.Random(4)
+    passages = [prose(r, 51) for _ in range(30)]
+    rows, planted = [], set()
+    for i in range(120):
+        words = [prose(r, r.randrange(30, 200))]
+        if i % 2:
+            words.insert(1, passages[(i // 2) % 30] + "\n" + prose(r, r.randrange(1, 60)))
+            planted.add(i)
+        rows.append((i, " ".join(words), "s"))
+    rows += [(500, None, "s"), (501, "", "s"), (None, passages[0], "s"), (502, "same " * 3000, "s"), (503, "line of ten words that all of them have too", "s"),
+             (504, "line of ten words that all of them have too", "s")]
+    df = frame(spark, rows)
+    spans = chunkdedup.repeats(df)
+    got = spans.collect()
+    assert {x.doc_id for x in got} == planted
+    text = {i: (t or "").split() for i, t, _ in rows}
+    for x in got:
+        piece = " ".join(text[x.doc_id][x.word:x.word + x.words])
+        assert any(piece in p for p in passages) and x.words >= chunkdedup.MIN_WORDS
+    cut = {x.doc_id: x for x in chunkdedup.without_repeats(df, spans).collect()}
+    assert cut[1].text == rows[1][1] and len(cut[61].text) < len(rows[61][1]) and cut[61].n_chars == len(cut[61].text) and cut[500].text is None
+    assert chunkdedup.repeats(df.limit(0)).count() == 0
+
+
+def test_chunks_come_back_after_an_insertion():
+    r = np.random.default_rng(0)
+    values = r.integers(0, 1 << 63, 2000, dtype=np.uint64)
+    moved = np.concatenate([values[:700], r.integers(0, 1 << 63, 5, dtype=np.uint64), values[700:]])
+    before, after = set(chunkdedup.ends(values).tolist()), {e - 5 for e in chunkdedup.ends(moved).tolist()}
+    assert len({e for e in before if e > 715} ^ {e for e in after if e > 715}) == 0
+
+
+# --- pipeline --------------------------------------------------------------------------
+def test_pipeline_stages_one_after_the_other(spark):
+    docs = corpus_pipeline.read(spark, "/root/testdata/sf0.001", "documents")
+    names = [n for n, _ in corpus_pipeline.STAGES]
+    assert names == ["quality_rules", "minhash_near_dedup", "secret_scan", "source_mixing", "best_fit_packing"]
+    kept = corpus_pipeline.quality_rules(spark, docs, "")
+    assert kept.columns == docs.columns and 0 < kept.count() < docs.count()
+    whole = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert {"doc_id", "sequence_id", "offset", "length"} <= set(whole.columns) and whole.count() > 0
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), "").count() == 0
