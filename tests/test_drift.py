@@ -11,15 +11,16 @@ from veracity.operators import drift as D
 from veracity.operators import kstest, prefix
 
 
-def np_psi(ref, new, n_bins=10, eps=1e-4):
-    edges = np.percentile(ref, np.linspace(0, 100, n_bins + 1))
-    edges[0], edges[-1] = 0.0, 1.0
-    edges = np.unique(edges)
-    rc, _ = np.histogram(ref, bins=edges)
-    nc, _ = np.histogram(new, bins=edges)
-    rf = np.maximum(rc / len(ref), eps)
-    nf = np.maximum(nc / len(new), eps)
-    return round(float(np.sum((nf - rf) * np.log(nf / rf))), 4)
+# Ten reference values 0.05 .. 0.95: their deciles, with 0 and 1 at the ends, part
+# the line at 0.14, 0.23, .. 0.86, and each part holds one value, a share of 0.1.
+TEN = [0.05, 0.15, 0.25, 0.35, 0.45, 0.55, 0.65, 0.75, 0.85, 0.95]
+# Half of the new values in the first part and half in the last: 2 x 0.4 ln 5, and
+# eight empty parts at the floor of 0.0001: 8 x 0.0999 ln 1000.
+ENDS, ENDS_PSI = [0.05] * 5 + [0.95] * 5, 6.8082
+# Two values in each of the last five parts: 5 x 0.1 ln 2 + 5 x 0.0999 ln 1000.
+UPPER, UPPER_PSI = [0.55, 0.55, 0.65, 0.65, 0.75, 0.75, 0.85, 0.85, 0.95, 0.95], 3.797
+# One value moves from the first part to the second: 0.1 ln 2 + 0.0999 ln 1000.
+MOVED, MOVED_PSI = [0.15] + TEN[1:], 0.7594
 
 
 def np_ks(a, b):
@@ -63,10 +64,14 @@ def test_histogram_matches_numpy(spark, samples):
     assert [r.n for r in h] == list(exp)
 
 
-def test_psi_matches_numpy_and_zero_on_self(spark, samples):
-    ref, new = samples
-    assert D.psi(frame(spark, ref), frame(spark, new)).first().psi == np_psi(ref, new)
-    assert D.psi(frame(spark, ref), frame(spark, ref)).first().psi == 0.0
+@pytest.mark.parametrize("new,expected", [(ENDS, ENDS_PSI), (UPPER, UPPER_PSI), (MOVED, MOVED_PSI), (TEN, 0.0), (TEN * 3, 0.0)])
+def test_psi_worked_by_hand(spark, new, expected):
+    assert D.psi(frame(spark, TEN), frame(spark, new)).first().psi == expected
+
+
+def test_psi_edges_of_ties(spark):
+    # 0.5 eight times of ten: all inner deciles fall together or on it
+    assert D.psi_edges(frame(spark, [0.1] + [0.5] * 8 + [0.9])) == pytest.approx([0.0, 0.46, 0.5, 0.54, 1.0])
 
 
 def test_ks_statistic(spark, samples):
@@ -86,7 +91,7 @@ def test_ks_by_group_matches_per_group(spark, samples):
         assert got[g] == round(np_ks(ref, sub), 4)
 
 
-@pytest.mark.parametrize("ranges", [1, 2, 8])
+@pytest.mark.parametrize("ranges", [1, 2, 8, 1000])
 def test_prefix_sums_independent_of_ranges(spark, ranges):
     rng = np.random.default_rng(3)
     rows = [(float(i), int(v)) for i, v in enumerate(rng.integers(0, 5, 200))]
@@ -95,6 +100,20 @@ def test_prefix_sums_independent_of_ranges(spark, ranges):
     assert [c for _, c in got] == list(np.cumsum([n for _, n in rows]))
 
 
+def test_prefix_sums_within_groups_and_nulls(spark):
+    rows = [(g, x, 1) for g in ("a", None) for x in (None, 3.0, 1.0, 2.0)]
+    df = spark.createDataFrame(rows, "g string, x double, n long")
+    for ranges in (1, 3, 8):
+        got = {(r.g, r.x): r.cum_n for r in prefix.prefix_sums(df, ["x"], ["n"], ["g"], ranges).collect()}
+        assert got == {(g, x): n for g in ("a", None) for x, n in ((None, 1), (1.0, 2), (2.0, 3), (3.0, 4))}
+
+
+def test_ranges_are_even(spark):
+    rows = spark.range(400_000).selectExpr("pow(rand(1), 4) as x")
+    sizes = [r["count"] for r in prefix.ranged(rows, ["x"], n_ranges=200).groupBy(prefix.RANGE).count().collect()]
+    assert max(sizes) <= 2 * 400_000 / 200
+
+
 def brute_ks_pvalue(n1, n2, d):
     """P(D >= d) by enumerating every assignment of ranks to the first sample."""
     total = hit = 0
@@ -118,21 +137,36 @@ def test_exact_pvalue_matches_enumeration(n1, n2, d):
     assert kstest.exact_two_sided(d, n1, n2) == pytest.approx(brute_ks_pvalue(n1, n2, d), abs=1e-12)
 
 
-def test_kstwo_against_limit_for_large_n():
-    # for large n the finite-n law approaches the limiting series
-    d, n = 0.02, 20000
-    assert kstest.kstwo_sf(d, n) == pytest.approx(kstest.limit_sf(d * math.sqrt(n)), abs=2e-3)
-    assert kstest.kstwo_sf(0.9, 30) == pytest.approx(2 * kstest.smirnov_sf(30, 0.9))
-    assert 0.0 <= kstest.kstwo_sf(0.1, 100) <= 1.0
-
-
-def test_drift_report_gate(spark, samples):
-    ref, new = samples
-    texts = ["Iran vote today" if i % 2 else "weather" for i in range(len(new))]
-    nd = spark.createDataFrame([(t, float(v)) for t, v in zip(texts, new)], "text string, score double")
-    r = D.drift_report(nd, frame(spark, ref), keywords=["iran"]).first()
-    assert r.n_articles == len(new) and r.relevancy_rate == 0.5
-    assert r.psi == np_psi(ref, new) and r.ks_statistic == round(np_ks(ref, new), 4)
+@pytest.mark.parametrize("n1,n2", [(200, 300), (1000, 1000), (3980, 10000), (10001, 10000)])
+def test_exact_pvalue_falls_and_nears_the_limit(n1, n2):
+    root = math.sqrt(n1 * n2 / (n1 + n2))
+    ds = [lam / root for lam in (0.5, 0.8, 1.1, 1.36, 1.8, 2.5, 4.0)]
+    exact = [kstest.exact_two_sided(d, n1, n2) for d in ds]
+    assert all(a > b for a, b in zip(exact, exact[1:])) and all(0.0 <= p <= 1.0 for p in exact)
+    for d, p in zip(ds, exact):
+        assert p == pytest.approx(kstest.two_sample_pvalue(d, n1, n2, "limit"), abs=1.2 / root, rel=1.0)
+    assert kstest.exact_two_sided(0.3, n1, n2) < 1e-8 and kstest.two_sample_pvalue(0.9, n1, n2) < 1e-30
+
+
+def test_limit_law_values():
+    # tabulated points of Kolmogorov's distribution
+    assert kstest.limit_sf(1.3581) == pytest.approx(0.05, abs=1e-4)
+    assert kstest.limit_sf(1.6276) == pytest.approx(0.01, abs=1e-4)
+    assert kstest.limit_sf(0.0) == kstest.limit_sf(0.15) == 1.0
+    ps = [kstest.limit_sf(x / 50) for x in range(200)]
+    assert all(a >= b - 1e-12 for a, b in zip(ps, ps[1:]))
+    with pytest.raises(ValueError):
+        kstest.two_sample_pvalue(0.1, 5, 5, "auto")
+
+
+def test_drift_report_gate(spark):
+    texts = ["Iran vote today" if i % 2 else "weather" for i in range(10)]
+    nd = spark.createDataFrame(list(zip(texts, UPPER)), "text string, score double")
+    r = D.drift_report(nd, frame(spark, TEN), keywords=["iran"]).first()
+    assert r.n_articles == 10 and r.relevancy_rate == 0.5
+    assert r.psi == UPPER_PSI and r.ks_statistic == 0.5
     assert r.retrain_needed is True and "psi_significant" in r.reasons
+    by = D.drift_by_snapshot(nd.withColumn("s", F.lit("x")), frame(spark, TEN), "s", keywords=["iran"]).first()
+    assert (by.ks_statistic, by.ks_p_value, by.psi, by.retrain_needed) == (r.ks_statistic, r.ks_p_value, r.psi, r.retrain_needed)
     none = D.drift_report(nd, None, keywords=["iran"]).first()
     assert none.psi is None and none.ks_statistic is None

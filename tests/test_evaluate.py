@@ -47,13 +47,9 @@ def test_auc_large_path_and_groups(spark):
         s = np.round(rng.random(200), 2)
         rows += [(g, int(a), float(b)) for a, b in zip(y, s)]
     df = spark.createDataFrame(rows, "m string, label int, score double")
-    from veracity.operators import prefix
-    old = prefix.SMALL_BYTES
-    prefix.SMALL_BYTES = -1  # force the range-partitioned path
-    try:
-        got = {r.m: r.auc_roc for r in E.roc_auc(df, group_cols=["m"], digits=None).collect()}
-    finally:
-        prefix.SMALL_BYTES = old
+    got = {r.m: r.auc_roc for r in E.roc_auc(df, group_cols=["m"], digits=None).collect()}
+    unscored = df.unionByName(df.selectExpr("m", "label", "cast(null as double) as score"))
+    assert got == {r.m: r.auc_roc for r in E.roc_auc(unscored, group_cols=["m"], digits=None).collect()}
     for g in ("a", "b"):
         sub = [(y, s) for m, y, s in rows if m == g]
         y = np.array([a for a, _ in sub]); s = np.array([b for _, b in sub])

@@ -3,6 +3,8 @@
 import json
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from veracity.sources import files as S
@@ -76,7 +78,11 @@ def test_report_and_table_sinks(spark, tmpdir_fresh):
     assert spark.read.parquet(os.path.join(tmpdir_fresh, "t")).count() == 1
 
 
-def test_balance_small_keeps_rows(spark):
-    df = spark.range(100)
-    b = S.balance_small(df)
-    assert b.count() == 100 and b.rdd.getNumPartitions() >= 2
+def test_reference_store(spark, tmpdir_fresh):
+    path = os.path.join(tmpdir_fresh, "ref")
+    scores = spark.createDataFrame([(0.5,)] * 25_003 + [(0.25,)], "score double")
+    got = S.reference_or_build(spark, path, lambda: scores)
+    assert {r.score: r["count"] for r in got.groupBy("score").count().collect()} == {0.5: 25_003, 0.25: 1}
+    assert S.reference_or_build(spark, path, lambda: 1 / 0).count() == 25_004
+    with pytest.raises(Exception):
+        S.reference_or_build(spark, os.path.join(tmpdir_fresh, "no", "x*["), lambda: scores.select("absent"))

@@ -1,5 +1,6 @@
 """Streams over a landing folder must equal the batch result."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from veracity.operators import drift as D
@@ -29,8 +30,8 @@ def test_monitor_equals_batch(spark):
     S.stage_files(df, landing, "f")
     out, ckpt = S.work_dir(spark, "t-out"), S.work_dir(spark, "t-ckpt")
     S.run_available(S.start_monitor(S.read_landing(spark, landing, df.schema, 1), out, ckpt,
-                                    "ts", "text", "score", ["error"]), 300)
-    got = {r.window_start: (r.n_articles, r.relevancy_rate) for r in spark.read.parquet(out).collect()}
+                                    "ts", "text", "score", ["error"], delay="30 days"), 300)
+    got = {r.window_start: (r.n_articles, r.relevancy_rate) for r in S.read_latest(spark, out, "window_start").collect()}
     exp = df.groupBy(F.date_format(F.date_trunc("day", "ts"), "yyyy-MM-dd HH:mm:ss").alias("d")).agg(
         F.count(F.lit(1)).alias("n"), F.round(F.avg((F.col("text") == "error").cast("double")), 4).alias("r")).collect()
     assert got == {r.d: (r.n, r.r) for r in exp}
@@ -45,6 +46,37 @@ def test_drift_stream_equals_batch(spark):
     out, ckpt = S.work_dir(spark, "t-out"), S.work_dir(spark, "t-ckpt")
     S.run_available(S.start_drift(S.read_landing(spark, landing, df.schema, 2), ref, out, ckpt,
                                   "source", "text", "score", ["iran"]), 300)
-    got = sorted(tuple(r) for r in spark.read.parquet(out).drop("batch_id").collect())
+    got = sorted(tuple(r) for r in S.read_latest(spark, out, "source").collect())
     exp = sorted(tuple(r) for r in D.drift_by_snapshot(df, ref, "source", "text", "score", ["iran"]).collect())
     assert got == exp
+
+
+def test_late_rows_are_dropped(spark):
+    rows = [(1, "2024-01-01 01:00:00", "a"), (2, "2024-01-30 01:00:00", "b"), (3, "2024-01-01 02:00:00", "c"), (4, "2024-01-30 05:00:00", "c")]
+    df = spark.createDataFrame(rows, "id long, ts string, f string").withColumns(
+        {"ts": F.to_timestamp("ts"), "text": F.lit("error"), "score": F.lit(0.9)})
+    landing, out, ckpt = (S.work_dir(spark, x) for x in ("t-landing", "t-out", "t-ckpt"))
+    for f in ("a", "b", "c"):  # one file after the other, by modification time
+        df.filter(F.col("f") == f).coalesce(1).write.mode("append").parquet(landing)
+        S.run_available(S.start_monitor(S.read_landing(spark, landing, df.schema), out, ckpt, "ts", "text", "score", ["error"], delay="1 day"))
+    got = {r.window_start: r.n_articles for r in S.read_latest(spark, out, "window_start").collect()}
+    assert got == {"2024-01-01 00:00:00": 1, "2024-01-30 00:00:00": 2}
+
+
+def test_snapshot_in_several_batches_is_one_report(spark):
+    rows = [(i, "iran news", "s", ((i * 37) % 100) / 100.0, f"f{i % 3}") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, score double, f string")
+    ref = spark.createDataFrame([(((i * 53) % 97) / 97.0,) for i in range(100)], "score double")
+    landing, out, ckpt = (S.work_dir(spark, x) for x in ("t-landing", "t-out", "t-ckpt"))
+    S.stage_files(df, landing, "f")
+    S.run_available(S.start_drift(S.read_landing(spark, landing, df.schema, 1), ref, out, ckpt, "source", "text", "score", ["iran"]))
+    got = [tuple(r) for r in S.read_latest(spark, out, "source").collect()]
+    assert got == [tuple(r) for r in D.drift_by_snapshot(df, ref, "source", "text", "score", ["iran"]).collect()] and got[0][1] == 60
+
+
+def test_unfinished_stream_raises(spark):
+    df = spark.range(3000).selectExpr("id", "cast(id % 40 as string) as f", "concat('some text of enough length ', id) as text")
+    landing, out, ckpt = (S.work_dir(spark, x) for x in ("t-landing", "t-out", "t-ckpt"))
+    S.stage_files(df, landing, "f")
+    with pytest.raises(TimeoutError):
+        S.run_available(S.start_ingest(S.read_landing(spark, landing, df.schema, 1), out, ckpt, "text", order_cols=["id"]), 2)

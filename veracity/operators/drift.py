@@ -235,7 +235,7 @@ def ks_statistic(ref: DataFrame, new: DataFrame, score: str = "score", digits: i
 
 
 def ks_statistic_by_group(ref: DataFrame, new: DataFrame, group_cols: Sequence[str], score: str = "score",
-                          digits: int = 4) -> DataFrame:
+                          digits: int | None = 4) -> DataFrame:
     """D3 per group (D8) without replicating the reference per group.
 
     ``F_ref`` is evaluated once, globally, at every distinct value seen in the
@@ -260,7 +260,7 @@ def ks_statistic_by_group(ref: DataFrame, new: DataFrame, group_cols: Sequence[s
         fg, fg_l = F.col("cum_c") / F.col("n_new"), (F.col("cum_c") - F.col("c")) / F.col("n_new")
         d = F.greatest(F.abs(fr - fg), F.abs(fr_l - fg_l))
     return j.groupBy(*group_cols).agg(
-        F.round(F.max(d), digits).alias("ks_statistic"),
+        (F.max(d) if digits is None else F.round(F.max(d), digits)).alias("ks_statistic"),
         F.first("n_new").cast("bigint").alias("n_new"),
     ).withColumn("n_ref", F.lit(n_ref).cast("bigint"))
 
@@ -277,8 +277,9 @@ def ks_limit_pvalue(d, en, terms: int = 100) -> Column:
     return F.when(lam <= 0, F.lit(1.0)).otherwise(F.least(F.greatest(F.lit(2.0) * s, F.lit(0.0)), F.lit(1.0)))
 
 
-def ks_test(ref: DataFrame, new: DataFrame, score: str = "score", mode: str = "auto") -> dict | None:
-    """D3 + D4 on the driver-side scalars: ``{ks_statistic, p_value, drift_detected}``."""
+def ks_test(ref: DataFrame, new: DataFrame, score: str = "score", mode: str = "limit") -> dict | None:
+    """D3 + D4 on the driver-side scalars: ``{ks_statistic, p_value, drift_detected}``;
+    ``mode`` names the law (:mod:`veracity.operators.kstest`)."""
     row = ks_statistic(ref, new, score, digits=None).first()
     if row["ks_statistic"] is None:
         return None
@@ -312,7 +313,7 @@ def trigger_reasons(relevancy, avg_conf, ks_drift, psi_value) -> Column:
 
 def drift_report(new: DataFrame, ref: DataFrame | None, text_col: str = "text", score: str = "score",
                  keywords: Sequence[str] = POLITICAL_KEYWORDS, source_file: str | None = None,
-                 ks_mode: str = "auto") -> DataFrame:
+                 ks_mode: str = "limit") -> DataFrame:
     """One-row report. ``ks_*`` and ``psi*`` are null without a reference.
 
     The new batch is scanned once: counts, relevancy, confidence, spread and
@@ -361,21 +362,22 @@ def drift_report(new: DataFrame, ref: DataFrame | None, text_col: str = "text",
 
 def drift_by_snapshot(new: DataFrame, ref: DataFrame, snapshot_col: str, text_col: str = "text",
                       score: str = "score", keywords: Sequence[str] = POLITICAL_KEYWORDS) -> DataFrame:
-    """The monitor's metrics for every snapshot in one job family; the KS
-    flag uses the limiting p-value so it stays a Column expression."""
+    """The monitor's metrics for every snapshot in one job family, under
+    the same law (``limit``) and gate as :func:`drift_report`."""
     base = new.groupBy(snapshot_col).agg(
         F.count(F.lit(1)).alias("n_articles"),
         F.round(F.avg(relevant(text_col, keywords).cast("double")), 4).alias("relevancy_rate"),
         F.round(F.avg(F.abs(F.col(score) - 0.5)) * 2.0, 4).alias("avg_confidence"),
         F.round(F.stddev_pop(score), 4).alias("pred_std"),
     )
-    ks = ks_statistic_by_group(ref, new, [snapshot_col], score)
+    ks = ks_statistic_by_group(ref, new, [snapshot_col], score, digits=None)
     p = psi(ref, new, score, group_cols=[snapshot_col])
     en = F.col("n_ref").cast("double") * F.col("n_new") / (F.col("n_ref") + F.col("n_new"))
-    ks = ks.select(snapshot_col, "ks_statistic",
-                   F.round(ks_limit_pvalue(F.col("ks_statistic"), en), 4).alias("ks_p_value"))
+    p_value = ks_limit_pvalue(F.col("ks_statistic"), en)
+    ks = ks.select(snapshot_col, F.round("ks_statistic", 4).alias("ks_statistic"),
+                   F.round(p_value, 4).alias("ks_p_value"), (p_value < KS_ALPHA).alias("__ks_drift"))
     j = base.join(ks, on=snapshot_col, how="left").join(p, on=snapshot_col, how="left")
-    drift = F.col("ks_p_value") < KS_ALPHA
+    drift = F.col("__ks_drift")
     return j.select(
         snapshot_col, "n_articles", "relevancy_rate", "avg_confidence", "pred_std",
         "ks_statistic", "ks_p_value", "psi", "psi_status",

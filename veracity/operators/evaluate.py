@@ -124,8 +124,9 @@ def classification_report(df: DataFrame, label: str = "label", score: str = "sco
 
 
 def _score_counts(df: DataFrame, label: str, score: str, group_cols: Sequence[str]) -> DataFrame:
+    """Rows without a score have no place on the curve and are left out."""
     y = F.col(label)
-    return df.groupBy(*group_cols, F.col(score).alias("score")).agg(
+    return df.filter(F.col(score).isNotNull()).groupBy(*group_cols, F.col(score).alias("score")).agg(
         F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")
     )
 

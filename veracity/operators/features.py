@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from veracity.functions.common import hash32
 from veracity.functions.text import ngram_rows, whitespace_tokens
+from veracity.session import materialize
 
 # --- fixed values that must equal the reference's -----------------------------
 VOCAB_SIZE = 20000
@@ -100,6 +101,15 @@ def encode_drop_oov(docs: DataFrame, vocab: DataFrame, id_col: str, text_col: st
 
 
 # --- M1-M4: exact hash cuts -------------------------------------------------------
+def _match(rows: DataFrame, table: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Inner join on ``on`` with null equal to null, so that no row is lost."""
+    named = table.withColumnsRenamed({c: f"__on_{c}" for c in on})
+    cond = F.lit(True)
+    for c in on:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"__on_{c}"))
+    return rows.join(named, cond).drop(*[f"__on_{c}" for c in on])
+
+
 def exact_rank_cut(df: DataFrame, h_col: str, id_col: str, quota: DataFrame,
                    group_cols: Sequence[str] = (), flag: str = "in_cut",
                    bucket_bits: int = HASH_BUCKET_BITS) -> DataFrame:
@@ -117,7 +127,7 @@ def exact_rank_cut(df: DataFrame, h_col: str, id_col: str, quota: DataFrame,
     w = Window.partitionBy(*group_cols).orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
     counts = counts.withColumn("__cum", F.sum("__cnt").over(w))
     if group_cols:
-        status = counts.join(F.broadcast(quota), on=list(group_cols), how="inner")  # one row per group
+        status = _match(counts, quota, group_cols)  # one row per group
     else:
         status = counts.withColumn("quota", F.lit(quota.first()["quota"]))
     before = F.col("__cum") - F.col("__cnt")
@@ -128,8 +138,9 @@ def exact_rank_cut(df: DataFrame, h_col: str, id_col: str, quota: DataFrame,
         .otherwise(F.lit("part")).alias("__st"),
         (F.col("quota") - before).alias("__need"),
     )
-    # groups x 2^bucket_bits rows at most: a proven bound
-    tagged = with_b.join(F.broadcast(status), on=[*group_cols, "__b"], how="inner")
+    if not group_cols:
+        status = F.broadcast(status)  # 2^bucket_bits rows at most: a proven bound
+    tagged = _match(with_b, status, [*group_cols, "__b"])
     settled = tagged.filter(F.col("__st") != "part").withColumn(flag, F.col("__st") == "all")
     wb = Window.partitionBy(*group_cols, "__b").orderBy(F.col(h_col), F.col(id_col))
     part = tagged.filter(F.col("__st") == "part").withColumn(
@@ -182,7 +193,7 @@ def oversample_minority(df: DataFrame, id_col: str, label_col: str = "label", mi
         minor = minor.withColumn("__extra", F.lit(False))
     n_copies = F.lit(q) + F.col("__extra").cast("int")
     rep = minor.select(*df.columns, F.explode(F.sequence(F.lit(0), n_copies - 1)).alias("replica"))
-    major = df.filter(F.col(label_col) != minority).withColumn("replica", F.lit(0))
+    major = df.filter(~F.col(label_col).eqNullSafe(minority)).withColumn("replica", F.lit(0))
     return major.unionByName(rep)
 
 
@@ -247,8 +258,8 @@ def tfidf_transform(docs: DataFrame, vocab: DataFrame, id_col: str, text_col: st
 
 def tfidf_fit_transform(docs: DataFrame, id_col: str, text_col: str,
                         max_features: int = TFIDF_MAX_FEATURES) -> tuple[DataFrame, DataFrame]:
-    """M6 on one corpus: the n-gram counts are built once and feed both the
-    vocabulary and the weights (the shared exchange is reused in the plan)."""
-    tc = term_counts(docs, id_col, text_col)
-    vocab = tfidf_fit(docs, id_col, text_col, max_features, counts=tc)
+    """M6 on one corpus: the n-gram counts are checkpointed and feed both the
+    vocabulary, itself checkpointed, and the weights."""
+    tc = materialize(term_counts(docs, id_col, text_col))
+    vocab = materialize(tfidf_fit(docs, id_col, text_col, max_features, counts=tc))
     return vocab, tfidf_transform(docs, vocab, id_col, text_col, counts=tc)

@@ -1,60 +1,38 @@
 """Distributed prefix sums (running totals) without a single-partition window.
 
 A global running sum written as ``sum(x) OVER (ORDER BY k)`` makes Spark move
-every row into one task. Here the order key is cut into ranges first:
+every row into one task. Here, whatever the size of the input:
 
-1. range cuts come from ``approxQuantile`` on the key (their accuracy only
-   affects balance, never the result);
-2. each row gets its range id by a binary ``CASE`` tree over the cuts;
-3. per-range totals (``groups x ranges`` rows) give each range an offset;
-4. a window partitioned by ``(groups..., range)`` adds the in-range running
+1. rows are range-partitioned by group and order key, tagged with their
+   partition and checkpointed, which fixes the tags;
+2. per-range totals give each range an offset within its group; as ranges are
+   contiguous, there are at most ``groups + ranges`` of them;
+3. a window partitioned by ``(groups..., range)`` adds the in-range running
    sum to the offset.
 
 The input must be unique on ``(group_cols..., order_cols...)``, which is what
 a preceding ``groupBy`` produces. Partial aggregation upstream already folds a
 hot key (a third of all rows on one value) into one row per map task, so no
-range ever holds more than its share of *distinct* keys.
+range holds more than its share of *distinct* keys. Null order keys come
+first; a null group is a group.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from veracity.session import materialize, shuffle_partitions
 
-SMALL_BYTES = 64 * 1024 * 1024  # optimizer estimate below which one window suffices
-
 RANGE = "__range"
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # pragma: no cover
-        return 1 << 62
-
-
-def _range_expr(col: Column, cuts: list[float]) -> Column:
-    """Binary search over sorted cuts: range i holds cuts[i-1] < x <= cuts[i]."""
-
-    def build(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(col <= F.lit(cuts[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
-
-    return build(0, len(cuts)) if cuts else F.lit(0)
-
-
-def range_cuts(df: DataFrame, order_col: str, n_ranges: int) -> list[float]:
-    if n_ranges <= 1:
-        return []
-    probs = [i / n_ranges for i in range(1, n_ranges)]
-    cuts = df.approxQuantile(order_col, probs, 0.01)
-    return sorted({float(c) for c in cuts if c is not None})
+def ranged(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str] = (), n_ranges: int | None = None) -> DataFrame:
+    """``df`` with the number of its range, in the order of the keys."""
+    n = n_ranges or shuffle_partitions(df.sparkSession)
+    return materialize(df.repartitionByRange(n, *group_cols, *order_cols).withColumn(RANGE, F.spark_partition_id()))
 
 
 def prefix_sums(
@@ -63,46 +41,29 @@ def prefix_sums(
     sum_cols: Sequence[str],
     group_cols: Sequence[str] = (),
     n_ranges: int | None = None,
-    checkpoint: bool = True,
     prefix: str = "cum_",
 ) -> DataFrame:
     """Add ``cum_<c>`` = inclusive running sum of ``c`` ordered by
-    ``order_cols`` within ``group_cols`` (global when empty).
-
-    The first order column must be numeric; it is the one cut into ranges.
-    When the optimizer estimates the input below ``SMALL_BYTES`` (and no
-    ``n_ranges`` is forced) a single window per group is used instead."""
-    spark = df.sparkSession
-    if n_ranges is None and estimated_bytes(df) <= SMALL_BYTES:
-        # small input: one window per group; no sampling job, no checkpoint
-        w = Window.partitionBy(*group_cols).orderBy(*order_cols).rowsBetween(
-            Window.unboundedPreceding, Window.currentRow)
-        return df.select("*", *[F.sum(c).over(w).alias(prefix + c) for c in sum_cols])
-    if checkpoint:
-        df = materialize(df)
-    n_ranges = n_ranges or shuffle_partitions(spark)
-    key = order_cols[0]
-    cuts = range_cuts(df.select(F.col(key).cast("double").alias(key)), key, n_ranges)
-    ranged = df.withColumn(RANGE, _range_expr(F.col(key).cast("double"), cuts))
-
-    totals = ranged.groupBy(*group_cols, RANGE).agg(*[F.sum(c).alias(c) for c in sum_cols])
+    ``order_cols`` within ``group_cols`` (global when empty)."""
+    cut = ranged(df, order_cols, group_cols, n_ranges)
+    totals = cut.groupBy(*group_cols, RANGE).agg(*[F.sum(c).alias(c) for c in sum_cols])
     w_off = Window.partitionBy(*group_cols).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *group_cols, RANGE,
+        *[F.col(c).alias("__g_" + c) for c in group_cols], F.col(RANGE).alias("__r"),
         *[F.coalesce(F.sum(c).over(w_off), F.lit(0)).alias("__off_" + c) for c in sum_cols],
     )
     if not group_cols:
-        # at most n_ranges rows: a proven bound, so broadcasting is safe
+        # one row per range: a proven bound, so broadcasting is safe
         offsets = F.broadcast(offsets)
-    joined = ranged.join(offsets, on=[*group_cols, RANGE], how="inner")
-
+    on = F.col(RANGE) == F.col("__r")
+    for c in group_cols:
+        on = on & F.col(c).eqNullSafe(F.col("__g_" + c))
     w_in = (
         Window.partitionBy(*group_cols, RANGE)
         .orderBy(*order_cols)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    out = joined.select(
-        *[F.col(c) for c in df.columns],
+    return cut.join(offsets, on).select(
+        *df.columns,
         *[(F.sum(c).over(w_in) + F.col("__off_" + c)).alias(prefix + c) for c in sum_cols],
     )
-    return out

@@ -49,8 +49,15 @@ def min_length_filter(df: DataFrame, text_col: str, min_len: int = MIN_TEXT_LEN,
                       cleaned_col: str = "text") -> DataFrame:
     """F4-clean the text and keep rows whose cleaned text has at least
     ``min_len`` code points."""
-    cleaned = T.strip_tweet(text_col)
-    return df.withColumn(cleaned_col, cleaned).filter(F.length(F.col(cleaned_col)) >= min_len)
+    cleaned = once(df, cleaned_col, T.strip_tweet(text_col))
+    return cleaned.filter(F.length(F.col(cleaned_col)) >= min_len)
+
+
+def once(df: DataFrame, name: str, value) -> DataFrame:
+    """``df`` with a costly column that a filter above isn't evaluated on again:
+    a generator stands between, which filters on its output don't pass."""
+    other = [c for c in df.columns if c != name]
+    return df.select(*other, F.inline(F.array(F.struct(value.alias(name)))))
 
 
 # --- P6/P7 -------------------------------------------------------------------------------
@@ -137,25 +144,31 @@ def author_join(posts: DataFrame, users: DataFrame, author_col: str, user_id_col
 
 # --- U1/J5 -------------------------------------------------------------------------------
 def merge_distinct(master: DataFrame, new: DataFrame, key: str = "text", order_cols: Sequence[str] = ()) -> DataFrame:
-    """Append ``new`` to ``master`` keeping the first row per key (master
-    rows precede). New rows are deduplicated by their smallest ``order_cols``
-    (null-safe: all null keys are one key, as in pandas), then anti-joined to
-    the master. The master itself is taken as already unique."""
+    """``master`` followed by ``new``, one row per key over both: master
+    rows come first, then the smallest ``order_cols`` (then columns). All null
+    keys are one key, as in pandas. One aggregation, one shuffle."""
     cols = master.columns
-    if order_cols:
-        firsts = new.groupBy(key).agg(F.min_by(F.struct(*cols), F.struct(*order_cols)).alias("__r"))
-    else:
-        firsts = new.groupBy(key).agg(F.min(F.struct(*cols)).alias("__r"))
-    dedup = firsts.select("__r.*")
-    fresh = dedup.join(master.select(key), dedup[key].eqNullSafe(master[key]), "left_anti")
-    return master.unionByName(fresh.select(*cols))
+    both = master.select(*cols, F.lit(0).alias("__side")).unionByName(new.select(*cols, F.lit(1).alias("__side")))
+    firsts = both.groupBy(key).agg(F.min_by(F.struct(*cols), F.struct("__side", *order_cols, *[c for c in cols if c not in order_cols])).alias("__r"))
+    return firsts.select("__r.*")
+
+
+def fresh_rows(batch: DataFrame, master_keys: DataFrame, key: str = "text", order_cols: Sequence[str] = ()) -> DataFrame:
+    """The first row per key of ``batch`` whose key isn't in ``master_keys``
+    (one column, null-safe)."""
+    none = batch.limit(0)
+    firsts = merge_distinct(none, batch, key, order_cols)
+    known = master_keys.toDF("__known")
+    return firsts.join(known, F.col(key).eqNullSafe(F.col("__known")), "left_anti")
 
 
 # --- S3 / A11 -------------------------------------------------------------------------
-def latest_snapshot(df: DataFrame, file_col: str, mtime_col: str) -> DataFrame:
+def latest_snapshot(df: DataFrame, file_col: str, mtime_col: str, prefer: str | None = None) -> DataFrame:
     """S3: rows of the file with the greatest modification time (ties: the
-    greatest file name). The chosen name is a one-row aggregate."""
-    latest = df.agg(F.max_by(F.col(file_col), F.struct(F.col(mtime_col), F.col(file_col))).alias("__latest"))
+    greatest file name), or of ``prefer`` if that file is there. The chosen
+    name is a one-row aggregate."""
+    place = F.struct((F.col(file_col) == F.lit(prefer)) if prefer else F.lit(False), F.col(mtime_col), F.col(file_col))
+    latest = df.agg(F.max_by(F.col(file_col), place).alias("__latest"))
     return df.join(F.broadcast(latest), df[file_col] == latest["__latest"], "left_semi")
 
 

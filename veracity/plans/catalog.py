@@ -20,6 +20,7 @@ from veracity.operators import insight as I
 from veracity.operators import prepare as P
 from veracity.plans import fixtures as X
 from veracity.plans.fixtures import SQL, sql_hash, sql_hash32
+from veracity.session import materialize
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -167,7 +168,7 @@ SELECT doc_id, label, clean_title FROM (
   SELECT doc_id, TRY_CAST(label AS INTEGER) AS label, {s_ascii('text')} AS clean_title FROM ({SQL['labelled']}))
 WHERE clean_title IS NOT NULL AND clean_title <> '' AND label IS NOT NULL""")
 def q_drop_incomplete(spark, d):
-    lab = X.labelled(spark, d).select("doc_id", "label", T.clean_ascii("text").alias("clean_title"))
+    lab = P.once(X.labelled(spark, d).select("doc_id", "label", "text"), "clean_title", T.clean_ascii("text")).drop("text")
     return P.drop_incomplete(lab, "clean_title", "label")
 
 
@@ -243,21 +244,19 @@ def q_verdict(spark, d):
 # ======================================================================================
 @register("author_join", """
 SELECT e.event_id, strftime(e.ts, '%Y-%m-%d %H:%M:%S') AS scraped_at, '@' || coalesce(u.uname, 'unknown') AS source
-FROM events e LEFT JOIN (SELECT c_custkey, max(c_name) AS uname FROM customer
-                         WHERE c_mktsegment = 'HOUSEHOLD' GROUP BY c_custkey) u ON e.user_id = u.c_custkey""")
+FROM events e LEFT JOIN (SELECT c_custkey, max(c_name) AS uname FROM customer GROUP BY c_custkey) u
+  ON e.user_id * 7 = u.c_custkey""")
 def q_author_join(spark, d):
-    ev = X.table(spark, d, "events").select("event_id", "user_id", C.row_time("ts").alias("scraped_at"))
-    users = X.table(spark, d, "customer").filter(F.col("c_mktsegment") == "HOUSEHOLD")
+    # seven times the id, so that some authors have no customer
+    ev = X.table(spark, d, "events").select("event_id", (F.col("user_id") * 7).alias("user_id"), C.row_time("ts").alias("scraped_at"))
+    users = X.table(spark, d, "customer")
     return P.author_join(ev, users, "user_id", "c_custkey", "c_name").select("event_id", "scraped_at", "source")
 
 
 @register("merge_distinct", """
-WITH master AS (SELECT d.doc_id, d.text FROM documents d WHERE d.doc_id IN (SELECT doc_id FROM labels)),
-     new AS (SELECT d.doc_id, d.text FROM documents d WHERE d.doc_id NOT IN (SELECT doc_id FROM labels)),
-     firsts AS (SELECT min(doc_id) AS doc_id, text FROM new GROUP BY text)
-SELECT doc_id, text FROM master
-UNION ALL
-SELECT f.doc_id, f.text FROM firsts f WHERE NOT EXISTS (SELECT 1 FROM master m WHERE m.text IS NOT DISTINCT FROM f.text)""")
+WITH sided AS (SELECT d.doc_id, d.text, d.doc_id NOT IN (SELECT doc_id FROM labels) AS side FROM documents d),
+     placed AS (SELECT *, row_number() OVER (PARTITION BY text ORDER BY side, doc_id) AS place FROM sided)
+SELECT doc_id, text FROM placed WHERE place = 1""")
 def q_merge_distinct(spark, d):
     docs = X.documents(spark, d).select("doc_id", "text")
     lab = X.table(spark, d, "labels").select("doc_id")
@@ -273,9 +272,7 @@ WITH s AS ({SQL['snapshots']}),
 SELECT event_id, file FROM s WHERE file IN (SELECT file FROM latest)""")
 def q_latest_snapshot(spark, d):
     s = X.snapshots(spark, d)
-    files = s.groupBy("file").agg(F.max("ts").alias("mtime"))
-    latest = files.agg(F.max_by("file", F.struct("mtime", "file")).alias("latest"))
-    return s.join(F.broadcast(latest), s["file"] == latest["latest"], "left_semi").select("event_id", "file")
+    return P.latest_snapshot(s, "file", "ts").select("event_id", "file")
 
 
 @register("snapshot_counts", f"SELECT file, count(*) AS n_articles FROM ({SQL['snapshots']}) GROUP BY file")
@@ -616,9 +613,25 @@ def q_ks_pvalue_limit(spark, d):
     return ks.select("ks_statistic", "n_ref", "n_new", F.round(D.ks_limit_pvalue(F.col("ks_statistic"), en), 4).alias("p_value"))
 
 
-@register("drift_report")
+_KS_RAW = _KS_SQL.replace("round(max(abs(cr::DOUBLE / nr - cw::DOUBLE / nw)), 4)", "max(abs(cr::DOUBLE / nr - cw::DOUBLE / nw))")
+
+
+@register("drift_report", f"""
+WITH base AS (SELECT count(*) AS n_articles,
+                     round(avg(CASE WHEN {s_relevant('text', HIT_KEYWORDS)} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 4) AS relevancy_rate,
+                     round(avg(abs(score - 0.5)) * 2.0, 4) AS avg_confidence, round(stddev_pop(score), 4) AS pred_std FROM ({SQL['new']})),
+     ks AS (SELECT ks_statistic, CASE WHEN lam <= 0 THEN 1.0 ELSE least(greatest(2.0 * (
+                SELECT sum(pow(-1.0, k - 1) * exp(-2.0 * k * k * lam * lam)) FROM range(1, 101) t(k)), 0.0), 1.0) END AS p
+            FROM (SELECT *, ks_statistic * sqrt(n_ref::DOUBLE * n_new / (n_ref + n_new)) AS lam FROM ({_KS_RAW}))),
+     p AS ({_psi_sql(SQL['ref'], SQL['new'])})
+SELECT 'documents' AS source_file, n_articles, relevancy_rate, avg_confidence, pred_std, round(ks_statistic, 4) AS ks_statistic,
+       round(ks.p, 4) AS ks_p_value, ks.p < 0.05 AS ks_drift_detected, psi, psi_status,
+       relevancy_rate < 0.3 OR avg_confidence < 0.3 OR ks.p < 0.05 OR psi >= 0.25 AS retrain_needed,
+       concat_ws(',', CASE WHEN relevancy_rate < 0.3 THEN 'low_relevancy' END, CASE WHEN avg_confidence < 0.3 THEN 'low_confidence' END,
+                 CASE WHEN ks.p < 0.05 THEN 'ks_drift' END, CASE WHEN psi >= 0.25 THEN 'psi_significant' END) AS reasons
+FROM base, ks, p""")
 def q_drift_report(spark, d):
-    """D5-D7 with the reference's exact/asymptotic KS p-value (checked in pytest)."""
+    """D5-D7 under the limiting KS law, as for each snapshot."""
     return D.drift_report(X.new_scores(spark, d), X.reference_scores(spark, d), "text", "score",
                           HIT_KEYWORDS, source_file="documents")
 
@@ -633,7 +646,7 @@ WITH rs AS (SELECT score FROM ({ref})), ns AS (SELECT source, score FROM ({new})
                   (SELECT count(*) FROM ns WHERE ns.source = pts.source AND ns.score <= pts.score)::DOUBLE
                     / (SELECT count(*) FROM ns n2 WHERE n2.source = pts.source) AS fg
            FROM pts)
-SELECT source, round(max(abs(fr - fg)), 4) AS ks_statistic,
+SELECT source, max(abs(fr - fg)) AS ks_statistic,
        (SELECT count(*) FROM rs) AS n_ref, (SELECT count(*) FROM ns n3 WHERE n3.source = f.source) AS n_new
 FROM f GROUP BY source"""
     return f"""
@@ -641,14 +654,15 @@ WITH base AS (SELECT source, count(*) AS n_articles,
                      round(avg(CASE WHEN {s_relevant('text', HIT_KEYWORDS)} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 4) AS relevancy_rate,
                      round(avg(abs(score - 0.5)) * 2.0, 4) AS avg_confidence, round(stddev_pop(score), 4) AS pred_std
               FROM ({new}) GROUP BY source),
-     ks AS (SELECT source, ks_statistic,
-                   round(CASE WHEN lam <= 0 THEN 1.0 ELSE least(greatest(2.0 * (
-                       SELECT sum(pow(-1.0, k - 1) * exp(-2.0 * k * k * lam * lam)) FROM range(1, 101) t(k)), 0.0), 1.0) END, 4) AS ks_p_value
+     ks0 AS (SELECT source, ks_statistic,
+                   (CASE WHEN lam <= 0 THEN 1.0 ELSE least(greatest(2.0 * (
+                       SELECT sum(pow(-1.0, k - 1) * exp(-2.0 * k * k * lam * lam)) FROM range(1, 101) t(k)), 0.0), 1.0) END) AS p
             FROM (SELECT *, ks_statistic * sqrt(n_ref::DOUBLE * n_new / (n_ref + n_new)) AS lam FROM ({ks}))),
+     ks AS (SELECT source, round(ks_statistic, 4) AS ks_statistic, round(p, 4) AS ks_p_value, p < 0.05 AS drifted FROM ks0),
      p AS ({_psi_sql(ref, new, 'source')})
 SELECT b.source, b.n_articles, b.relevancy_rate, b.avg_confidence, b.pred_std, ks.ks_statistic, ks.ks_p_value, p.psi, p.psi_status,
        (coalesce(b.relevancy_rate < 0.3, false) OR coalesce(b.avg_confidence < 0.3, false)
-        OR coalesce(ks.ks_p_value < 0.05, false) OR coalesce(p.psi >= 0.25, false)) AS retrain_needed
+        OR coalesce(ks.drifted, false) OR coalesce(p.psi >= 0.25, false)) AS retrain_needed
 FROM base b LEFT JOIN ks ON b.source = ks.source LEFT JOIN p ON b.source = p.source"""
 
 
@@ -666,17 +680,17 @@ SELECT event_id, text, scraped_at, source, CASE WHEN score > 0.5 THEN 'Real' ELS
        round(CASE WHEN score > 0.5 THEN score ELSE 1.0 - score END, 6) AS conf
 FROM (SELECT e.event_id, e.event_type AS text, strftime(e.ts, '%Y-%m-%d %H:%M:%S') AS scraped_at,
              '@' || coalesce(u.uname, 'unknown') AS source, {sql_hash('e.event_id', 'serve')} AS score
-      FROM events e LEFT JOIN (SELECT c_custkey, max(c_name) AS uname FROM customer
-                               WHERE c_mktsegment = 'HOUSEHOLD' GROUP BY c_custkey) u ON e.user_id = u.c_custkey
+      FROM events e LEFT JOIN (SELECT c_custkey, max(c_name) AS uname FROM customer GROUP BY c_custkey) u
+        ON e.user_id * 7 = u.c_custkey
       WHERE e.event_type IS NOT NULL
       ORDER BY scraped_at DESC, e.event_id DESC LIMIT 10)""")
 def q_latest_scored(spark, d):
     ev = X.table(spark, d, "events").select(
-        "event_id", F.col("event_type").alias("text"), C.row_time("ts").alias("scraped_at"), "user_id")
-    users = X.table(spark, d, "customer").filter(F.col("c_mktsegment") == "HOUSEHOLD")
-    posts = P.author_join(ev, users, "user_id", "c_custkey", "c_name")
-    top = P.latest_rows(posts, "scraped_at", ["event_id"], 10)
-    scored = top.withColumn("score", C.unit_hash("event_id", "serve"))
+        "event_id", F.col("event_type").alias("text"), "ts", (F.col("user_id") * 7).alias("user_id"))
+    # the newest rows first, so that only they are joined and scored
+    top = materialize(P.latest_rows(ev, "ts", ["event_id"], 10)).withColumn("scraped_at", C.row_time("ts"))
+    posts = P.author_join(top, X.table(spark, d, "customer"), "user_id", "c_custkey", "c_name")
+    scored = posts.withColumn("score", C.unit_hash("event_id", "serve"))
     v = P.verdict(scored)
     return v.select("event_id", "text", "scraped_at", "source", "verdict", F.round("conf", 6).alias("conf"))
 
@@ -808,13 +822,15 @@ def _stream_input(spark, df, file_col, max_files):
 
 
 @register("stream_ingest", f"""
-SELECT DISTINCT text FROM (SELECT {s_strip_tweet('text')} AS text FROM documents) WHERE length(text) >= 20""")
+SELECT min(doc_id) AS doc_id, text FROM (SELECT doc_id, {s_strip_tweet('text')} AS text FROM documents)
+WHERE length(text) >= 20 GROUP BY text""")
 def q_stream_ingest(spark, d):
     docs = X.documents(spark, d).select("doc_id", "text", "source")
-    S, stream = _stream_input(spark, docs, "source", 10)
+    # files in one batch: which row is first then is the order of ids, not of files
+    S, stream = _stream_input(spark, docs, "source", None)
     master, ckpt = S.work_dir(spark, "master"), S.work_dir(spark, "ckpt")
     S.run_available(S.start_ingest(stream, master, ckpt, "text", order_cols=["doc_id"]))
-    return spark.read.parquet(master).select("text")
+    return spark.read.parquet(master).select("doc_id", "text")
 
 
 @register("stream_monitor", f"""
@@ -827,8 +843,8 @@ def q_stream_monitor(spark, d):
                                       C.unit_hash("event_id", "serve").alias("score"), "file")
     S, stream = _stream_input(spark, ev, "file", 10)
     out, ckpt = S.work_dir(spark, "monitor"), S.work_dir(spark, "ckpt")
-    S.run_available(S.start_monitor(stream, out, ckpt, "ts", "text", "score", ["error", "click"]))
-    return spark.read.parquet(out)
+    S.run_available(S.start_monitor(stream, out, ckpt, "ts", "text", "score", ["error", "click"], delay="60 days"))
+    return S.read_latest(spark, out, "window_start")
 
 
 @register("stream_drift", ORACLE["drift_by_snapshot"])
@@ -837,4 +853,4 @@ def q_stream_drift(spark, d):
     out, ckpt = S.work_dir(spark, "drift"), S.work_dir(spark, "ckpt")
     ref = X.reference_scores(spark, d)
     S.run_available(S.start_drift(stream, ref, out, ckpt, "source", "text", "score", HIT_KEYWORDS))
-    return spark.read.parquet(out).drop("batch_id")
+    return S.read_latest(spark, out, "source")

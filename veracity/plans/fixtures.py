@@ -24,13 +24,9 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-TEXT_TABLES = ("documents", "pages", "conversations")
-
-
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    """Whole driver table; text tables are spread over the cores when small
-    (see :func:`veracity.sources.files.balance_small`)."""
-    return read_table(spark, f"{d.rstrip('/')}/{name}.parquet", balance=name in TEXT_TABLES)
+    """Whole driver table."""
+    return read_table(spark, f"{d.rstrip('/')}/{name}.parquet")
 
 
 def documents(spark, d):

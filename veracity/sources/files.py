@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,34 +27,10 @@ SNAPSHOT_SCHEMA = T.StructType([
     T.StructField("scraped_at", T.StringType()),
     T.StructField("source", T.StringType()),
 ])
-SMALL_INPUT_BYTES = 256 * 1024 * 1024
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Optimizer size estimate (file size for a scan); planning only, no job."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # pragma: no cover - estimate unavailable
-        return 1 << 62
-
-
-def balance_small(df: DataFrame, max_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
-    """Spread a *small* input over all cores.
-
-    A file written as one large row group is read by a single task however
-    many splits it has. Below ``max_bytes`` a round-robin repartition is cheap
-    and lets CPU-heavy text work use every core; above it (any real corpus,
-    written with many row groups and files) the scan is left as it is, so no
-    shuffle is added at scale."""
-    if estimated_bytes(df) > max_bytes:
-        return df
-    n = df.sparkSession.sparkContext.defaultParallelism * 2
-    return df.repartition(n)
-
-
-def read_table(spark: SparkSession, path: str, balance: bool = False) -> DataFrame:
-    df = spark.read.parquet(path)
-    return balance_small(df) if balance else df
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
 
 
 # --- S1 ----------------------------------------------------------------------------
@@ -153,16 +130,23 @@ def save_reference(scores: DataFrame, path: str, score: str = "score", mode: str
 
 
 def load_reference(spark: SparkSession, path: str) -> DataFrame:
-    """The stored distribution expanded back to one row per score."""
+    """The stored distribution expanded back to one row per score.
+
+    A count is dealt to rows of at most 10,000 first, so that a score that
+    very many rows share is no single huge array."""
     c = spark.read.parquet(path)
-    return c.select(F.explode(F.array_repeat(F.col("score"), F.col("n").cast("int"))).alias("score"))
+    step = 10_000
+    parts = c.filter("n > 0").select("score", "n", F.explode(F.sequence(F.lit(0).cast("long"), (F.col("n") - 1).cast("long"), F.lit(step).cast("long"))).alias("__at"))
+    return parts.select(F.explode(F.array_repeat("score", F.least(F.lit(step), F.col("n") - F.col("__at")).cast("int"))).alias("score"))
 
 
 def reference_or_build(spark: SparkSession, path: str, build) -> DataFrame:
     """Read the stored reference if present, else build, store and read it."""
     try:
         return load_reference(spark, path)
-    except Exception:  # noqa: BLE001 - absent path
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         save_reference(build(), path)
         return load_reference(spark, path)
 

@@ -11,8 +11,8 @@ monitors the newest file. Here the landing folder is a file-source stream:
   than the watermark delay are kept).
 * T2 ``start_monitor`` - tumbling event-time windows of relevancy and
   confidence (mergeable sums), watermark for late rows.
-* T3 ``start_drift``   - per micro-batch drift report of every snapshot in the
-  batch against a stored reference, appended to a report table.
+* T3 ``start_drift``   - drift report of every snapshot a micro-batch adds to,
+  over all its rows so far, against a stored reference.
 
 Every ``foreachBatch`` writer is idempotent: batch ``b`` writes only
 ``.../batch_id=b`` with overwrite, so a replayed batch after a failure
@@ -25,13 +25,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veracity.functions.common import unit_hash
 from veracity.functions.text import relevant, strip_tweet
 from veracity.operators import drift as D
-from veracity.operators.prepare import MIN_TEXT_LEN, merge_distinct
+from veracity.operators.prepare import MIN_TEXT_LEN, fresh_rows
 from veracity.session import ensure_checkpoint_dir
 
 
@@ -64,7 +65,9 @@ def _batch_path(root: str, batch_id: int) -> str:
 def _existing(spark: SparkSession, root: str, before_batch: int) -> DataFrame | None:
     try:
         df = spark.read.parquet(root)
-    except Exception:  # noqa: BLE001 - no committed batch yet
+    except AnalysisException as e:  # no batch was written yet
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         return None
     return df.filter(F.col("batch_id") < before_batch).drop("batch_id")
 
@@ -90,8 +93,7 @@ def start_ingest(stream: DataFrame, master_path: str, checkpoint: str, text_col:
         master = _existing(spark, master_path, batch_id)
         if master is None:
             master = spark.createDataFrame([], batch.select(*cols).schema)
-        merged = merge_distinct(master, batch.select(*cols), text_col, order_cols)
-        fresh = merged.join(master.select(text_col), text_col, "left_anti")
+        fresh = fresh_rows(batch.select(*cols), master.select(text_col), text_col, order_cols)
         fresh.write.mode("overwrite").parquet(_batch_path(master_path, batch_id))
 
     return (cleaned.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
@@ -102,8 +104,10 @@ def start_ingest(stream: DataFrame, master_path: str, checkpoint: str, text_col:
 def start_monitor(stream: DataFrame, out_path: str, checkpoint: str, time_col: str, text_col: str,
                   score_col: str, keywords: Sequence[str], window: str = "1 day", delay: str = "1 day"):
     """Per tumbling window, rows, relevancy rate and mean confidence,
-    built from mergeable sums. Complete output mode rewrites the (small,
-    one row per window) result table each batch."""
+    built from mergeable sums. Rows later than ``delay`` behind the newest
+    time seen are dropped, and so is the state of windows that far back. Each
+    batch writes the windows it changed into its own folder;
+    :func:`read_latest` gives the last state of each."""
     # watermarks need TIMESTAMP; NTZ input is read as session-time wall clock
     stream = stream.withColumn(time_col, F.col(time_col).cast("timestamp"))
     agg = (stream.withWatermark(time_col, delay)
@@ -117,29 +121,50 @@ def start_monitor(stream: DataFrame, out_path: str, checkpoint: str, time_col: s
             F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "n_articles",
             F.round(F.col("__rel") / F.col("n_articles"), 4).alias("relevancy_rate"),
             F.round(F.col("__conf") / F.col("n_articles"), 4).alias("avg_confidence"))
-        out.write.mode("overwrite").parquet(out_path)
+        out.write.mode("overwrite").parquet(_batch_path(out_path, batch_id))
 
-    return agg.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint)
+    return agg.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
 # --- T3 -------------------------------------------------------------------------
 def start_drift(stream: DataFrame, reference: DataFrame, report_path: str, checkpoint: str, snapshot_col: str,
                 text_col: str, score_col: str, keywords: Sequence[str]):
-    """Drift report per snapshot of each micro-batch against the stored
-    reference; consumers read ``retrain_needed`` from the report table."""
+    """Drift report of every snapshot a micro-batch adds rows to, over all
+    rows of that snapshot so far. The rows are kept beside the reports, so a
+    snapshot whose files come in several batches ends with one whole report:
+    :func:`read_latest` by ``snapshot_col``."""
+    rows_path = f"{report_path}-rows"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rep = D.drift_by_snapshot(batch, reference, snapshot_col, text_col, score_col, keywords)
+        rows = batch.select(snapshot_col, text_col, score_col)
+        rows.write.mode("overwrite").parquet(_batch_path(rows_path, batch_id))
+        touched = rows.select(F.col(snapshot_col).alias("__s")).distinct()
+        so_far = _existing(batch.sparkSession, rows_path, batch_id + 1)
+        whole = so_far.join(touched, F.col(snapshot_col).eqNullSafe(F.col("__s")), "left_semi")
+        rep = D.drift_by_snapshot(whole, reference, snapshot_col, text_col, score_col, keywords)
         rep.write.mode("overwrite").parquet(_batch_path(report_path, batch_id))
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
-def run_available(writer, timeout_s: float = 600.0) -> None:
-    """Process everything currently in the landing folder, then stop."""
+def read_latest(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """The last row written for each ``key`` of a folder of batches."""
+    df = spark.read.parquet(path)
+    own = [c for c in df.columns if c != "batch_id"]
+    return df.groupBy(F.col(key).alias("__key")).agg(F.max_by(F.struct(*own), "batch_id").alias("__r")).select("__r.*")
+
+
+def run_available(writer, timeout_s: float | None = None) -> None:
+    """Process everything currently in the landing folder, then stop.
+
+    Without ``timeout_s`` it runs to the end; past it, ``TimeoutError`` says
+    that the output isn't whole."""
     q = writer.trigger(availableNow=True).start()
     try:
-        q.awaitTermination(timeout_s)
+        if timeout_s is None:
+            q.awaitTermination()
+        elif not q.awaitTermination(timeout_s):
+            raise TimeoutError(f"the stream hadn't read all input after {timeout_s} s")
     finally:
         if q.isActive:
             q.stop()
