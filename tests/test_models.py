@@ -1,30 +1,74 @@
-"""The fitted logistic regression solves the reference objective."""
+"""Objectives, calibration, scores, stored models."""
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from veracity.operators import models as ML
+from veracity.sources import files as S
 
 
-def test_logreg_gradient_is_zero_at_optimum(spark):
-    texts = ["good true fact", "true story told", "fake hoax claim", "hoax fake rumor", "fact true", "rumor claim fake",
-             "true true", "fake fake"]
-    labels = [1, 1, 0, 0, 1, 0, 1, 0]
-    df = spark.createDataFrame([(i, t, y) for i, (t, y) in enumerate(zip(texts, labels))],
-                               "doc_id long, text string, label int")
-    vocab, model = ML.fit_logreg(df, "doc_id", "text", max_iter=500)
-    fv = {r.doc_id: r.features.toArray() for r in ML.feature_vectors(df, vocab, "doc_id", "text", model.numFeatures).collect()}
-    X = np.array([fv[i] for i in range(len(texts))])
-    y = np.array(labels, dtype=float)
-    w = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
-    b, c = model.coefficients.toArray(), model.intercept
-    p = 1 / (1 + np.exp(-(X @ b + c)))
-    grad_b = X.T @ (w * (p - y)) + b  # C = 1, summed loss + ||b||^2 / 2
-    grad_c = np.sum(w * (p - y))
-    assert np.max(np.abs(grad_b)) < 1e-3 and abs(grad_c) < 1e-3
-    s = ML.score_logreg((vocab, model), df, "doc_id", "text").collect()
-    assert all(0.0 <= r.score <= 1.0 for r in s)
+TEXTS = ["good true fact", "true story told", "fake hoax claim", "hoax fake rumor", "fact true", "rumor claim fake",
+         "true true", "fake fake", "true claim", "good story", "hoax story", "rumor told"]
+LABELS = [1, 1, 0, 0, 1, 0, 1, 0, 1, 1, 0, 0]
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    return spark.createDataFrame([(i, t, y) for i, (t, y) in enumerate(zip(TEXTS, LABELS))], "doc_id long, text string, label int")
+
+
+def sample(seed=0, n=300, d=40):
+    r = np.random.default_rng(seed)
+    x = r.random((n, d)) * (r.random((n, d)) < 0.2)
+    y = (x @ r.normal(size=d) + 0.3 * r.normal(size=n) > 0.2).astype(int)
+    row, column = np.nonzero(x)
+    return x, ML.Sparse(row, column, x[row, column], y, d)
+
+
+@pytest.mark.parametrize("loss", ["logistic", "squared_hinge"])
+def test_gradient_of_the_objective_is_zero_at_the_fit(loss):
+    x, s = sample()
+    b, c = ML.fit_linear(s, loss)
+    y = 2 * s.label - 1
+    w = np.where(s.label == 1, len(y) / (2 * s.label.sum()), len(y) / (2 * (1 - s.label).sum()))
+    z = y * (x @ b + c)
+    slope = -1 / (1 + np.exp(z)) if loss == "logistic" else -2 * np.maximum(0, 1 - z)
+    assert np.abs(x.T @ (w * y * slope) + b).max() < 1e-5
+    assert abs((w * y * slope).sum() + (c if loss == "squared_hinge" else 0)) < 1e-5
+
+
+def test_platt_rises_with_the_margin_and_meets_its_targets():
+    r = np.random.default_rng(1)
+    margin = r.normal(size=500)
+    label = (r.random(500) < 1 / (1 + np.exp(-(2 * margin - 0.5)))).astype(int)
+    a, b = ML.fit_platt(margin, label)
+    assert 1.2 < a < 3 and -1.2 < b < 0.2
+    p = 1 / (1 + np.exp(-(a * margin + b)))
+    assert p.sum() == pytest.approx(label.sum(), abs=2)
+
+
+def test_folds_are_stratified():
+    label = np.array([0] * 7 + [1] * 50)
+    fold = ML.stratified_folds(label)
+    assert all(2 <= (fold[label == 0] == k).sum() <= 3 and 16 <= (fold[label == 1] == k).sum() <= 17 for k in range(3))
+
+
+@pytest.mark.parametrize("fit", [ML.fit_logreg, ML.fit_svm])
+def test_scores_of_every_row(spark, labelled, fit, tmpdir_fresh):
+    model = fit(labelled, "doc_id", "text")
+    docs = labelled.select("doc_id", "text").union(spark.createDataFrame([(90, ""), (91, None), (92, "unseen words")], "doc_id long, text string"))
+    got = {r.doc_id: r.score for r in ML.score(model, docs, "doc_id", "text").collect()}
+    assert len(got) == 15 and all(0 < p < 1 for p in got.values()) and got[90] == got[91] == got[92]
+    assert sum((got[i] > 0.5) == (y == 1) for i, y in enumerate(LABELS)) >= 11
+    S.save_model(model, tmpdir_fresh + "/model")
+    again = {r.doc_id: r.score for r in ML.score(S.load_model(spark, tmpdir_fresh + "/model"), docs, "doc_id", "text").collect()}
+    assert again == pytest.approx(got)
+
+
+def test_tournament(labelled):
+    out = ML.model_tournament(labelled, labelled, "doc_id", "text")
+    assert {(r.model, r["count"]) for r in out.groupBy("model").count().collect()} == {(m, 12) for m in ML.MODELS}
 
 
 def test_linear_score_matches_formula(spark):

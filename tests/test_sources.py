@@ -86,3 +86,17 @@ def test_reference_store(spark, tmpdir_fresh):
     assert S.reference_or_build(spark, path, lambda: 1 / 0).count() == 25_004
     with pytest.raises(Exception):
         S.reference_or_build(spark, os.path.join(tmpdir_fresh, "no", "x*["), lambda: scores.select("absent"))
+
+
+def test_serving_record(spark):
+    from veracity.operators import prepare as P
+    rows = spark.createDataFrame([("a", 0.9, "2024-01-02 03:04:05"), ("b", 0.5, "2024-01-02 03:04:05"), (None, 0.9, "2024-01-02 03:04:05")],
+                                 "text string, score double, at string").withColumn("at", F.to_timestamp("at"))
+    assert tuple(P.serving_status(rows, "at").first()) == ("2024-01-02 03:04", "Healthy", 1, 1)
+    assert tuple(P.serving_status(rows.filter("text is null"), "at").first()) == ("2024-01-02 03:04", "Empty file", 0, 0)
+    assert tuple(P.serving_status(rows.limit(0), "at").first()) == ("No data yet", "Waiting for scrape", 0, 0)
+    top = P.serving_defaults(P.latest_rows(rows, "scraped_at", ["text"], 1)).first()
+    assert (top.text, top.scraped_at, top.source) == ("a", "N/A", "NewsAPI")
+    files = spark.createDataFrame([("news_1.csv", 2), ("all_tweets.csv", 1)], "f string, m int")
+    assert P.latest_snapshot(files, "f", "m").first().f == "news_1.csv"
+    assert P.latest_snapshot(files, "f", "m", prefer="all_tweets.csv").first().f == "all_tweets.csv"

@@ -1,29 +1,31 @@
 """Linear models on TF-IDF features.
 
-Training uses Spark ML's distributed L-BFGS / OWL-QN solvers: each iteration
-is one ``treeAggregate`` and only the coefficient vector travels to the
-driver. Features are sparse vectors assembled per document from the long
-``(doc, index, weight)`` TF-IDF table.
+A model is fitted on a bounded sample of labelled rows, the ``max_rows`` with
+the smallest hash of the id (``FIT_ROWS`` by default), by a truncated Newton
+method that needs a few dozen passes over that sample. Vocabulary and idf come
+from all training rows, and scoring covers every row: a model is a table of
+coefficients by term, at most ``TFIDF_MAX_FEATURES`` rows, that is broadcast
+to the term weights.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.ml.classification import LinearSVC, LogisticRegression
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import SparseVector, VectorUDT
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veracity.functions.common import hash32, sigmoid
-from veracity.operators.features import TFIDF_MAX_FEATURES, tfidf_fit, tfidf_transform, with_class_weight
+from veracity.operators.features import term_counts, tfidf_fit, tfidf_transform
+from veracity.session import materialize
 
 # --- fixed values that must equal the reference's -----------------------------
 C_REG = 1.0
-LOGREG_MAX_ITER = 1000
-SVM_MAX_ITER = 2000
 CALIBRATION_FOLDS = 3
+# ------------------------------------------------------------------------------
+FIT_ROWS = 10_000
 
 
 def linear_score(docs: DataFrame, weights: DataFrame, coef: DataFrame, id_col: str,
@@ -39,126 +41,194 @@ def linear_score(docs: DataFrame, weights: DataFrame, coef: DataFrame, id_col: s
     return j.select(id_col, sigmoid(F.coalesce(F.col("margin"), F.lit(0.0)) + F.lit(intercept)).alias("score"))
 
 
-@F.udf(VectorUDT())
-def _sparse(size, idx, val):
-    """Assemble one document's sparse vector (per document, not per token)."""
-    return SparseVector(size, idx or [], val or [])
-
-
-def feature_vectors(docs: DataFrame, vocab: DataFrame, id_col: str, text_col: str,
-                    n_features: int | None = None) -> DataFrame:
-    """``(id, features)`` sparse TF-IDF vectors; empty documents get an
-    all-zero vector."""
-    n_features = n_features or TFIDF_MAX_FEATURES
-    w = tfidf_transform(docs, vocab, id_col, text_col)
-    g = w.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("index", "weight"))).alias("__e"))
-    j = docs.select(id_col).join(g, id_col, "left")
-    idx = F.transform(F.coalesce(F.col("__e"), F.array().cast("array<struct<index:int,weight:double>>")), lambda s: s["index"])
-    val = F.transform(F.coalesce(F.col("__e"), F.array().cast("array<struct<index:int,weight:double>>")), lambda s: s["weight"])
-    return j.select(id_col, _sparse(F.lit(n_features), idx, val).alias("features"))
-
-
-def _training_frame(train: DataFrame, vocab: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
-    n = vocab.count()
-    fv = feature_vectors(train, vocab, id_col, text_col, max(n, 1))
-    lab = with_class_weight(train.select(id_col, label_col), label_col, "weight")
-    return fv.join(lab, id_col).withColumn(label_col, F.col(label_col).cast("double"))
-
-
-def fit_logreg(train: DataFrame, id_col: str, text_col: str, label_col: str = "label",
-               c: float = C_REG, max_iter: int = LOGREG_MAX_ITER):
-    """M7: L2 logistic regression with balanced class weights.
-
-    sklearn minimises ``C * sum(w_i * loss_i) + ||b||^2 / 2``; Spark minimises
-    ``sum(w_i * loss_i) / sum(w) + regParam * ||b||^2 / 2``, so
-    ``regParam = 1 / (C * sum(w))``; balanced weights make ``sum(w) = n``."""
-    vocab = tfidf_fit(train, id_col, text_col)
-    data = _training_frame(train, vocab, id_col, text_col, label_col)
-    n = data.count()
-    lr = LogisticRegression(featuresCol="features", labelCol=label_col, weightCol="weight",
-                            regParam=1.0 / (c * max(n, 1)), elasticNetParam=0.0, maxIter=max_iter,
-                            standardization=False, fitIntercept=True, tol=1e-6)
-    return vocab, lr.fit(data)
-
-
-def fit_svm(train: DataFrame, id_col: str, text_col: str, label_col: str = "label",
-            c: float = C_REG, max_iter: int = SVM_MAX_ITER):
-    """M8: linear SVM with balanced weights. Spark's LinearSVC uses the plain
-    hinge loss (sklearn: squared hinge), so margins differ slightly."""
-    vocab = tfidf_fit(train, id_col, text_col)
-    data = _training_frame(train, vocab, id_col, text_col, label_col)
-    n = data.count()
-    svc = LinearSVC(featuresCol="features", labelCol=label_col, weightCol="weight",
-                    regParam=1.0 / (c * max(n, 1)), maxIter=max_iter, standardization=False, fitIntercept=True)
-    return vocab, svc.fit(data)
-
-
-def score_logreg(model_pair, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """P(real) from a fitted logistic regression."""
-    vocab, model = model_pair
-    fv = feature_vectors(docs, vocab, id_col, text_col, model.numFeatures)
-    out = model.transform(fv)
-    return out.select(id_col, vector_to_array("probability")[1].alias("score"))
-
-
-def svm_margins(model_pair, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    vocab, model = model_pair
-    fv = feature_vectors(docs, vocab, id_col, text_col, model.numFeatures)
-    return model.transform(fv).select(id_col, vector_to_array("rawPrediction")[1].alias("margin"))
-
-
-def fit_platt(margins: DataFrame, label_col: str = "label") -> tuple[float, float]:
-    """M9: Platt scaling - a one-feature weighted logistic regression on the
-    margins with smoothed targets (each row appears as both classes with
-    weights t and 1 - t)."""
-    cnt = {r[0]: r[1] for r in margins.groupBy(label_col).count().collect()}
-    n_pos, n_neg = cnt.get(1, 0), cnt.get(0, 0)
-    t_pos, t_neg = (n_pos + 1.0) / (n_pos + 2.0), 1.0 / (n_neg + 2.0)
-    t = F.when(F.col(label_col) == 1, F.lit(t_pos)).otherwise(F.lit(t_neg))
-    m = margins.select(F.array(F.col("margin")).alias("__m"), t.alias("__t"))
-    from pyspark.ml.functions import array_to_vector
-    both = m.select(array_to_vector("__m").alias("features"), F.lit(1.0).alias("y"), F.col("__t").alias("w")).unionByName(
-        m.select(array_to_vector("__m").alias("features"), F.lit(0.0).alias("y"), (1 - F.col("__t")).alias("w")))
-    lr = LogisticRegression(featuresCol="features", labelCol="y", weightCol="w", regParam=0.0, maxIter=100,
-                            standardization=False)
-    fit = lr.fit(both)
-    return float(fit.coefficients[0]), float(fit.intercept)
-
-
-def calibrated_svm_scores(train: DataFrame, test: DataFrame, id_col: str, text_col: str,
-                          label_col: str = "label", folds: int = CALIBRATION_FOLDS) -> DataFrame:
-    """M9: k-fold sigmoid calibration - fit an SVM on k-1 folds, Platt-scale
-    it on the held-out fold, average the k calibrated probabilities."""
-    fold = (hash32(id_col, "fold") % folds).alias("__fold")
-    tr = train.withColumn("__fold", fold)
-    parts = []
-    for k in range(folds):  # a few driver iterations, each a distributed fit
-        fit_part = tr.filter(F.col("__fold") != k).drop("__fold")
-        cal_part = tr.filter(F.col("__fold") == k).drop("__fold")
-        pair = fit_svm(fit_part, id_col, text_col, label_col)
-        cal = svm_margins(pair, cal_part, id_col, text_col).join(cal_part.select(id_col, label_col), id_col)
-        a, b = fit_platt(cal, label_col)
-        m = svm_margins(pair, test, id_col, text_col)
-        parts.append(m.select(id_col, sigmoid(F.col("margin") * a + b).alias(f"p{k}")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.join(p, id_col)
-    return out.select(id_col, (sum(F.col(f"p{k}") for k in range(folds)) / folds).alias("score"))
-
-
-def model_tournament(train: DataFrame, test: DataFrame, id_col: str, text_col: str,
-                     label_col: str = "label", models: Sequence[str] = ("TF-IDF + LogReg", "TF-IDF + SVM")) -> DataFrame:
-    """Fit every candidate on one split; return the long
+class Sparse(NamedTuple):
+    """Rows of a sparse matrix as coordinates, with labels 0/1."""
+
+    row: np.ndarray
+    column: np.ndarray
+    value: np.ndarray
+    label: np.ndarray
+    width: int
+
+    def times(self, v: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, self.value * v[self.column], len(self.label))
+
+    def back(self, r: np.ndarray) -> np.ndarray:
+        return np.bincount(self.column, self.value * r[self.row], self.width)
+
+    def only(self, rows: np.ndarray) -> "Sparse":
+        place = np.cumsum(rows) - 1
+        keep = rows[self.row]
+        return Sparse(place[self.row[keep]], self.column[keep], self.value[keep], self.label[rows], self.width)
+
+
+def _balanced(label: np.ndarray) -> np.ndarray:
+    """M4 for the sample: ``n / (classes * n_class)`` for each row."""
+    n = np.bincount(label, minlength=2)
+    return (len(label) / (max((n > 0).sum(), 1) * np.maximum(n, 1)))[label]
+
+
+def _logistic(z):
+    p = 1 / (1 + np.exp(np.clip(z, -500, 500)))  # share of the wrong class
+    return np.logaddexp(0, -z), -p, p * (1 - p)
+
+
+def _squared_hinge(z):
+    gap = np.maximum(0, 1 - z)
+    return gap ** 2, -2 * gap, 2.0 * (gap > 0)
+
+
+LOSSES = {"logistic": (_logistic, 0.0), "squared_hinge": (_squared_hinge, 1.0)}
+
+
+def fit_linear(x: Sparse, loss: str, c: float = C_REG, tol: float = 1e-8, steps: int = 100) -> tuple[np.ndarray, float]:
+    """Minimise ``c * sum(w_i * loss(y_i * margin_i)) + |b|^2 / 2`` with balanced weights.
+
+    The squared hinge regularises the intercept too, as that objective's usual
+    solver does. Returns coefficients and intercept."""
+    f, on_intercept = LOSSES[loss]
+    y, w = 2.0 * x.label - 1, c * _balanced(x.label)
+    ridge = np.append(np.ones(x.width), on_intercept)
+    margin = lambda t: x.times(t[:-1]) + t[-1]
+    back = lambda r: np.append(x.back(r), r.sum())
+    value = lambda t: float(w @ f(y * margin(t))[0] + (ridge * t * t).sum() / 2)
+    theta = np.zeros(x.width + 1)
+    now = value(theta)
+    for _ in range(steps):
+        _, slope, curve = f(y * margin(theta))
+        gradient = back(w * y * slope) + ridge * theta
+        if np.abs(gradient).max() < tol:
+            break
+        curve = w * np.maximum(curve, 1e-12)
+        move, left = np.zeros_like(theta), -gradient
+        along, size = left.copy(), float(left @ left)
+        goal = size * min(0.25, size ** 0.5) ** 2
+        for _ in range(200):  # conjugate gradients
+            bent = back(curve * margin(along)) + (ridge + 1e-12) * along
+            step = size / float(along @ bent)
+            move += step * along
+            left -= step * bent
+            size, before = float(left @ left), size
+            if size < goal:
+                break
+            along = left + size / before * along
+        rate, fall = 1.0, float(gradient @ move)
+        while (then := value(theta + rate * move)) > now + 1e-4 * rate * fall and rate > 1e-10:
+            rate /= 2
+        if then >= now:
+            break
+        theta, now = theta + rate * move, then
+    return theta[:-1], float(theta[-1])
+
+
+def fit_platt(margin: np.ndarray, label: np.ndarray, steps: int = 100) -> tuple[float, float]:
+    """M9: ``a, b`` of ``sigmoid(a * margin + b)`` for smoothed targets (Newton steps)."""
+    n = np.bincount(label, minlength=2)
+    target = np.where(label == 1, (n[1] + 1) / (n[1] + 2), 1 / (n[0] + 2))
+    a, b = 0.0, float(np.log((n[1] + 1) / (n[0] + 1)))
+    loss = lambda a, b: float((np.logaddexp(0, a * margin + b) - target * (a * margin + b)).sum())
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(a * margin + b, -500, 500)))
+        r, h = p - target, np.maximum(p * (1 - p), 1e-12)
+        gradient = np.array([r @ margin, r.sum()])
+        if np.abs(gradient).max() < 1e-9:
+            break
+        move = np.linalg.solve(np.array([[h @ margin ** 2, h @ margin], [h @ margin, h.sum()]]) + 1e-12 * np.eye(2), gradient)
+        rate = 1.0
+        while loss(a - rate * move[0], b - rate * move[1]) > loss(a, b) and rate > 1e-10:
+            rate /= 2
+        a, b = a - rate * move[0], b - rate * move[1]
+    return float(a), float(b)
+
+
+class LinearModel(NamedTuple):
+    """``vocab`` (term, index, df, idf), ``coef`` (term, coef array) and, for
+    each part of the average, ``(intercept, a, b)``: P = sigmoid(a * margin + b)."""
+
+    vocab: DataFrame
+    coef: DataFrame
+    parts: list[tuple[float, float, float]]
+
+
+def fit_sample(train: DataFrame, id_col: str, text_col: str, label_col: str = "label",
+               max_rows: int = FIT_ROWS) -> tuple[DataFrame, Sparse]:
+    """Vocabulary of all training rows, and the TF-IDF rows to fit on.
+
+    Rows without a label are no training rows. The n-gram counts are made
+    once, for the vocabulary and for the rows."""
+    train = train.filter(F.col(label_col).isNotNull())
+    counts = materialize(term_counts(train, id_col, text_col))
+    vocab = materialize(tfidf_fit(train, id_col, text_col, counts=counts))
+    chosen = train.select(id_col, F.col(label_col).cast("int").alias("label")).orderBy(hash32(id_col, "fit"), id_col).limit(max_rows).toPandas()
+    ids = train.sparkSession.createDataFrame(chosen[[id_col]], train.select(id_col).schema) if len(chosen) else train.select(id_col).limit(0)
+    weights = tfidf_transform(train, vocab, id_col, text_col, counts=counts.join(F.broadcast(ids), id_col, "left_semi"))
+    cells = weights.select(id_col, "index", "weight").orderBy(id_col, "index").toPandas()
+    place = {i: n for n, i in enumerate(chosen[id_col])}
+    return vocab, Sparse(cells[id_col].map(place).to_numpy(np.int64), cells["index"].to_numpy(np.int64), cells["weight"].to_numpy(np.float64),
+                         chosen["label"].to_numpy(np.int64), max(vocab.count(), 1))
+
+
+def _model(vocab: DataFrame, coefficients: list[np.ndarray], parts) -> LinearModel:
+    spark = vocab.sparkSession
+    rows = [(n, [float(c[n]) for c in coefficients]) for n in range(len(coefficients[0]))]
+    coef = vocab.join(F.broadcast(spark.createDataFrame(rows, "index int, coef array<double>")), "index").select("term", "coef")
+    return LinearModel(vocab, materialize(coef), parts)
+
+
+def fit_logreg(train: DataFrame, id_col: str, text_col: str, label_col: str = "label", c: float = C_REG,
+               max_rows: int = FIT_ROWS, sample: tuple | None = None) -> LinearModel:
+    """M7: L2 logistic regression with balanced class weights."""
+    vocab, x = sample or fit_sample(train, id_col, text_col, label_col, max_rows)
+    b, intercept = fit_linear(x, "logistic", c)
+    return _model(vocab, [b], [(intercept, 1.0, 0.0)])
+
+
+def stratified_folds(label: np.ndarray, folds: int = CALIBRATION_FOLDS) -> np.ndarray:
+    """Fold of each row: the rows of a class, in their order, take turns."""
+    out = np.empty(len(label), np.int64)
+    for value in np.unique(label):
+        own = np.flatnonzero(label == value)
+        out[own] = np.arange(len(own)) % folds
+    return out
+
+
+def fit_svm(train: DataFrame, id_col: str, text_col: str, label_col: str = "label", c: float = C_REG, max_rows: int = FIT_ROWS,
+            folds: int = CALIBRATION_FOLDS, sample: tuple | None = None) -> LinearModel:
+    """M8, M9: squared-hinge SVMs with balanced weights on all folds but one,
+    Platt scaling on that one, and the average of the calibrated scores."""
+    vocab, x = sample or fit_sample(train, id_col, text_col, label_col, max_rows)
+    fold = stratified_folds(x.label, folds)
+    coefficients, parts = [], []
+    for k in range(folds):
+        b, intercept = fit_linear(x.only(fold != k), "squared_hinge", c)
+        held = x.only(fold == k)
+        coefficients.append(b)
+        parts.append((intercept, *fit_platt(held.times(b) + intercept, held.label)))
+    return _model(vocab, coefficients, parts)
+
+
+def score(model: LinearModel, docs: DataFrame, id_col: str, text_col: str, counts: DataFrame | None = None) -> DataFrame:
+    """``(id, score)`` of every row of ``docs``."""
+    weights = tfidf_transform(docs, model.vocab, id_col, text_col, counts=counts)
+    margins = weights.join(F.broadcast(model.coef), "term").groupBy(id_col).agg(
+        *[F.sum(F.col("weight") * F.col("coef")[k]).alias(f"__m{k}") for k in range(len(model.parts))])
+    scores = [sigmoid(F.lit(a) * (F.coalesce(f"__m{k}", F.lit(0.0)) + F.lit(c)) + F.lit(b)) for k, (c, a, b) in enumerate(model.parts)]
+    return docs.select(id_col).join(margins, id_col, "left").select(id_col, (sum(scores) / F.lit(float(len(scores)))).alias("score"))
+
+
+MODELS = {"TF-IDF + LogReg": fit_logreg, "TF-IDF + SVM": fit_svm}
+
+
+def model_tournament(train: DataFrame, test: DataFrame, id_col: str, text_col: str, label_col: str = "label",
+                     models: Sequence[str] = tuple(MODELS), max_rows: int = FIT_ROWS) -> DataFrame:
+    """Fit every candidate on one sample; return the long
     ``(model, id, label, score)`` table for :func:`evaluate.model_comparison`."""
+    sample = fit_sample(train, id_col, text_col, label_col, max_rows)
+    counts = materialize(term_counts(test, id_col, text_col))
     labels = test.select(id_col, label_col)
     out = None
     for name in models:
-        if name == "TF-IDF + LogReg":
-            s = score_logreg(fit_logreg(train, id_col, text_col, label_col), test, id_col, text_col)
-        elif name == "TF-IDF + SVM":
-            s = calibrated_svm_scores(train, test, id_col, text_col, label_col)
-        else:
-            raise ValueError(name)
+        s = score(MODELS[name](train, id_col, text_col, label_col, sample=sample), test, id_col, text_col, counts)
         s = s.join(labels, id_col).select(F.lit(name).alias("model"), id_col, label_col, "score")
         out = s if out is None else out.unionByName(s)
     return out

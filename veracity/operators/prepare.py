@@ -177,13 +177,36 @@ def snapshot_counts(df: DataFrame, file_col: str) -> DataFrame:
     return df.groupBy(file_col).agg(F.count(F.lit(1)).alias("n_articles"))
 
 
+def serving_status(df: DataFrame, mtime_col: str, score: str = "score", threshold: float = SERVE_THRESHOLD,
+                   text_col: str = "text") -> DataFrame:
+    """One row on what is being served: ``last_sync`` (minutes, ``No data yet``
+    without any row), ``status`` and the counts of real and fake texts. ``df``
+    holds the rows of the served file, those without text included."""
+    has_text = F.col(text_col).isNotNull()
+    real = F.count_if(has_text & (F.col(score) > threshold))
+    agg = df.agg(F.count("*").alias("__n"), F.count_if(has_text).alias("__texts"), F.max(mtime_col).alias("__at"), real.alias("n_real"),
+                 (F.count_if(has_text) - real).alias("n_fake"))
+    status = F.when(F.col("__n") == 0, "Waiting for scrape").when(F.col("__texts") == 0, "Empty file").otherwise("Healthy")
+    return agg.select(F.coalesce(F.date_format("__at", "yyyy-MM-dd HH:mm"), F.lit("No data yet")).alias("last_sync"), status.alias("status"), "n_real", "n_fake")
+
+
 # --- O1 ---------------------------------------------------------------------------------
 def latest_rows(df: DataFrame, time_col: str, tie_cols: Sequence[str], n: int = 10, text_col: str = "text") -> DataFrame:
-    """O1: drop null text, newest ``n`` rows (a ``TakeOrderedAndProject``)."""
+    """O1: drop null text, newest ``n`` rows (a ``TakeOrderedAndProject``).
+    Without the time column rows go by ``tie_cols`` alone."""
+    if time_col not in df.columns:
+        return df.filter(F.col(text_col).isNotNull()).orderBy(*[F.col(c) for c in tie_cols]).limit(n)
     order = [F.col(time_col).desc_nulls_last()] + [F.col(c).desc() for c in tie_cols]
     return df.filter(F.col(text_col).isNotNull()).orderBy(*order).limit(n)
 
 
+def serving_defaults(df: DataFrame) -> DataFrame:
+    """The columns that served rows must have, with the defaults of a file
+    that lacks them: ``scraped_at`` ``N/A``, ``source`` ``NewsAPI``."""
+    missing = {c: F.lit(v) for c, v in (("scraped_at", "N/A"), ("source", "NewsAPI")) if c not in df.columns}
+    return df.withColumns(missing) if missing else df
+
+
 def top_k_per_group(df: DataFrame, group_cols: Sequence[str], order, k: int, rank_col: str = "rank") -> DataFrame:
     """O4 building block: ``row_number() <= k`` (planned as WindowGroupLimit)."""
     w = Window.partitionBy(*group_cols).orderBy(*order)

@@ -17,6 +17,7 @@ from veracity.operators import drift as D
 from veracity.operators import evaluate as E
 from veracity.operators import features as M
 from veracity.operators import insight as I
+from veracity.operators import models as ML
 from veracity.operators import prepare as P
 from veracity.plans import fixtures as X
 from veracity.plans.fixtures import SQL, sql_hash, sql_hash32
@@ -250,7 +251,7 @@ def q_author_join(spark, d):
     # seven times the id, so that some authors have no customer
     ev = X.table(spark, d, "events").select("event_id", (F.col("user_id") * 7).alias("user_id"), C.row_time("ts").alias("scraped_at"))
     users = X.table(spark, d, "customer")
-    return P.author_join(ev, users, "user_id", "c_custkey", "c_name").select("event_id", "scraped_at", "source")
+    return P.author_join(ev, users, "user_id", "c_custkey", "c_name", order_col="c_acctbal").select("event_id", "scraped_at", "source")
 
 
 @register("merge_distinct", """
@@ -275,6 +276,30 @@ def q_latest_snapshot(spark, d):
     return P.latest_snapshot(s, "file", "ts").select("event_id", "file")
 
 
+@register("serving_status", f"""
+WITH s AS ({SQL['snapshots']}), latest AS (SELECT file FROM s ORDER BY ts DESC, file DESC LIMIT 1),
+     served AS (SELECT *, {sql_hash('event_id', 'serve')} AS score FROM s WHERE file IN (SELECT file FROM latest))
+SELECT strftime(max(ts), '%Y-%m-%d %H:%M') AS last_sync, 'Healthy' AS status, count(*) FILTER (WHERE score > 0.5) AS n_real,
+       count(*) FILTER (WHERE NOT score > 0.5) AS n_fake FROM served""")
+def q_serving_status(spark, d):
+    served = P.latest_snapshot(X.snapshots(spark, d), "file", "ts").withColumn("score", C.unit_hash("event_id", "serve"))
+    return P.serving_status(served, "ts", text_col="event_type")
+
+
+@register("snapshot_scan", """
+SELECT event_type AS text, strftime(ts, '%Y-%m-%d %H:%M:%S') AS scraped_at, 'u"' || user_id || '", ' || event_id AS source FROM events""")
+def q_snapshot_scan(spark, d):
+    """Every event through the CSV sink and the snapshot-folder source, quotes and commas included."""
+    from veracity.sources import files
+    from veracity.streaming.monitor import work_dir
+    path = work_dir(spark, "snapshots")
+    rows = X.table(spark, d, "events").select(
+        F.col("event_type").alias("text"), C.row_time("ts").alias("scraped_at"),
+        F.concat(F.lit('u"'), F.col("user_id").cast("string"), F.lit('", '), F.col("event_id").cast("string")).alias("source"))
+    files.write_table(rows, path, fmt="csv")
+    return files.read_snapshots(spark, path).select("text", "scraped_at", "source")
+
+
 @register("snapshot_counts", f"SELECT file, count(*) AS n_articles FROM ({SQL['snapshots']}) GROUP BY file")
 def q_snapshot_counts(spark, d):
     return P.snapshot_counts(X.snapshots(spark, d), "file")
@@ -803,14 +828,37 @@ WITH w AS ({_TFIDF_SQL}),
 SELECT d.doc_id, round(1.0 / (1.0 + exp(-coalesce(m.margin, 0.0))), 6) AS score
 FROM documents d LEFT JOIN m ON d.doc_id = m.doc_id""")
 def q_linear_score(spark, d):
-    from veracity.operators.models import linear_score
     docs = X.documents(spark, d)
     vocab, weights = M.tfidf_fit_transform(docs, "doc_id", "text")
     coef = vocab.select("term", ((C.unit_hash("term", "coef") - 0.5) * 4.0).alias("coef"))
-    s = linear_score(docs, weights, coef, "doc_id", intercept=0.0)
+    s = ML.linear_score(docs, weights, coef, "doc_id", intercept=0.0)
     return s.select("doc_id", F.round("score", 6).alias("score"))
 
 
+# Fitted on labelled rows, scores of all documents (no SQL form: iterative solvers)
+def _train_test(spark, d):
+    rows = materialize(M.stratified_split(X.labelled(spark, d).select("doc_id", "label"), "doc_id"))
+    texts = X.documents(spark, d).select("doc_id", "text").join(rows, "doc_id")
+    return texts.filter("split = 'train'").drop("split"), texts.filter("split = 'test'").drop("split")
+
+
+@register("logreg_scores")
+def q_logreg_scores(spark, d):
+    model = ML.fit_logreg(_train_test(spark, d)[0], "doc_id", "text")
+    return ML.score(model, X.documents(spark, d).select("doc_id", "text"), "doc_id", "text").select("doc_id", F.round("score", 6).alias("score"))
+
+
+@register("svm_scores")
+def q_svm_scores(spark, d):
+    model = ML.fit_svm(_train_test(spark, d)[0], "doc_id", "text")
+    return ML.score(model, X.documents(spark, d).select("doc_id", "text"), "doc_id", "text").select("doc_id", F.round("score", 6).alias("score"))
+
+
+@register("model_tournament")
+def q_model_tournament(spark, d):
+    return E.model_comparison(ML.model_tournament(*_train_test(spark, d), "doc_id", "text"))
+
+
 # ======================================================================================
 # Streams over a landing folder (run with availableNow, then read back)
 # ======================================================================================

@@ -6,7 +6,7 @@
 * S5 ``write_table``        - Parquet/CSV table sink.
 * S6 ``write_report``       - JSON report sink for tiny aggregates.
 * S7 ``save/load_reference``- reference score distribution as ``(score, n)`` counts.
-* S8 ``save/load_model``    - Spark ML model artefacts.
+* S8 ``save/load_model``    - fitted linear models.
 """
 
 from __future__ import annotations
@@ -152,12 +152,16 @@ def reference_or_build(spark: SparkSession, path: str, build) -> DataFrame:
 
 
 # --- S8 ----------------------------------------------------------------------------
-def save_model(model_pair, path: str) -> None:
-    """A fitted ``(vocabulary, Spark ML model)`` pair."""
-    vocab, model = model_pair
-    vocab.write.mode("overwrite").parquet(f"{path}/vocabulary")
-    model.write().overwrite().save(f"{path}/model")
+def save_model(model, path: str, mode: str = "errorifexists") -> None:
+    """A :class:`veracity.operators.models.LinearModel` as three small tables."""
+    model.vocab.write.mode(mode).parquet(f"{path}/vocabulary")
+    model.coef.write.mode(mode).parquet(f"{path}/coefficients")
+    parts = [(n, *p) for n, p in enumerate(model.parts)]
+    model.vocab.sparkSession.createDataFrame(parts, "part int, intercept double, a double, b double").write.mode(mode).parquet(f"{path}/parts")
 
 
-def load_model(spark: SparkSession, path: str, model_cls):
-    return spark.read.parquet(f"{path}/vocabulary"), model_cls.load(f"{path}/model")
+def load_model(spark: SparkSession, path: str):
+    from veracity.operators.models import LinearModel
+
+    parts = [tuple(r)[1:] for r in spark.read.parquet(f"{path}/parts").orderBy("part").collect()]  # one row per fold
+    return LinearModel(spark.read.parquet(f"{path}/vocabulary"), spark.read.parquet(f"{path}/coefficients"), parts)
