@@ -58,13 +58,6 @@ def build_vocabulary(docs: DataFrame, id_col: str, text_col: str, max_words: int
     return top.select("word", (F.row_number().over(w) + 1).cast("int").alias("id"), "n")
 
 
-def _collect_by_position(exploded: DataFrame, id_col: str, value_col: str) -> DataFrame:
-    pairs = F.array_sort(F.collect_list(F.struct(F.col("pos"), F.col(value_col).alias("v"))))
-    return exploded.groupBy(id_col).agg(pairs.alias("__pairs")).select(
-        id_col, F.transform(F.col("__pairs"), lambda s: s["v"]).alias("ids")
-    )
-
-
 def _pad(ids, max_len: int):
     n = F.size(ids)
     return F.concat(ids, F.array_repeat(F.lit(PAD_ID), F.greatest(F.lit(max_len) - n, F.lit(0))))
@@ -76,7 +69,8 @@ def encode_sequences(docs: DataFrame, vocab: DataFrame, id_col: str, text_col: s
 
     Only the first ``max_len`` tokens can survive truncation, so they are the
     only ones looked up; the vocabulary join is a broadcast (<= 20k rows)."""
-    toks = docs.select(id_col, F.slice(whitespace_tokens(text_col), 1, max_len).alias("toks"))
+    # by id first: a text is smaller than its tokens, which then needn't move
+    toks = docs.select(id_col, text_col).repartition(id_col).select(id_col, F.slice(whitespace_tokens(text_col), 1, max_len).alias("toks"))
     ex = toks.select(id_col, F.posexplode_outer("toks").alias("pos", "word"))
     j = ex.join(F.broadcast(vocab.select("word", "id")), on="word", how="left")
     j = j.withColumn("tok_id", F.when(F.col("pos").isNotNull(), F.coalesce(F.col("id"), F.lit(UNK_ID))))
@@ -91,7 +85,8 @@ def encode_drop_oov(docs: DataFrame, vocab: DataFrame, id_col: str, text_col: st
                     max_len: int = MONITOR_MAX_LEN) -> DataFrame:
     """like :func:`encode_sequences` but unknown words are dropped
     before post-truncation, so every token of the whole text is looked up."""
-    ex = docs.select(id_col, F.posexplode_outer(whitespace_tokens(text_col)).alias("pos", "word"))
+    parted = docs.select(id_col, text_col).repartition(id_col)
+    ex = parted.select(id_col, F.posexplode_outer(whitespace_tokens(text_col)).alias("pos", "word"))
     j = ex.join(F.broadcast(vocab.select("word", "id")), on="word", how="left")
     seq = j.groupBy(id_col).agg(
         F.array_sort(F.collect_list(F.when(F.col("id").isNotNull(), F.struct("pos", "id")))).alias("__p")
