@@ -159,6 +159,25 @@ def test_limit_law_values():
         kstest.two_sample_pvalue(0.1, 5, 5, "auto")
 
 
+def test_rows_without_score_or_snapshot(spark):
+    # shares are over all rows: the null row takes a tenth from each of them
+    nd = spark.createDataFrame([(None, None, v) for v in TEN[:9] + [None]], "s string, text string, score double")
+    table = D.score_table(frame(spark, TEN), nd)
+    assert D.ks_of(table).first() == (0.1, 10, 9)
+    assert D.psi(frame(spark, TEN), nd).first().psi == round(0.0999 * math.log(1000), 4)
+    r = D.drift_report(nd, frame(spark, TEN), keywords=["iran"]).first()
+    by = D.drift_by_snapshot(nd, frame(spark, TEN), "s", keywords=["iran"]).collect()
+    assert len(by) == 1 and by[0].s is None and by[0].n_articles == 10
+    assert (by[0].ks_statistic, by[0].psi) == (r.ks_statistic, r.psi) == (0.1, round(0.0999 * math.log(1000), 4))
+
+
+def test_empty_sides(spark):
+    none = frame(spark, [])
+    assert D.psi(none, frame(spark, TEN)).first() == (None, None)
+    assert D.psi(frame(spark, TEN), none).first() == (None, None)
+    assert D.ks_statistic(none, frame(spark, TEN)).first() == (None, 0, 10)
+
+
 def test_drift_report_gate(spark):
     texts = ["Iran vote today" if i % 2 else "weather" for i in range(10)]
     nd = spark.createDataFrame(list(zip(texts, UPPER)), "text string, score double")

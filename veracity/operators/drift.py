@@ -1,7 +1,9 @@
 """Drift monitoring operators.
 
-Everything is an aggregate over score tables. Only bounded values reach the
-driver: a row count, at most eleven quantile edges, ``(D, n1, n2)`` for the KS
+Everything is an aggregate over score tables: a side is reduced once to its
+rows by score, with running counts (:func:`score_table`), and quantiles, bins
+and KS all come from that. Only bounded values reach the driver: a row count,
+at most eleven quantile edges and bin counts, ``(D, n1, n2)`` for the KS
 p-value, and per-range offsets inside :mod:`veracity.operators.prefix`.
 """
 
@@ -9,6 +11,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +20,7 @@ from veracity.functions.common import as_col
 from veracity.functions.text import relevant
 from veracity.operators import kstest
 from veracity.operators.prefix import prefix_sums
+from veracity.session import materialize
 
 # --- fixed values that must equal the reference's -----------------------------
 RELEVANCY_MIN = 0.30
@@ -72,12 +76,10 @@ def percentile_positions(n: int, probs: Sequence[float]) -> list[tuple[int, int,
     return out
 
 
-def lerp(a: Column, b: Column, t: float) -> Column:
-    """NumPy's ``_lerp``: ``a + (b-a)*t``, computed from ``b`` when t >= 0.5."""
+def lerp(a, b, t: float):
+    """NumPy's ``_lerp``: ``a + (b-a)*t``, computed from ``b`` when t >= 0.5; of columns or numbers."""
     d = b - a
-    if t >= 0.5:
-        return b - d * F.lit(1.0 - t)
-    return a + d * F.lit(t)
+    return b - d * (1.0 - t) if t >= 0.5 else a + d * t
 
 
 def decile_probs(n_bins: int = PSI_BINS) -> list[float]:
@@ -149,15 +151,49 @@ def histogram(df: DataFrame, col: str, edges: Sequence[float], group_cols: Seque
     return agg.select(*group_cols, F.inline(rows))
 
 
+# --- one table of both sides --------------------------------------------------------
+def score_table(ref: DataFrame, new: DataFrame | None = None, score: str = "score") -> DataFrame:
+    """``x, r_all, w_all, r, w, cum_r, cum_w``: rows of the reference and of the
+    new side at each score, and running counts. A row without a score counts
+    in ``r_all`` and ``w_all`` only. Either side is read once."""
+    sides = ref.select(F.col(score).alias("x"), F.lit(1).alias("r"), F.lit(0).alias("w"))
+    if new is not None:
+        sides = sides.unionByName(new.select(F.col(score).alias("x"), F.lit(0).alias("r"), F.lit(1).alias("w")))
+    counts = sides.groupBy("x").agg(F.sum("r").alias("r_all"), F.sum("w").alias("w_all"))
+    scored = {c: F.when(F.col("x").isNotNull(), F.col(f"{c}_all")).otherwise(F.lit(0).cast("bigint")) for c in ("r", "w")}
+    return prefix_sums(counts.withColumns(scored), ["x"], ["r", "w"])
+
+
+class Reference(NamedTuple):
+    """What PSI takes from a reference: edges, rows in each bin, and all rows, those without a score too."""
+
+    edges: list[float]
+    counts: list[int]
+    n: int
+
+
+def reference_bins(table: DataFrame, n_bins: int = PSI_BINS) -> Reference:
+    """Reference deciles with the ends forced to 0 and 1 and duplicates
+    removed, and the reference's rows between them, from a :func:`score_table`."""
+    total = table.agg(F.sum("r").alias("n"), F.sum("r_all").alias("n_all")).first()
+    if not total["n"]:
+        return Reference([], [], total["n_all"] or 0)
+    places = percentile_positions(total["n"], decile_probs(n_bins))
+    ranks = sorted({r for lo, hi, _ in places for r in (lo, hi)})
+    covers = [(F.col("cum_r") - F.col("r") <= r) & (F.col("cum_r") > r) for r in ranks]
+    at = dict(zip(ranks, table.agg(*[F.max(F.when(c, F.col("x"))) for c in covers]).first(), strict=True))
+    inner = [lerp(at[lo], at[hi], gamma) for lo, hi, gamma in places[1:-1]]
+    edges = sorted({0.0, *inner, 1.0})
+    b = bin_index(F.col("x"), edges)
+    zero = F.lit(0).cast("bigint")
+    counts = table.agg(*[F.sum(F.when(b == j, F.col("r")).otherwise(zero)) for j in range(len(edges) - 1)]).first()
+    return Reference(edges, list(counts), total["n_all"])
+
+
 # --- D1/D2 PSI -------------------------------------------------------------------
 def psi_edges(ref: DataFrame, score: str = "score", n_bins: int = PSI_BINS) -> list[float]:
     """Reference deciles with the ends forced to 0 and 1, duplicates removed."""
-    q = exact_quantiles(ref, score, decile_probs(n_bins)).orderBy("q_index").collect()  # <= 11 rows
-    edges = [r["quantile"] for r in q]
-    if any(e is None for e in edges):
-        return []
-    edges[0], edges[-1] = 0.0, 1.0
-    return sorted(set(edges))
+    return reference_bins(score_table(ref, score=score), n_bins).edges
 
 
 def psi_label(psi) -> Column:
@@ -186,25 +222,23 @@ def psi(ref: DataFrame, new: DataFrame, score: str = "score", n_bins: int = PSI_
     """Population stability index of ``new`` (per group) against ``ref``.
 
     Fractions are over *all* rows of a side, including out-of-range ones."""
-    edges = psi_edges(ref, score, n_bins)
-    k = len(edges) - 1
-    if k < 1:
-        base = new.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("__n"))
-        return base.select(*group_cols, F.lit(None).cast("double").alias("psi"),
-                           F.lit(None).cast("string").alias("psi_status"))
-    b_ref = bin_index(F.col(score), edges)
-    ref_row = ref.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(b_ref == j).alias(f"b{j}") for j in range(k)]).first()
-    b_new = bin_index(F.col(score), edges)
+    bins = reference_bins(score_table(ref, score=score), n_bins)
+    return psi_against(bins, new.withColumn("__c", F.lit(1).cast("bigint")), score, "__c", eps, group_cols, digits)
+
+
+def psi_against(ref: Reference, new: DataFrame, score: str, count: str, eps: float = PSI_EPS,
+                group_cols: Sequence[str] = (), digits: int = 4) -> DataFrame:
+    """PSI of rows with a weight ``count`` against a reference's bins."""
+    k = len(ref.edges) - 1
+    b = bin_index(F.col(score), ref.edges) if k >= 1 else None
+    zero = F.lit(0).cast("bigint")
     agg = new.groupBy(*group_cols).agg(
-        F.count(F.lit(1)).alias("__n"), *[F.count_if(b_new == j).alias(f"__b{j}") for j in range(k)]
-    )
-    n_ref = F.lit(float(ref_row["n"]))
-    val = _psi_from_counts(
-        [F.lit(ref_row[f"b{j}"]) for j in range(k)],
-        [F.col(f"__b{j}") for j in range(k)],
-        n_ref, F.col("__n").cast("double"), eps,
-    )
-    val = F.when(F.col("__n") > 0, F.round(val, digits)) if ref_row["n"] else F.lit(None).cast("double")
+        F.sum(count).alias("__n"), *[F.sum(F.when(b == j, F.col(count)).otherwise(zero)).alias(f"__b{j}") for j in range(k)])
+    val = F.lit(None).cast("double")
+    if k >= 1:
+        raw = _psi_from_counts([F.lit(c) for c in ref.counts], [F.col(f"__b{j}") for j in range(k)],
+                               F.lit(float(ref.n)), F.col("__n").cast("double"), eps)
+        val = F.when(F.col("__n") > 0, F.round(raw, digits))
     return agg.select(*group_cols, val.alias("psi"), psi_label(val).alias("psi_status"))
 
 
@@ -212,50 +246,58 @@ def psi(ref: DataFrame, new: DataFrame, score: str = "score", n_bins: int = PSI_
 def ks_statistic(ref: DataFrame, new: DataFrame, score: str = "score", digits: int | None = 4) -> DataFrame:
     """D3: two-sample KS statistic ``sup |F_ref - F_new|`` plus both sizes.
 
-    Union with a side flag, ``groupBy(score)``, distributed running counts,
-    then one ``max``. Returns one row ``(ks_statistic, n_ref, n_new)``."""
-    u = ref.select(F.col(score).alias("x"), F.lit(1).alias("r"), F.lit(0).alias("w")).unionByName(
-        new.select(F.col(score).alias("x"), F.lit(0).alias("r"), F.lit(1).alias("w"))
-    ).filter(F.col("x").isNotNull())
-    g = u.groupBy("x").agg(F.sum("r").cast("bigint").alias("r"), F.sum("w").cast("bigint").alias("w"))
-    c = prefix_sums(g, ["x"], ["r", "w"])
-    tot = c.agg(F.max("cum_r").alias("n_ref"), F.max("cum_w").alias("n_new"))
-    row = tot.first()
+    One ``max`` over a :func:`score_table`; returns one row
+    ``(ks_statistic, n_ref, n_new)``."""
+    return ks_of(score_table(ref, new, score), digits)
+
+
+def ks_of(table: DataFrame, digits: int | None = 4) -> DataFrame:
+    """D3 of the two sides of a :func:`score_table`."""
+    row = table.agg(F.sum("r").alias("n_ref"), F.sum("w").alias("n_new")).first()
     n_ref, n_new = row["n_ref"] or 0, row["n_new"] or 0
-    if n_ref == 0 or n_new == 0:
-        d = F.lit(None).cast("double")
-        out = c.agg(d.alias("ks_statistic"))
-    else:
-        diff = F.abs(F.col("cum_r") / F.lit(float(n_ref)) - F.col("cum_w") / F.lit(float(n_new)))
-        out = c.agg(F.max(diff).alias("ks_statistic"))
-    if digits is not None:
-        out = out.select(F.round("ks_statistic", digits).alias("ks_statistic"))
-    return out.select("ks_statistic", F.lit(n_ref).cast("bigint").alias("n_ref"),
-                      F.lit(n_new).cast("bigint").alias("n_new"))
+    d = F.lit(None).cast("double")
+    if n_ref and n_new:
+        d = F.max(F.abs(F.col("cum_r") / F.lit(float(n_ref)) - F.col("cum_w") / F.lit(float(n_new))))
+        d = d if digits is None else F.round(d, digits)
+    return table.agg(F.count("*"), d.alias("ks_statistic")).select(
+        "ks_statistic", F.lit(n_ref).cast("bigint").alias("n_ref"), F.lit(n_new).cast("bigint").alias("n_new"))
 
 
 def ks_statistic_by_group(ref: DataFrame, new: DataFrame, group_cols: Sequence[str], score: str = "score",
                           digits: int | None = 4) -> DataFrame:
-    """D3 per group (D8) without replicating the reference per group.
+    """D3 per group (D8) without replicating the reference per group; a null group is a group."""
+    counts = group_counts(new, group_cols, score)
+    return ks_by_group_of(reference_table(ref, counts, score), counts, group_cols, digits)
+
+
+def group_counts(new: DataFrame, group_cols: Sequence[str], score: str = "score") -> DataFrame:
+    """``group, x, c``: rows of each group at each score, those without a score too; checkpointed."""
+    return materialize(new.groupBy(*group_cols, F.col(score).alias("x")).agg(F.count(F.lit(1)).alias("c")))
+
+
+def reference_table(ref: DataFrame, counts: DataFrame, score: str = "score") -> DataFrame:
+    """The reference's :func:`score_table` with a row at every score of ``counts`` too."""
+    return score_table(ref, counts.select(F.col("x").alias(score)).distinct(), score)
+
+
+def ks_by_group_of(table: DataFrame, counts: DataFrame, group_cols: Sequence[str], digits: int | None = 4) -> DataFrame:
+    """D3 of every group of ``counts`` against the reference side of ``table``.
 
     ``F_ref`` is evaluated once, globally, at every distinct value seen in the
     reference or in any group; each group's own running count comes from a
     grouped prefix sum; the two meet in an equi-join on the value. At each
     value ``x`` of a group both the right limit and the left limit of
     ``|F_ref - F_g|`` are taken, which covers the supremum between points."""
-    refc = ref.filter(F.col(score).isNotNull()).groupBy(F.col(score).alias("x")).agg(F.count(F.lit(1)).alias("r"))
-    newc = new.filter(F.col(score).isNotNull()).groupBy(*group_cols, F.col(score).alias("x")).agg(
-        F.count(F.lit(1)).alias("c"))
-    pts = refc.unionByName(newc.select("x", F.lit(0).cast("bigint").alias("r"))).groupBy("x").agg(
-        F.sum("r").cast("bigint").alias("r"))
-    ref_cum = prefix_sums(pts, ["x"], ["r"])
-    n_ref = ref_cum.agg(F.max("cum_r")).first()[0] or 0
-    new_cum = prefix_sums(newc, ["x"], ["c"], group_cols)
-    sizes = newc.groupBy(*group_cols).agg(F.sum("c").alias("n_new"))
-    j = new_cum.join(ref_cum.select("x", "r", "cum_r"), on="x", how="inner").join(sizes, on=list(group_cols))
-    if n_ref == 0:
-        d = F.lit(None).cast("double")
-    else:
+    n_ref = table.agg(F.sum("r")).first()[0] or 0
+    scored = counts.filter("x is not null")
+    own = prefix_sums(scored, ["x"], ["c"], group_cols)
+    sizes = scored.groupBy(*[F.col(c).alias(f"__s_{c}") for c in group_cols]).agg(F.sum("c").alias("n_new"))
+    same = F.lit(True)
+    for c in group_cols:
+        same = same & F.col(c).eqNullSafe(F.col(f"__s_{c}"))
+    j = own.join(table.select("x", "r", "cum_r"), "x").join(sizes, same)
+    d = F.lit(None).cast("double")
+    if n_ref:
         fr, fr_l = F.col("cum_r") / F.lit(float(n_ref)), (F.col("cum_r") - F.col("r")) / F.lit(float(n_ref))
         fg, fg_l = F.col("cum_c") / F.col("n_new"), (F.col("cum_c") - F.col("c")) / F.col("n_new")
         d = F.greatest(F.abs(fr - fg), F.abs(fr_l - fg_l))
@@ -277,10 +319,10 @@ def ks_limit_pvalue(d, en, terms: int = 100) -> Column:
     return F.when(lam <= 0, F.lit(1.0)).otherwise(F.least(F.greatest(F.lit(2.0) * s, F.lit(0.0)), F.lit(1.0)))
 
 
-def ks_test(ref: DataFrame, new: DataFrame, score: str = "score", mode: str = "limit") -> dict | None:
-    """D3 + D4 on the driver-side scalars: ``{ks_statistic, p_value, drift_detected}``;
+def ks_test(table: DataFrame, mode: str = "limit") -> dict | None:
+    """D3 + D4 of a :func:`score_table`: ``{ks_statistic, p_value, drift_detected}``;
     ``mode`` names the law (:mod:`veracity.operators.kstest`)."""
-    row = ks_statistic(ref, new, score, digits=None).first()
+    row = ks_of(table, digits=None).first()
     if row["ks_statistic"] is None:
         return None
     d, n1, n2 = float(row["ks_statistic"]), int(row["n_ref"]), int(row["n_new"])
@@ -316,9 +358,8 @@ def drift_report(new: DataFrame, ref: DataFrame | None, text_col: str = "text",
                  ks_mode: str = "limit") -> DataFrame:
     """One-row report. ``ks_*`` and ``psi*`` are null without a reference.
 
-    The new batch is scanned once: counts, relevancy, confidence, spread and
-    the PSI bin counts are one aggregate. The reference side contributes at
-    most eleven edges and their bin counts; KS contributes ``(D, n1, n2)``."""
+    Texts are read once, for counts, relevancy, confidence and spread; KS and
+    PSI come from one table of both sides' scores."""
     s = F.col(score)
     aggs = [
         F.count(F.lit(1)).alias("n_articles"),
@@ -326,22 +367,12 @@ def drift_report(new: DataFrame, ref: DataFrame | None, text_col: str = "text",
         F.round(F.avg(F.abs(s - 0.5)) * 2.0, 4).alias("avg_confidence"),
         F.round(F.stddev_pop(s), 4).alias("pred_std"),
     ]
-    ks = None
-    psi_val = F.lit(None).cast("double")
+    ks, psi_val = None, F.lit(None).cast("double")
     if ref is not None:
-        ks = ks_test(ref, new, score, ks_mode)
-        edges = psi_edges(ref, score)
-        k = len(edges) - 1
-        if k >= 1:
-            b = bin_index(s, edges)
-            ref_row = ref.agg(F.count(F.lit(1)).alias("n"),
-                              *[F.count_if(b == j).alias(f"b{j}") for j in range(k)]).first()
-            aggs += [F.count_if(b == j).alias(f"__b{j}") for j in range(k)]
-            if ref_row["n"]:
-                v = _psi_from_counts([F.lit(ref_row[f"b{j}"]) for j in range(k)],
-                                     [F.col(f"__b{j}") for j in range(k)],
-                                     F.lit(float(ref_row["n"])), F.col("n_articles").cast("double"), PSI_EPS)
-                psi_val = F.when(F.col("n_articles") > 0, F.round(v, 4))
+        table = score_table(ref, new, score)
+        ks = ks_test(table, ks_mode)
+        drifted = psi_against(reference_bins(table), table, "x", "w_all").first()
+        psi_val = F.lit(drifted["psi"]).cast("double")
     base = new.agg(*aggs)
     ks_stat = F.lit(ks["ks_statistic"] if ks else None).cast("double")
     ks_p = F.lit(ks["p_value"] if ks else None).cast("double")
@@ -370,13 +401,18 @@ def drift_by_snapshot(new: DataFrame, ref: DataFrame, snapshot_col: str, text_co
         F.round(F.avg(F.abs(F.col(score) - 0.5)) * 2.0, 4).alias("avg_confidence"),
         F.round(F.stddev_pop(score), 4).alias("pred_std"),
     )
-    ks = ks_statistic_by_group(ref, new, [snapshot_col], score, digits=None)
-    p = psi(ref, new, score, group_cols=[snapshot_col])
+    counts = group_counts(new, [snapshot_col], score)
+    table = reference_table(ref, counts, score)
+    ks = ks_by_group_of(table, counts, [snapshot_col], digits=None)
+    p = psi_against(reference_bins(table), counts, "x", "c", group_cols=[snapshot_col])
     en = F.col("n_ref").cast("double") * F.col("n_new") / (F.col("n_ref") + F.col("n_new"))
     p_value = ks_limit_pvalue(F.col("ks_statistic"), en)
     ks = ks.select(snapshot_col, F.round("ks_statistic", 4).alias("ks_statistic"),
                    F.round(p_value, 4).alias("ks_p_value"), (p_value < KS_ALPHA).alias("__ks_drift"))
-    j = base.join(ks, on=snapshot_col, how="left").join(p, on=snapshot_col, how="left")
+    j = base
+    for part in (ks, p):  # a null snapshot is one too
+        named = part.withColumnRenamed(snapshot_col, "__s")
+        j = j.join(named, F.col(snapshot_col).eqNullSafe(F.col("__s")), "left").drop("__s")
     drift = F.col("__ks_drift")
     return j.select(
         snapshot_col, "n_articles", "relevancy_rate", "avg_confidence", "pred_std",
