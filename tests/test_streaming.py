@@ -22,6 +22,32 @@ def test_ingest_first_wins_all_time(spark):
     assert len({r.batch_id for r in out}) >= 1
 
 
+def test_ingest_over_several_runs(spark):
+    """Texts that an earlier run stored stay out, also where the master came without its keys."""
+    landing, ckpt = S.work_dir(spark, "t-landing"), S.work_dir(spark, "t-ckpt")
+    master = S.work_dir(spark, "t-master")
+    text = "a text of more than twenty letters {}".format
+    days = [[(1, text("a")), (2, text("b"))], [(3, text("b")), (4, text("c")), (5, text("c"))], [(6, text("a")), (7, text("c")), (8, text("d"))]]
+    for day in days:
+        spark.createDataFrame(day, "id long, text string").coalesce(1).write.mode("append").parquet(landing)
+        S.run_available(S.start_ingest(S.read_landing(spark, landing, "id long, text string"), master, ckpt, "text", order_cols=["id"]))
+    assert sorted(r.id for r in spark.read.parquet(master).collect()) == [1, 2, 4, 8]
+    assert spark.read.parquet(f"{master}-keys").select("digest").distinct().count() == 4
+
+    bare = S.work_dir(spark, "t-bare")
+    spark.createDataFrame(days[0], "id long, text string").write.parquet(f"{bare}/batch_id=-1")
+    stream = S.read_landing(spark, landing, "id long, text string")
+    S.run_available(S.start_ingest(stream, bare, S.work_dir(spark, "t-ckpt"), "text", order_cols=["id"]))
+    assert sorted(r.id for r in spark.read.parquet(bare).collect()) == [1, 2, 4, 8]
+
+
+def test_staged_files_hold_all_rows_of_a_hot_value(spark):
+    df = spark.range(5000).selectExpr("id", "case when id % 3 = 0 then 'hot' when id % 3 = 1 then cast(id as string) end as f").filter("f = 'hot' or f is null or id < 60")
+    landing = S.work_dir(spark, "t-landing")
+    S.stage_files(df, landing, "f")
+    assert sorted(r.id for r in spark.read.option("recursiveFileLookup", True).schema(df.schema).parquet(landing).collect()) == sorted(r.id for r in df.collect())
+
+
 def test_monitor_equals_batch(spark):
     rows = [(i, f"2024-01-0{1 + i % 3} 0{i % 9}:00:00", "error" if i % 2 else "view", (i % 10) / 10.0) for i in range(60)]
     df = spark.createDataFrame(rows, "id long, ts string, text string, score double") \

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from veracity.functions import text as T
 from veracity.functions.common import as_col
+from veracity.session import materialize
 
 # --- fixed values that must equal the reference's -----------------------------
 MIN_TEXT_LEN = 20
@@ -153,13 +154,22 @@ def merge_distinct(master: DataFrame, new: DataFrame, key: str = "text", order_c
     return firsts.select("__r.*")
 
 
-def fresh_rows(batch: DataFrame, master_keys: DataFrame, key: str = "text", order_cols: Sequence[str] = ()) -> DataFrame:
-    """The first row per key of ``batch`` whose key isn't in ``master_keys``
-    (one column, null-safe)."""
-    none = batch.limit(0)
-    firsts = merge_distinct(none, batch, key, order_cols)
-    known = master_keys.toDF("__known")
-    return firsts.join(known, F.col(key).eqNullSafe(F.col("__known")), "left_anti")
+def key_digest(key) -> "F.Column":
+    """SHA-256 of a key, 32 bytes whatever its length; null is a key of its own."""
+    return F.unhex(F.coalesce(F.sha2(as_col(key), 256), F.lit("")))
+
+
+def fresh_rows(batch: DataFrame, known: DataFrame, key: str = "text", order_cols: Sequence[str] = ()) -> DataFrame:
+    """The first row per key of ``batch`` whose :func:`key_digest` isn't in
+    the only column of ``known``.
+
+    ``known`` is as long as the master, so its part that the batch meets is
+    found first, with the batch's digests as the small side: the master's
+    digests are then scanned, but not shuffled, as long as a batch's fit a
+    broadcast."""
+    firsts = materialize(merge_distinct(batch.limit(0), batch, key, order_cols).withColumn("__digest", key_digest(key)))
+    met = known.toDF("__known").join(firsts.select("__digest"), F.col("__known") == F.col("__digest"), "left_semi")
+    return firsts.join(met, F.col("__digest") == F.col("__known"), "left_anti").drop("__digest")
 
 
 # --- S3 / A11 -------------------------------------------------------------------------

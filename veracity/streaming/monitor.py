@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from veracity.functions.common import unit_hash
 from veracity.functions.text import relevant, strip_tweet
 from veracity.operators import drift as D
-from veracity.operators.prepare import MIN_TEXT_LEN, fresh_rows
+from veracity.operators.prepare import MIN_TEXT_LEN, fresh_rows, key_digest
 from veracity.session import ensure_checkpoint_dir
 
 
@@ -43,12 +43,12 @@ def work_dir(spark: SparkSession, name: str) -> str:
 
 
 def stage_files(df: DataFrame, path: str, file_col: str) -> None:
-    """Land ``df`` as one Parquet file per value of ``file_col`` (a landing
-    folder of snapshot files)."""
-    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    """Land ``df`` as Parquet files in a folder for each value of ``file_col``
+    (a landing folder of snapshots). Adaptive execution merges small values
+    into one task and splits a value that holds many rows over several."""
     # the folder key is a copy, so the data files keep ``file_col`` itself
     staged = df.withColumn("landing_file", F.col(file_col).cast("string"))
-    staged.repartition(n, "landing_file").write.mode("overwrite").partitionBy("landing_file").parquet(path)
+    staged.hint("rebalance", F.col("landing_file")).write.mode("overwrite").partitionBy("landing_file").parquet(path)
 
 
 def read_landing(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
@@ -87,14 +87,23 @@ def start_ingest(stream: DataFrame, master_path: str, checkpoint: str, text_col:
         return q
 
     cols = cleaned.columns
+    keys_path = f"{master_path.rstrip('/')}-keys"
+
+    def keys_of(rows: DataFrame) -> DataFrame:
+        return rows.select(key_digest(text_col).alias("digest"))
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        master = _existing(spark, master_path, batch_id)
-        if master is None:
-            master = spark.createDataFrame([], batch.select(*cols).schema)
-        fresh = fresh_rows(batch.select(*cols), master.select(text_col), text_col, order_cols)
-        fresh.write.mode("overwrite").parquet(_batch_path(master_path, batch_id))
+        known = _existing(spark, keys_path, batch_id)
+        if known is None and (master := _existing(spark, master_path, batch_id)) is not None:
+            # a master that was written without keys gets them once
+            keys_of(master).write.mode("overwrite").parquet(_batch_path(keys_path, -1))
+            known = _existing(spark, keys_path, batch_id)
+        if known is None:
+            known = keys_of(batch.limit(0))
+        fresh_rows(batch.select(*cols), known, text_col, order_cols).write.mode("overwrite").parquet(_batch_path(master_path, batch_id))
+        written = spark.read.schema(batch.select(*cols).schema).parquet(_batch_path(master_path, batch_id))
+        keys_of(written).write.mode("overwrite").parquet(_batch_path(keys_path, batch_id))
 
     return (cleaned.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
             .outputMode("append"))
