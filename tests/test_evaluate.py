@@ -94,6 +94,20 @@ def test_best_model_tie_goes_first(spark):
     assert E.best_model(df).first().model == "a"
 
 
+def test_best_epoch_waits_and_stops(spark):
+    losses = {
+        "falls": [0.9, 0.8, 0.7],
+        "stops": [0.9, 0.8, 0.8, 0.9, 0.85, 0.1],  # three epochs without a lower loss: the sixth never ran
+        "recovers": [0.9, 0.95, 0.95, 0.5, 0.6],
+        "nothing": [None, None, None, None],
+        "gap": [None, 0.4, None, 0.3],
+    }
+    rows = [(m, 10 * i, x) for m, xs in losses.items() for i, x in enumerate(xs)]
+    got = {r[0]: tuple(r)[1:] for r in E.best_epoch(spark.createDataFrame(rows, "model string, epoch int, loss double")).collect()}
+    assert got == {"falls": (20, 0.7, 3, False), "stops": (10, 0.8, 5, True), "recovers": (30, 0.5, 5, False),
+                   "nothing": (None, None, 3, True), "gap": (30, 0.3, 4, False)}
+
+
 def test_log_loss(spark):
     df = spark.createDataFrame([(1, 0.8), (0, 0.3)], "label int, score double")
     exp = -(np.log(0.8) + np.log(0.7)) / 2

@@ -108,3 +108,9 @@ def test_tfidf_matches_reference_formula(docs):
         assert got[k] == pytest.approx(exp[k])
     norms = w.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("n")).collect()
     assert all(abs(r.n - 1) < 1e-12 for r in norms)
+
+
+def test_tables_beyond_the_bound_are_not_broadcast(spark, docs):
+    vocab = M.build_vocabulary(docs, "doc_id", "text", max_words=6)
+    plan = lambda df: df._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" in plan(M.broadcast_within(vocab, 4)) and "broadcast" not in plan(M.broadcast_within(vocab, 3))

@@ -16,6 +16,7 @@ from veracity.functions.common import as_col
 from veracity.operators.prefix import prefix_sums
 
 CLASS_THRESHOLD = 0.5  # p >= 0.5 is class 1 when evaluating
+PATIENCE = 3  # epochs without a lower validation loss
 
 
 def class_counts(df: DataFrame, label: str = "label", group_cols: Sequence[str] = ()) -> DataFrame:
@@ -260,6 +261,30 @@ def best_model(results: DataFrame, model_col: str = "model", metric: str = "f1_m
     return ranked.orderBy(F.col(metric).desc(), F.col("__o").asc()).limit(1).select(model_col, metric)
 
 
+def best_epoch(history: DataFrame, model_col: str = "model", epoch_col: str = "epoch", loss_col: str = "loss",
+               patience: int = PATIENCE) -> DataFrame:
+    """Per model the epoch of the lowest validation loss, where training
+    ends after ``patience`` epochs in a row without a lower one.
+
+    ``history`` has a row for each model and epoch. Later epochs don't count,
+    however low; the first of equal losses wins; a null loss is no
+    improvement, and a model without any loss has no best epoch. Returns
+    ``model, best_epoch, best_loss, epochs_run, stopped_early``."""
+    upto = Window.partitionBy(model_col).orderBy(epoch_col)
+    place = F.row_number().over(upto)
+    lowest = F.min(loss_col).over(upto.rowsBetween(Window.unboundedPreceding, -1))
+    lower = F.col(loss_col).isNotNull() & (lowest.isNull() | (F.col(loss_col) < lowest))
+    marked = history.select(model_col, F.col(epoch_col).alias("__epoch"), F.col(loss_col).alias("__loss"), place.alias("__place"), lower.alias("__lower"))
+    upto = Window.partitionBy(model_col).orderBy("__place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    waited = F.col("__place") - F.coalesce(F.max(F.when(F.col("__lower"), F.col("__place"))).over(upto), F.lit(0))
+    ended = marked.withColumn("__waited", waited).withColumn(
+        "__end", F.min(F.when(F.col("__waited") >= patience, F.col("__place"))).over(Window.partitionBy(model_col)))
+    run = ended.filter(F.col("__end").isNull() | (F.col("__place") <= F.col("__end")))
+    best = F.max(F.when(F.col("__lower"), F.struct("__place", "__epoch", "__loss")))
+    return run.groupBy(model_col).agg(best.alias("__best"), F.max("__place").cast("bigint").alias("epochs_run"), F.bool_or(F.col("__end").isNotNull()).alias("stopped_early")).select(
+        model_col, F.col("__best.__epoch").alias("best_epoch"), F.col("__best.__loss").alias("best_loss"), "epochs_run", "stopped_early")
+
+
 def merge_results(existing: DataFrame, new: DataFrame, key: str = "model") -> DataFrame:
     """Upsert by key - the new record replaces the old one. A legacy
     ``roc_auc`` column is read as ``auc_roc`` when the latter is absent."""

@@ -1,8 +1,7 @@
 """Feature engineering.
 
-Size bounds that make broadcasting safe are stated where a broadcast happens:
-the vocabulary holds at most ``max_words`` rows and the TF-IDF term table at
-most ``max_features`` rows; token tables are never broadcast.
+Tables are broadcast only after their rows were counted (:func:`broadcast_within`);
+beyond the bound Spark joins them as any others. Token tables are never broadcast.
 """
 
 from __future__ import annotations
@@ -27,6 +26,15 @@ SPLIT_SEED = 42
 TEST_FRACTION = 0.2
 VALID_FRACTION = 0.1
 HASH_BUCKET_BITS = 16
+# ------------------------------------------------------------------------------
+#: Rows of a table of words, terms, classes or coefficients that may be broadcast: some 50 MB.
+BROADCAST_ROWS = 500_000
+
+
+def broadcast_within(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``table``, marked for broadcast if it has at most ``rows`` rows. It is
+    counted, so it should be one that is stored already."""
+    return F.broadcast(table) if table.count() <= rows else table
 
 
 # --- A7 / O3 / M5 ------------------------------------------------------------------
@@ -68,11 +76,12 @@ def encode_sequences(docs: DataFrame, vocab: DataFrame, id_col: str, text_col: s
     """J3 + F11: token ids (OOV -> 1), cut to ``max_len``, right-padded with 0.
 
     Only the first ``max_len`` tokens can survive truncation, so they are the
-    only ones looked up; the vocabulary join is a broadcast (<= 20k rows)."""
+    only ones looked up."""
+    words = broadcast_within(materialize(vocab.select("word", "id")))
     # by id first: a text is smaller than its tokens, which then needn't move
     toks = docs.select(id_col, text_col).repartition(id_col).select(id_col, F.slice(whitespace_tokens(text_col), 1, max_len).alias("toks"))
     ex = toks.select(id_col, F.posexplode_outer("toks").alias("pos", "word"))
-    j = ex.join(F.broadcast(vocab.select("word", "id")), on="word", how="left")
+    j = ex.join(words, on="word", how="left")
     j = j.withColumn("tok_id", F.when(F.col("pos").isNotNull(), F.coalesce(F.col("id"), F.lit(UNK_ID))))
     seq = j.groupBy(id_col).agg(
         F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "tok_id")))).alias("__p")
@@ -85,9 +94,10 @@ def encode_drop_oov(docs: DataFrame, vocab: DataFrame, id_col: str, text_col: st
                     max_len: int = MONITOR_MAX_LEN) -> DataFrame:
     """like :func:`encode_sequences` but unknown words are dropped
     before post-truncation, so every token of the whole text is looked up."""
+    words = broadcast_within(materialize(vocab.select("word", "id")))
     parted = docs.select(id_col, text_col).repartition(id_col)
     ex = parted.select(id_col, F.posexplode_outer(whitespace_tokens(text_col)).alias("pos", "word"))
-    j = ex.join(F.broadcast(vocab.select("word", "id")), on="word", how="left")
+    j = ex.join(words, on="word", how="left")
     seq = j.groupBy(id_col).agg(
         F.array_sort(F.collect_list(F.when(F.col("id").isNotNull(), F.struct("pos", "id")))).alias("__p")
     )
@@ -203,10 +213,9 @@ def class_weights(df: DataFrame, label_col: str = "label") -> DataFrame:
 
 
 def with_class_weight(df: DataFrame, label_col: str = "label", weight_col: str = "weight") -> DataFrame:
-    """M4 attached to every row: the per-class table holds one row per class,
-    so it is broadcast."""
-    cw = class_weights(df, label_col).select(label_col, F.col("weight").alias(weight_col))
-    return df.join(F.broadcast(cw), on=label_col, how="left")
+    """M4 attached to every row."""
+    cw = materialize(class_weights(df, label_col).select(label_col, F.col("weight").alias(weight_col)))
+    return df.join(broadcast_within(cw), on=label_col, how="left")
 
 
 # --- M6 TF-IDF ------------------------------------------------------------------------
@@ -239,11 +248,12 @@ def tfidf_transform(docs: DataFrame, vocab: DataFrame, id_col: str, text_col: st
                     counts: DataFrame | None = None) -> DataFrame:
     """M6 transform: ``(id, term, index, weight)`` with sublinear tf,
     L2-normalised per document (documents without terms have no rows).
+    ``vocab`` should be stored, as :func:`tfidf_fit_transform` does.
 
     The term counts are clustered by document id, so the broadcast join and
     the per-document norm window add no shuffle."""
     tc = counts if counts is not None else term_counts(docs, id_col, text_col)
-    j = tc.join(F.broadcast(vocab.select("term", "index", "idf")), on="term", how="inner")  # <= 30k rows
+    j = tc.join(broadcast_within(vocab.select("term", "index", "idf")), on="term", how="inner")
     raw = (F.lit(1.0) + F.log(F.col("tf"))) * F.col("idf")
     w = Window.partitionBy(id_col)
     j = j.withColumn("__w", raw)

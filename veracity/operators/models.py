@@ -4,8 +4,8 @@ A model is fitted on a bounded sample of labelled rows, the ``max_rows`` with
 the smallest hash of the id (``FIT_ROWS`` by default), by a truncated Newton
 method that needs a few dozen passes over that sample. Vocabulary and idf come
 from all training rows, and scoring covers every row: a model is a table of
-coefficients by term, at most ``TFIDF_MAX_FEATURES`` rows, that is broadcast
-to the term weights.
+coefficients by term, at most ``TFIDF_MAX_FEATURES`` rows, joined to the term
+weights.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veracity.functions.common import hash32, sigmoid
-from veracity.operators.features import term_counts, tfidf_fit, tfidf_transform
+from veracity.operators.features import broadcast_within, term_counts, tfidf_fit, tfidf_transform
 from veracity.session import materialize
 
 # --- fixed values that must equal the reference's -----------------------------
@@ -33,9 +33,9 @@ def linear_score(docs: DataFrame, weights: DataFrame, coef: DataFrame, id_col: s
     """M10 (linear form): P(real) = sigmoid(sum(weight * coef) + intercept).
 
     ``weights`` is the long TF-IDF table (:func:`tfidf_transform`); ``coef``
-    is ``(term, coef)``, at most ``max_features`` rows (broadcast). Documents
-    without any vocabulary term get the intercept alone."""
-    m = weights.join(F.broadcast(coef), "term").groupBy(id_col).agg(
+    is ``(term, coef)``, at most ``max_features`` rows. Documents without any
+    vocabulary term get the intercept alone."""
+    m = weights.join(broadcast_within(coef), "term").groupBy(id_col).agg(
         F.sum(F.col("weight") * F.col("coef")).alias("margin"))
     j = docs.select(id_col).join(m, id_col, "left")
     return j.select(id_col, sigmoid(F.coalesce(F.col("margin"), F.lit(0.0)) + F.lit(intercept)).alias("score"))
@@ -210,7 +210,7 @@ def fit_svm(train: DataFrame, id_col: str, text_col: str, label_col: str = "labe
 def score(model: LinearModel, docs: DataFrame, id_col: str, text_col: str, counts: DataFrame | None = None) -> DataFrame:
     """``(id, score)`` of every row of ``docs``."""
     weights = tfidf_transform(docs, model.vocab, id_col, text_col, counts=counts)
-    margins = weights.join(F.broadcast(model.coef), "term").groupBy(id_col).agg(
+    margins = weights.join(broadcast_within(model.coef), "term").groupBy(id_col).agg(
         *[F.sum(F.col("weight") * F.col("coef")[k]).alias(f"__m{k}") for k in range(len(model.parts))])
     scores = [sigmoid(F.lit(a) * (F.coalesce(f"__m{k}", F.lit(0.0)) + F.lit(c)) + F.lit(b)) for k, (c, a, b) in enumerate(model.parts)]
     return docs.select(id_col).join(margins, id_col, "left").select(id_col, (sum(scores) / F.lit(float(len(scores)))).alias("score"))

@@ -543,6 +543,27 @@ SELECT coalesce(n.model, o.model) AS model,
 FROM o FULL OUTER JOIN n ON o.model = n.model"""
 
 
+_HISTORY_SQL = f"""
+SELECT source AS model, doc_id % 12 AS epoch,
+       round(avg(-(label * ln(least(greatest(score, 1e-15), 1 - 1e-15)) + (1 - label) * ln(1 - least(greatest(score, 1e-15), 1 - 1e-15)))), 6) AS loss
+FROM ({SQL['scored']}) GROUP BY 1, 2"""
+
+
+@register("best_epoch", f"""
+WITH h AS (SELECT *, row_number() OVER (PARTITION BY model ORDER BY epoch) AS place FROM ({_HISTORY_SQL})),
+     lows AS (SELECT model, place FROM h a WHERE NOT EXISTS (SELECT 1 FROM h b WHERE b.model = a.model AND b.place < a.place AND b.loss <= a.loss)),
+     waits AS (SELECT h.model, h.place FROM h WHERE NOT EXISTS (
+         SELECT 1 FROM lows l WHERE l.model = h.model AND l.place BETWEEN h.place - {E.PATIENCE - 1} AND h.place) AND h.place >= {E.PATIENCE}),
+     ends AS (SELECT model, min(place) AS place FROM waits GROUP BY model),
+     run AS (SELECT h.*, e.place AS stop FROM h LEFT JOIN ends e ON e.model = h.model WHERE e.place IS NULL OR h.place <= e.place)
+SELECT model, first(epoch ORDER BY loss, epoch) AS best_epoch, min(loss) AS best_loss, count(*) AS epochs_run, max(stop) IS NOT NULL AS stopped_early
+FROM run GROUP BY model""")
+def q_best_epoch(spark, d):
+    """Twelve parts of the labelled rows stand for epochs, their log loss for the validation loss."""
+    scored = X.scored_labelled(spark, d).select(F.col("source").alias("model"), (F.col("doc_id") % 12).alias("epoch"), "label", "score")
+    return E.best_epoch(E.log_loss(scored, group_cols=["model", "epoch"]), loss_col="log_loss")
+
+
 @register("merge_results", _merge_sql())
 def q_merge_results(spark, d):
     ms = X.model_scores(spark, d)
