@@ -253,17 +253,19 @@ class _Verifier:
     def block_links(self, held: DataFrame) -> DataFrame | None:
         """Links between components among rows ``key, node, comp`` that share a key.
 
-        Keys that have members in common come together first, so that a pair
-        is compared once, whatever number of keys it shares."""
-        lead = held.groupBy("key").agg(F.min("node").alias("lead"))
-        groups = components(held.join(lead, "key").select(F.col("lead").alias("a"), F.col("node").alias("b")))
-        members = materialize(groups.toDF("node", "group").join(held.select("node", "comp").distinct(), "node"))
+        Keys with the same least member are one group, which has that member's
+        keys at most, so a group's size is bounded by its buckets' and never
+        chains from one bucket to the next. The many buckets that a set of
+        near-copies shares have few least members, so a pair is compared a few
+        times at most, not once for each bucket."""
+        lead = held.groupBy("key").agg(F.min("node").alias("group"))
+        members = materialize(held.join(lead, "key").select("group", "node", "comp").distinct())
         if members.isEmpty():
             return None
         blocks = members.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
         dealt = members.join(blocks, "group").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         dealt = dealt.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        values = materialize(self.sets(members.select("node"))).toDF("node", "shingles").join(self.signatures, "node")
+        values = materialize(self.sets(members.select("node").distinct())).toDF("node", "shingles").join(self.signatures, "node")
         return materialize(
             dealt.select("group", F.least("block", "to").alias("i"), F.greatest("block", "to").alias("j"), "node", "comp", "block")
             .join(values, "node").groupBy("group", "i", "j").applyInArrow(self.across, "a long, b long"))
