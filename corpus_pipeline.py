@@ -15,22 +15,25 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from veracity.llm import mixing, neardup, packing, quality, secretscan
-from veracity.llm.base import read
+from veracity.llm.base import bounded_batches, read
 from veracity.session import ensure_checkpoint_dir
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose rules together speak for quality."""
+    bounded_batches(spark)
     return quality.quality_filter(docs)
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the least id, of each group of near-duplicates (five-word shingles, 0.8)."""
+    bounded_batches(spark)
     return neardup.deduplicated(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets replaced by a mark."""
+    bounded_batches(spark)
     return secretscan.redacted(docs)
 
 
@@ -41,6 +44,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their place in the packed sequences."""
+    bounded_batches(spark)
     return packing.pack(packing.pieces(docs))
 
 

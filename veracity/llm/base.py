@@ -30,7 +30,18 @@ def register(key: str, sql: str | None = None):
     return deco
 
 
+#: Bytes of an Arrow batch that goes to a Python worker; one text may be longer.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Rows go to Python workers in batches of ``BATCH_BYTES``, however long their
+    texts are: an executor holds a few copies of a batch for each of its tasks."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -89,3 +100,5 @@ def arrow_batches(rows: Iterable[tuple], schema: pa.Schema, size: int = 1 << 22)
             held, weight = [], 0
     if held:
         yield batch(held)
+        held = []
+    pa.default_memory_pool().release_unused()  # a worker lives on with the next task
