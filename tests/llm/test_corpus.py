@@ -210,6 +210,57 @@ def test_embeddings_match_brute_force(spark, monkeypatch):
     assert embdup.near_duplicates(df.limit(0)).count() == 0
 
 
+def pairs_around(r, groups, common, per=2, dense=0, cosine=0.935, width=64):
+    """Unit vectors in groups, two of a group at ``cosine``, all with ``common`` of a shared direction; ``dense`` more of one group."""
+    shared = np.zeros(width)
+    shared[0] = 1
+    inner = (cosine - common ** 2) / (1 - common ** 2)
+
+    def residuals(shape):
+        x = r.normal(size=shape)
+        x[..., 0] = 0
+        return x / np.linalg.norm(x, axis=-1, keepdims=True)
+    centres = np.concatenate([np.repeat(residuals((groups, width)), per, 0), np.repeat(residuals((1, width)), dense, 0)])
+    x = np.sqrt(inner) * centres + np.sqrt(1 - inner) * residuals(centres.shape)
+    x = common * shared + np.sqrt(1 - common ** 2) * x / np.linalg.norm(x, axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize(("common", "dense"), [(0.8, 0), (0.0, 1800)])
+def test_embeddings_with_a_common_mean_or_a_dense_group(spark, common, dense):
+    unit = pairs_around(np.random.default_rng(5), 600, common, dense=dense)
+    df = spark.createDataFrame([(i, [float(v) for v in x], 0) for i, x in enumerate(unit)], "vec_id long, embedding array<double>, label int")
+    near = unit @ unit.T >= embdup.COSINE
+    np.fill_diagonal(near, False)
+    got = {x.vec_id: x.n_links for x in embdup.near_duplicates(df).collect()}
+    assert near.sum() > 600 and [got[i] for i in range(len(unit))] == near.sum(1).tolist()
+
+
+@pytest.mark.parametrize(("common", "dense"), [(0.0, 0), (0.7, 0), (0.8, 0), (0.0, 4500)])
+def test_tables_of_a_large_label_find_the_samples_pairs(common, dense, monkeypatch):
+    monkeypatch.setattr(embdup, "ITERATIONS", 10)
+    unit = pairs_around(np.random.default_rng(6), 1500, common, dense=dense)
+    unit = unit[np.random.default_rng(7).permutation(len(unit))]
+    model = embdup.plan(unit, np.zeros(len(unit)), np.full(len(unit), 64), 10 ** 7)
+    fresh = pairs_around(np.random.default_rng(8), 1500, common, dense=0)
+    if model is None:  # all pairs are compared
+        return
+    keys = embdup.keys_of(fresh, *model)
+    same = (fresh[::2] * fresh[1::2]).sum(1) >= embdup.COSINE
+    assert (keys[::2] == keys[1::2]).any(1)[same].mean() > 0.94
+    assert (model[2], keys.shape[1]) == (16, 24) or common or dense
+
+
+def test_a_label_beyond_the_tables_bound(spark, monkeypatch):
+    monkeypatch.setattr(embdup, "BLOCK", 8)
+    unit = pairs_around(np.random.default_rng(9), 400, 0.7)
+    df = spark.createDataFrame([(i, [float(v) for v in x], 0) for i, x in enumerate(unit)], "vec_id long, embedding array<double>, label int")
+    near = unit @ unit.T >= embdup.COSINE
+    np.fill_diagonal(near, False)
+    got = {x.vec_id: x.n_links for x in embdup.near_duplicates(df).collect()}
+    assert sum(got.values()) >= 0.94 * near.sum() and all(got[i] <= n for i, n in enumerate(near.sum(1)))
+
+
 # --- substrings ------------------------------------------------------------------------
 def test_passages_are_found_wherever_they_stand(spark):
     r = random.Random(4)

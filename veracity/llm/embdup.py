@@ -8,16 +8,27 @@ vectors that agree in a whole substring are candidates, so every pair whose
 codes differ in fewer bits than there are tables is found. The model is fitted
 on at most ``SAMPLE`` vectors; all vectors are indexed.
 
+Vectors of a label that are no more than ``BLOCK`` times the tables are all
+compared with each other, which costs no more rows than the tables do. For
+larger labels recall is measured on a part of the sample that the model isn't
+fitted on (:func:`plan`): on its pairs within ``BAND`` above the threshold,
+found by brute force, and on partners put at such an angle in the directions
+in which the sample's vectors differ. Where
+less than ``RECALL`` of either share a substring, as with a large common mean
+or a dense group, more rotations and shorter substrings are tried and the
+cheapest that reach it are taken; if all pairs cost less than those, or none
+does, all pairs are compared.
+
 Equal vectors of one label are one class, with its size as weight. Members of
 a bucket are dealt to blocks; each pair of blocks is compared in a task of its
 own with the original vectors in double precision. A pair counts in its first
 common table only. Tasks return sums of weights and links that span their
 components, not pairs. A bucket of m classes costs ``m * m / BLOCK`` rows.
 
-A pair at cosine 0.93 differs in each bit with a probability of about 0.12
-(less for clustered vectors) and so agrees in one of 24 substrings of 16 bits
-with 0.96; closer pairs more often. More rotations raise that; longer
-substrings keep buckets small for more vectors.
+Without a common mean, a pair at cosine 0.93 differs in each bit with a
+probability of about 0.12 and so agrees in one of 24 substrings of 16 bits
+with 0.96; closer pairs more often. Centring widens the angles of vectors that
+share a direction, so there it is less.
 
 Defined results: vectors that are null, empty, zero, or hold null or
 non-finite components, and rows without label or id, link with nothing, have
@@ -41,6 +52,10 @@ COSINE = 0.93
 BITS, SUBSTRING, ROTATIONS = 64, 16, 6
 SAMPLE, ITERATIONS = 20_000, 40
 BLOCK = 512
+RECALL, BAND = 0.97, 0.02
+#: Vectors and pairs of the sample that recall is measured on, pairs that say something, further rotations and substrings.
+MEASURED, PAIRS, LEAST_PAIRS = 4_000, 4_000, 100
+MORE_ROTATIONS, SHORTER = 18, (16, 12, 8, 6, 4)
 
 
 def learn(sample: np.ndarray, bits: int = BITS, rotations: int = ROTATIONS, iterations: int = ITERATIONS, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
@@ -73,6 +88,58 @@ def keys_of(unit: np.ndarray, mean: np.ndarray, projection: np.ndarray, substrin
     return values + (np.arange(tables, dtype=np.int64) << substring)
 
 
+def hard_pairs(unit: np.ndarray, kinds: np.ndarray, widths: np.ndarray, cosine: float, seed: int = 0) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs within ``BAND`` above ``cosine``: partners made for the vectors, and such pairs of one kind among them."""
+    r = np.random.default_rng(seed)
+    n = len(unit)
+    away = unit[r.integers(n, size=n)] - unit[r.integers(n, size=n)] + 1e-6 * r.normal(size=unit.shape)
+    away *= np.arange(unit.shape[1]) < widths[:, None]
+    away -= (away * unit).sum(1, keepdims=True) * unit
+    away /= np.maximum(np.linalg.norm(away, axis=1, keepdims=True), 1e-300)
+    at = r.uniform(cosine, min(cosine + BAND, 1), size=(n, 1))
+    out = [(unit, at * unit + np.sqrt(1 - at * at) * away)]
+    left, right = [], []
+    for a in range(0, n, BLOCK):  # the sample's order is random, so each block may give as many
+        same = unit[a:a + BLOCK] @ unit.T
+        x, y = np.nonzero((same >= cosine) & (same < cosine + BAND) & (kinds[a:a + BLOCK, None] == kinds))
+        some = r.permutation(len(x))[:PAIRS * BLOCK // n + 1]
+        left.append(a + x[some])
+        right.append(y[some])
+    left, right = np.concatenate(left), np.concatenate(right)
+    return [*out, (unit[left], unit[right])] if len(left) >= LEAST_PAIRS else out
+
+
+def tables_needed(pairs: list[tuple[np.ndarray, np.ndarray]], mean: np.ndarray, projection: np.ndarray, substring: int) -> int | None:
+    """So many tables give each group of pairs ``RECALL``; None if all of them don't."""
+    most = 0
+    for left, right in pairs:
+        hit = keys_of(left, mean, projection, substring) == keys_of(right, mean, projection, substring)
+        enough = np.flatnonzero(np.logical_or.accumulate(hit, axis=1).mean(0) >= RECALL)
+        if not len(enough):
+            return None
+        most = max(most, int(enough[0]) + 1)
+    return most
+
+
+def plan(unit: np.ndarray, kinds: np.ndarray, widths: np.ndarray, largest: int, cosine: float = COSINE, rotations: int = ROTATIONS, substring: int = SUBSTRING) -> tuple[np.ndarray, np.ndarray, int] | None:
+    """Mean, projection and substring that find the sample's hard pairs; None: compare all pairs of the ``largest`` label."""
+    held = min(MEASURED, len(unit) // 4)  # not fitted on: signs are better for those
+    pairs, unit, held = hard_pairs(unit[:held], kinds[:held], widths[:held], cosine), unit[held:], unit[:held]
+    mean, projection = learn(unit, rotations=rotations)
+    if tables_needed(pairs, mean, projection, substring) is not None:
+        return mean, projection, substring
+    projection = np.hstack([projection, learn(unit, rotations=MORE_ROTATIONS, seed=rotations)[1]])
+    best, least = None, 1 + largest / BLOCK
+    for bits in sorted({substring, *(x for x in SHORTER if x < substring)}, reverse=True):
+        if tables := tables_needed(pairs, mean, projection, bits):
+            keys = keys_of(held, mean, projection[:, :tables * bits], bits)
+            _, members = np.unique(keys, return_counts=True)
+            together = (members * (members - 1.0)).sum() / (tables * len(keys) * max(len(keys) - 1.0, 1.0))
+            if (rows := tables * (1 + largest * together / BLOCK)) < least:
+                best, least = (mean, projection[:, :tables * bits], bits), rows
+    return best
+
+
 def _unit(vectors: np.ndarray) -> np.ndarray:
     scaled = vectors / np.abs(vectors).max(1, keepdims=True)  # squares of very large or small components stay finite
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
@@ -89,14 +156,14 @@ _CODED = pa.schema([("node", pa.int64()), ("unit", pa.binary()), ("keys", pa.lis
 _FOUND = pa.schema([("node", pa.int64()), ("other", pa.int64()), ("links", pa.int64())])
 
 
-def _coded(mean: np.ndarray, projection: np.ndarray, substring: int):
+def _coded(width: int, model: tuple[np.ndarray, np.ndarray, int] | None):
     def run(batches):
         for b in batches:
             if b.num_rows:
-                unit = _unit(_padded(b.column("embedding").to_pylist(), len(mean)))
+                unit = _unit(_padded(b.column("embedding").to_pylist(), width))
+                keys = keys_of(unit, *model) if model else np.zeros((len(unit), 0), np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("node"), pa.array([u.tobytes() for u in unit], pa.binary()), pa.array(list(keys_of(unit, mean, projection, substring)), _CODED.field("keys").type)],
-                    schema=_CODED)
+                    [b.column("node"), pa.array([u.tobytes() for u in unit], pa.binary()), pa.array(list(keys), _CODED.field("keys").type)], schema=_CODED)
     return run
 
 
@@ -111,7 +178,8 @@ def _compared(cosine: float, substring: int):
         if i == j:
             near &= node[left][:, None] < node[right][None, :]
         x, y = (side[at] for side, at in zip((left, right), np.nonzero(near), strict=True))
-        first = ~(keys[x, :bucket >> substring] == keys[y, :bucket >> substring]).any(1)
+        before = max(bucket >> substring, 0)  # none for a label that is one bucket
+        first = ~(keys[x, :before] == keys[y, :before]).any(1)
         x, y = x[first], y[first]
         links = np.zeros(len(node), np.int64)
         np.add.at(links, x, weight[y])
@@ -149,12 +217,21 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, rotations: int =
     width = classes.agg(F.max(F.size("embedding"))).first()[0]
     if width is None:
         return alone.withColumn("kept", F.lit(True))
-    fitted = classes.orderBy(F.xxhash64("node"), "node").limit(sample).select("embedding").collect()
-    mean, projection = learn(_unit(_padded([r[0] for r in fitted], width)), rotations=rotations)
-
-    coded = materialize(classes.select("node", "embedding").mapInArrow(_coded(mean, projection, substring), "node long, unit binary, keys array<long>"))
     kinds = classes.select("node", "label", F.size("embedding").alias("width"), "weight")
-    members = coded.select("node", F.explode("keys").alias("key")).join(kinds, "node")
+    sizes = materialize(kinds.groupBy("label", "width").agg(F.count("*").alias("n")))
+    largest, few, model = sizes.agg(F.max("n")).first()[0], BLOCK * (rotations * BITS // substring), None
+    if largest > few:
+        fitted = classes.select("node", "embedding", F.xxhash64("label", F.size("embedding")).alias("kind")).orderBy(F.xxhash64("node"), "node").limit(sample).collect()
+        unit, each = _unit(_padded([r.embedding for r in fitted], width)), np.array([len(r.embedding) for r in fitted])
+        model = plan(unit, np.array([r.kind for r in fitted]), each, largest, cosine, rotations, substring)
+        substring = model[2] if model else substring
+
+    coded = materialize(classes.select("node", "embedding").mapInArrow(_coded(width, model), "node long, unit binary, keys array<long>"))
+    # a label of few vectors is one bucket; of the others there is one for every ``few`` rows at most
+    tabled = F.broadcast(sizes.filter(F.col("n") > few).select("label", "width", F.lit(model is not None).alias("tabled")))
+    kinds = kinds.join(tabled, ["label", "width"], "left")
+    members = coded.select("node", "keys").join(kinds, "node")
+    members = members.select("node", "label", "width", "weight", F.explode(F.when(F.col("tabled"), F.col("keys")).otherwise(F.array(F.lit(-1).cast("long")))).alias("key"))
     bucket = ["label", "width", "key"]
     shared = members.groupBy(*bucket).agg(F.count("*").alias("n")).filter("n > 1").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     dealt = members.join(shared.drop("n"), bucket).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
