@@ -287,6 +287,58 @@ def test_passages_are_found_wherever_they_stand(spark):
     assert chunkdedup.repeats(df.limit(0)).count() == 0
 
 
+def plain_repeats(rows, least=chunkdedup.MIN_WORDS):
+    """Spans and cuts by a dictionary of all runs of words."""
+    held = {}
+    for i, text in rows:
+        words = (text or "").split()
+        for at in range(len(words) - least + 1):
+            held.setdefault(tuple(words[at:at + least]), set()).add(i)
+    out = []
+    for i, text in rows:
+        words, run = (text or "").split(), []
+        for at in range(len(words) - least + 2):
+            ids = held.get(tuple(words[at:at + least]), ()) if at + least <= len(words) else ()
+            if len(ids) > 1:
+                run.append((at, min(ids)))
+            elif run:
+                lower = {a + k for a, lo in run if lo < i for k in range(least)}
+                out.append((i, run[0][0], len(run) + least - 1, min(lo for _, lo in run), lower))
+                run = []
+    return sorted(out, key=lambda x: x[:2])
+
+
+def spans_of(got):
+    return sorted(((x.doc_id, x.word, x.words, x.first_doc_id, {c.word + k for c in x.cuts for k in range(c.words)}) for x in got), key=lambda x: x[:2])
+
+
+def test_repeats_match_all_runs_of_words(spark):
+    r = random.Random(11)
+    passages = [prose(r, n, 60) for n in (24, 25, 27, 31, 40, 51, 51, 90, 200) for _ in range(6)]
+    rows = []
+    for i in range(150):
+        parts = []
+        for _ in range(r.randrange(1, 4)):
+            words = r.choice(passages).split()
+            if r.random() < 0.4:  # a part of a passage, so that texts part within it
+                a = r.randrange(len(words))
+                words = words[a:a + r.randrange(10, 80)]
+            parts += [prose(r, r.randrange(0, 40)), " ".join(words)]
+        rows.append((i, " ".join(parts)))
+    rows += [(200, prose(r, 23)), (201, "\n".join(passages[0].split()))]
+    want = plain_repeats(rows)
+    assert len(want) > 200 and any(x[2] == 24 for x in want)
+    assert spans_of(chunkdedup.repeats(frame(spark, [(*x, "s") for x in rows])).collect()) == want
+
+
+def test_places_of_an_id_that_repeats(spark):
+    r = random.Random(12)
+    a, b = prose(r, 60), prose(r, 60)
+    rows = [(1, f"{prose(r, 5)} {a}", "s"), (1, b, "s"), (2, f"{a} {prose(r, 9)}", "s"), (3, " ".join(b.split()[20:50]), "s"), (4, " ".join(a.split()[10:40]), "s")]
+    got = {(x.doc_id, x.word, x.words, x.first_doc_id) for x in chunkdedup.repeats(frame(spark, rows)).collect()}
+    assert {(2, 0, 60, 1), (3, 0, 30, 1), (4, 0, 30, 1)} <= got and {i for i, *_ in got} == {1, 2, 3, 4}
+
+
 def test_chunks_come_back_after_an_insertion():
     r = np.random.default_rng(0)
     values = r.integers(0, 1 << 63, 2000, dtype=np.uint64)

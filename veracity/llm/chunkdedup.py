@@ -1,18 +1,25 @@
-"""Substring dedup by content-defined chunks.
-
-A gear hash rolls over the words of a text: it is shifted by one place and a
-random value of the new word is added, so it depends on the last ``WINDOW``
-words alone. A chunk ends where the hash is the greatest within ``REACH`` words
-to either side. Ends so depend on nearby words only: after an insertion, or
-within a passage that stands in different texts, the chunks are the same again
-after a few words, whatever was before.
-
-A chunk is deduplicated by its digest. Those found in two documents or more
-are joined back to their places (a passage in a third of all documents is one
-row after aggregation, and the join back is one that adaptive execution can
-split), and neighbours make up spans. Spans of ``MIN_WORDS`` or more count: the
-whole chunks inside a passage of over 50 words come to that, while phrases and
-single lines that documents share by chance don't.
+"""Substring dedup: every run of ``MIN_WORDS`` words that stands in two documents.
+
+Words get random values; a run of words gets a digest, mixed from those of its
+halves. Of the runs of ``GRAM`` words inside each ``MIN_WORDS`` words, the one
+of the greatest digest is picked, the last of equal ones. Which it is depends
+on these words alone, so where the words stand in another document too, the
+same run is picked there: whatever stands before or after, and in passages
+that repeat a word or a few. A pick serves neighbouring places, about nine, and
+is one row with them.
+
+Places whose pick no other document has are no repeats. Where all places of a
+pick have the same words, from the first served to the last, these are. What
+is left are the edges of passages, where texts part: there each run of
+``MIN_WORDS`` words is compared by digest itself, once for all places whose
+words agree. So results are exact but for digests of 64 bits that agree by
+chance. A passage in a third of
+all documents is one row after aggregation, and the join back is one that
+adaptive execution can split.
+
+Spans are runs of places that follow each other by one word: maximal, except
+that parts may stand in different documents. Spans that lie apart by more may
+overlap in words.
 
 Defined results: a null or empty text, or a null id, has no spans. Places of
 one id count as one document, so rows that repeat an id don't repeat each
@@ -30,12 +37,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from veracity.llm.base import WORD_RE, arrow_batches, arrow_rows
+from veracity.llm.base import WORD_RE, arrow_rows
 from veracity.session import materialize
 
 WINDOW, REACH = 4, 3
-MIN_WORDS = 24
-_CHUNKS = pa.schema([("doc_id", pa.int64()), ("chunk", pa.int32()), ("word", pa.int32()), ("words", pa.int32()), ("digest", pa.int64())])
+MIN_WORDS, GRAM = 24, 8
+SLAB, ROWS = 1 << 16, 1 << 16
+_PICKS = pa.schema([("doc_id", pa.int64()), ("word", pa.int32()), ("places", pa.int32()), ("gram", pa.int64()), ("whole", pa.int64())])
+_EDGES = pa.schema([("lo", pa.int64()), ("whole", pa.int64()), ("step", pa.int32()), ("digest", pa.int64()), ("hi", pa.int64())])
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -48,57 +57,143 @@ class _Gear(dict):
         self[word] = value = xxhash.xxh3_64_intdigest(word, 9)
         return value
 
+    def values(self, text: str | None) -> np.ndarray:
+        words = _WORD.findall((text or "").encode())
+        return np.fromiter((self[w] for w in words), np.uint64, len(words))
+
+
+def _mixed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    x = left * np.uint64(0x9E3779B97F4A7C15) + (right ^ (right >> np.uint64(29))) * np.uint64(0xC2B2AE3D27D4EB4F)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(31))
+
+
+def digests(values: np.ndarray, width: int) -> np.ndarray:
+    """Digest of every run of ``width`` values, by doubling; the last step overlaps two runs."""
+    have = 1
+    while have < width and len(values):
+        step = min(have, width - have)
+        values = _mixed(values[:-step], values[step:])
+        have += step
+    return values
+
+
+def _whole(runs: np.ndarray, first: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Digest of all words of so many neighbouring runs, which overlap."""
+    return _mixed(_mixed(runs[first], runs[first + places - 1]), places.astype(np.uint64))
+
+
+def picked(hashes: np.ndarray, width: int) -> np.ndarray:
+    """For every ``width`` neighbours, the place of the greatest, the last of equal ones."""
+    n = len(hashes) - width + 1
+    if n < 1:
+        return np.zeros(0, np.int64)
+    view = np.lib.stride_tricks.sliding_window_view(hashes, width)[:, ::-1]
+    last = np.concatenate([view[at:at + SLAB].argmax(1) for at in range(0, n, SLAB)])
+    return np.arange(width - 1, n + width - 1) - last
+
 
 def ends(values: np.ndarray, window: int = WINDOW, reach: int = REACH) -> np.ndarray:
-    """Where chunks end (exclusive, the text's end included), from the words' values."""
-    n, shift = len(values), np.uint64(64 // window)
-    rolled = values.copy()
-    for k in range(1, min(window, n)):
-        rolled[k:] += values[:-k] << (shift * np.uint64(k))
-    top = np.ones(n, bool)
-    for k in range(1, min(reach, n - 1) + 1):
-        top[k:] &= rolled[k:] > rolled[:-k]
-        top[:-k] &= rolled[:-k] >= rolled[k:]
-    found = np.flatnonzero(top) + 1
-    return found if len(found) and found[-1] == n else np.append(found, n)
-
-
-def chunks(docs: DataFrame, window: int = WINDOW, reach: int = REACH) -> DataFrame:
-    """``doc_id, chunk, word, words, digest``: number, first word, length and digest of each chunk."""
+    """Where picked runs of ``window`` words end (exclusive): each is picked of ``reach + 1`` neighbours."""
+    return np.unique(picked(digests(values, window), reach + 1)) + window
+
+
+def _batches(parts, schema: pa.Schema):
+    """Record batches of about ``ROWS`` rows from ``(doc_id, column, ...)``."""
+    held, rows = [], 0
+
+    def batch():
+        columns = [np.concatenate([np.full(len(x[1]), x[0], np.int64) for x in held]), *(np.concatenate(c) for c in list(zip(*held, strict=True))[1:])]
+        return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64) if c.dtype == np.uint64 else c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+    for part in parts:
+        held.append(part)
+        rows += len(part[1])
+        if rows >= ROWS:
+            yield batch()
+            held, rows = [], 0
+    if rows:
+        yield batch()
+    pa.default_memory_pool().release_unused()  # a worker lives on with the next task
+
+
+def picks(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM) -> DataFrame:
+    """``doc_id, word, places, gram, whole``: first place that a picked run serves, number of
+    places, its digest, and the digest of all words of these places."""
     def run(batches):
         gear = _Gear()
 
         def out():
             for doc_id, text in arrow_rows(batches, "doc_id", "text"):
-                words = _WORD.findall((text or "").encode())
-                if words and doc_id is not None:
-                    values = np.fromiter((gear[w] for w in words), np.uint64, len(words))
-                    stops = ends(values, window, reach)
-                    raw, at = values.tobytes(), 0
-                    for n, stop in enumerate(stops.tolist()):
-                        yield (doc_id, n, at, stop - at, xxhash.xxh3_64_intdigest(raw[8 * at:8 * stop]) - (1 << 63)), 0
-                        at = stop
-        yield from arrow_batches(out(), _CHUNKS)
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, chunk int, word int, words int, digest long")
-
-
-def repeats(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW, reach: int = REACH) -> DataFrame:
-    """Spans that stand in other documents too.
-
-    ``doc_id, word, words`` (in words from the text's start), ``n_chunks``,
-    ``first_doc_id`` (the least id that has one of the span's chunks) and
-    ``cuts``: the span's chunks that a lower id has too, as (word, words)."""
-    placed = materialize(chunks(docs, window, reach))
-    shared = placed.groupBy("digest").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").drop("hi")
-    held = placed.join(shared, "digest")
-    order = Window.partitionBy("doc_id").orderBy("chunk")
-    runs = held.withColumn("__run", F.col("chunk") - F.dense_rank().over(order))
-    return (runs.groupBy("doc_id", "__run").agg(
-        F.min("word").alias("word"), (F.max(F.col("word") + F.col("words")) - F.min("word")).alias("words"),
-        F.countDistinct("chunk").alias("n_chunks"), F.min("lo").alias("first_doc_id"),
-        F.array_sort(F.collect_list(F.when(F.col("lo") < F.col("doc_id"), F.struct("word", "words")))).alias("cuts"))
-        .filter(F.col("words") >= min_words).drop("__run"))
+                values = gear.values(text) if doc_id is not None else ()
+                if len(values) >= min_words:
+                    hashes, runs = digests(values, gram), digests(values, min_words)
+                    at = picked(hashes, min_words - gram + 1)
+                    first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+                    places = np.diff(np.append(first, len(at)))
+                    yield doc_id, first, places, hashes[at[first]], _whole(runs, first, places)
+        yield from _batches(out(), _PICKS)
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, word int, places int, gram long, whole long")
+
+
+def _edges(min_words: int):
+    def run(batches):
+        gear = _Gear()
+
+        def out():
+            for doc_id, text, *at in arrow_rows(batches, "doc_id", "text", "word", "places", "whole", "hi"):
+                runs = digests(gear.values(text), min_words)
+                word, places, whole, hi = (np.array(x, np.int64) for x in at)
+                found = np.flatnonzero(word + places <= len(runs))  # of rows of one id, those that have these words
+                found = found[_whole(runs, word[found], places[found]).view(np.int64) == whole[found]]
+                word, places, whole, hi = word[found], places[found], whole[found], hi[found]
+                step = np.arange(places.max(initial=0))
+                n, k = np.nonzero(step < places[:, None])
+                yield doc_id, whole[n], step[k], runs[word[n] + k], hi[n]
+        yield from _batches(out(), _EDGES)
+    return run
+
+
+def _joined(pieces: DataFrame, name: str, *keys: str) -> DataFrame:
+    """Numbers the runs of ``pieces`` (``word``, ``stop``) of the same keys that follow each other without a gap."""
+    order = Window.partitionBy(*keys).orderBy("word", "stop")
+    before = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    return pieces.withColumn("__new", F.when(F.col("word") <= before, 0).otherwise(1)).withColumn(
+        name, F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("__new")
+
+
+def repeats(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM) -> DataFrame:
+    """Spans of which each ``min_words`` words stand in another document too.
+
+    ``doc_id, word, words`` (in words from the text's start), ``n_chunks`` (runs
+    of ``min_words`` words in it), ``first_doc_id`` (the least id that has one of
+    these) and ``cuts``: what a lower id has too, as (word, words)."""
+    gram = min(gram, min_words)
+    placed = picks(docs, min_words, gram)  # twice: that takes less than to keep it
+    shared = placed.groupBy("gram").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), (F.min("whole") == F.max("whole")).alias("same"))
+    held = materialize(placed.join(shared.filter("lo < hi"), "gram").select("doc_id", "word", "places", "whole", "lo", "same"))
+    docs.sparkSession.sparkContext._jvm.System.gc()  # Spark then deletes what was shuffled until here
+
+    apart = held.filter("not same")
+    kinds = apart.groupBy("whole").agg(F.min(F.struct("doc_id", "word", "places")).alias("at"), F.max("doc_id").alias("hi"))
+    kinds = kinds.select("at.*", "whole", "hi").groupBy("doc_id").agg(F.collect_list(F.struct("word", "places", "whole", "hi")).alias("at"))
+    texts = docs.select("doc_id", "text").join(kinds.select("doc_id", "at.word", "at.places", "at.whole", "at.hi").hint("shuffle_hash"), "doc_id")
+    edges = materialize(texts.mapInArrow(_edges(min_words), "lo long, whole long, step int, digest long, hi long"))
+    both = edges.groupBy("digest").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo < hi").drop("hi")
+    steps = edges.select("whole", "step", "digest").join(both, "digest").groupBy("whole").agg(F.collect_set(F.struct("step", "lo")).alias("steps"))
+    edged = apart.drop("lo").join(steps, "whole").select("doc_id", "word", F.explode("steps").alias("at"))
+
+    pieces = held.filter("same").select("doc_id", "word", (F.col("word") + F.col("places")).alias("stop"), "lo").unionAll(
+        edged.select("doc_id", (F.col("word") + F.col("at.step")).alias("word"), (F.col("word") + F.col("at.step") + 1).alias("stop"), "at.lo"))
+    runs = _joined(pieces, "__run", "doc_id").withColumn("__lower", F.col("lo") < F.col("doc_id"))
+    parts = _joined(runs, "__part", "doc_id", "__lower").groupBy("doc_id", "__run", "__lower", "__part").agg(
+        F.min("word").alias("word"), F.max("stop").alias("stop"), F.min("lo").alias("lo"))
+    part = F.struct("word", (F.col("stop") - F.col("word") + (min_words - 1)).alias("words"))
+    return (parts.groupBy("doc_id", "__run").agg(
+        F.min("word").alias("word"), (F.max("stop") - F.min("word") + (min_words - 1)).alias("words"),
+        (F.max("stop") - F.min("word")).cast("long").alias("n_chunks"), F.min("lo").alias("first_doc_id"),
+        F.array_sort(F.collect_list(F.when(F.col("__lower"), part))).alias("cuts")).drop("__run"))
 
 
 def cut_words(text: str | None, spans: list) -> str | None:
@@ -115,7 +210,7 @@ def cut_words(text: str | None, spans: list) -> str | None:
 
 
 def without_repeats(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """Documents without the chunks of ``spans`` that a lower id has too, columns as they came."""
+    """Documents without the ``cuts`` of ``spans``, columns as they came."""
     cut = F.udf(lambda t, s: cut_words(t, [(x["word"], x["words"]) for x in s or []]), "string", useArrow=True)
     gone = spans.filter(F.size("cuts") > 0).groupBy(F.col("doc_id").alias("__id")).agg(F.flatten(F.collect_list("cuts")).alias("__spans"))
     joined = docs.join(gone, F.col("doc_id") == F.col("__id"), "left")
