@@ -146,4 +146,4 @@ def op7_embedding_near_dedup(spark, d):
 # --- 9: substring dedup ----------------------------------------------------------------
 @register("op9_substring_dedup")
 def op9_substring_dedup(spark, d):
-    return chunkdedup.repeats(read(spark, d, "documents")).drop("cuts")
+    return chunkdedup.repeats(read(spark, d, "documents"))
