@@ -331,6 +331,18 @@ def test_repeats_match_all_runs_of_words(spark):
     assert spans_of(chunkdedup.repeats(frame(spark, [(*x, "s") for x in rows])).collect()) == want
 
 
+def test_passages_of_repeated_words(spark):
+    r = random.Random(13)
+    rows = []
+    for period in (1, 2, 3):
+        for n in (60, 300):
+            passage = " ".join(f"p{period}x{n}y{k % period}" for k in range(n))
+            rows += [(len(rows) + k, f"{prose(r, 9 + k)} {passage} {prose(r, 14 - k)}") for k in range(2)]
+    want = plain_repeats(rows)
+    assert [x[2] for x in want] == [n for n in (60, 60, 300, 300)] * 3
+    assert spans_of(chunkdedup.repeats(frame(spark, [(*x, "s") for x in rows])).collect()) == want
+
+
 def test_places_of_an_id_that_repeats(spark):
     r = random.Random(12)
     a, b = prose(r, 60), prose(r, 60)
