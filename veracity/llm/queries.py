@@ -10,7 +10,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from veracity.llm import chat, chunkdedup, embdup, mixing, neardup, packing, quality, secretscan, urlfilter, warc
+from veracity.llm import chat, chunkdedup, codes, divergence, embdup, mixing, neardup, packing, quality, secretscan, urlfilter, warc
 from veracity.llm.base import ORACLE, QUERIES, WORD, read, register
 from veracity.session import ensure_checkpoint_dir, materialize
 
@@ -147,3 +147,66 @@ def op7_embedding_near_dedup(spark, d):
 @register("op9_substring_dedup")
 def op9_substring_dedup(spark, d):
     return chunkdedup.repeats(read(spark, d, "documents"))
+
+
+# --- 12: vector code compression -------------------------------------------------------
+def _s_codes(rounds: int = codes.ROUNDS) -> str:
+    """Plain k-means over all entries; a round is three common table expressions."""
+    def assigned(n):
+        return f"""
+near{n} AS MATERIALIZED (SELECT vec_id, part, distance, entry FROM (
+  SELECT p.vec_id, p.part, e.entry, sum((p.v - e.v) * (p.v - e.v)) AS distance FROM parts p JOIN book{n} e USING (part, pos) GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY vec_id, part ORDER BY distance, entry) = 1)"""
+
+    def moved(n):
+        return f"""
+mean{n} AS (SELECT part, entry, pos, sum(v)::BIGINT AS s, count(*) AS n FROM parts JOIN near{n} USING (vec_id, part) GROUP BY ALL),
+book{n + 1} AS MATERIALIZED (SELECT b.part, b.entry, b.pos, CASE WHEN m.n IS NULL THEN b.v
+    ELSE m.s // m.n - CASE WHEN m.s % m.n < 0 THEN 1 ELSE 0 END END AS v FROM book{n} b LEFT JOIN mean{n} m USING (part, entry, pos))"""
+
+    return f"""
+WITH kept AS (SELECT vec_id, label, embedding, len(embedding) // {codes.PARTS} AS dim FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+cells AS (SELECT vec_id, dim, unnest(embedding) AS x, unnest(range(len(embedding))) AS place FROM kept),
+parts AS MATERIALIZED (SELECT vec_id, place // dim AS part, place % dim AS pos, floor(x::DOUBLE * {codes.SCALE})::BIGINT AS v FROM cells),
+first AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept QUALIFY entry < {codes.ENTRIES}),
+book0 AS MATERIALIZED (SELECT part, entry, pos, v FROM parts JOIN first USING (vec_id)),
+{",".join(assigned(n) + "," + moved(n) for n in range(rounds))},{assigned(rounds)},
+coded AS (SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(distance)::BIGINT AS error FROM near{rounds} GROUP BY vec_id)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY part, entry, pos)) FROM book{rounds}) AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id)"""
+
+
+@register("op12_vector_codes", _s_codes())
+def op12_vector_codes(spark, d):
+    return codes.compressed(read(spark, d, "embeddings"))
+
+
+# --- 11: source divergence audit -------------------------------------------------------
+_S_SHARE = f"1 + ({divergence.UNIT}::HUGEINT * ({{}} + 2)) // nullif({{}} + 2 * {{}}, 0)"
+
+
+@register("op11_source_divergence", f"""
+WITH docs AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), '{urlfilter.UPPER}', '{urlfilter.LOWER}') AS text FROM documents),
+words AS (SELECT id, lang, source, unnest(regexp_extract_all(text, '[a-z\\x{{80}}-\\x{{10FFFF}}]+')) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS whole FROM words GROUP BY lang, term HAVING count(DISTINCT id) >= {divergence.MIN_DOCUMENTS}),
+langs AS (SELECT lang, count(*) AS v, sum(whole) AS words FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+cells AS MATERIALIZED (SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+totals AS (SELECT g.lang, g.source, coalesce(sum(n), 0) AS total FROM groups g LEFT JOIN cells USING (lang, source) GROUP BY ALL),
+shares AS MATERIALIZED (SELECT t.lang, t.source, k.term, coalesce(c.n, 0) AS n, {_S_SHARE.format('coalesce(c.n, 0)', 't.total', 'l.v')} AS p,
+    {_S_SHARE.format('k.whole', 'l.words', 'l.v')} AS q
+  FROM totals t JOIN kept k USING (lang) JOIN langs l USING (lang) LEFT JOIN cells c ON c.lang = t.lang AND c.source = t.source AND c.term = k.term),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+parts AS (
+  SELECT g.lang, g.source, 'pair' AS part, o.source AS item, coalesce(s.value, 0)::BIGINT AS value
+  FROM groups g JOIN groups o ON g.lang = o.lang AND g.source <> o.source LEFT JOIN sums s ON s.lang = g.lang AND s.source = g.source AND s.item = o.source
+  UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM shares WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, rank FROM (
+  SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)))::INT AS rank FROM parts)
+WHERE part = 'pair' OR rank <= {divergence.TOP}""")
+def op11_source_divergence(spark, d):
+    return divergence.audit(read(spark, d, "documents"))
