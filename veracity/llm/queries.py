@@ -10,7 +10,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from veracity.llm import chat, chunkdedup, codes, divergence, embdup, mixing, neardup, packing, quality, secretscan, urlfilter, warc
+from veracity.llm import chat, chunkdedup, codes, divergence, embdup, htmltext, mixing, neardup, packing, quality, secretscan, urlfilter, warc
 from veracity.llm.base import ORACLE, QUERIES, WORD, read, register
 from veracity.session import ensure_checkpoint_dir, materialize
 
@@ -210,3 +210,9 @@ SELECT lang, source, part, item, value, rank FROM (
 WHERE part = 'pair' OR rank <= {divergence.TOP}""")
 def op11_source_divergence(spark, d):
     return divergence.audit(read(spark, d, "documents"))
+
+
+# --- 13: HTML extraction ---------------------------------------------------------------
+@register("op13_html_extraction")
+def op13_html_extraction(spark, d):
+    return htmltext.extracted(read(spark, d, "pages"))
