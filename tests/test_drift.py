@@ -156,7 +156,7 @@ def test_limit_law_values():
     ps = [kstest.limit_sf(x / 50) for x in range(200)]
     assert all(a >= b - 1e-12 for a, b in zip(ps, ps[1:]))
     with pytest.raises(ValueError):
-        kstest.two_sample_pvalue(0.1, 5, 5, "auto")
+        kstest.two_sample_pvalue(0.1, 5, 5, "asymptotic")
 
 
 def test_rows_without_score_or_snapshot(spark):
@@ -189,3 +189,73 @@ def test_drift_report_gate(spark):
     assert (by.ks_statistic, by.ks_p_value, by.psi, by.retrain_needed) == (r.ks_statistic, r.ks_p_value, r.psi, r.retrain_needed)
     none = D.drift_report(nd, None, keywords=["iran"]).first()
     assert none.psi is None and none.ks_statistic is None
+
+
+# --- D4: the finite-sample law -------------------------------------------------------
+def test_finite_law_of_one_and_two_values():
+    """P(D_1 < d) = 2d - 1; P(D_2 < d) = 2 (2d - 1/2)^2 up to 1/2, then 1 - 2 (1 - d)^2."""
+    for d in np.linspace(0.5, 1, 11):
+        assert kstest.finite_sf(d, 1) == pytest.approx(2 - 2 * d, abs=1e-14)
+    for d in np.linspace(0.25, 0.5, 11)[:-1]:
+        assert kstest.finite_sf(d, 2) == pytest.approx(1 - 2 * (2 * d - 0.5) ** 2, abs=1e-14)
+    for d in np.linspace(0.5, 1, 11):
+        assert kstest.finite_sf(d, 2) == pytest.approx(2 * (1 - d) ** 2, abs=1e-14)
+
+
+def test_finite_law_matches_simulated_uniform_samples():
+    rng = np.random.default_rng(1)
+    for n in (3, 25):
+        x = np.sort(rng.random((200_000, n)), axis=1)
+        stat = np.maximum((np.arange(1, n + 1) / n - x).max(1), (x - np.arange(n) / n).max(1))
+        for d in (0.15, 0.2, 0.3, 0.45):
+            assert kstest.finite_sf(d, n) == pytest.approx((stat >= d).mean(), abs=0.005)
+
+
+@pytest.mark.parametrize("n", [2, 5, 25, 140, 1000, kstest.MATRIX_N, kstest.MATRIX_N + 1, 10 ** 5, 10 ** 7, 10 ** 12])
+def test_finite_law_falls_without_jumps(n):
+    """Where one formula follows another the probability goes on, and it never rises with d."""
+    at = np.unique(np.concatenate([np.linspace(0, 1, 60), np.linspace(0.2, 4, 80) / math.sqrt(n), 1 / (2 * n) * np.array([1, 2, 3]), [0.5]]))
+    p = [kstest.finite_sf(d, n) for d in at]
+    assert p[0] == 1 and p[-1] == 0 and all(0 <= x <= 1 for x in p)
+    assert all(b <= a + 3e-8 for a, b in itertools.pairwise(p))
+    for edge in {1 / n, 0.5, 2 / math.sqrt(n)}:
+        if edge < 1:
+            below, above = kstest.finite_sf(edge * (1 - 1e-9), n), kstest.finite_sf(edge * (1 + 1e-9), n)
+            assert below == pytest.approx(above, abs=2e-7)
+
+
+def test_matrix_power_and_expansion_agree():
+    for z in (0.3, 0.6, 0.9, 1.2, 1.6, 1.9):
+        for n, within in ((400, 2e-6), (4000, 3e-8)):
+            assert kstest.matrix_cdf(z / math.sqrt(n), n) == pytest.approx(kstest.expanded_cdf(z / math.sqrt(n), n), abs=within)
+
+
+def test_finite_law_is_near_the_exact_one_for_few_new_rows():
+    """25 new rows against a large reference: the usual case. The limit is off by far more."""
+    for n_new, n_ref in ((25, 9000), (20, 9973), (60, 8000)):
+        for d in (0.15, 0.2, 0.25, 0.3, 0.4):
+            exact = kstest.exact_two_sided(d, n_new, n_ref)
+            finite, limit = (kstest.two_sample_pvalue(d, n_ref, n_new, mode) for mode in ("finite", "limit"))
+            assert finite == pytest.approx(exact, abs=0.006)
+            assert abs(finite - exact) < abs(limit - exact)
+
+
+def test_auto_takes_paths_for_small_and_the_finite_law_for_large_samples():
+    assert kstest.two_sample_pvalue(0.3, 25, 10_000, "auto") == kstest.exact_two_sided(0.3, 25, 10_000)
+    assert kstest.two_sample_pvalue(0.3, 25, 10_001, "auto") == kstest.finite_sf(0.3, 25)
+    assert [kstest.effective_n(a, b) for a, b in ((1, 1), (3, 3), (25, 10 ** 9), (10 ** 18, 10 ** 18))] == [0, 2, 25, 5 * 10 ** 17]
+    assert math.isnan(kstest.two_sample_pvalue(0.3, 0, 5, "auto"))
+    with pytest.raises(ValueError):
+        kstest.two_sample_pvalue(0.3, 5, 5, "other")
+
+
+@pytest.mark.parametrize("mode", ["limit", "finite", "exact", "auto"])
+def test_reports_use_the_named_law(spark, mode):
+    ref = frame(spark, [i / 400 for i in range(400)])
+    new = spark.createDataFrame([("s", "iran", (i / 30) ** 2) for i in range(30)] + [("t", "x", None)], "s string, text string, score double")
+    d = np_ks(np.arange(400) / 400, (np.arange(30) / 30) ** 2)
+    want = round(kstest.two_sample_pvalue(d, 400, 30, mode), 4)
+    one = D.drift_report(new, ref, ks_mode=mode).first()
+    assert one.ks_p_value == pytest.approx(want, abs=1e-4)
+    each = {r.s: r for r in D.drift_by_snapshot(new, ref, "s", ks_mode=mode).collect()}
+    assert each["s"].ks_p_value == pytest.approx(want, abs=1e-4) and each["t"].ks_p_value is None

@@ -13,6 +13,7 @@ import math
 from collections.abc import Sequence
 from typing import NamedTuple
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -319,6 +320,24 @@ def ks_limit_pvalue(d, en, terms: int = 100) -> Column:
     return F.when(lam <= 0, F.lit(1.0)).otherwise(F.least(F.greatest(F.lit(2.0) * s, F.lit(0.0)), F.lit(1.0)))
 
 
+def ks_pvalue(d, n1, n2, mode: str = "limit") -> Column:
+    """D4 under the named law for a table of statistics. The limiting series is
+    a native expression; the other laws have no closed form and run in Arrow
+    batches, one small computation a row (a row is a snapshot, not an article)."""
+    if mode == "limit":
+        n1, n2 = as_col(n1).cast("double"), as_col(n2).cast("double")
+        return ks_limit_pvalue(d, n1 * n2 / (n1 + n2))
+    if mode not in kstest.MODES:
+        raise ValueError(f"unknown KS mode {mode!r}")
+
+    @F.pandas_udf("double")
+    def law(d: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
+        return pd.Series([None if pd.isna(x) or pd.isna(a) or pd.isna(b) else kstest.two_sample_pvalue(x, int(a), int(b), mode)
+                          for x, a, b in zip(d, n1, n2, strict=True)], dtype="float64")
+
+    return law(as_col(d), as_col(n1), as_col(n2))
+
+
 def ks_test(table: DataFrame, mode: str = "limit") -> dict | None:
     """D3 + D4 of a :func:`score_table`: ``{ks_statistic, p_value, drift_detected}``;
     ``mode`` names the law (:mod:`veracity.operators.kstest`)."""
@@ -392,9 +411,9 @@ def drift_report(new: DataFrame, ref: DataFrame | None, text_col: str = "text",
 
 
 def drift_by_snapshot(new: DataFrame, ref: DataFrame, snapshot_col: str, text_col: str = "text",
-                      score: str = "score", keywords: Sequence[str] = POLITICAL_KEYWORDS) -> DataFrame:
+                      score: str = "score", keywords: Sequence[str] = POLITICAL_KEYWORDS, ks_mode: str = "limit") -> DataFrame:
     """The monitor's metrics for every snapshot in one job family, under
-    the same law (``limit``) and gate as :func:`drift_report`."""
+    the same laws (``ks_mode``) and gate as :func:`drift_report`."""
     base = new.groupBy(snapshot_col).agg(
         F.count(F.lit(1)).alias("n_articles"),
         F.round(F.avg(relevant(text_col, keywords).cast("double")), 4).alias("relevancy_rate"),
@@ -405,8 +424,8 @@ def drift_by_snapshot(new: DataFrame, ref: DataFrame, snapshot_col: str, text_co
     table = reference_table(ref, counts, score)
     ks = ks_by_group_of(table, counts, [snapshot_col], digits=None)
     p = psi_against(reference_bins(table), counts, "x", "c", group_cols=[snapshot_col])
-    en = F.col("n_ref").cast("double") * F.col("n_new") / (F.col("n_ref") + F.col("n_new"))
-    p_value = ks_limit_pvalue(F.col("ks_statistic"), en)
+    ks = ks.withColumn("__p", ks_pvalue("ks_statistic", "n_ref", "n_new", ks_mode))
+    p_value = F.col("__p")
     ks = ks.select(snapshot_col, F.round("ks_statistic", 4).alias("ks_statistic"),
                    F.round(p_value, 4).alias("ks_p_value"), (p_value < KS_ALPHA).alias("__ks_drift"))
     j = base

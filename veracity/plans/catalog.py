@@ -682,9 +682,9 @@ def q_drift_report(spark, d):
                           HIT_KEYWORDS, source_file="documents")
 
 
-def _drift_by_snapshot_sql():
+def _ks_by_source_sql():
     ref, new = SQL["ref"], SQL["new"]
-    ks = f"""
+    return f"""
 WITH rs AS (SELECT score FROM ({ref})), ns AS (SELECT source, score FROM ({new})),
      pts AS (SELECT DISTINCT ns.source, p.score FROM (SELECT score FROM rs UNION SELECT score FROM ns) p, (SELECT DISTINCT source FROM ns) ns),
      f AS (SELECT pts.source, pts.score,
@@ -695,6 +695,29 @@ WITH rs AS (SELECT score FROM ({ref})), ns AS (SELECT source, score FROM ({new})
 SELECT source, max(abs(fr - fg)) AS ks_statistic,
        (SELECT count(*) FROM rs) AS n_ref, (SELECT count(*) FROM ns n3 WHERE n3.source = f.source) AS n_new
 FROM f GROUP BY source"""
+
+
+@register("ks_pvalue_finite", f"""
+WITH RECURSIVE ks AS MATERIALIZED ({_ks_by_source_sql()}),
+sized AS (SELECT *, round_even(n_ref::DOUBLE * n_new / (n_ref + n_new), 0)::BIGINT AS n FROM ks),
+band AS (SELECT *, floor(n * ks_statistic)::BIGINT + 1 AS k, floor(n * ks_statistic) + 1 - n * ks_statistic AS h FROM sized),
+steps AS MATERIALIZED (SELECT source, n, k, list_transform(range(1, 2 * k), lambda j: list_transform(range(1, 2 * k), lambda i:
+    ((CASE WHEN i - j + 1 < 0 THEN 0.0 ELSE 1.0 END) - (CASE WHEN j = 1 THEN pow(h, i) ELSE 0.0 END) - (CASE WHEN i = 2 * k - 1 THEN pow(h, 2 * k - j) ELSE 0.0 END)
+     + (CASE WHEN j = 1 AND i = 2 * k - 1 THEN pow(greatest(2 * h - 1, 0.0), 2 * k - 1) ELSE 0.0 END)) / gamma(greatest(i - j + 1, 0) + 1.0)::DOUBLE)) AS columns FROM band),
+walk AS (SELECT source, 0::BIGINT AS t, list_transform(range(1, 2 * k), lambda i: CASE WHEN i = k THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS v FROM steps
+  UNION ALL SELECT w.source, w.t + 1, list_transform(s.columns, lambda c: list_dot_product(w.v, c) * (w.t + 1) / s.n) FROM walk w JOIN steps s USING (source) WHERE w.t < s.n),
+ended AS (SELECT w.source, w.v[s.k] AS cdf FROM walk w JOIN steps s ON w.source = s.source AND w.t = s.n)
+SELECT source, round(ks_statistic, 4) AS ks_statistic, n_ref, n_new, round(least(greatest(1.0 - cdf, 0.0), 1.0), 6) AS p_value FROM ks JOIN ended USING (source)""")
+def q_ks_pvalue_finite(spark, d):
+    """D4 under the finite-sample law: each source's scores against the reference."""
+    ks = D.ks_statistic_by_group(X.reference_scores(spark, d), X.new_scores(spark, d), ["source"], digits=None)
+    p = F.round(D.ks_pvalue("ks_statistic", "n_ref", "n_new", "finite"), 6)
+    return ks.select("source", F.round("ks_statistic", 4).alias("ks_statistic"), "n_ref", "n_new", p.alias("p_value"))
+
+
+def _drift_by_snapshot_sql():
+    ref, new = SQL["ref"], SQL["new"]
+    ks = _ks_by_source_sql()
     return f"""
 WITH base AS (SELECT source, count(*) AS n_articles,
                      round(avg(CASE WHEN {s_relevant('text', HIT_KEYWORDS)} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 4) AS relevancy_rate,
