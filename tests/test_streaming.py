@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from veracity.operators import drift as D
 from veracity.streaming import monitor as S
+from veracity.streaming import state as ST
 
 
 def test_ingest_first_wins_all_time(spark):
@@ -32,7 +33,7 @@ def test_ingest_over_several_runs(spark):
         spark.createDataFrame(day, "id long, text string").coalesce(1).write.mode("append").parquet(landing)
         S.run_available(S.start_ingest(S.read_landing(spark, landing, "id long, text string"), master, ckpt, "text", order_cols=["id"]))
     assert sorted(r.id for r in spark.read.parquet(master).collect()) == [1, 2, 4, 8]
-    assert spark.read.parquet(f"{master}-keys").select("digest").distinct().count() == 4
+    assert S.key_index(spark, f"{master}-keys").before(3).distinct().count() == 4
 
     bare = S.work_dir(spark, "t-bare")
     spark.createDataFrame(days[0], "id long, text string").write.parquet(f"{bare}/batch_id=-1")
@@ -106,3 +107,94 @@ def test_unfinished_stream_raises(spark):
     S.stage_files(df, landing, "f")
     with pytest.raises(TimeoutError):
         S.run_available(S.start_ingest(S.read_landing(spark, landing, df.schema, 1), out, ckpt, "text", order_cols=["id"]), 2)
+
+
+# --- state in runs and buckets -------------------------------------------------------
+@pytest.mark.parametrize("fan", [2, 3, 8])
+def test_runs_cover_all_batches_once(fan):
+    for batches in range(200):
+        runs = ST.cover(batches, fan)
+        held = [b for level, run in runs for b in range(run * fan ** level, (run + 1) * fan ** level)]
+        assert held == list(range(batches))
+        assert len(runs) <= (fan - 1) * (1 + len(runs and bin(batches)))
+
+
+def test_state_equals_all_batches_and_replays_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(ST, "BUCKET_ROWS", 10)  # so that runs have several buckets
+    store = ST.RunStore(spark, S.work_dir(spark, "t-state"), "k string, n bigint", ("k",), lambda t: t.groupBy("k").agg(F.sum("n").alias("n")), fan=2)
+    want = {}
+    for batch in range(7):
+        rows = [(f"k{(batch * 13 + i) % 60}" if i else None, 1) for i in range(25)]
+        for _ in range(1 + batch % 2):  # every second batch comes twice
+            store.append(spark.createDataFrame(rows, "k string, n bigint"), batch)
+        for k, n in rows:
+            want[k] = want.get(k, 0) + n
+        got = {r.k: r.n for r in store.merged(store.before(batch + 1)).collect()}
+        assert got == want
+
+
+def test_a_batch_reads_only_the_buckets_it_meets(spark, monkeypatch):
+    monkeypatch.setattr(ST, "BUCKET_ROWS", 100)
+    index = S.key_index(spark, S.work_dir(spark, "t-keys"))
+    for batch in range(9):
+        rows = spark.range(batch * 1000, batch * 1000 + 1000).selectExpr("cast(id as string) as t")
+        index.append(S._digests(rows, "t"), batch)
+    few = S._digests(spark.createDataFrame([("17",), ("4711",), ("absent",)], "t string"), "t")
+    met = index.before(9, index.grains(few))
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert met.count() < 9000 / 10
+    assert few.join(met, "digest").count() == 2
+    assert len(ST.cover(9)) == 2  # eight batches became one run
+
+
+def test_ingest_over_more_batches_than_a_run_holds(spark):
+    """Ten daily files with repeats across them: first wins, whether the first copy lies in a merged run or not."""
+    landing, ckpt, master = (S.work_dir(spark, x) for x in ("t-landing", "t-ckpt", "t-master"))
+    want, n = {}, 0
+    for day in range(10):
+        rows = []
+        for k in (day, day // 2, 7, 0):
+            n += 1
+            rows.append((n, f"a text of more than twenty letters {k}"))
+            want.setdefault(rows[-1][1], n)
+        spark.createDataFrame(rows, "id long, text string").coalesce(1).write.mode("append").parquet(landing)
+        S.run_available(S.start_ingest(S.read_landing(spark, landing, "id long, text string"), master, ckpt, "text", order_cols=["id"]))
+    assert {r.text: r.id for r in spark.read.parquet(master).collect()} == want
+
+
+def test_watermark_mode_keeps_copies_that_lie_far_apart(spark):
+    day = "2024-01-{:02d} 00:00:00".format
+    landing, ckpt, master = (S.work_dir(spark, x) for x in ("t-landing", "t-ckpt", "t-master"))
+    for rows in ([(1, "the same text in both files", day(1)), (2, "another text of these files", day(1))], [(3, "the same text in both files", day(2))],
+                 [(4, "a text that moves the watermark", day(20))], [(5, "the same text in both files", day(21))]):
+        df = spark.createDataFrame(rows, "id long, text string, ts string").withColumn("ts", F.to_timestamp("ts"))
+        df.coalesce(1).write.mode("append").parquet(landing)
+        stream = S.read_landing(spark, landing, df.schema)
+        S.run_available(S.start_ingest(stream, master, ckpt, "text", mode="watermark", watermark_col="ts", delay="3 days"))
+    assert sorted(r.id for r in spark.read.parquet(master).collect()) == [1, 2, 4, 5]
+    with pytest.raises(ValueError):
+        S.start_ingest(stream, master, ckpt, "text", mode="watermark")
+
+
+def test_drift_state_with_null_scores_null_snapshots_and_an_empty_reference(spark):
+    rows = [(i, "iran news" if i % 4 else None, None if i % 5 == 0 else f"s{i % 2}", None if i % 7 == 0 else ((i * 37) % 40) / 39.0, f"f{i % 10}") for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, score double, f string")
+    for scores in ([((i * 53) % 50) / 49.0 for i in range(200)] + [None], [None], [0.5] * 300, []):
+        ref = spark.createDataFrame([(x,) for x in scores], "score double")
+        landing, out, ckpt = (S.work_dir(spark, x) for x in ("t-landing", "t-out", "t-ckpt"))
+        S.stage_files(df, landing, "f")
+        S.run_available(S.start_drift(S.read_landing(spark, landing, df.schema, 3), ref, out, ckpt, "source", "text", "score", ["iran"]))
+        order = lambda t: sorted((tuple(r) for r in t.collect()), key=str)
+        assert order(S.read_latest(spark, out, "source")) == order(D.drift_by_snapshot(df, ref, "source", "text", "score", ["iran"]))
+
+
+def test_reference_index_gives_counts_at_any_score(spark):
+    ref = [((i * 53) % 500) / 499.0 for i in range(3000)] + [0.25] * 2000
+    index = D.ReferenceIndex.stored(spark.createDataFrame([(x,) for x in ref], "score double"), S.work_dir(spark, "t-ref"), ranges=16)
+    values = sorted({-1.0, 0.0, 0.25, 0.2500001, 1.0, 2.0, *[i / 77 for i in range(77)]})
+    got = {r.x: (r.r, r.cum_r) for r in index.at(spark.createDataFrame([(v,) for v in values], "x double")).collect()}
+    assert got == {v: (sum(x == v for x in ref), sum(x <= v for x in ref)) for v in values}
+    near = index.at(spark.createDataFrame([(0.9,)], "x double"))
+    filters = near._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+    assert "range" in filters and len(index.names) > 8

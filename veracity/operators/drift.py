@@ -14,7 +14,8 @@ from collections.abc import Sequence
 from typing import NamedTuple
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veracity.functions.common import as_col
@@ -289,14 +290,18 @@ def ks_by_group_of(table: DataFrame, counts: DataFrame, group_cols: Sequence[str
     grouped prefix sum; the two meet in an equi-join on the value. At each
     value ``x`` of a group both the right limit and the left limit of
     ``|F_ref - F_g|`` are taken, which covers the supremum between points."""
-    n_ref = table.agg(F.sum("r")).first()[0] or 0
+    return _ks_where(counts, table.select("x", "r", "cum_r"), table.agg(F.sum("r")).first()[0] or 0, group_cols, digits)
+
+
+def _ks_where(counts: DataFrame, at: DataFrame, n_ref: int, group_cols: Sequence[str], digits: int | None) -> DataFrame:
+    """D3 of every group, given ``x, r, cum_r`` of the reference at each of the groups' scores."""
     scored = counts.filter("x is not null")
     own = prefix_sums(scored, ["x"], ["c"], group_cols)
     sizes = scored.groupBy(*[F.col(c).alias(f"__s_{c}") for c in group_cols]).agg(F.sum("c").alias("n_new"))
     same = F.lit(True)
     for c in group_cols:
         same = same & F.col(c).eqNullSafe(F.col(f"__s_{c}"))
-    j = own.join(table.select("x", "r", "cum_r"), "x").join(sizes, same)
+    j = own.join(at, "x").join(sizes, same)
     d = F.lit(None).cast("double")
     if n_ref:
         fr, fr_l = F.col("cum_r") / F.lit(float(n_ref)), (F.col("cum_r") - F.col("r")) / F.lit(float(n_ref))
@@ -438,3 +443,87 @@ def drift_by_snapshot(new: DataFrame, ref: DataFrame, snapshot_col: str, text_co
         "ks_statistic", "ks_p_value", "psi", "psi_status",
         retrain_gate("relevancy_rate", "avg_confidence", drift, "psi").alias("retrain_needed"),
     )
+
+
+# --- T3: drift from merged counts ---------------------------------------------------
+#: Rows of a table that may be broadcast once they were counted, ranges of a stored reference.
+BROADCAST_ROWS, REFERENCE_RANGES = 500_000, 256
+
+
+class ReferenceIndex(NamedTuple):
+    """A reference's score table, stored in ranges of its scores, and what PSI takes from it."""
+
+    SCHEMA = "x double, r bigint, r_all bigint, cum_r bigint, range int"
+
+    path: str
+    bins: Reference
+    n: int
+    names: list[int]
+    firsts: list[float]
+    before: list[int]
+
+    @classmethod
+    def stored(cls, ref: DataFrame, path: str, score: str = "score", ranges: int = REFERENCE_RANGES) -> "ReferenceIndex":
+        """Writes the table to ``path`` once; a stream that starts again reads what it wrote."""
+        spark = ref.sparkSession
+        try:
+            table = spark.read.parquet(path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            sums = score_table(ref.select(F.col(score).cast("double").alias("x")), score="x").select("x", "r", "r_all", "cum_r")
+            total = sums.agg(F.sum("r")).first()[0] or 0
+            # equal shares of the rows; a score with more than that is one row, and ranges without any don't exist
+            own = F.coalesce(F.floor((F.col("cum_r") - F.col("r")) * ranges / max(total, 1)).cast("int"), F.lit(0))
+            sums.withColumn("range", own).repartition("range").write.partitionBy("range").parquet(path)
+            table = spark.read.schema(cls.SCHEMA).parquet(path)
+        heads = table.filter("x is not null").groupBy("range").agg(F.min("x").alias("x"), F.min(F.col("cum_r") - F.col("r")).alias("b")).orderBy("range").collect()
+        bins = reference_bins(table)
+        return cls(path, bins, table.agg(F.sum("r")).first()[0] or 0, [r.range for r in heads], [r.x for r in heads], [r.b for r in heads])
+
+    def range_of(self, x) -> Column:
+        """How many ranges begin at or below a score, less one; -1 below all. At most ``REFERENCE_RANGES`` comparisons."""
+        firsts = F.array(*[F.lit(f) for f in self.firsts])
+        return F.size(F.filter(firsts, lambda f: f <= as_col(x))) - 1
+
+    def at(self, values: DataFrame) -> DataFrame:
+        """``x, r, cum_r`` for every row of the distinct, non-null scores ``x``: reference rows at it, and up to it.
+
+        Reads only the ranges that the values lie in; values and reference rows
+        of a range meet in one window."""
+        if not self.firsts:
+            return values.select("x", F.lit(0).cast("bigint").alias("r"), F.lit(0).cast("bigint").alias("cum_r"))
+        own = values.select("x").withColumn("place", self.range_of("x"))
+        met = [r[0] for r in own.select("place").distinct().collect()]  # one row a range
+        place = F.create_map(*[F.lit(v) for pair in zip(self.names, range(len(self.names)), strict=True) for v in pair])
+        table = own.sparkSession.read.schema(self.SCHEMA).parquet(self.path)
+        rows = table.filter(F.col("x").isNotNull() & F.col("range").isin([self.names[m] for m in met if m >= 0]))
+        both = rows.select("x", place[F.col("range")].alias("place"), "r", F.lit(0).alias("w")).unionByName(
+            own.select("x", "place", F.lit(0).cast("bigint").alias("r"), F.lit(1).alias("w")))
+        cells = both.groupBy("place", "x").agg(F.sum("r").alias("r"), F.max("w").alias("w"))
+        running = F.sum("r").over(Window.partitionBy("place").orderBy("x").rowsBetween(Window.unboundedPreceding, 0))
+        base = F.coalesce(F.element_at(F.array(*[F.lit(b).cast("bigint") for b in self.before]), F.greatest(F.col("place"), F.lit(0)) + 1), F.lit(0))
+        return cells.withColumn("cum_r", F.when(F.col("place") < 0, F.lit(0)).otherwise(running + base).cast("bigint")).filter("w = 1").select("x", "r", "cum_r")
+
+
+def drift_of_counts(counts: DataFrame, index: ReferenceIndex, ks_mode: str = "limit") -> DataFrame:
+    """D8 from counts ``(snapshot, x, c, relevant)``: the columns of :func:`drift_by_snapshot`.
+
+    ``counts`` should be stored; it is read for the sums, the KS statistic and the PSI."""
+    x, c = F.col("x"), F.col("c").cast("double")
+    scored = F.sum(F.when(x.isNotNull(), F.col("c")))
+    mean = F.sum(c * x) / scored
+    base = counts.groupBy("snapshot").agg(
+        F.sum("c").alias("n_articles"), F.round(F.sum("relevant") / F.sum("c"), 4).alias("relevancy_rate"),
+        F.round(F.sum(c * F.abs(x - 0.5)) / scored * 2.0, 4).alias("avg_confidence"),
+        F.round(F.sqrt(F.greatest(F.sum(c * x * x) / scored - mean * mean, F.lit(0.0))), 4).alias("pred_std"))
+    at = index.at(counts.filter("x is not null").select("x").distinct())
+    ks = _ks_where(counts, at, index.n, ["snapshot"], None)
+    ks = ks.withColumn("__p", ks_pvalue("ks_statistic", "n_ref", "n_new", ks_mode)).select(
+        "snapshot", F.round("ks_statistic", 4).alias("ks_statistic"), F.round("__p", 4).alias("ks_p_value"), (F.col("__p") < KS_ALPHA).alias("__drift"))
+    p = psi_against(index.bins, counts, "x", "c", group_cols=["snapshot"])
+    j = base
+    for part in (ks, p):
+        j = j.join(part.withColumnRenamed("snapshot", "__s"), F.col("snapshot").eqNullSafe(F.col("__s")), "left").drop("__s")
+    return j.select("snapshot", "n_articles", "relevancy_rate", "avg_confidence", "pred_std", "ks_statistic", "ks_p_value", "psi", "psi_status",
+                    retrain_gate("relevancy_rate", "avg_confidence", F.col("__drift"), "psi").alias("retrain_needed"))

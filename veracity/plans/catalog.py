@@ -913,15 +913,24 @@ def _stream_input(spark, df, file_col, max_files):
     return S, S.read_landing(spark, landing, df.schema, max_files)
 
 
+#: Files of the streams below: a document's is the remainder of its id.
+LANDINGS = 6
+
+
 @register("stream_ingest", f"""
-SELECT min(doc_id) AS doc_id, text FROM (SELECT doc_id, {s_strip_tweet('text')} AS text FROM documents)
-WHERE length(text) >= 20 GROUP BY text""")
+SELECT doc_id, text FROM (
+  SELECT *, row_number() OVER (PARTITION BY text ORDER BY landing, doc_id) AS place
+  FROM (SELECT doc_id, doc_id % {LANDINGS} AS landing, {s_strip_tweet('text')} AS text FROM documents) WHERE length(text) >= 20)
+WHERE place = 1""")
 def q_stream_ingest(spark, d):
-    docs = X.documents(spark, d).select("doc_id", "text", "source")
-    # files in one batch: which row is first then is the order of ids, not of files
-    S, stream = _stream_input(spark, docs, "source", None)
-    master, ckpt = S.work_dir(spark, "master"), S.work_dir(spark, "ckpt")
-    S.run_available(S.start_ingest(stream, master, ckpt, "text", order_cols=["doc_id"]))
+    """One batch after the other: a text that several files hold stays as the first file brought it."""
+    from veracity.streaming import monitor as S
+    docs = X.documents(spark, d).select("doc_id", "text").withColumn("landing", F.col("doc_id") % LANDINGS)
+    landing, master, ckpt = (S.work_dir(spark, x) for x in ("landing", "master", "ckpt"))
+    for n in range(LANDINGS):  # as runs of a daily job: a file lands, the stream reads what is new
+        docs.filter(F.col("landing") == n).select("doc_id", "text").write.mode("append").parquet(landing)
+        stream = S.read_landing(spark, landing, "doc_id long, text string")
+        S.run_available(S.start_ingest(stream, master, ckpt, "text", order_cols=["doc_id"]))
     return spark.read.parquet(master).select("doc_id", "text")
 
 
@@ -941,7 +950,8 @@ def q_stream_monitor(spark, d):
 
 @register("stream_drift", ORACLE["drift_by_snapshot"])
 def q_stream_drift(spark, d):
-    S, stream = _stream_input(spark, X.new_scores(spark, d), "source", 10)
+    """Every file holds rows of every source, so each batch adds to what the state has of them."""
+    S, stream = _stream_input(spark, X.new_scores(spark, d).withColumn("file", F.col("doc_id") % LANDINGS), "file", 1)
     out, ckpt = S.work_dir(spark, "drift"), S.work_dir(spark, "ckpt")
     ref = X.reference_scores(spark, d)
     S.run_available(S.start_drift(stream, ref, out, ckpt, "source", "text", "score", HIT_KEYWORDS))

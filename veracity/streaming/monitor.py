@@ -5,14 +5,16 @@ monitors the newest file. Here the landing folder is a file-source stream:
 
 * T1 ``start_ingest``  - clean + length-filter each new file and merge it into
   an all-time master table, first row per text wins. ``mode="all_time"`` does
-  the merge in ``foreachBatch`` against the stored master (exact, state lives
-  in the table); ``mode="watermark"`` uses
+  the merge in ``foreachBatch`` against the digests of all stored texts, an
+  index in buckets (:mod:`veracity.streaming.state`) of which a batch reads the
+  ones it meets; ``mode="watermark"`` uses
   ``dropDuplicatesWithinWatermark`` (bounded state, duplicates further apart
   than the watermark delay are kept).
 * T2 ``start_monitor`` - tumbling event-time windows of relevancy and
   confidence (mergeable sums), watermark for late rows.
 * T3 ``start_drift``   - drift report of every snapshot a micro-batch adds to,
-  over all its rows so far, against a stored reference.
+  over all its rows so far, against a stored reference. Batches add counts by
+  snapshot and score to the state; rows are read once.
 
 Every ``foreachBatch`` writer is idempotent: batch ``b`` writes only
 ``.../batch_id=b`` with overwrite, so a replayed batch after a failure
@@ -29,11 +31,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veracity.functions.common import unit_hash
 from veracity.functions.text import relevant, strip_tweet
 from veracity.operators import drift as D
 from veracity.operators.prepare import MIN_TEXT_LEN, fresh_rows, key_digest
-from veracity.session import ensure_checkpoint_dir
+from veracity.session import ensure_checkpoint_dir, materialize
+from veracity.streaming.state import RunStore
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
@@ -73,6 +75,15 @@ def _existing(spark: SparkSession, root: str, before_batch: int) -> DataFrame |
 
 
 # --- T1 -------------------------------------------------------------------------
+def key_index(spark: SparkSession, path: str) -> RunStore:
+    """Digests of stored keys; no key stands in two batches, so runs need no merging but the union."""
+    return RunStore(spark, path, "digest binary", ("digest",), lambda rows: rows)
+
+
+def _digests(rows: DataFrame, key: str) -> DataFrame:
+    return rows.select(key_digest(key).alias("digest"))
+
+
 def start_ingest(stream: DataFrame, master_path: str, checkpoint: str, text_col: str = "text",
                  order_cols: Sequence[str] = (), mode: str = "all_time", watermark_col: str | None = None,
                  delay: str = "1 day", min_len: int = MIN_TEXT_LEN):
@@ -87,23 +98,22 @@ def start_ingest(stream: DataFrame, master_path: str, checkpoint: str, text_col:
         return q
 
     cols = cleaned.columns
-    keys_path = f"{master_path.rstrip('/')}-keys"
-
-    def keys_of(rows: DataFrame) -> DataFrame:
-        return rows.select(key_digest(text_col).alias("digest"))
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        known = _existing(spark, keys_path, batch_id)
-        if known is None and (master := _existing(spark, master_path, batch_id)) is not None:
-            # a master that was written without keys gets them once
-            keys_of(master).write.mode("overwrite").parquet(_batch_path(keys_path, -1))
-            known = _existing(spark, keys_path, batch_id)
-        if known is None:
-            known = keys_of(batch.limit(0))
+        index = key_index(spark, f"{master_path.rstrip('/')}-keys")
+        older = index.adopted([])
+        if older is None and batch_id == 0 and (master := _existing(spark, master_path, batch_id)) is not None:
+            # a master that was written without an index gets one once
+            index.adopt(_digests(master, text_col))
+        digests = _digests(batch, text_col)
+        grains = index.grains(digests)
+        known = index.before(batch_id, grains)
+        if (older := index.adopted(grains)) is not None:
+            known = known.unionByName(older)
         fresh_rows(batch.select(*cols), known, text_col, order_cols).write.mode("overwrite").parquet(_batch_path(master_path, batch_id))
         written = spark.read.schema(batch.select(*cols).schema).parquet(_batch_path(master_path, batch_id))
-        keys_of(written).write.mode("overwrite").parquet(_batch_path(keys_path, batch_id))
+        index.append(_digests(written, text_col), batch_id)
 
     return (cleaned.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
             .outputMode("append"))
@@ -136,22 +146,40 @@ def start_monitor(stream: DataFrame, out_path: str, checkpoint: str, time_col: s
 
 
 # --- T3 -------------------------------------------------------------------------
+def drift_state(spark: SparkSession, path: str, snapshot_type: str) -> RunStore:
+    """Rows ``(snapshot, x, c, relevant)``: articles of a snapshot at a score, and the relevant ones among them."""
+    return RunStore(spark, path, f"snapshot {snapshot_type}, x double, c bigint, relevant bigint", ("snapshot",), _summed)
+
+
+def _summed(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("snapshot", "x").agg(F.sum("c").alias("c"), F.sum("relevant").alias("relevant"))
+
+
 def start_drift(stream: DataFrame, reference: DataFrame, report_path: str, checkpoint: str, snapshot_col: str,
-                text_col: str, score_col: str, keywords: Sequence[str]):
+                text_col: str, score_col: str, keywords: Sequence[str], ks_mode: str = "limit"):
     """Drift report of every snapshot a micro-batch adds rows to, over all
-    rows of that snapshot so far. The rows are kept beside the reports, so a
-    snapshot whose files come in several batches ends with one whole report:
-    :func:`read_latest` by ``snapshot_col``."""
-    rows_path = f"{report_path}-rows"
+    rows of that snapshot so far: :func:`read_latest` by ``snapshot_col``.
+
+    A batch reduces its rows to counts by snapshot and score, adds those to
+    the state and reads the state of the snapshots it met; its articles are
+    never read again. The reference is reduced once, here, to bins and to a
+    table in ranges of its scores (:class:`~veracity.operators.drift.ReferenceIndex`),
+    of which a batch reads the ranges that its scores lie in."""
+    state_path, kind = f"{report_path}-state", stream.schema[snapshot_col].dataType.simpleString()
+    index = D.ReferenceIndex.stored(reference, f"{report_path}-reference", score_col)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select(snapshot_col, text_col, score_col)
-        rows.write.mode("overwrite").parquet(_batch_path(rows_path, batch_id))
-        touched = rows.select(F.col(snapshot_col).alias("__s")).distinct()
-        so_far = _existing(batch.sparkSession, rows_path, batch_id + 1)
-        whole = so_far.join(touched, F.col(snapshot_col).eqNullSafe(F.col("__s")), "left_semi")
-        rep = D.drift_by_snapshot(whole, reference, snapshot_col, text_col, score_col, keywords)
+        state = drift_state(batch.sparkSession, state_path, kind)
+        rows = batch.select(F.col(snapshot_col).alias("snapshot"), F.col(score_col).cast("double").alias("x"), F.lit(1).cast("bigint").alias("c"),
+                            relevant(text_col, keywords).cast("bigint").alias("relevant"))
+        added = materialize(_summed(rows))
+        met = F.broadcast if added.count() <= D.BROADCAST_ROWS else (lambda t: t)
+        touched = met(added.select(F.col("snapshot").alias("__s")).distinct())
+        so_far = state.before(batch_id, state.grains(added)).join(touched, F.col("snapshot").eqNullSafe(F.col("__s")), "left_semi")
+        whole = materialize(_summed(so_far.unionByName(added)))
+        rep = D.drift_of_counts(whole, index, ks_mode).withColumnRenamed("snapshot", snapshot_col)
         rep.write.mode("overwrite").parquet(_batch_path(report_path, batch_id))
+        state.append(added, batch_id)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
@@ -179,7 +207,3 @@ def run_available(writer, timeout_s: float | None = None) -> None:
             q.stop()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-
-
-def score_column(id_col: str, salt: str):
-    return unit_hash(id_col, salt)
