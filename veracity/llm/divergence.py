@@ -21,7 +21,9 @@ are exact; sums don't depend on order. Texts are counted where they are read,
 so a source, language or term that holds a third of all rows leaves a task as
 one row a term and flush. Output is every pair of sources of a language, as
 asked for; tiles bound what a task holds, and their partial sums are fewer
-rows than the cells that were compared. Nothing is collected on the driver.
+rows than the cells that were compared. Nothing is collected on the driver;
+the tables of languages and groups are broadcast only after their rows were
+counted, beyond the bound Spark joins them as any others.
 
 Defined results: null text, language and source are ''. A group without terms
 takes part, and a language without kept terms has pairs of value 0 and no
@@ -41,13 +43,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from veracity.llm.base import arrow_batches, slices
+from veracity.operators.features import broadcast_within
 from veracity.session import materialize
 
 MIN_DOCUMENTS, TOP = 10, 10
 UNIT = 1_000_000_000
 #: Groups and (on average) terms of a tile, cells of a leaf; terms that a task counts before it passes them on.
 ROWS, COLUMNS, LEAF_ROWS, LEAF_COLUMNS = 256, 4096, 4, 64
-HELD = 400_000
+HELD = 800_000
 
 #: Bytes that end a term become spaces, A-Z become lower case; all others, with those of other scripts, stay.
 _TABLE = bytes(b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in range(256)).lower()
@@ -111,6 +114,7 @@ def _counted(batches):
 def counts(docs: DataFrame) -> DataFrame:
     """``lang, source, term, n, docs``: occurrences and documents; one row with a null term for each group."""
     found = docs.select("lang", "source", "text").mapInArrow(_counted, "lang string, source string, term string, n long, docs long")
+    found = found.repartition("lang", "source", "term")  # tasks have added up already: no second partial sum before the exchange
     return found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
@@ -203,7 +207,7 @@ def audit(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, top: int = TOP) -
     kept = cells.groupBy("lang", "term").agg(F.sum("n").alias("whole"), F.sum("docs").alias("docs")).filter(F.col("docs") >= min_documents).drop("docs")
     kept = materialize(kept)
     langs = kept.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("whole").alias("words"))
-    langs = materialize(langs.withColumn("blocks", F.ceil(F.col("kept") / COLUMNS).cast("int")))
+    langs = broadcast_within(materialize(langs.withColumn("blocks", F.ceil(F.col("kept") / COLUMNS).cast("int"))))
     placed = kept.join(langs.select("lang", "blocks"), "lang").withColumn("block", F.pmod(F.xxhash64("term"), F.col("blocks")).cast("int")).drop("blocks")
     placed = placed.withColumn("column", F.row_number().over(Window.partitionBy("lang", "block").orderBy("term")) - 1)
     # the language's total is one row a term, a cell one a source and term
@@ -218,6 +222,7 @@ def audit(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, top: int = TOP) -
     groups = groups.withColumn("row", F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1)
     groups = materialize(groups.withColumn("absent", F.coalesce(_share("0", "total", "kept"), F.lit(0))).withColumn("row_blocks", F.floor((F.max("row").over(Window.partitionBy("lang")) / ROWS)).cast("int")))
 
+    groups = broadcast_within(groups)
     shares = materialize(cells.join(groups, ["lang", "source"]).select(
         "lang", "source", "term", "block", "column", "row", "row_blocks", _share("n", "total", "kept").alias("share"), _share("whole", "words", "kept").alias("expected")))
 
