@@ -1,6 +1,7 @@
 """M1-M6, A7, O3, J3, F11, F12."""
 
 import math
+import random
 from collections import Counter
 
 import numpy as np
@@ -114,3 +115,55 @@ def test_tables_beyond_the_bound_are_not_broadcast(spark, docs):
     vocab = M.build_vocabulary(docs, "doc_id", "text", max_words=6)
     plan = lambda df: df._jdf.queryExecution().analyzed().toString()
     assert "broadcast" in plan(M.broadcast_within(vocab, 4)) and "broadcast" not in plan(M.broadcast_within(vocab, 3))
+
+
+# --- M1-M3: selection by refined histograms ---------------------------------------------
+@pytest.mark.parametrize("bits", [1, 2, 16])
+def test_cut_by_group_matches_a_sort(spark, bits):
+    """Ties in the hash, null groups and ids, quotas of 0, of all and beyond; more groups than are told apart by an expression."""
+    rng = random.Random(bits)
+    for n_groups in (3, 90):
+        rows = [(None if g == 0 else f"g{g}", rng.choice((5, 1 << 31, (1 << 32) - 1, rng.randrange(1 << 32))), i if i % 50 else None)
+                for i in range(400) for g in [rng.randrange(n_groups)]]
+        groups = sorted({r[0] for r in rows}, key=str)
+        quotas = [(g, (0, 1, 7, 10 ** 6)[k % 4] if k else 40) for k, g in enumerate(groups)]
+        df = spark.createDataFrame([(*r, "kept") for r in rows], "g string, h long, id long, other string").repartition(3)
+        got = M.exact_rank_cut(df, "h", "id", spark.createDataFrame(quotas, "g string, quota long"), ["g"], bucket_bits=bits)
+        assert got.columns == ["g", "h", "id", "other", "in_cut"]
+        want = []
+        for g, quota in quotas:
+            mine = sorted(((h, i is not None, i or 0), (g, h, i)) for gg, h, i in rows if gg == g)
+            taken = [r for _, r in mine[:quota]]
+            want += [(*r, r in taken) for _, r in mine]  # rows that agree in all fall on one side
+        assert sorted(map(str, ((r.g, r.h, r.id, r.in_cut) for r in got.collect()))) == sorted(map(str, want))
+
+
+def test_cut_reads_its_input_twice_and_joins_nothing(spark):
+    df = spark.range(1000).selectExpr("id", "cast(id % 2 as int) as label", "pmod(hash(id), 4294967296L) as h")
+    cut = M.exact_rank_cut(df, "h", "id", spark.createDataFrame([(0, 30), (1, 40)], "label int, quota long"), ["label"])
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Join", "Window", "Exchange", "Sort")) and plan.count("Range") == 1
+    assert cut.filter("in_cut").groupBy("label").count().orderBy("label").collect() == [(0, 30), (1, 40)]
+
+
+# --- A7, M5, M6 -------------------------------------------------------------------------
+def test_token_counts_are_hashed_not_sorted(spark):
+    docs = spark.createDataFrame([(-3, "b a b"), (7, "a c"), (9_000_000_000_000_000_000, "d D d"), (None, "e a"), (1, None)], "id long, t string")
+    freq = M.token_frequency(docs, "id", "t")
+    plan = freq._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "Sort " not in plan
+    got = {r.word: (r.n, r.first_doc, r.first_pos) for r in freq.collect()}
+    assert got == {"a": (3, -3, 1), "b": (2, -3, 0), "c": (1, 7, 1), "d": (3, 9_000_000_000_000_000_000, 0), "e": (1, None, None)}
+    assert freq.schema["first_doc"].dataType.simpleString() == "bigint"
+    named = M.token_frequency(docs.filter("id is not null").selectExpr("cast(id as string) as id", "t"), "id", "t")  # ids that are no numbers
+    assert {r.word: r.n for r in named.collect()} == {"a": 2, "b": 2, "c": 1, "d": 3}
+
+
+def test_weights_count_terms_of_the_vocabulary_only(spark):
+    docs = spark.createDataFrame([(i, f"alpha beta{i % 3} gamma alpha rare{i}") for i in range(30)] + [(30, None), (31, "rare99")], "id long, t string")
+    vocab, weights = M.tfidf_fit_transform(docs, "id", "t", max_features=4)
+    assert vocab.count() == 4 and {r.term for r in weights.collect()} <= {r.term for r in vocab.collect()}
+    shared = M.term_counts(docs, "id", "t")
+    again = M.tfidf_transform(docs, vocab, "id", "t", counts=shared)
+    key = lambda t: sorted((r.id, r.term, round(r.weight, 12)) for r in t.collect())
+    assert key(weights) == key(again)

@@ -447,7 +447,7 @@ def drift_by_snapshot(new: DataFrame, ref: DataFrame, snapshot_col: str, text_co
 
 # --- T3: drift from merged counts ---------------------------------------------------
 #: Rows of a table that may be broadcast once they were counted, ranges of a stored reference.
-BROADCAST_ROWS, REFERENCE_RANGES = 500_000, 256
+BROADCAST_ROWS, REFERENCE_RANGES = 500_000, 64
 
 
 class ReferenceIndex(NamedTuple):
@@ -481,28 +481,26 @@ class ReferenceIndex(NamedTuple):
         bins = reference_bins(table)
         return cls(path, bins, table.agg(F.sum("r")).first()[0] or 0, [r.range for r in heads], [r.x for r in heads], [r.b for r in heads])
 
-    def range_of(self, x) -> Column:
-        """How many ranges begin at or below a score, less one; -1 below all. At most ``REFERENCE_RANGES`` comparisons."""
-        firsts = F.array(*[F.lit(f) for f in self.firsts])
-        return F.size(F.filter(firsts, lambda f: f <= as_col(x))) - 1
-
     def at(self, values: DataFrame) -> DataFrame:
         """``x, r, cum_r`` for every row of the distinct, non-null scores ``x``: reference rows at it, and up to it.
 
-        Reads only the ranges that the values lie in; values and reference rows
-        of a range meet in one window."""
+        A score's range is found among at most ``REFERENCE_RANGES`` first
+        scores. Only the ranges that the values lie in are read; values and
+        reference rows of a range meet in one window."""
         if not self.firsts:
             return values.select("x", F.lit(0).cast("bigint").alias("r"), F.lit(0).cast("bigint").alias("cum_r"))
-        own = values.select("x").withColumn("place", self.range_of("x"))
-        met = [r[0] for r in own.select("place").distinct().collect()]  # one row a range
-        place = F.create_map(*[F.lit(v) for pair in zip(self.names, range(len(self.names)), strict=True) for v in pair])
+        # whole arrays as text: one expression to parse instead of one a number
+        firsts, names, before = (f"array({','.join(each.format(v) for v in column)})" for each, column in (
+            ("double('{}')", self.firsts), ("{}", self.names), ("{}L", self.before)))
+        own = values.select("x", F.expr(f"size(filter({firsts}, f -> f <= x)) - 1").alias("place"))
+        met = [self.names[r[0]] for r in own.select("place").distinct().collect() if r[0] >= 0]  # one row a range
         table = own.sparkSession.read.schema(self.SCHEMA).parquet(self.path)
-        rows = table.filter(F.col("x").isNotNull() & F.col("range").isin([self.names[m] for m in met if m >= 0]))
-        both = rows.select("x", place[F.col("range")].alias("place"), "r", F.lit(0).alias("w")).unionByName(
+        rows = table.filter(F.col("x").isNotNull() & F.col("range").isin(met))
+        both = rows.select("x", F.expr(f"cast(array_position({names}, range) as int) - 1").alias("place"), "r", F.lit(0).alias("w")).unionByName(
             own.select("x", "place", F.lit(0).cast("bigint").alias("r"), F.lit(1).alias("w")))
         cells = both.groupBy("place", "x").agg(F.sum("r").alias("r"), F.max("w").alias("w"))
         running = F.sum("r").over(Window.partitionBy("place").orderBy("x").rowsBetween(Window.unboundedPreceding, 0))
-        base = F.coalesce(F.element_at(F.array(*[F.lit(b).cast("bigint") for b in self.before]), F.greatest(F.col("place"), F.lit(0)) + 1), F.lit(0))
+        base = F.expr(f"element_at({before}, greatest(place, 0) + 1)")
         return cells.withColumn("cum_r", F.when(F.col("place") < 0, F.lit(0)).otherwise(running + base).cast("bigint")).filter("w = 1").select("x", "r", "cum_r")
 
 

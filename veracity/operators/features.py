@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veracity.functions.common import hash32
 from veracity.functions.text import ngram_rows, whitespace_tokens
@@ -29,6 +30,10 @@ HASH_BUCKET_BITS = 16
 # ------------------------------------------------------------------------------
 #: Rows of a table of words, terms, classes or coefficients that may be broadcast: some 50 MB.
 BROADCAST_ROWS = 500_000
+#: Groups that are told apart by an expression.
+FEW_GROUPS = 64
+#: More than the positions of a text.
+POSITIONS = 1 << 31
 
 
 def broadcast_within(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -45,8 +50,18 @@ def token_positions(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def token_frequency(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Corpus count of each lower-cased whitespace token, with its first
-    appearance ``(first_doc, first_pos)`` for stable tie-breaking."""
+    appearance ``(first_doc, first_pos)`` for stable tie-breaking; null ids
+    are no appearance.
+
+    Whole-number ids and positions are packed into one decimal, of which the
+    least is kept in a hash aggregate: no sort of tokens, neither before the
+    exchange nor after it. A struct, as for other ids, would be sorted."""
     t = token_positions(docs, id_col, text_col)
+    if isinstance(docs.schema[id_col].dataType, T.IntegralType):
+        place = F.col(id_col).cast("decimal(20,0)") * F.lit(POSITIONS).cast("decimal(10,0)") + F.col("pos").cast("decimal(10,0)")
+        doc = F.floor(F.col("__first") / F.lit(POSITIONS).cast("decimal(10,0)"))
+        return t.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("__first")).select(
+            "word", "n", doc.cast(docs.schema[id_col].dataType).alias("first_doc"), F.expr(f"CAST(pmod(__first, {POSITIONS}BD) AS INT)").alias("first_pos"))
     first = F.min(F.struct(F.col(id_col).alias("d"), F.col("pos").alias("p")))
     return t.groupBy("word").agg(F.count(F.lit(1)).alias("n"), first.alias("__first")).select(
         "word", "n", F.col("__first.d").alias("first_doc"), F.col("__first.p").cast("int").alias("first_pos")
@@ -106,13 +121,40 @@ def encode_drop_oov(docs: DataFrame, vocab: DataFrame, id_col: str, text_col: st
 
 
 # --- M1-M4: exact hash cuts -------------------------------------------------------
-def _match(rows: DataFrame, table: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Inner join on ``on`` with null equal to null, so that no row is lost."""
-    named = table.withColumnsRenamed({c: f"__on_{c}" for c in on})
-    cond = F.lit(True)
-    for c in on:
-        cond = cond & F.col(c).eqNullSafe(F.col(f"__on_{c}"))
-    return rows.join(named, cond).drop(*[f"__on_{c}" for c in on])
+def _told(rows: DataFrame, table: DataFrame, on: Sequence[str], names: dict[str, str]) -> DataFrame:
+    """``rows`` with the columns ``names`` (name: type) of ``table``, which has one row a group; null for groups without.
+
+    Few groups are told apart by an expression, so no row is joined or moved;
+    many meet in a join, null with null."""
+    found = table.limit(FEW_GROUPS + 1).collect()
+    if len(found) > FEW_GROUPS:
+        named = broadcast_within(table).withColumnsRenamed({c: f"__on_{c}" for c in on})
+        cond = F.lit(True)
+        for c in on:
+            cond = cond & F.col(c).eqNullSafe(F.col(f"__on_{c}"))
+        return rows.join(named, cond, "left").drop(*[f"__on_{c}" for c in on])
+    values = {}
+    for name, kind in names.items():
+        value = F.lit(None).cast(kind)
+        for r in found:
+            same = F.lit(True)
+            for c in on:
+                same = same & F.col(c).eqNullSafe(F.lit(r[c]))
+            value = F.when(same, F.lit(r[name]).cast(kind)).otherwise(value)
+        values[name] = value
+    return rows.withColumns(values)
+
+
+def _boundary(rows: DataFrame, place: "F.Column", quota: DataFrame, group_cols: Sequence[str]) -> DataFrame:
+    """``group_cols, __at, __need``: the place at which a group's running count reaches its quota, and how
+    many of the rows there are still wanted. Groups whose quota is 0 or not reached have no row."""
+    counts = rows.groupBy(*group_cols, place.alias("__at")).agg(F.count(F.lit(1)).alias("__cnt"))
+    w = Window.partitionBy(*group_cols).orderBy("__at").rowsBetween(Window.unboundedPreceding, 0)
+    counts = counts.withColumn("__cum", F.sum("__cnt").over(w))
+    told = _told(counts, quota, group_cols, {"quota": "bigint"})
+    before = F.col("__cum") - F.col("__cnt")
+    return told.filter((F.col("__cum") >= F.col("quota")) & (before < F.col("quota"))).select(
+        *group_cols, "__at", (F.col("quota") - before).alias("__need"))
 
 
 def exact_rank_cut(df: DataFrame, h_col: str, id_col: str, quota: DataFrame,
@@ -120,38 +162,34 @@ def exact_rank_cut(df: DataFrame, h_col: str, id_col: str, quota: DataFrame,
                    bucket_bits: int = HASH_BUCKET_BITS) -> DataFrame:
     """Flag, per group, the ``quota`` rows with the smallest ``(h, id)``.
 
-    No per-group sort: rows are counted per ``(group, top bits of h)`` bucket
-    (at most ``groups x 2^bucket_bits`` rows), a running count over that small
-    table finds each group's boundary bucket, whole buckets below it are in,
-    and ``row_number`` runs only inside the boundary bucket. ``quota`` has
-    ``group_cols`` + ``quota``."""
+    The last of them is found by refining histograms: rows are counted by the
+    top ``bucket_bits`` of the hash, those of the bucket in which the quota is
+    reached by the bits below, and those of the hash found there by id. Counts
+    are made on a stored copy of group, hash and id, so ``df`` is read twice:
+    for that copy, and for one comparison of each row with its group's cut.
+    Nothing is sorted or numbered, and with few groups nothing is joined.
+    Rows that agree in group, hash and id fall on the same side, so a quota
+    that ends among such copies is exceeded by those. ``quota`` has
+    ``group_cols`` + ``quota``, one row a group."""
     shift = 32 - bucket_bits
-    b = F.shiftright(F.col(h_col), shift).alias("__b")
-    with_b = df.withColumn("__b", b)
-    counts = with_b.groupBy(*group_cols, "__b").agg(F.count(F.lit(1)).alias("__cnt"))
-    w = Window.partitionBy(*group_cols).orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
-    counts = counts.withColumn("__cum", F.sum("__cnt").over(w))
-    if group_cols:
-        status = _match(counts, quota, group_cols)  # one row per group
-    else:
-        status = counts.withColumn("quota", F.lit(quota.first()["quota"]))
-    before = F.col("__cum") - F.col("__cnt")
-    status = status.select(
-        *group_cols, "__b",
-        F.when(F.col("__cum") <= F.col("quota"), F.lit("all"))
-        .when(before >= F.col("quota"), F.lit("none"))
-        .otherwise(F.lit("part")).alias("__st"),
-        (F.col("quota") - before).alias("__need"),
-    )
-    if not group_cols:
-        status = F.broadcast(status)  # 2^bucket_bits rows at most: a proven bound
-    tagged = _match(with_b, status, [*group_cols, "__b"])
-    settled = tagged.filter(F.col("__st") != "part").withColumn(flag, F.col("__st") == "all")
-    wb = Window.partitionBy(*group_cols, "__b").orderBy(F.col(h_col), F.col(id_col))
-    part = tagged.filter(F.col("__st") == "part").withColumn(
-        flag, F.row_number().over(wb) <= F.col("__need"))
-    cols = [c for c in df.columns] + [flag]
-    return settled.select(*cols).unionByName(part.select(*cols))
+    keys = materialize(df.select(*group_cols, F.col(h_col).alias("__h"), F.col(id_col).alias("__id")))
+    quota = materialize(quota.select(*group_cols, F.col("quota").cast("bigint").alias("quota")))
+    whole = materialize(_told(keys.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n")), quota, group_cols, {"quota": "bigint"}).filter("n <= quota").select(
+        *group_cols, F.lit(True).alias("__whole")))
+
+    top = materialize(_boundary(keys, F.shiftright("__h", shift), quota, group_cols))
+    near = _told(keys, top, group_cols, {"__at": "bigint", "__need": "bigint"}).filter(F.shiftright("__h", shift) == F.col("__at"))
+    exact = materialize(_boundary(near.select(*group_cols, "__h", "__id"), F.col("__h"), top.select(*group_cols, F.col("__need").alias("quota")), group_cols))
+    tied = _told(keys, exact, group_cols, {"__at": "bigint", "__need": "bigint"}).filter(F.col("__h") == F.col("__at"))
+    last = _boundary(tied.select(*group_cols, "__id"), F.col("__id"), exact.select(*group_cols, F.col("__need").alias("quota")), group_cols)
+    last = materialize(last.select(*group_cols, F.col("__at").alias("__last")))
+
+    kind = df.schema[id_col].dataType.simpleString()
+    told = _told(_told(df, exact.select(*group_cols, F.col("__at").alias("__cut")), group_cols, {"__cut": "bigint"}), last, group_cols, {"__last": kind})
+    told = _told(told, whole, group_cols, {"__whole": "boolean"})
+    at_cut = (F.col(h_col) == F.col("__cut")) & ((F.col(id_col) <= F.col("__last")) | F.col(id_col).isNull())  # null ids come first
+    inside = F.coalesce("__whole", F.lit(False)) | F.coalesce((F.col(h_col) < F.col("__cut")) | at_cut, F.lit(False))
+    return told.withColumn(flag, inside).select(*df.columns, flag)
 
 
 def stratified_split(df: DataFrame, id_col: str, label_col: str = "label", test_fraction: float = TEST_FRACTION,
@@ -219,14 +257,17 @@ def with_class_weight(df: DataFrame, label_col: str = "label", weight_col: str =
 
 
 # --- M6 TF-IDF ------------------------------------------------------------------------
+def _by_document(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    n = docs.sparkSession.sparkContext.defaultParallelism
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n)
+    return docs.select(id_col, text_col).repartition(parts, id_col)
+
+
 def term_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(id, term, tf)``. Documents are hash-partitioned by id once (the
     text is smaller than its exploded n-grams), after which the per-document
     count and the later per-document norm need no further shuffle."""
-    n = docs.sparkSession.sparkContext.defaultParallelism
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n)
-    d = docs.select(id_col, text_col).repartition(parts, id_col)
-    return ngram_rows(d, id_col, text_col).groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+    return ngram_rows(_by_document(docs, id_col, text_col), id_col, text_col).groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def tfidf_fit(docs: DataFrame, id_col: str, text_col: str, max_features: int = TFIDF_MAX_FEATURES,
@@ -250,10 +291,15 @@ def tfidf_transform(docs: DataFrame, vocab: DataFrame, id_col: str, text_col: st
     L2-normalised per document (documents without terms have no rows).
     ``vocab`` should be stored, as :func:`tfidf_fit_transform` does.
 
-    The term counts are clustered by document id, so the broadcast join and
-    the per-document norm window add no shuffle."""
-    tc = counts if counts is not None else term_counts(docs, id_col, text_col)
-    j = tc.join(broadcast_within(vocab.select("term", "index", "idf")), on="term", how="inner")
+    Terms outside the vocabulary are dropped before they are counted. Rows are
+    clustered by document id, so the broadcast join, the count and the
+    per-document norm add no shuffle."""
+    known = broadcast_within(vocab.select("term", "index", "idf"))
+    if counts is None:
+        rows = ngram_rows(_by_document(docs, id_col, text_col), id_col, text_col)
+        j = rows.join(known, on="term", how="inner").groupBy(id_col, "term", "index", "idf").agg(F.count(F.lit(1)).alias("tf"))
+    else:
+        j = counts.join(known, on="term", how="inner")
     raw = (F.lit(1.0) + F.log(F.col("tf"))) * F.col("idf")
     w = Window.partitionBy(id_col)
     j = j.withColumn("__w", raw)
@@ -263,8 +309,7 @@ def tfidf_transform(docs: DataFrame, vocab: DataFrame, id_col: str, text_col: st
 
 def tfidf_fit_transform(docs: DataFrame, id_col: str, text_col: str,
                         max_features: int = TFIDF_MAX_FEATURES) -> tuple[DataFrame, DataFrame]:
-    """M6 on one corpus: the n-gram counts are checkpointed and feed both the
-    vocabulary, itself checkpointed, and the weights."""
-    tc = materialize(term_counts(docs, id_col, text_col))
-    vocab = materialize(tfidf_fit(docs, id_col, text_col, max_features, counts=tc))
-    return vocab, tfidf_transform(docs, vocab, id_col, text_col, counts=tc)
+    """M6 on one corpus: the first pass over the texts finds the terms, which
+    are stored; the second counts only those. No count of another term is kept."""
+    vocab = materialize(tfidf_fit(docs, id_col, text_col, max_features))
+    return vocab, tfidf_transform(docs, vocab, id_col, text_col)

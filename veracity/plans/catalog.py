@@ -266,6 +266,22 @@ def q_merge_distinct(spark, d):
     return P.merge_distinct(master, new, "text", order_cols=["doc_id"])
 
 
+@register("merge_bucketed", ORACLE["merge_distinct"])
+def q_merge_bucketed(spark, d):
+    """U1 on a bucketed master: the new rows are merged twice, the second time without effect."""
+    from uuid import uuid4
+
+    from veracity.operators import master as B
+    from veracity.streaming.monitor import work_dir
+    docs = X.documents(spark, d).select("doc_id", "text")
+    lab = X.table(spark, d, "labels").select("doc_id")
+    name, path = f"master_{uuid4().hex}", work_dir(spark, "bucketed")
+    B.create_master(docs.join(lab, "doc_id", "left_semi"), name, path, "text", ["doc_id"], buckets=16)
+    for _ in range(2):
+        B.merge_into_master(docs.join(lab, "doc_id", "left_anti"), name, path, "text", ["doc_id"])
+    return B.master(spark, name)
+
+
 @register("latest_snapshot", f"""
 WITH s AS ({SQL['snapshots']}),
      f AS (SELECT file, max(ts) AS mtime FROM s GROUP BY file),
@@ -914,7 +930,7 @@ def _stream_input(spark, df, file_col, max_files):
 
 
 #: Files of the streams below: a document's is the remainder of its id.
-LANDINGS = 6
+LANDINGS = 5
 
 
 @register("stream_ingest", f"""
