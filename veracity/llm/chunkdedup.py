@@ -1,21 +1,34 @@
-"""Substring dedup: every run of ``MIN_WORDS`` words that stands in two documents.
-
-Words get random values; a run of words gets a digest, mixed from those of its
-halves. Of the runs of ``GRAM`` words inside each ``MIN_WORDS`` words, the one
-of the greatest digest is picked, the last of equal ones. Which it is depends
-on these words alone, so where the words stand in another document too, the
-same run is picked there: whatever stands before or after, and in passages
-that repeat a word or a few. A pick serves neighbouring places, about nine, and
-is one row with them.
-
-Places whose pick no other document has are no repeats. Where all places of a
-pick have the same words, from the first served to the last, these are. What
+"""Substring dedup by content-defined chunks: every run of ``MIN_WORDS`` words that stands in two documents.
+
+**Chunks.** Words get random values, and a gear rolling hash (shift and add)
+runs over them; its shift leaves the last ``WINDOW`` words in it. Of every
+``REACH + 1`` neighbouring places the one of the greatest hash ends a chunk,
+the last of equal ones. So chunks have 1 to ``REACH + 1`` words, ends are
+defined in texts that repeat a word or a few as well, and after an insertion
+the same words are cut the same way again a few words on. A chunk's digest
+covers the chunk and the ``CONTEXT`` words before it.
+
+**Seeds.** Chunks are deduplicated by digest. Whether and where a chunk ends
+depends on ``WINDOW - 1 + REACH`` words before it and ``REACH`` words behind,
+so inside any ``MIN_WORDS`` words some chunks are whole and certain whatever
+stands around; the one of the greatest digest, the last of equal ones, is the
+seed of that place. Where the same words stand in another document, so does
+the same chunk: no shared run is without a shared seed. A chunk serves
+neighbouring places, about eight, and is one row with them.
+
+Places whose chunk no other document has are no repeats. Where all places of a
+chunk have the same words, from the first served to the last, these are. What
 is left are the edges of passages, where texts part: there each run of
 ``MIN_WORDS`` words is compared by digest itself, once for all places whose
 words agree. So results are exact but for digests of 64 bits that agree by
-chance. A passage in a third of
-all documents is one row after aggregation, and the join back is one that
-adaptive execution can split.
+chance. A passage in a third of all documents is one row after aggregation;
+that table is stored before rows are joined with it, so the join's sides come
+straight from exchanges and adaptive execution can split a hot chunk's.
+
+Shared chunks are marked in a bitmap of ``BITS`` bits, whatever their number.
+When texts are chunked the second time only places whose chunk is marked leave
+the task; marks that agree by chance are removed by the join. With more chunks
+the bitmap lets more through, which costs time and no result.
 
 Spans are runs of places that follow each other by one word: maximal, except
 that parts may stand in different documents. Spans that lie apart by more may
@@ -40,10 +53,10 @@ from pyspark.sql import functions as F
 from veracity.llm.base import WORD_RE, arrow_rows
 from veracity.session import materialize
 
-WINDOW, REACH = 4, 3
-MIN_WORDS, GRAM = 24, 8
+MIN_WORDS, WINDOW, REACH, CONTEXT = 24, 4, 2, 6
+BITS = 1 << 27
 SLAB, ROWS = 1 << 16, 1 << 16
-_PICKS = pa.schema([("doc_id", pa.int64()), ("word", pa.int32()), ("places", pa.int32()), ("gram", pa.int64()), ("whole", pa.int64())])
+_PICKS = pa.schema([("doc_id", pa.int64()), ("word", pa.int32()), ("places", pa.int32()), ("chunk", pa.int64()), ("whole", pa.int64())])
 _EDGES = pa.schema([("lo", pa.int64()), ("whole", pa.int64()), ("step", pa.int32()), ("digest", pa.int64()), ("hi", pa.int64())])
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -93,9 +106,58 @@ def picked(hashes: np.ndarray, width: int) -> np.ndarray:
     return np.arange(width - 1, n + width - 1) - last
 
 
+def gear(values: np.ndarray, window: int = WINDOW) -> np.ndarray:
+    """The rolling hash at each word, h = (h << shift) + value; the shift drives a word out after ``window`` steps.
+
+    The hash of a place whose window isn't full is that of the words that are there."""
+    shift, out = np.uint64(64 // window), values.copy()
+    for back in range(1, min(window, len(values))):
+        out[back:] += values[:-back] << np.uint64(back * int(shift))
+    return out
+
+
 def ends(values: np.ndarray, window: int = WINDOW, reach: int = REACH) -> np.ndarray:
-    """Where picked runs of ``window`` words end (exclusive): each is picked of ``reach + 1`` neighbours."""
-    return np.unique(picked(digests(values, window), reach + 1)) + window
+    """Places of the last words of chunks."""
+    return np.unique(picked(gear(values, window), reach + 1))
+
+
+def chunks(values: np.ndarray, window: int = WINDOW, reach: int = REACH, context: int = CONTEXT) -> tuple[np.ndarray, np.ndarray]:
+    """Last words and digests of the chunks that have a chunk's end ``context`` words or more before them."""
+    last = ends(values, window, reach)
+    before, last = last[:-1], last[1:]
+    far = before >= context - 1
+    before, last = before[far], last[far]
+    if not len(last):
+        return last, np.zeros(0, np.uint64)
+    ahead = digests(values, context)[before - context + 1]
+    size = last - before
+    body = np.zeros(len(last), np.uint64)
+    for length in range(1, reach + 2):
+        of = size == length
+        body[of] = digests(values, length)[before[of] + 1] + np.uint64(length)
+    return last, np.maximum(_mixed(ahead, body), np.uint64(1))
+
+
+def seeds(values: np.ndarray, min_words: int = MIN_WORDS, window: int = WINDOW, reach: int = REACH, context: int = CONTEXT) -> tuple[np.ndarray, np.ndarray]:
+    """For every ``min_words`` words, the last word of its seed, and the seeds' digests by place.
+
+    From ``first`` words on an end is certain; a chunk has at most ``reach + 1`` words, so one that ends so
+    much later began at a certain end."""
+    last, digest = chunks(values, window, reach, context)
+    at = np.zeros(len(values), np.uint64)
+    at[last] = digest
+    first = max(window - 1 + reach, context - 1) + reach + 1
+    width = min_words - reach - first
+    if width < reach + 1:
+        raise ValueError("so few words may hold no whole chunk")
+    places = max(len(values) - min_words + 1, 0)
+    return picked(at[first:], width)[:places] + first, at
+
+
+def _marked(digest: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """Whether digests are marked in a bitmap of bytes."""
+    at = digest >> np.uint64(64 - (len(marks) * 8 - 1).bit_length())
+    return (marks[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
 def _batches(parts, schema: pa.Schema):
@@ -117,24 +179,43 @@ def _batches(parts, schema: pa.Schema):
     pa.default_memory_pool().release_unused()  # a worker lives on with the next task
 
 
-def picks(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM) -> DataFrame:
-    """``doc_id, word, places, gram, whole``: first place that a picked run serves, number of
-    places, its digest, and the digest of all words of these places."""
+def picks(docs: DataFrame, min_words: int = MIN_WORDS, marks=None) -> DataFrame:
+    """``doc_id, word, places, chunk, whole``: first place that a chunk serves, number of places, the
+    chunk's digest, and the digest of all words of these places. With ``marks``, a broadcast bitmap,
+    only of chunks that are marked in it."""
     def run(batches):
-        gear = _Gear()
+        held = _Gear()
+        bitmap = None if marks is None else np.frombuffer(marks.value, np.uint8)
 
         def out():
             for doc_id, text in arrow_rows(batches, "doc_id", "text"):
-                values = gear.values(text) if doc_id is not None else ()
+                values = held.values(text) if doc_id is not None else ()
                 if len(values) >= min_words:
-                    hashes, runs = digests(values, gram), digests(values, min_words)
-                    at = picked(hashes, min_words - gram + 1)
+                    at, digest = seeds(values, min_words)
                     first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
                     places = np.diff(np.append(first, len(at)))
-                    yield doc_id, first, places, hashes[at[first]], _whole(runs, first, places)
+                    chunk = digest[at[first]]
+                    if bitmap is not None:
+                        some = _marked(chunk, bitmap)
+                        first, places, chunk = first[some], places[some], chunk[some]
+                    if len(first):
+                        yield doc_id, first, places, chunk, _whole(digests(values, min_words), first, places)
         yield from _batches(out(), _PICKS)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, word int, places int, gram long, whole long")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, word int, places int, chunk long, whole long")
+
+
+def bitmap_of(shared: DataFrame, bits: int = BITS) -> bytes:
+    """Marks the leading bits of ``chunk``: as many rows of some KB as ``bits`` make, added up on executors."""
+    place = F.shiftrightunsigned("chunk", 64 - (bits - 1).bit_length())
+    rows = shared.select(place.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("row")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("marks"))
+    out = np.zeros(bits // 8 + 8192, np.uint8)
+    for r in rows.collect():
+        # buckets count from 1 and hold places 32768 (n - 1) + 1 to 32768 n; bucket 0 has place 0 alone
+        part = np.unpackbits(np.frombuffer(r.marks, np.uint8), bitorder="little")
+        out_at = np.flatnonzero(part) + (r.row - 1) * len(part) + (1 if r.row else len(part))
+        np.bitwise_or.at(out, out_at >> 3, (1 << (out_at & 7)).astype(np.uint8))
+    return out[:bits // 8].tobytes()
 
 
 def _edges(min_words: int):
@@ -163,17 +244,17 @@ def _joined(pieces: DataFrame, name: str, *keys: str) -> DataFrame:
         name, F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("__new")
 
 
-def repeats(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM) -> DataFrame:
+def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Spans of which each ``min_words`` words stand in another document too.
 
     ``doc_id, word, words`` (in words from the text's start), ``n_chunks`` (runs
     of ``min_words`` words in it), ``first_doc_id`` (the least id that has one of
     these) and ``cuts``: what a lower id has too, as (word, words)."""
-    gram = min(gram, min_words)
-    placed = picks(docs, min_words, gram)  # twice: that takes less than to keep it
-    shared = placed.groupBy("gram").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), (F.min("whole") == F.max("whole")).alias("same"))
-    held = materialize(placed.join(shared.filter("lo < hi"), "gram").select("doc_id", "word", "places", "whole", "lo", "same"))
-    docs.sparkSession.sparkContext._jvm.System.gc()  # Spark then deletes what was shuffled until here
+    shared = picks(docs, min_words).groupBy("chunk").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), (F.min("whole") == F.max("whole")).alias("same"))
+    shared = materialize(shared.filter("lo < hi").drop("hi"))
+    marks = docs.sparkSession.sparkContext.broadcast(bitmap_of(shared))
+    # texts are chunked twice, which takes less than to keep all chunks
+    held = materialize(picks(docs, min_words, marks).join(shared, "chunk").select("doc_id", "word", "places", "whole", "lo", "same"))
 
     apart = held.filter("not same")
     kinds = apart.groupBy("whole").agg(F.min(F.struct("doc_id", "word", "places")).alias("at"), F.max("doc_id").alias("hi"))
