@@ -233,7 +233,8 @@ def test_embeddings_with_a_common_mean_or_a_dense_group(spark, common, dense):
     near = unit @ unit.T >= embdup.COSINE
     np.fill_diagonal(near, False)
     got = {x.vec_id: x.n_links for x in embdup.near_duplicates(df).collect()}
-    assert near.sum() > 600 and [got[i] for i in range(len(unit))] == near.sum(1).tolist()
+    # links come through the tables, so a few hard ones may be missing; none is made up
+    assert near.sum() > 600 and sum(got.values()) >= 0.97 * near.sum() and all(got[i] <= n for i, n in enumerate(near.sum(1)))
 
 
 @pytest.mark.parametrize(("common", "dense"), [(0.0, 0), (0.7, 0), (0.8, 0), (0.0, 4500)])
@@ -243,22 +244,33 @@ def test_tables_of_a_large_label_find_the_samples_pairs(common, dense, monkeypat
     unit = unit[np.random.default_rng(7).permutation(len(unit))]
     model = embdup.plan(unit, np.zeros(len(unit)), np.full(len(unit), 64), 10 ** 7)
     fresh = pairs_around(np.random.default_rng(8), 1500, common, dense=0)
-    if model is None:  # all pairs are compared
-        return
     keys = embdup.keys_of(fresh, *model)
     same = (fresh[::2] * fresh[1::2]).sum(1) >= embdup.COSINE
-    assert (keys[::2] == keys[1::2]).any(1)[same].mean() > 0.94
-    assert (model[2], keys.shape[1]) == (16, 24) or common or dense
-
-
-def test_a_label_beyond_the_tables_bound(spark, monkeypatch):
-    monkeypatch.setattr(embdup, "BLOCK", 8)
-    unit = pairs_around(np.random.default_rng(9), 400, 0.7)
-    df = spark.createDataFrame([(i, [float(v) for v in x], 0) for i, x in enumerate(unit)], "vec_id long, embedding array<double>, label int")
-    near = unit @ unit.T >= embdup.COSINE
+    assert (keys[::2] == keys[1::2]).any(1)[same].mean() > 0.96
+    assert model[2] > 4 or dense, "substrings of so few bits hardly part the vectors"
+
+
+@pytest.mark.parametrize("sizes", [(200, 37, 2, 1), (13_200,)])
+def test_labels_of_any_size_go_through_the_tables(spark, sizes, monkeypatch):
+    """Links of small and large labels against brute force; no code, no table: no pair."""
+    planned, unit, label = [], [], []
+    plan = embdup.plan
+    monkeypatch.setattr(embdup, "plan", lambda *a: planned.append(plan(*a)) or planned[-1])
+    r = np.random.default_rng(9)
+    for k, n in enumerate(sizes):
+        unit += [*pairs_around(r, (n + 1) // 2, 0.3)[:n]]
+        label += [k] * n
+    unit, label = np.array(unit), np.array(label)
+    df = spark.createDataFrame([(i, [float(v) for v in x], int(k)) for i, (x, k) in enumerate(zip(unit, label, strict=True))], "vec_id long, embedding array<double>, label int")
+    near = (unit @ unit.T >= embdup.COSINE) & (label[:, None] == label[None, :])
     np.fill_diagonal(near, False)
     got = {x.vec_id: x.n_links for x in embdup.near_duplicates(df).collect()}
-    assert sum(got.values()) >= 0.94 * near.sum() and all(got[i] <= n for i, n in enumerate(near.sum(1)))
+    assert sum(got.values()) >= 0.97 * near.sum() > 50 and all(got[i] <= n for i, n in enumerate(near.sum(1)))
+    (mean, projection, substring), = planned
+    assert embdup.keys_of(unit[:1], mean, projection, substring).shape[1] >= 6
+    some = spark.createDataFrame([(i, [1.0, 0.001 * i], 0) for i in range(20)], df.schema) if len(sizes) == 1 else df
+    monkeypatch.setattr(embdup, "plan", lambda *a: (np.zeros(a[0].shape[1]), np.zeros((a[0].shape[1], 0)), substring))
+    assert not any(x.n_links for x in embdup.near_duplicates(some).collect())
 
 
 # --- substrings ------------------------------------------------------------------------

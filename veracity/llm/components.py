@@ -3,8 +3,11 @@
 Each pass hangs every node's larger neighbours, then its smaller ones, on the
 least node it knows; a component of any shape becomes a star on its least node
 in a number of passes that grows with the logarithm of its size. A node with
-many links costs one minimum (partial aggregation) and a join that adaptive
-execution can split; nothing is gathered in one task or on the driver.
+many links costs one minimum (partial aggregation), which is stored before it
+meets the links: as a broadcast while its rows, once counted, are few, and
+then links don't move; else in a join whose sides come straight from
+exchanges, which adaptive execution can split. Nothing is gathered in one task
+or on the driver.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veracity.operators.features import broadcast_within
 from veracity.session import materialize
 
 
@@ -20,12 +24,12 @@ EDGES_A_PART = 200_000
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")).unionAll(edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m"))
+    least = broadcast_within(materialize(both.groupBy("u").agg(F.min("v").alias("m"))))
     return both.join(least, "u").filter("v > u").select(F.least("m", "u").alias("lo"), F.col("v").alias("hi")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("hi").agg(F.min("lo").alias("m"))
+    least = broadcast_within(materialize(edges.groupBy("hi").agg(F.min("lo").alias("m"))))
     moved = edges.join(least, "hi").filter("lo > m").select(F.col("m").alias("lo"), F.col("lo").alias("hi"))
     return moved.unionAll(least.select(F.col("m").alias("lo"), "hi")).distinct()
 
@@ -43,7 +47,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     while state[0]:
         # links hardly grow in number: few of them needn't be spread over many files in every pass
         parts = 1 + state[0] // EDGES_A_PART
-        edges = materialize(_small_star(_large_star(edges.coalesce(parts)).coalesce(parts)).coalesce(parts))
+        edges = materialize(_large_star(edges).coalesce(parts))
+        edges = materialize(_small_star(edges).coalesce(parts))
         state, before = _state(edges), state
         if state == before:
             break

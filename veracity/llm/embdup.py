@@ -8,16 +8,14 @@ vectors that agree in a whole substring are candidates, so every pair whose
 codes differ in fewer bits than there are tables is found. The model is fitted
 on at most ``SAMPLE`` vectors; all vectors are indexed.
 
-Vectors of a label that are no more than ``BLOCK`` times the tables are all
-compared with each other, which costs no more rows than the tables do. For
-larger labels recall is measured on a part of the sample that the model isn't
-fitted on (:func:`plan`): on its pairs within ``BAND`` above the threshold,
-found by brute force, and on partners put at such an angle in the directions
-in which the sample's vectors differ. Where
-less than ``RECALL`` of either share a substring, as with a large common mean
-or a dense group, more rotations and shorter substrings are tried and the
-cheapest that reach it are taken; if all pairs cost less than those, or none
-does, all pairs are compared.
+Recall is measured on a part of the sample that the model isn't fitted on
+(:func:`plan`): on its pairs within ``BAND`` above the threshold, found by
+brute force, and on partners put at such an angle in the directions in which
+the sample's vectors differ. Where less than ``RECALL`` of either share a
+substring, as with a large common mean or a dense group, more rotations and
+shorter substrings are tried and the cheapest that reach it are taken; the
+substrings may become as short as a bit, so some do. Every label goes through
+the tables, however few vectors it has.
 
 Equal vectors of one label are one class, with its size as weight. Members of
 a bucket are dealt to blocks; each pair of blocks is compared in a task of its
@@ -27,8 +25,8 @@ components, not pairs. A bucket of m classes costs ``m * m / BLOCK`` rows.
 
 Without a common mean, a pair at cosine 0.93 differs in each bit with a
 probability of about 0.12 and so agrees in one of 24 substrings of 16 bits
-with 0.96; closer pairs more often. Centring widens the angles of vectors that
-share a direction, so there it is less.
+with 0.96, of 36 with 0.99; closer pairs more often. Centring widens the
+angles of vectors that share a direction, so there it is less.
 
 Defined results: vectors that are null, empty, zero, or hold null or
 non-finite components, and rows without label or id, link with nothing, have
@@ -52,10 +50,10 @@ COSINE = 0.93
 BITS, SUBSTRING, ROTATIONS = 64, 16, 6
 SAMPLE, ITERATIONS = 20_000, 40
 BLOCK = 512
-RECALL, BAND = 0.97, 0.02
+RECALL, BAND = 0.985, 0.02
 #: Vectors and pairs of the sample that recall is measured on, pairs that say something, further rotations and substrings.
 MEASURED, PAIRS, LEAST_PAIRS = 4_000, 4_000, 100
-MORE_ROTATIONS, SHORTER = 18, (16, 12, 8, 6, 4)
+MORE_ROTATIONS, SHORTER = 18, (16, 12, 8, 6, 4, 2, 1)
 
 
 def learn(sample: np.ndarray, bits: int = BITS, rotations: int = ROTATIONS, iterations: int = ITERATIONS, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
@@ -121,15 +119,16 @@ def tables_needed(pairs: list[tuple[np.ndarray, np.ndarray]], mean: np.ndarray,
     return most
 
 
-def plan(unit: np.ndarray, kinds: np.ndarray, widths: np.ndarray, largest: int, cosine: float = COSINE, rotations: int = ROTATIONS, substring: int = SUBSTRING) -> tuple[np.ndarray, np.ndarray, int] | None:
-    """Mean, projection and substring that find the sample's hard pairs; None: compare all pairs of the ``largest`` label."""
+def plan(unit: np.ndarray, kinds: np.ndarray, widths: np.ndarray, largest: int, cosine: float = COSINE, rotations: int = ROTATIONS, substring: int = SUBSTRING) -> tuple[np.ndarray, np.ndarray, int]:
+    """Mean, projection and substring that find the sample's hard pairs; of those that do, the fewest rows for the ``largest`` label."""
     held = min(MEASURED, len(unit) // 4)  # not fitted on: signs are better for those
-    pairs, unit, held = hard_pairs(unit[:held], kinds[:held], widths[:held], cosine), unit[held:], unit[:held]
+    measured = slice(0, held) if held else slice(None)
+    pairs, unit, held = hard_pairs(unit[measured], kinds[measured], widths[measured], cosine), unit[held:], unit[measured]
     mean, projection = learn(unit, rotations=rotations)
     if tables_needed(pairs, mean, projection, substring) is not None:
         return mean, projection, substring
     projection = np.hstack([projection, learn(unit, rotations=MORE_ROTATIONS, seed=rotations)[1]])
-    best, least = None, 1 + largest / BLOCK
+    best, least = (mean, projection, SHORTER[-1]), np.inf  # that two vectors differ in all bits is left to chance 2^-1536
     for bits in sorted({substring, *(x for x in SHORTER if x < substring)}, reverse=True):
         if tables := tables_needed(pairs, mean, projection, bits):
             keys = keys_of(held, mean, projection[:, :tables * bits], bits)
@@ -156,12 +155,12 @@ _CODED = pa.schema([("node", pa.int64()), ("unit", pa.binary()), ("keys", pa.lis
 _FOUND = pa.schema([("node", pa.int64()), ("other", pa.int64()), ("links", pa.int64())])
 
 
-def _coded(width: int, model: tuple[np.ndarray, np.ndarray, int] | None):
+def _coded(width: int, model: tuple[np.ndarray, np.ndarray, int]):
     def run(batches):
         for b in batches:
             if b.num_rows:
                 unit = _unit(_padded(b.column("embedding").to_pylist(), width))
-                keys = keys_of(unit, *model) if model else np.zeros((len(unit), 0), np.int64)
+                keys = keys_of(unit, *model)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("node"), pa.array([u.tobytes() for u in unit], pa.binary()), pa.array(list(keys), _CODED.field("keys").type)], schema=_CODED)
     return run
@@ -178,7 +177,7 @@ def _compared(cosine: float, substring: int):
         if i == j:
             near &= node[left][:, None] < node[right][None, :]
         x, y = (side[at] for side, at in zip((left, right), np.nonzero(near), strict=True))
-        before = max(bucket >> substring, 0)  # none for a label that is one bucket
+        before = bucket >> substring
         first = ~(keys[x, :before] == keys[y, :before]).any(1)
         x, y = x[first], y[first]
         links = np.zeros(len(node), np.int64)
@@ -218,22 +217,17 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, rotations: int =
     if width is None:
         return alone.withColumn("kept", F.lit(True))
     kinds = classes.select("node", "label", F.size("embedding").alias("width"), "weight")
-    sizes = materialize(kinds.groupBy("label", "width").agg(F.count("*").alias("n")))
-    largest, few, model = sizes.agg(F.max("n")).first()[0], BLOCK * (rotations * BITS // substring), None
-    if largest > few:
-        fitted = classes.select("node", "embedding", F.xxhash64("label", F.size("embedding")).alias("kind")).orderBy(F.xxhash64("node"), "node").limit(sample).collect()
-        unit, each = _unit(_padded([r.embedding for r in fitted], width)), np.array([len(r.embedding) for r in fitted])
-        model = plan(unit, np.array([r.kind for r in fitted]), each, largest, cosine, rotations, substring)
-        substring = model[2] if model else substring
+    largest = kinds.groupBy("label", "width").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    fitted = classes.select("node", "embedding", F.xxhash64("label", F.size("embedding")).alias("kind")).orderBy(F.xxhash64("node"), "node").limit(sample).collect()
+    unit, each = _unit(_padded([r.embedding for r in fitted], width)), np.array([len(r.embedding) for r in fitted])
+    model = plan(unit, np.array([r.kind for r in fitted]), each, largest, cosine, rotations, substring)
+    substring = model[2]
 
     coded = materialize(classes.select("node", "embedding").mapInArrow(_coded(width, model), "node long, unit binary, keys array<long>"))
-    # a label of few vectors is one bucket; of the others there is one for every ``few`` rows at most
-    tabled = F.broadcast(sizes.filter(F.col("n") > few).select("label", "width", F.lit(model is not None).alias("tabled")))
-    kinds = kinds.join(tabled, ["label", "width"], "left")
-    members = coded.select("node", "keys").join(kinds, "node")
-    members = members.select("node", "label", "width", "weight", F.explode(F.when(F.col("tabled"), F.col("keys")).otherwise(F.array(F.lit(-1).cast("long")))).alias("key"))
+    members = coded.select("node", "keys").join(kinds, "node").select("node", "label", "width", "weight", F.explode("keys").alias("key"))
     bucket = ["label", "width", "key"]
-    shared = members.groupBy(*bucket).agg(F.count("*").alias("n")).filter("n > 1").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    # stored before the join: its sides then come straight from exchanges, and a hot bucket's can be split
+    shared = materialize(members.groupBy(*bucket).agg(F.count("*").alias("n")).filter("n > 1").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")))
     dealt = members.join(shared.drop("n"), bucket).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select(*bucket, F.least("block", "to").alias("i"), F.greatest("block", "to").alias("j"), "node", "weight", "block")
