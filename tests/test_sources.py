@@ -6,6 +6,7 @@ import os
 import pytest
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veracity.sources import files as S
 
@@ -31,6 +32,35 @@ def test_snapshot_directory(spark, tmpdir_fresh):
     assert t["news_20260302_0600.csv"] == "2026-03-02 06:00:00"
 
 
+def test_columns_go_by_name_and_bad_records_are_kept(spark, tmpdir_fresh):
+    files = {
+        "a.csv": 'text,scraped_at,source\none,t1,@a\n"two, ""2""",t2,@b\n',
+        "b.csv": '\ufeffsource, n ,text\r\n@c,7,three\r\n@d,x,four\r\n@e,8\r\n',   # a mark in front, white space, Windows line ends
+        "c.csv": "text,text,n\nfirst,second,9\na,b,c,d\n",                            # one name twice
+        "d.csv": "other\nvalue\n", "e.csv": "", "f.csv": "n,text\n", "g.txt": "text\nnot read\n",
+    }
+    for name, body in files.items():
+        with open(os.path.join(tmpdir_fresh, name), "w", encoding="utf-8", newline="") as f:
+            f.write(body)
+    rows = S.read_csv_by_header(spark, tmpdir_fresh, T.StructType.fromDDL("text string, n int, source string"), glob="*.csv")
+    assert rows.columns == ["text", "n", "source", "file", "mtime", "record", "reason"]
+    got = sorted((r.file, r.text or "", r.n, r.source) for r in S.accepted(rows).collect())
+    assert got == [("a.csv", "one", None, "@a"), ("a.csv", 'two, "2"', None, "@b"), ("b.csv", "three", 7, "@c"), ("c.csv", "first", 9, None), ("d.csv", "", None, None)]
+    bad = sorted((r.file, r.record.rstrip("\r"), r.reason) for r in S.rejected(rows).collect())
+    assert bad == [("b.csv", "@d,x,four", "value"), ("b.csv", "@e,8", "fields"), ("c.csv", "a,b,c,d", "fields")]
+    assert rows.filter("reason is not null and (text is not null or n is not null or source is not null)").count() == 0
+    assert S.accepted(rows).select("file").distinct().count() == 4
+    header = S.file_headers(spark, tmpdir_fresh, "*.csv")
+    assert len(header[("source", "n", "text")]) == 1 and ("n", "text") in header
+
+
+def test_a_folder_without_rows(spark, tmpdir_fresh):
+    with open(os.path.join(tmpdir_fresh, "e.csv"), "w") as f:
+        f.write("")
+    rows = S.read_csv_by_header(spark, tmpdir_fresh)
+    assert rows.count() == 0 and rows.columns == ["text", "scraped_at", "source", "file", "mtime", "record", "reason"]
+
+
 def _write(path, obj):
     os.makedirs(os.path.dirname(path), exist_ok=True)
     with open(path, "w", encoding="utf-8") as f:

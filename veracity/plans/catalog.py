@@ -316,6 +316,27 @@ def q_snapshot_scan(spark, d):
     return files.read_snapshots(spark, path).select("text", "scraped_at", "source")
 
 
+@register("csv_by_header", """
+SELECT event_type AS text, strftime(ts, '%Y-%m-%d %H:%M:%S') AS scraped_at,
+       CASE WHEN event_id % 3 = 2 THEN NULL ELSE 'u"' || user_id || '", ' || event_id END AS source, NULL::VARCHAR AS record, NULL::VARCHAR AS reason FROM events
+UNION ALL SELECT NULL, NULL, NULL, o_orderkey || ',"' || o_orderpriority || ', ' || o_custkey || '"', 'fields' FROM orders""")
+def q_csv_by_header(spark, d):
+    """Events in files of three column orders, one with a column more, one with a column less; orders as records of too few fields."""
+    from veracity.sources import files
+    from veracity.streaming.monitor import work_dir
+    path = work_dir(spark, "headers")
+    ev = X.table(spark, d, "events")
+    rows = ev.select("event_id", F.col("event_type").alias("text"), C.row_time("ts").alias("scraped_at"),
+                     F.concat(F.lit('u"'), F.col("user_id").cast("string"), F.lit('", '), F.col("event_id").cast("string")).alias("source"))
+    for n, names in enumerate((["text", "scraped_at", "source"], ["source", "event_id", "text", "scraped_at"], ["scraped_at", "text"])):
+        files.write_table(rows.filter(F.col("event_id") % 3 == n).select(*names), f"{path}/{n}", fmt="csv")
+    bad = X.table(spark, d, "orders").select(F.concat("o_orderkey", F.lit(',"'), "o_orderpriority", F.lit(", "), "o_custkey", F.lit('"')).alias("value"))
+    # each file of the text sink gets a header of its own
+    header = spark.createDataFrame([("source,text,scraped_at",)], "value string")
+    header.coalesce(1).unionByName(bad.coalesce(1)).coalesce(1).write.text(f"{path}/bad")
+    return files.read_csv_by_header(spark, path, glob="part-*").drop("file", "mtime")
+
+
 @register("snapshot_counts", f"SELECT file, count(*) AS n_articles FROM ({SQL['snapshots']}) GROUP BY file")
 def q_snapshot_counts(spark, d):
     return P.snapshot_counts(X.snapshots(spark, d), "file")

@@ -1,7 +1,8 @@
 """File sources and sinks.
 
-* S1 ``read_news_csv``      - header CSV with doubled-quote escaping and pandas NA sentinels.
-* S2 ``read_snapshots``     - a landing directory of ``news_*.csv`` files with file lineage.
+* S1 ``read_csv_by_header`` - CSV bound by each file's header, with doubled-quote escaping, pandas NA sentinels
+  and rejected records; ``read_news_csv`` gives the accepted ones.
+* S2 ``read_snapshots``     - a landing directory of ``news_*.csv`` files with file lineage, by the same reader.
 * S4 ``read_threads``       - the annotated thread tree in one recursive whole-text read.
 * S5 ``write_table``        - Parquet/CSV table sink.
 * S6 ``write_report``       - JSON report sink for tiny aggregates.
@@ -11,7 +12,9 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -34,17 +37,87 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 # --- S1 ----------------------------------------------------------------------------
+#: What a row's file brought that couldn't be read, and why: the names of these columns.
+RECORD, REASON = "record", "reason"
+#: Different headers among the files of one read; each is a scan of its own.
+MAX_HEADERS = 64
+_HEADER_BYTES = 1 << 20
+
+
+def file_headers(spark: SparkSession, path: str, glob: str | None = None) -> dict[tuple[str, ...], list[str]]:
+    """Column names as the files give them, each with the files that begin so.
+
+    The first line of a file is the first row of its first split, which one
+    task reads in order; a row a file reaches the driver, as its name does."""
+    reader = spark.read.option("lineSep", "\n").option("recursiveFileLookup", True)
+    reader = reader.option("pathGlobFilter", glob) if glob else reader
+    lines = reader.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    firsts = lines.filter("start = 0").groupBy("file").agg(F.first(F.substring("value", 1, _HEADER_BYTES)).alias("header")).collect()
+    out: dict[tuple[str, ...], list[str]] = {}
+    for r in firsts:
+        names = next(csv.reader([r.header.lstrip("\ufeff").rstrip("\r")]), [])
+        out.setdefault(tuple(n.strip() for n in names), []).append(r.file)
+    return out
+
+
+def read_csv_by_header(spark: SparkSession, path: str, schema: T.StructType = SNAPSHOT_SCHEMA, glob: str | None = None,
+                       multiline: bool = False, null_sentinels: bool = True) -> DataFrame:
+    """The columns of ``schema`` by the names in each file's header, whatever their order, with ``file``,
+    ``mtime``, and for records that can't be read ``record`` and ``reason``.
+
+    ``"`` quotes and escapes (doubled quotes), pandas NA sentinels are null in
+    string columns. A column that a file lacks is null, others it has are left
+    out, and of columns of one name the first counts. A record is rejected
+    if it has more or fewer fields than its header (``fields``) or a value
+    that isn't of the column's type (``value``); it is kept as a row with
+    its text, all columns null. Files without a line have no rows. ``multiline``
+    handles quoted newlines but makes each file one split."""
+    headers = {h: files for h, files in file_headers(spark, path, glob).items() if any(h)}
+    if len(headers) > MAX_HEADERS:
+        raise ValueError(f"{len(headers)} different headers under {path}")
+    kinds = {f.name: f.dataType for f in schema.fields}
+    out = [F.col("file"), F.col("mtime"), F.col(RECORD), F.col(REASON)]
+    parts = []
+    for header, files in sorted(headers.items()):
+        names = [n if n in kinds and n not in header[:i] else f"__{i}" for i, n in enumerate(header)]
+        own = T.StructType([T.StructField(n, kinds.get(n, T.StringType())) for n in names] + [T.StructField("__bad", T.StringType())])
+        rows = (spark.read.schema(own).option("header", True).option("enforceSchema", True).option("quote", '"').option("escape", '"')
+                .option("multiLine", multiline).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "__bad")
+                .option("columnPruning", False).csv(files))  # a record is bad or not whichever columns are asked for
+        # a value is converted, and found bad, only if its column is asked for: so all are; this part is always true
+        bad = F.col("__bad").isNotNull() & (F.length(F.concat_ws("", *[F.col(n).cast("string") for n in names])) >= 0)
+        # commas outside quotes part fields; a doubled quote ends one quoted part and begins the next
+        fields = F.length(F.regexp_replace(F.regexp_replace("__bad", '"[^"]*"', ""), "[^,]", "")) + 1
+        values = []
+        for name, kind in kinds.items():
+            value = F.col(name) if name in names else F.lit(None).cast(kind)
+            if null_sentinels and isinstance(kind, T.StringType):
+                value = canonical_null(value)
+            values.append(F.when(~bad, value).cast(kind).alias(name))
+        parts.append(rows.select(
+            *values, F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_modification_time").alias("mtime"),
+            F.col("__bad").alias(RECORD), F.when(bad, F.when(fields == len(header), "value").otherwise("fields")).alias(REASON)))
+    if not parts:
+        empty = T.StructType([*schema.fields, T.StructField("file", T.StringType()), T.StructField("mtime", T.TimestampType()),
+                              T.StructField(RECORD, T.StringType()), T.StructField(REASON, T.StringType())])
+        return spark.createDataFrame([], empty)
+    return reduce(DataFrame.unionByName, parts).select(*[f.name for f in schema.fields], *out)
+
+
+def accepted(rows: DataFrame) -> DataFrame:
+    """The records of :func:`read_csv_by_header` that could be read."""
+    return rows.filter(F.col(REASON).isNull()).drop(RECORD, REASON)
+
+
+def rejected(rows: DataFrame) -> DataFrame:
+    """``file, record, reason`` of the others."""
+    return rows.filter(F.col(REASON).isNotNull()).select("file", RECORD, REASON)
+
+
 def read_news_csv(spark: SparkSession, path: str, schema: T.StructType = SNAPSHOT_SCHEMA,
                   multiline: bool = False, null_sentinels: bool = True) -> DataFrame:
-    """Header CSV, ``"`` quote and escape (doubled quotes), pandas NA
-    sentinels mapped to null on string columns. ``multiline`` handles quoted
-    newlines but makes each file one split."""
-    df = (spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"')
-          .option("multiLine", multiline).option("mode", "PERMISSIVE").csv(path))
-    if null_sentinels:
-        df = df.select(*[canonical_null(f.name).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
-                         for f in schema.fields])
-    return df
+    """The records of a file or folder that could be read, the columns of ``schema`` alone."""
+    return accepted(read_csv_by_header(spark, path, schema, None, multiline, null_sentinels)).drop("file", "mtime")
 
 
 # --- S2 ----------------------------------------------------------------------------
@@ -52,13 +125,7 @@ def read_snapshots(spark: SparkSession, directory: str, schema: T.StructType = S
                    glob: str = "*.csv", exclude: Sequence[str] = ("all_tweets.csv",)) -> DataFrame:
     """Every snapshot file of a landing directory with its name,
     modification time and the snapshot time parsed from the name."""
-    df = (spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"')
-          .option("pathGlobFilter", glob).csv(directory))
-    df = df.select(
-        *[canonical_null(f.name).alias(f.name) for f in schema.fields],
-        F.col("_metadata.file_name").alias("file"),
-        F.col("_metadata.file_modification_time").alias("mtime"),
-    )
+    df = accepted(read_csv_by_header(spark, directory, schema, glob))
     if exclude:
         df = df.filter(~F.col("file").isin(list(exclude)))
     return df.withColumn("snapshot_time", snapshot_time_from_name("file"))
