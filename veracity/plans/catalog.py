@@ -190,6 +190,24 @@ def q_topic_filter(spark, d):
     return P.topic_filter(X.documents(spark, d), "text", TOPIC_QUERY_TERMS, lang_col="lang").select("doc_id")
 
 
+#: A query as a user writes it; flags are columns of the table.
+TOPIC_QUERY = '(Iran OR "white house" OR the OR ("des" -lang:en) OR NOT is:long) -is:odd -"of the" (lang:en OR lang:fr)'
+
+
+@register("topic_query", """
+WITH t AS (SELECT *, n_chars > 2000 AS long, doc_id % 2 = 1 AS odd, '[^\\p{L}\\p{N}_]' AS gap FROM documents)
+SELECT doc_id FROM t
+WHERE (coalesce(regexp_matches(text, '(?i)(^|' || gap || ')(Iran|white house|the)(' || gap || '|$)'), false)
+       OR (coalesce(regexp_matches(text, '(?i)(^|' || gap || ')des(' || gap || '|$)'), false) AND lang IS DISTINCT FROM 'en')
+       OR NOT coalesce(long, false))
+  AND NOT odd AND NOT coalesce(regexp_matches(text, '(?i)(^|' || gap || ')of the(' || gap || '|$)'), false) AND lang IN ('en', 'fr')""")
+def q_topic_query(spark, d):
+    """P6 from the query's text."""
+    from veracity.functions.topic import topic_query
+    docs = X.documents(spark, d).withColumns({"long": F.col("n_chars") > 2000, "odd": F.col("doc_id") % 2 == 1})
+    return docs.filter(topic_query(TOPIC_QUERY, "text", "lang", {"long": "long", "odd": "odd"})).select("doc_id")
+
+
 @register("relevancy_flag", f"SELECT doc_id, {s_relevant('text', HIT_KEYWORDS)} AS is_relevant FROM documents")
 def q_relevancy_flag(spark, d):
     return P.relevancy_flag(X.documents(spark, d), "text", HIT_KEYWORDS).select("doc_id", "is_relevant")
