@@ -363,6 +363,47 @@ def test_places_of_an_id_that_repeats(spark):
     assert {(2, 0, 60, 1), (3, 0, 30, 1), (4, 0, 30, 1)} <= got and {i for i, *_ in got} == {1, 2, 3, 4}
 
 
+def test_gear_hash_rolls():
+    r = np.random.default_rng(2)
+    values, h, want = r.integers(0, 1 << 63, 50, dtype=np.uint64), 0, []
+    for v in values.tolist():
+        h = ((h << 16) + v) % (1 << 64)
+        want.append(h)
+    assert chunkdedup.gear(values).tolist() == want
+
+
+def test_every_run_has_a_whole_chunk_that_depends_on_it_alone():
+    """The same 24 words have the same seed whatever stands around, also in texts of a few words that repeat."""
+    r = np.random.default_rng(3)
+    some = r.integers(0, 1 << 63, 5, dtype=np.uint64)
+    for run in [r.integers(0, 1 << 63, 24, dtype=np.uint64) for _ in range(200)] + [np.resize(some[:n], 24) for n in range(1, 6)] + [r.choice(some[:2], 24) for _ in range(200)]:
+        found = set()
+        for before, after in ((0, 0), (1, 0), (7, 3), (40, 40)):
+            text = np.concatenate([r.choice(some, before), run, r.integers(0, 1 << 63, after, dtype=np.uint64)])
+            at, digest = chunkdedup.seeds(text, chunkdedup.Runs(text))
+            assert len(at) == len(text) - 23 and digest[at[before]] > 0
+            found.add((int(at[before]) - before, int(digest[at[before]])))
+        assert len(found) == 1
+
+
+def test_digests_of_runs_depend_on_their_words_alone():
+    r = np.random.default_rng(4)
+    values = np.tile(r.integers(0, 1 << 63, 7, dtype=np.uint64), 40)
+    runs, first = chunkdedup.Runs(values), np.arange(200)
+    for size in (1, 6, 24):
+        got = runs.digest(first, size)
+        assert (got == np.resize(got[:7], 200)).all() and len(set(got.tolist())) == 7
+    assert len({int(runs.digest(np.array([0]), n)[0]) for n in range(1, 100)}) == 99
+
+
+def test_marked_chunks_are_those_shared(spark):
+    chunk = [0, 1, -1, 5, 1 << 62, -(1 << 62), (1 << 63) - 1, -(1 << 63), 12345678901234567]
+    marks = np.frombuffer(chunkdedup.bitmap_of(spark.createDataFrame([(c,) for c in chunk], "chunk long")), np.uint8)
+    assert chunkdedup._marked(np.array(chunk).view(np.uint64), marks).all()
+    other = np.random.default_rng(0).integers(0, 1 << 63, 1000, dtype=np.uint64)
+    assert chunkdedup._marked(other, marks).sum() < 5 and np.unpackbits(marks).sum() <= len(chunk)
+
+
 def test_chunks_come_back_after_an_insertion():
     r = np.random.default_rng(0)
     values = r.integers(0, 1 << 63, 2000, dtype=np.uint64)

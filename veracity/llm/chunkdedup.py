@@ -42,8 +42,6 @@ other. An empty table gives an empty one; other columns are not read, and
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -55,55 +53,68 @@ from veracity.session import materialize
 
 MIN_WORDS, WINDOW, REACH, CONTEXT = 24, 4, 2, 6
 BITS = 1 << 27
-SLAB, ROWS = 1 << 16, 1 << 16
+#: Rows of a batch that leaves a task, words of texts that are chunked together, words whose values a task keeps.
+ROWS, TOGETHER, WORDS_HELD = 1 << 16, 1 << 15, 1 << 18
 _PICKS = pa.schema([("doc_id", pa.int64()), ("word", pa.int32()), ("places", pa.int32()), ("chunk", pa.int64()), ("whole", pa.int64())])
 _EDGES = pa.schema([("lo", pa.int64()), ("whole", pa.int64()), ("step", pa.int32()), ("digest", pa.int64()), ("hi", pa.int64())])
-_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 class _Gear(dict):
     """A random value for each word, those seen lately at hand."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1 << 16:
+        if len(self) >= WORDS_HELD:
             self.clear()
         self[word] = value = xxhash.xxh3_64_intdigest(word, 9)
         return value
 
-    def values(self, text: str | None) -> np.ndarray:
-        words = _WORD.findall((text or "").encode())
-        return np.fromiter((self[w] for w in words), np.uint64, len(words))
+    def values(self, text: bytes | None) -> np.ndarray:
+        words = (text or b"").split()  # at space and U+0009..U+000D
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-def _mixed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    x = left * np.uint64(0x9E3779B97F4A7C15) + (right ^ (right >> np.uint64(29))) * np.uint64(0xC2B2AE3D27D4EB4F)
+def _stirred(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(31))
 
 
-def digests(values: np.ndarray, width: int) -> np.ndarray:
-    """Digest of every run of ``width`` values, by doubling; the last step overlaps two runs."""
-    have = 1
-    while have < width and len(values):
-        step = min(have, width - have)
-        values = _mixed(values[:-step], values[step:])
-        have += step
-    return values
+BASE = 0x9E3779B97F4A7C15
+BACK = pow(BASE, -1, 1 << 64)
+
 
+class Runs:
+    """Digests of runs of a text's values: differences of one running sum of the values times powers of an odd base."""
 
-def _whole(runs: np.ndarray, first: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """Digest of all words of so many neighbouring runs, which overlap."""
-    return _mixed(_mixed(runs[first], runs[first + places - 1]), places.astype(np.uint64))
+    _powers = np.ones(1, np.uint64), np.ones(1, np.uint64)
+
+    def __init__(self, values: np.ndarray):
+        if len(values) >= len(self._powers[0]):
+            size = 2 * len(values) + 1
+            Runs._powers = tuple(np.concatenate([np.ones(1, np.uint64), np.full(size, b, np.uint64)]).cumprod(dtype=np.uint64) for b in (BASE, BACK))
+        self._sums = np.concatenate([np.zeros(1, np.uint64), (values * self._powers[0][:len(values)]).cumsum(dtype=np.uint64)])
+
+    def digest(self, first: np.ndarray, size) -> np.ndarray:
+        """Digests of the runs of ``size`` values from ``first`` on; other sizes are other digests."""
+        raw = (self._sums[first + size] - self._sums[first]) * self._powers[1][first]
+        return _stirred(raw + np.asarray(size).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
 
 
 def picked(hashes: np.ndarray, width: int) -> np.ndarray:
-    """For every ``width`` neighbours, the place of the greatest, the last of equal ones."""
-    n = len(hashes) - width + 1
-    if n < 1:
+    """For every ``width`` neighbours, the place of the greatest, the last of equal ones; by doubling."""
+    if len(hashes) < width:
         return np.zeros(0, np.int64)
-    view = np.lib.stride_tricks.sliding_window_view(hashes, width)[:, ::-1]
-    last = np.concatenate([view[at:at + SLAB].argmax(1) for at in range(0, n, SLAB)])
-    return np.arange(width - 1, n + width - 1) - last
+    best, at, have = hashes, np.arange(len(hashes)), 1
+    while have < width:
+        step = min(have, width - have)
+        later = best[step:] >= best[:-step]
+        best, at = np.where(later, best[step:], best[:-step]), np.where(later, at[step:], at[:-step])
+        have += step
+    return at
+
+
+def _each(at: np.ndarray) -> np.ndarray:
+    """The values of a rising array once."""
+    return at[np.append(True, at[1:] != at[:-1])] if len(at) else at
 
 
 def gear(values: np.ndarray, window: int = WINDOW) -> np.ndarray:
@@ -118,32 +129,25 @@ def gear(values: np.ndarray, window: int = WINDOW) -> np.ndarray:
 
 def ends(values: np.ndarray, window: int = WINDOW, reach: int = REACH) -> np.ndarray:
     """Places of the last words of chunks."""
-    return np.unique(picked(gear(values, window), reach + 1))
+    return _each(picked(gear(values, window), reach + 1))
 
 
-def chunks(values: np.ndarray, window: int = WINDOW, reach: int = REACH, context: int = CONTEXT) -> tuple[np.ndarray, np.ndarray]:
-    """Last words and digests of the chunks that have a chunk's end ``context`` words or more before them."""
+def chunks(values: np.ndarray, runs: Runs, window: int = WINDOW, reach: int = REACH, context: int = CONTEXT) -> tuple[np.ndarray, np.ndarray]:
+    """Last words and digests of the chunks that begin ``context`` words or more from the text's start."""
     last = ends(values, window, reach)
     before, last = last[:-1], last[1:]
     far = before >= context - 1
     before, last = before[far], last[far]
-    if not len(last):
-        return last, np.zeros(0, np.uint64)
-    ahead = digests(values, context)[before - context + 1]
-    size = last - before
-    body = np.zeros(len(last), np.uint64)
-    for length in range(1, reach + 2):
-        of = size == length
-        body[of] = digests(values, length)[before[of] + 1] + np.uint64(length)
-    return last, np.maximum(_mixed(ahead, body), np.uint64(1))
-
-
-def seeds(values: np.ndarray, min_words: int = MIN_WORDS, window: int = WINDOW, reach: int = REACH, context: int = CONTEXT) -> tuple[np.ndarray, np.ndarray]:
+    # of the context, then of the chunk, whose size tells them apart
+    return last, np.maximum(runs.digest(before - context + 1, last - before + context), np.uint64(1))
+
+
+def seeds(values: np.ndarray, runs: Runs, min_words: int = MIN_WORDS, window: int = WINDOW, reach: int = REACH, context: int = CONTEXT) -> tuple[np.ndarray, np.ndarray]:
     """For every ``min_words`` words, the last word of its seed, and the seeds' digests by place.
 
     From ``first`` words on an end is certain; a chunk has at most ``reach + 1`` words, so one that ends so
     much later began at a certain end."""
-    last, digest = chunks(values, window, reach, context)
+    last, digest = chunks(values, runs, window, reach, context)
     at = np.zeros(len(values), np.uint64)
     at[last] = digest
     first = max(window - 1 + reach, context - 1) + reach + 1
@@ -161,7 +165,7 @@ def _marked(digest: np.ndarray, marks: np.ndarray) -> np.ndarray:
 
 
 def _batches(parts, schema: pa.Schema):
-    """Record batches of about ``ROWS`` rows from ``(doc_id, column, ...)``."""
+    """Record batches of about ``ROWS`` rows from ``(doc_id or doc_ids, column, ...)``."""
     held, rows = [], 0
 
     def batch():
@@ -187,22 +191,38 @@ def picks(docs: DataFrame, min_words: int = MIN_WORDS, marks=None) -> DataFrame:
         held = _Gear()
         bitmap = None if marks is None else np.frombuffer(marks.value, np.uint8)
 
+        def together(ids, texts):
+            # what stands around a run of words doesn't change its seed, so texts follow each other; runs over their ends are left out
+            values, sizes = np.concatenate(texts), np.array([len(t) for t in texts])
+            start = np.cumsum(sizes) - sizes
+            runs = Runs(values)
+            at, digest = seeds(values, runs, min_words)
+            doc = np.repeat(np.arange(len(texts)), sizes)[:len(at)]
+            inside = np.flatnonzero(np.arange(len(at)) + min_words <= (start + sizes)[doc])
+            at, doc = at[inside], doc[inside]
+            new = np.flatnonzero(np.append(True, (at[1:] != at[:-1]) | (doc[1:] != doc[:-1])))
+            first, places, chunk, doc = inside[new], np.diff(np.append(new, len(at))), digest[at[new]], doc[new]
+            if bitmap is not None:
+                some = _marked(chunk, bitmap)
+                first, places, chunk, doc = first[some], places[some], chunk[some], doc[some]
+            return np.array(ids, np.int64)[doc], first - start[doc], places, chunk, runs.digest(first, places + (min_words - 1))
+
         def out():
+            ids, texts, words = [], [], 0
             for doc_id, text in arrow_rows(batches, "doc_id", "text"):
                 values = held.values(text) if doc_id is not None else ()
                 if len(values) >= min_words:
-                    at, digest = seeds(values, min_words)
-                    first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-                    places = np.diff(np.append(first, len(at)))
-                    chunk = digest[at[first]]
-                    if bitmap is not None:
-                        some = _marked(chunk, bitmap)
-                        first, places, chunk = first[some], places[some], chunk[some]
-                    if len(first):
-                        yield doc_id, first, places, chunk, _whole(digests(values, min_words), first, places)
+                    ids.append(doc_id)
+                    texts.append(values)
+                    words += len(values)
+                    if words >= TOGETHER:
+                        yield together(ids, texts)
+                        ids, texts, words = [], [], 0
+            if ids:
+                yield together(ids, texts)
         yield from _batches(out(), _PICKS)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, word int, places int, chunk long, whole long")
+    return docs.select("doc_id", F.col("text").cast("binary")).mapInArrow(run, "doc_id long, word int, places int, chunk long, whole long")
 
 
 def bitmap_of(shared: DataFrame, bits: int = BITS) -> bytes:
@@ -220,18 +240,19 @@ def bitmap_of(shared: DataFrame, bits: int = BITS) -> bytes:
 
 def _edges(min_words: int):
     def run(batches):
-        gear = _Gear()
+        held = _Gear()
 
         def out():
             for doc_id, text, *at in arrow_rows(batches, "doc_id", "text", "word", "places", "whole", "hi"):
-                runs = digests(gear.values(text), min_words)
+                values = held.values(text)
+                runs = Runs(values)
                 word, places, whole, hi = (np.array(x, np.int64) for x in at)
-                found = np.flatnonzero(word + places <= len(runs))  # of rows of one id, those that have these words
-                found = found[_whole(runs, word[found], places[found]).view(np.int64) == whole[found]]
+                found = np.flatnonzero(word + places + min_words - 1 <= len(values))  # of rows of one id, those that have these words
+                found = found[runs.digest(word[found], places[found] + (min_words - 1)).view(np.int64) == whole[found]]
                 word, places, whole, hi = word[found], places[found], whole[found], hi[found]
                 step = np.arange(places.max(initial=0))
                 n, k = np.nonzero(step < places[:, None])
-                yield doc_id, whole[n], step[k], runs[word[n] + k], hi[n]
+                yield doc_id, whole[n], step[k], runs.digest(word[n] + k, min_words), hi[n]
         yield from _batches(out(), _EDGES)
     return run
 
@@ -259,10 +280,11 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     apart = held.filter("not same")
     kinds = apart.groupBy("whole").agg(F.min(F.struct("doc_id", "word", "places")).alias("at"), F.max("doc_id").alias("hi"))
     kinds = kinds.select("at.*", "whole", "hi").groupBy("doc_id").agg(F.collect_list(F.struct("word", "places", "whole", "hi")).alias("at"))
-    texts = docs.select("doc_id", "text").join(kinds.select("doc_id", "at.word", "at.places", "at.whole", "at.hi").hint("shuffle_hash"), "doc_id")
+    texts = docs.select("doc_id", F.col("text").cast("binary")).join(kinds.select("doc_id", "at.word", "at.places", "at.whole", "at.hi").hint("shuffle_hash"), "doc_id")
     edges = materialize(texts.mapInArrow(_edges(min_words), "lo long, whole long, step int, digest long, hi long"))
     both = edges.groupBy("digest").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo < hi").drop("hi")
-    steps = edges.select("whole", "step", "digest").join(both, "digest").groupBy("whole").agg(F.collect_set(F.struct("step", "lo")).alias("steps"))
+    # stored as ``shared`` is: a hot passage's places can be split
+    steps = materialize(edges.select("whole", "step", "digest").join(both, "digest").groupBy("whole").agg(F.collect_set(F.struct("step", "lo")).alias("steps")))
     edged = apart.drop("lo").join(steps, "whole").select("doc_id", "word", F.explode("steps").alias("at"))
 
     pieces = held.filter("same").select("doc_id", "word", (F.col("word") + F.col("places")).alias("stop"), "lo").unionAll(
