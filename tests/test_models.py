@@ -80,3 +80,57 @@ def test_linear_score_matches_formula(spark):
     wt = {r.term: r.weight for r in w.collect()}
     assert got[0] == pytest.approx(1 / (1 + np.exp(-sum(wt.values()))))
     assert got[1] == 0.5
+
+
+# --- fits on executors ---------------------------------------------------------------
+def stored(spark, s, parts=3):
+    cells = [([], []) for _ in s.label]
+    for r, c, v in zip(s.row.tolist(), s.column.tolist(), s.value.tolist(), strict=True):
+        cells[r][0].append(c)
+        cells[r][1].append(v)
+    rows = [(int(y), i, v) for y, (i, v) in zip(s.label, cells, strict=True)]
+    return spark.createDataFrame(rows, "label int, indices array<int>, weights array<double>").repartition(parts)
+
+
+@pytest.mark.parametrize("loss", ["logistic", "squared_hinge"])
+def test_sums_over_executors_equal_those_in_memory(spark, loss, monkeypatch):
+    _, s = sample(n=60, d=9)
+    monkeypatch.setattr(ML, "FAN_IN", 2)  # so that seven tasks' vectors are added up in three levels
+    far, near = ML.SparkRows(stored(spark, s, 7), s.width, loss, 0.5), ML.Local(s, loss, 0.5)
+    r = np.random.default_rng(0)
+    theta, v = r.normal(size=s.width + 1), r.normal(size=s.width + 1)
+    assert far.value(theta) == pytest.approx(near.value(theta), rel=1e-12)
+    assert far.slope(theta) == pytest.approx(near.slope(theta), rel=1e-9, abs=1e-12)
+    assert far.bend(theta)(v) == pytest.approx(near.bend(theta)(v), rel=1e-9, abs=1e-12)
+    got = sorted((round(x.margin, 9), x.label) for x in far.margins(theta).collect())
+    assert got == sorted((round(m, 9), int(y)) for m, y in zip(near._margin(theta), s.label, strict=True))
+
+
+def test_platt_on_executors_equals_that_in_memory(spark):
+    r = np.random.default_rng(1)
+    margin = r.normal(size=200)
+    label = (r.random(200) < 1 / (1 + np.exp(-(2 * margin - 0.5)))).astype(int)
+    rows = spark.createDataFrame(list(zip(margin.tolist(), label.tolist(), strict=True)), "margin double, label int")
+    assert ML.fit_platt_on_executors(rows) == pytest.approx(ML.fit_platt(margin, label), abs=1e-6)
+
+
+@pytest.mark.parametrize("fit", [ML.fit_logreg, ML.fit_svm])
+def test_all_rows_fit_on_executors_is_a_minimum(spark, labelled, fit, monkeypatch):
+    """More rows than a sample may hold: none is left out, and the gradient over all of them is zero."""
+    monkeypatch.setattr(ML, "fit_sample", None)
+    more = labelled.unionByName(labelled.selectExpr("doc_id + 100 AS doc_id", "concat(text, ' ', text) AS text", "label")).unionByName(
+        spark.createDataFrame([(300, None, 1), (301, "", 0), (302, "good", None)], labelled.schema))
+    model = fit(more, "doc_id", "text", max_rows=None, tol=1e-6)
+    vocab, rows = ML.fit_rows(more, "doc_id", "text")
+    assert rows.count() == 26 and rows.filter("size(indices) = 0").count() == 2
+    coef = {x.term: x.coef for x in model.coef.collect()}
+    terms = [x.term for x in vocab.orderBy("index").collect()]
+    loss, c = ("logistic", 1) if fit is ML.fit_logreg else ("squared_hinge", ML.CALIBRATION_FOLDS)
+    assert len(model.parts) == c
+    for k, part in enumerate(model.parts):
+        theta = np.array([coef[t][k] for t in terms] + [part[0]])
+        own = rows if c == 1 else rows.filter(F.col("fold") != k)
+        gradient = ML.SparkRows(own, len(terms), loss, ML.C_REG).slope(theta) + np.append(np.ones(len(terms)), ML.LOSSES[loss][1]) * theta
+        assert np.abs(gradient).max() < 1e-4
+    scores = {x.doc_id: x.score for x in ML.score(model, more, "doc_id", "text").collect()}
+    assert len(scores) == 27 and scores[6] > scores[7]

@@ -1,11 +1,14 @@
 """Linear models on TF-IDF features.
 
-A model is fitted on a bounded sample of labelled rows, the ``max_rows`` with
-the smallest hash of the id (``FIT_ROWS`` by default), by a truncated Newton
-method that needs a few dozen passes over that sample. Vocabulary and idf come
-from all training rows, and scoring covers every row: a model is a table of
-coefficients by term, at most ``TFIDF_MAX_FEATURES`` rows, joined to the term
-weights.
+A model is fitted by a truncated Newton method. By default it sees a bounded
+sample of labelled rows, the ``max_rows`` with the smallest hash of the id
+(``FIT_ROWS``), in the driver's memory; with ``max_rows=None`` it sees every
+labelled row, which stay on the executors (:class:`SparkRows`): each gradient
+and each product with the Hessian is one pass over stored rows, whose partial
+vectors are added up in a tree, so the driver holds coefficients only.
+Vocabulary and idf come from all training rows, and scoring covers every row:
+a model is a table of coefficients by term, at most ``TFIDF_MAX_FEATURES``
+rows, joined to the term weights.
 """
 
 from __future__ import annotations
@@ -14,11 +17,13 @@ from collections.abc import Sequence
 from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veracity.functions.common import hash32, sigmoid
-from veracity.operators.features import broadcast_within, term_counts, tfidf_fit, tfidf_transform
+from veracity.operators.features import broadcast_within, term_counts, tfidf_fit, tfidf_fit_transform, tfidf_transform
 from veracity.session import materialize
 
 # --- fixed values that must equal the reference's -----------------------------
@@ -81,30 +86,126 @@ def _squared_hinge(z):
 LOSSES = {"logistic": (_logistic, 0.0), "squared_hinge": (_squared_hinge, 1.0)}
 
 
-def fit_linear(x: Sparse, loss: str, c: float = C_REG, tol: float = 1e-8, steps: int = 100) -> tuple[np.ndarray, float]:
-    """Minimise ``c * sum(w_i * loss(y_i * margin_i)) + |b|^2 / 2`` with balanced weights.
+class Local:
+    """The objective ``sum(w_i * loss(y_i * margin_i))`` over rows in memory; ``theta`` ends with the intercept."""
 
-    The squared hinge regularises the intercept too, as that objective's usual
-    solver does. Returns coefficients and intercept."""
-    f, on_intercept = LOSSES[loss]
-    y, w = 2.0 * x.label - 1, c * _balanced(x.label)
-    ridge = np.append(np.ones(x.width), on_intercept)
-    margin = lambda t: x.times(t[:-1]) + t[-1]
-    back = lambda r: np.append(x.back(r), r.sum())
-    value = lambda t: float(w @ f(y * margin(t))[0] + (ridge * t * t).sum() / 2)
-    theta = np.zeros(x.width + 1)
+    def __init__(self, x: Sparse, loss: str, c: float):
+        self.x, self.f = x, LOSSES[loss][0]
+        self.width, self.y, self.w = x.width, 2.0 * x.label - 1, c * _balanced(x.label)
+
+    def _margin(self, t):
+        return self.x.times(t[:-1]) + t[-1]
+
+    def _back(self, r):
+        return np.append(self.x.back(r), r.sum())
+
+    def value(self, theta) -> float:
+        return float(self.w @ self.f(self.y * self._margin(theta))[0])
+
+    def slope(self, theta) -> np.ndarray:
+        return self._back(self.w * self.y * self.f(self.y * self._margin(theta))[1])
+
+    def bend(self, theta):
+        """The product with the Hessian at ``theta``, as a function."""
+        curve = self.w * np.maximum(self.f(self.y * self._margin(theta))[2], 1e-12)
+        return lambda v: self._back(curve * self._margin(v))
+
+
+#: Partial vectors that are added up at once, in a task or on the driver.
+FAN_IN = 32
+
+
+class SparkRows:
+    """The same objective over rows on the executors: a stored table ``(label, indices, weights)``.
+
+    A pass reads the table once. A task adds its rows up to one vector;
+    ``FAN_IN`` vectors at a time are added up by a task of the next level,
+    until the driver adds the last few. Sums of floats depend on how rows are
+    dealt to tasks in their last digits."""
+
+    _PART = pa.schema([("task", pa.int64()), ("part", pa.binary())])
+
+    def __init__(self, rows: DataFrame, width: int, loss: str, c: float):
+        self.rows, self.width, self.f = rows, width, LOSSES[loss][0]
+        counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a class
+        total = sum(counts.values())
+        self.weight = np.array([c * total / (max(len(counts), 1) * max(counts.get(k, 0), 1)) for k in (0, 1)])
+
+    def _sum(self, of, size: int) -> np.ndarray:
+        """The sum over all rows of ``of(rows as Sparse, signs, weights)``, a vector of ``size``."""
+        width, weight, schema = self.width, self.weight, self._PART
+
+        def run(batches):
+            out = np.zeros(size)
+            for b in batches:
+                if b.num_rows:
+                    label, indices, weights = (b.column(c) for c in ("label", "indices", "weights"))
+                    y = label.to_numpy().astype(np.int64)
+                    row = np.repeat(np.arange(len(y)), np.diff(indices.offsets.to_numpy()))
+                    x = Sparse(row, indices.flatten().to_numpy().astype(np.int64), weights.flatten().to_numpy(), y, width)
+                    out += of(x, 2.0 * y - 1, weight[y])
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([out.tobytes()], pa.binary())], schema=schema)
+
+        def add(key, table):
+            total = sum(np.frombuffer(p.as_py()) for p in table.column("part"))
+            return pa.Table.from_arrays([pa.array([key[0].as_py()]), pa.array([total.tobytes()], pa.binary())], schema=schema)
+
+        parts, n = self.rows.mapInArrow(run, "task long, part binary"), self.rows.rdd.getNumPartitions()
+        while n > FAN_IN:
+            parts, n = parts.select(F.floor(F.col("task") / FAN_IN).alias("task"), "part").groupBy("task").applyInArrow(add, "task long, part binary"), -(-n // FAN_IN)
+        return sum((np.frombuffer(r.part) for r in parts.select("part").collect()), np.zeros(size))
+
+    def value(self, theta) -> float:
+        f = self.f
+        return float(self._sum(lambda x, y, w: np.array([w @ f(y * (x.times(theta[:-1]) + theta[-1]))[0]]), 1)[0])
+
+    def slope(self, theta) -> np.ndarray:
+        f = self.f
+
+        def of(x, y, w):
+            r = w * y * f(y * (x.times(theta[:-1]) + theta[-1]))[1]
+            return np.append(x.back(r), r.sum())
+        return self._sum(of, self.width + 1)
+
+    def bend(self, theta):
+        f = self.f
+
+        def at(v):
+            def of(x, y, w):
+                r = w * np.maximum(f(y * (x.times(theta[:-1]) + theta[-1]))[2], 1e-12) * (x.times(v[:-1]) + v[-1])
+                return np.append(x.back(r), r.sum())
+            return self._sum(of, len(v))
+        return at
+
+    def margins(self, theta) -> DataFrame:
+        """``margin, label`` of every row."""
+        width = self.width
+
+        def run(batches):
+            for b in batches:
+                indices, weights = b.column("indices"), b.column("weights")
+                row = np.repeat(np.arange(b.num_rows), np.diff(indices.offsets.to_numpy()))
+                x = Sparse(row, indices.flatten().to_numpy().astype(np.int64), weights.flatten().to_numpy(), np.zeros(b.num_rows, np.int64), width)
+                yield pa.RecordBatch.from_arrays([pa.array(x.times(theta[:-1]) + theta[-1]), b.column("label")], names=["margin", "label"])
+        return self.rows.mapInArrow(run, "margin double, label int")
+
+
+def newton(objective, on_intercept: float, tol: float = 1e-8, steps: int = 100) -> np.ndarray:
+    """Minimise an objective plus ``|b|^2 / 2``; ``on_intercept`` is the intercept's share of that."""
+    ridge = np.append(np.ones(objective.width), on_intercept)
+    value = lambda t: objective.value(t) + float((ridge * t * t).sum()) / 2
+    theta = np.zeros(objective.width + 1)
     now = value(theta)
     for _ in range(steps):
-        _, slope, curve = f(y * margin(theta))
-        gradient = back(w * y * slope) + ridge * theta
+        gradient = objective.slope(theta) + ridge * theta
         if np.abs(gradient).max() < tol:
             break
-        curve = w * np.maximum(curve, 1e-12)
+        bend = objective.bend(theta)
         move, left = np.zeros_like(theta), -gradient
         along, size = left.copy(), float(left @ left)
         goal = size * min(0.25, size ** 0.5) ** 2
         for _ in range(200):  # conjugate gradients
-            bent = back(curve * margin(along)) + (ridge + 1e-12) * along
+            bent = bend(along) + (ridge + 1e-12) * along
             step = size / float(along @ bent)
             move += step * along
             left -= step * bent
@@ -118,29 +219,66 @@ def fit_linear(x: Sparse, loss: str, c: float = C_REG, tol: float = 1e-8, steps:
         if then >= now:
             break
         theta, now = theta + rate * move, then
+    return theta
+
+
+def fit_linear(x: Sparse, loss: str, c: float = C_REG, tol: float = 1e-8, steps: int = 100) -> tuple[np.ndarray, float]:
+    """Minimise ``c * sum(w_i * loss(y_i * margin_i)) + |b|^2 / 2`` with balanced weights.
+
+    The squared hinge regularises the intercept too, as that objective's usual
+    solver does. Returns coefficients and intercept."""
+    theta = newton(Local(x, loss, c), LOSSES[loss][1], tol, steps)
     return theta[:-1], float(theta[-1])
 
 
-def fit_platt(margin: np.ndarray, label: np.ndarray, steps: int = 100) -> tuple[float, float]:
-    """M9: ``a, b`` of ``sigmoid(a * margin + b)`` for smoothed targets (Newton steps)."""
-    n = np.bincount(label, minlength=2)
-    target = np.where(label == 1, (n[1] + 1) / (n[1] + 2), 1 / (n[0] + 2))
-    a, b = 0.0, float(np.log((n[1] + 1) / (n[0] + 1)))
-    loss = lambda a, b: float((np.logaddexp(0, a * margin + b) - target * (a * margin + b)).sum())
+def _platt(sums, n0: int, n1: int, steps: int) -> tuple[float, float]:
+    """Newton steps on ``sums(a, b)``: loss, gradient and Hessian of ``sigmoid(a * margin + b)``."""
+    a, b = 0.0, float(np.log((n1 + 1) / (n0 + 1)))
+    now = sums(a, b)
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(a * margin + b, -500, 500)))
-        r, h = p - target, np.maximum(p * (1 - p), 1e-12)
-        gradient = np.array([r @ margin, r.sum()])
-        if np.abs(gradient).max() < 1e-9:
+        loss, ga, gb, haa, hab, hbb = now
+        if max(abs(ga), abs(gb)) < 1e-9:
             break
-        move = np.linalg.solve(np.array([[h @ margin ** 2, h @ margin], [h @ margin, h.sum()]]) + 1e-12 * np.eye(2), gradient)
+        move = np.linalg.solve(np.array([[haa, hab], [hab, hbb]]) + 1e-12 * np.eye(2), np.array([ga, gb]))
         rate = 1.0
-        while loss(a - rate * move[0], b - rate * move[1]) > loss(a, b) and rate > 1e-10:
+        then = sums(a - move[0], b - move[1])
+        while then[0] > loss and rate > 1e-10:
             rate /= 2
-        a, b = a - rate * move[0], b - rate * move[1]
+            then = sums(a - rate * move[0], b - rate * move[1])
+        a, b, now = a - rate * move[0], b - rate * move[1], then
+        if rate <= 1e-10:
+            break
     return float(a), float(b)
 
 
+def fit_platt(margin: np.ndarray, label: np.ndarray, steps: int = 100) -> tuple[float, float]:
+    """M9: ``a, b`` of ``sigmoid(a * margin + b)`` for smoothed targets (Newton steps)."""
+    n = np.bincount(label, minlength=2)
+    target = np.where(label == 1, (n[1] + 1) / (n[1] + 2), 1 / (n[0] + 2))
+
+    def sums(a, b):
+        z = a * margin + b
+        p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+        r, h = p - target, np.maximum(p * (1 - p), 1e-12)
+        return (np.logaddexp(0, z) - target * z).sum(), r @ margin, r.sum(), h @ margin ** 2, h @ margin, h.sum()
+    return _platt(sums, n[0], n[1], steps)
+
+
+def fit_platt_on_executors(rows: DataFrame, steps: int = 100) -> tuple[float, float]:
+    """The same for a stored table ``margin, label``; a step is one aggregate, six sums of which reach the driver."""
+    n = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n0, n1 = n.get(0, 0), n.get(1, 0)
+    target = F.when(F.col("label") == 1, (n1 + 1) / (n1 + 2)).otherwise(1 / (n0 + 2))
+
+    def sums(a, b):
+        z = F.lit(a) * F.col("margin") + F.lit(b)
+        p = 1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(500.0)), F.lit(-500.0))))
+        loss = F.greatest(z, F.lit(0.0)) + F.log1p(F.exp(-F.abs(z))) - target * z
+        r, h, m = p - target, F.greatest(p * (1 - p), F.lit(1e-12)), F.col("margin")
+        return tuple(rows.agg(*[F.coalesce(F.sum(x), F.lit(0.0)) for x in (loss, r * m, r, h * m * m, h * m, h)]).first())
+    return _platt(sums, n0, n1, steps)
+
+
 class LinearModel(NamedTuple):
     """``vocab`` (term, index, df, idf), ``coef`` (term, coef array) and, for
     each part of the average, ``(intercept, a, b)``: P = sigmoid(a * margin + b)."""
@@ -168,6 +306,21 @@ def fit_sample(train: DataFrame, id_col: str, text_col: str, label_col: str = "l
                          chosen["label"].to_numpy(np.int64), max(vocab.count(), 1))
 
 
+def fit_rows(train: DataFrame, id_col: str, text_col: str, label_col: str = "label",
+             folds: int = CALIBRATION_FOLDS) -> tuple[DataFrame, DataFrame]:
+    """Vocabulary, and every labelled row as ``label, fold, indices, weights``, stored. Folds go by the
+    hash of the id, so a class is spread evenly but not exactly. A row without a term has empty lists."""
+    train = train.filter(F.col(label_col).isNotNull())
+    vocab, weights = tfidf_fit_transform(train, id_col, text_col)
+    cells = weights.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("index", "weight"))).alias("c"))
+    rows = train.select(id_col, F.col(label_col).cast("int").alias("label")).join(cells, id_col, "left")
+    empty = F.col("c").isNull()
+    return vocab, materialize(rows.select(
+        "label", F.pmod(hash32(id_col, "fold"), F.lit(folds)).cast("int").alias("fold"),
+        F.when(empty, F.array().cast("array<int>")).otherwise(F.col("c.index")).alias("indices"),
+        F.when(empty, F.array().cast("array<double>")).otherwise(F.col("c.weight")).alias("weights")))
+
+
 def _model(vocab: DataFrame, coefficients: list[np.ndarray], parts) -> LinearModel:
     spark = vocab.sparkSession
     rows = [(n, [float(c[n]) for c in coefficients]) for n in range(len(coefficients[0]))]
@@ -176,8 +329,12 @@ def _model(vocab: DataFrame, coefficients: list[np.ndarray], parts) -> LinearMod
 
 
 def fit_logreg(train: DataFrame, id_col: str, text_col: str, label_col: str = "label", c: float = C_REG,
-               max_rows: int = FIT_ROWS, sample: tuple | None = None) -> LinearModel:
-    """M7: L2 logistic regression with balanced class weights."""
+               max_rows: int | None = FIT_ROWS, sample: tuple | None = None, tol: float = 1e-8) -> LinearModel:
+    """M7: L2 logistic regression with balanced class weights; ``max_rows=None``: on all rows, by the executors."""
+    if max_rows is None and sample is None:
+        vocab, rows = fit_rows(train, id_col, text_col, label_col)
+        theta = newton(SparkRows(rows, max(vocab.count(), 1), "logistic", c), LOSSES["logistic"][1], tol)
+        return _model(vocab, [theta[:-1]], [(float(theta[-1]), 1.0, 0.0)])
     vocab, x = sample or fit_sample(train, id_col, text_col, label_col, max_rows)
     b, intercept = fit_linear(x, "logistic", c)
     return _model(vocab, [b], [(intercept, 1.0, 0.0)])
@@ -192,10 +349,19 @@ def stratified_folds(label: np.ndarray, folds: int = CALIBRATION_FOLDS) -> np.nd
     return out
 
 
-def fit_svm(train: DataFrame, id_col: str, text_col: str, label_col: str = "label", c: float = C_REG, max_rows: int = FIT_ROWS,
-            folds: int = CALIBRATION_FOLDS, sample: tuple | None = None) -> LinearModel:
+def fit_svm(train: DataFrame, id_col: str, text_col: str, label_col: str = "label", c: float = C_REG, max_rows: int | None = FIT_ROWS,
+            folds: int = CALIBRATION_FOLDS, sample: tuple | None = None, tol: float = 1e-8) -> LinearModel:
     """M8, M9: squared-hinge SVMs with balanced weights on all folds but one,
-    Platt scaling on that one, and the average of the calibrated scores."""
+    Platt scaling on that one, and the average of the calibrated scores;
+    ``max_rows=None``: on all rows, by the executors."""
+    if max_rows is None and sample is None:
+        vocab, rows = fit_rows(train, id_col, text_col, label_col, folds)
+        width, found = max(vocab.count(), 1), []
+        for k in range(folds):
+            theta = newton(SparkRows(rows.filter(F.col("fold") != k), width, "squared_hinge", c), LOSSES["squared_hinge"][1], tol)
+            held = SparkRows(rows.filter(F.col("fold") == k), width, "squared_hinge", c)
+            found.append((theta, fit_platt_on_executors(materialize(held.margins(theta)))))
+        return _model(vocab, [t[:-1] for t, _ in found], [(float(t[-1]), *ab) for t, ab in found])
     vocab, x = sample or fit_sample(train, id_col, text_col, label_col, max_rows)
     fold = stratified_folds(x.label, folds)
     coefficients, parts = [], []
