@@ -185,3 +185,47 @@ def test_pages_through_archives(spark):
         assert sorted((r.page_id or -1, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to or -1) for r in out) == want
     folder = f"{ensure_checkpoint_dir(spark)}/warc-test-{random.random()}"
     assert warc.read_archives(warc.write_archives(warc.with_revisits(df.limit(0)), folder), folder).count() == 0
+
+
+def foreign(kind, block, **fields):
+    head = {"WARC-Type": kind, "WARC-Record-ID": "<urn:uuid:1>", "Content-Length": str(len(block)), **{k.replace("_", "-"): v for k, v in fields.items()}}
+    return warc.compressed(b"WARC/1.0\r\n" + b"".join(f"{k}: {v}\r\n".encode() for k, v in head.items()) + b"\r\n" + block + b"\r\n\r\n")
+
+
+def test_archives_of_other_writers():
+    http = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\n<p>page</p>"
+    sha1, sha256 = hashlib.sha1(b"<p>page</p>").hexdigest(), hashlib.sha256(http).hexdigest()
+    data = b"".join([
+        foreign("warcinfo", b"software: x"), foreign("request", b"GET / HTTP/1.1\r\n\r\n"),
+        foreign("response", http, WARC_Target_URI="http://a/", WARC_Payload_Digest=f"sha1:{sha1}", WARC_Block_Digest=f"sha256:{sha256}"),
+        foreign("response", http), foreign("response", http, WARC_Payload_Digest="unknown:abc"),
+        foreign("resource", b"plain text", Content_Type="text/plain"), foreign("metadata", b"x"),
+        foreign("revisit", b"", WARC_Refers_To="<urn:uuid:9>", WARC_Payload_Digest=f"sha1:{sha1}"), warc.compressed(warc.record(5, None, b"own"))])
+    got = [r for r in warc.read_records(io.BytesIO(data)) if r]
+    assert [(r["record_type"], r["page_id"], r["payload_bytes"], r["payload"]) for r in got] == [
+        ("response", None, 11, b"<p>page</p>")] * 3 + [("resource", None, 10, b"plain text"), ("revisit", None, None, None), ("response", 5, 3, b"own")]
+    assert got[0]["url"] == "http://a/" and got[0]["record_id"] == "<urn:uuid:1>" and {got[k]["payload_digest"] for k in (0, 1, 2, 4)} == {sha1}
+    for bad in (foreign("response", http, WARC_Payload_Digest="sha1:" + "0" * 40), foreign("response", http, WARC_Block_Digest="sha256:" + "0" * 64), foreign("response", http)[:-9]):
+        with pytest.raises(warc.WarcError):
+            list(warc.read_records(io.BytesIO(bad)))
+
+
+def test_very_long_urls_are_written_and_read():
+    url = "http://a/" + "x" * 3_000_000
+    (r,) = warc.read_records(io.BytesIO(warc.compressed(warc.record(1, url, b"p"))))
+    assert r["url"] == url and r["payload"] == b"p"
+
+
+@pytest.mark.parametrize("rows", [10, 0])
+def test_revisits_with_few_and_with_many_holders(spark, rows, monkeypatch):
+    """With holders broadcast and with a join: half of the pages null, a third of one payload."""
+    monkeypatch.setattr("veracity.operators.features.broadcast_within.__defaults__", (rows,))
+    df = spark.createDataFrame([(i, f"u{i}", None if i % 2 else "hot " * 300 if i % 3 else f"own {i % 4} " * 200 if i % 5 else "small") for i in range(120)], "page_id long, url string, html string")
+    want = {}
+    for r in df.collect():
+        if len(r.html or "") >= warc.MIN_BYTES:
+            want[r.html] = max(r.page_id, want.get(r.html, -1))
+    got = warc.with_revisits(df)
+    assert {r.page_id: r.refers_to for r in got.collect()} == {r.page_id: None if want.get(r.html, r.page_id) == r.page_id else want[r.html] for r in df.collect()}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert ("SortMergeJoin" in plan) == (rows == 0)

@@ -104,7 +104,7 @@ FROM h""")
 def op4_warc_reader(spark, d):
     folder = f"{ensure_checkpoint_dir(spark)}/warc-{uuid.uuid4().hex}"
     archives = warc.write_archives(warc.with_revisits(read(spark, d, "pages")), folder)
-    return warc.read_archives(archives, folder).drop("url")
+    return warc.read_archives(archives, folder).drop("record_id", "url")
 
 
 # --- 10: URL filters -------------------------------------------------------------------

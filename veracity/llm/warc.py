@@ -14,6 +14,11 @@ Payloads of at least ``min_bytes`` that are equal (SHA-1 and length) are stored
 once, with the largest page id; the others are revisits that refer to it and
 give the full length in their HTTP header.
 
+Archives of other writers are read too (:func:`read_records`): record ids are
+any text, digests may be missing, in base 16 or 32 and of any algorithm that
+Python has, a resource's payload is its block, and records that hold no page
+(``warcinfo``, ``request``, ``metadata`` and others) are passed over.
+
 Defined results: a null html is an empty payload, a null url has no target, a
 null page id is written as ``none`` and read as null, and is a revisit if
 another page has its payload. Rows that repeat a page are records of their
@@ -36,13 +41,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veracity.llm.base import arrow_batches, arrow_rows
+from veracity.operators.features import broadcast_within
 from veracity.session import materialize
 
 MIN_BYTES = 1000
 ARCHIVE_BYTES = 256 << 20
 DATE = "2024-01-01T00:00:00Z"
 BUFFER = 1 << 16
-HEADER_LIMIT = 1 << 20
+#: A header without an end is an error from here on; a record's longest line is its target.
+HEADER_LIMIT = 1 << 28
 # fixed values of the format
 VERSION = b"WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -61,9 +68,27 @@ def _page_urn(page_id: int | None) -> str:
     return f"<urn:page:{'none' if page_id is None else page_id}>"
 
 
-def _page_id(urn: str) -> int | None:
-    value = urn.removeprefix("<urn:page:").removesuffix(">")
-    return None if value == "none" else int(value)
+def _page_id(urn: str | None) -> int | None:
+    """The page of one of our record ids; other writers' ids are no pages."""
+    m = re.fullmatch(r"<urn:page:(-?\d+)>", urn or "")
+    return int(m[1]) if m else None
+
+
+def _checked(given: str | None, data: bytes, what: str) -> None:
+    """Verifies a labelled digest, if there is one of an algorithm known here."""
+    name, _, value = (given or "").partition(":")
+    if name.lower() in hashlib.algorithms_guaranteed and not name.lower().startswith("shake"):
+        digest = hashlib.new(name.lower(), data).digest()
+        if value.rstrip("=").upper() not in (base64.b32encode(digest).decode().rstrip("="), digest.hex().upper()):
+            raise WarcError(what)
+
+
+def _sha1_hex(given: str | None) -> str | None:
+    """A labelled SHA-1 as hexadecimal digits."""
+    name, _, value = (given or "").partition(":")
+    if name.lower() != "sha1":
+        return None
+    return value.lower() if len(value) == 40 else base64.b32decode(value.upper() + "=" * (-len(value) % 8)).hex()
 
 
 def _target(url: str) -> str:
@@ -116,7 +141,9 @@ class _Members:
         return True
 
     def until(self, mark: bytes) -> bytes:
-        while (at := self.plain.find(mark)) < 0:
+        seen = 0
+        while (at := self.plain.find(mark, seen)) < 0:
+            seen = max(len(self.plain) - len(mark) + 1, 0)
             if len(self.plain) > HEADER_LIMIT or not self._more():
                 raise WarcError(f"no {mark!r} where a header must end")
         out = bytes(self.plain[:at])
@@ -142,29 +169,44 @@ def _fields(head: bytes, first: bytes) -> dict[str, str]:
     lines = head.split(b"\r\n")
     if not lines[0].startswith(first):
         raise WarcError(f"a header begins with {lines[0][:40]!r}")
-    return {k.decode().strip().lower(): v.decode().strip() for k, _, v in (x.partition(b":") for x in lines[1:])}
+    return {k.decode(errors="replace").strip().lower(): v.decode(errors="replace").strip() for k, _, v in (x.partition(b":") for x in lines[1:])}
+
+
+#: Records that hold a page or refer to one.
+PAGES = ("response", "resource", "revisit")
+
 
+def read_records(stream: BinaryIO) -> Iterator[dict | None]:
+    """The records of an archive in order, digests verified where there are any; None for one that holds no page.
 
-def read_records(stream: BinaryIO) -> Iterator[dict]:
-    """The records of an archive in order, digests verified."""
+    A revisit's length is that of its HTTP header, null without one; its digest is that of what it revisits."""
     members = _Members(stream)
     while members.begin():
         fields = _fields(members.until(b"\r\n\r\n"), b"WARC/")
+        if not fields.get("content-length", "").isdigit():
+            raise WarcError("a record without its length")
         block = members.take(int(fields["content-length"]))
         if members.take(4) != b"\r\n\r\n":
             raise WarcError("no line ends after a record")
         members.end()
-        if _digest(hashlib.sha1(block)) != fields["warc-block-digest"]:
-            raise WarcError(f"block digest of {fields['warc-record-id']}")
-        head, _, payload = block.partition(b"\r\n\r\n")
-        revisit = fields["warc-type"] == "revisit"
-        length = int(_fields(head, b"HTTP/")["content-length"])
-        if not revisit and (length != len(payload) or _digest(hashlib.sha1(payload)) != fields["warc-payload-digest"]):
-            raise WarcError(f"payload digest of {fields['warc-record-id']}")
+        kind, name = fields.get("warc-type", "").lower(), fields.get("warc-record-id")
+        _checked(fields.get("warc-block-digest"), block, f"block digest of {name}")
+        if kind not in PAGES:
+            yield None
+            continue
+        http = block.startswith(b"HTTP/")
+        head, _, payload = block.partition(b"\r\n\r\n") if http else (b"", b"", block)
+        revisit, given = kind == "revisit", fields.get("warc-payload-digest")
+        length = _fields(head, b"HTTP/").get("content-length", "") if http else ""
+        length = int(length) if length.isdigit() else None
+        if not revisit:
+            _checked(given, payload, f"payload digest of {name}")
+            if _page_id(name) is not None and length != len(payload):
+                raise WarcError(f"payload length of {name}")
         yield {
-            "page_id": _page_id(fields["warc-record-id"]), "url": fields.get("warc-target-uri"), "payload_bytes": length,
-            "payload_digest": base64.b32decode(fields["warc-payload-digest"].removeprefix("sha1:")).hex(),
-            "record_type": fields["warc-type"], "refers_to": _page_id(fields["warc-refers-to"]) if revisit else None,
+            "record_id": name, "page_id": _page_id(name), "url": fields.get("warc-target-uri"), "payload_bytes": length if revisit else len(payload),
+            "payload_digest": _sha1_hex(given) if revisit else hashlib.sha1(payload).hexdigest(),
+            "record_type": kind, "refers_to": _page_id(fields.get("warc-refers-to")) if revisit else None,
             "payload": None if revisit else payload,
         }
 
@@ -181,13 +223,20 @@ def with_revisits(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     """``page_id, url, html, refers_to``: the page that holds an equal payload, or null.
 
     A payload's holder is found by aggregation, so many copies cost one row a
-    task; the join back is one that adaptive execution can split."""
+    task, and holders are stored. While their rows, once counted, are few, they
+    are broadcast and pages don't move. Else pages of ``min_bytes`` or more
+    meet them in a join whose sides come straight from exchanges, which
+    adaptive execution can split; smaller ones, empty ones too, stay where they are."""
     html = F.coalesce("html", F.lit(""))
     rows = pages.select("page_id", "url", html.alias("html"), F.sha1(F.encode(html, "UTF-8")).alias("digest"), F.octet_length(html).alias("bytes"))
-    holders = (rows.filter(F.col("bytes") >= min_bytes).groupBy("digest", "bytes")
-               .agg(F.max("page_id").alias("holder"), F.count("*").alias("n")).filter("n > 1 and holder is not null").drop("n"))
-    refers = F.when(~F.col("page_id").eqNullSafe(F.col("holder")), F.col("holder"))
-    return rows.join(holders, ["digest", "bytes"], "left").select("page_id", "url", "html", refers.alias("refers_to"))
+    large = rows.filter(F.col("bytes") >= min_bytes)
+    holders = materialize(large.groupBy("digest", "bytes").agg(F.max("page_id").alias("holder"), F.count("*").alias("n")).filter("n > 1 and holder is not null").drop("n"))
+    refers = F.when(~F.col("page_id").eqNullSafe(F.col("holder")), F.col("holder")).alias("refers_to")
+    known = broadcast_within(holders)
+    if known is not holders:
+        return rows.join(known, ["digest", "bytes"], "left").select("page_id", "url", "html", refers)
+    small = rows.filter(F.col("bytes") < min_bytes).select("page_id", "url", "html", F.lit(None).cast("long").alias("refers_to"))
+    return large.join(holders, ["digest", "bytes"], "left").select("page_id", "url", "html", refers).unionByName(small)
 
 
 def write_archives(rows: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES, level: int = 6) -> DataFrame:
@@ -220,8 +269,8 @@ def write_archives(rows: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BY
 
 
 def read_archives(archives: DataFrame, folder: str, with_payload: bool = False) -> DataFrame:
-    """The records of the archives, an archive being read by one task."""
-    fields = [("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
+    """The records of the archives (``path, records``; null: unknown), an archive being read by one task."""
+    fields = [("record_id", pa.string()), ("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
               ("record_type", pa.string()), ("refers_to", pa.int64())] + [("payload", pa.binary())] * with_payload
     schema = pa.schema(fields)
     kinds = {pa.int64(): "long", pa.string(): "string", pa.binary(): "binary"}
@@ -235,8 +284,9 @@ def read_archives(archives: DataFrame, folder: str, with_payload: bool = False)
                     n = 0
                     for r in read_records(stream):
                         n += 1
-                        yield tuple(r[c] for c in schema.names), 200 + len(r["payload"] or b"") * with_payload
-                if n != expected:
+                        if r is not None:
+                            yield tuple(r[c] for c in schema.names), 200 + len(r["payload"] or b"") * with_payload
+                if expected is not None and n != expected:
                     raise WarcError(f"{path} has {n} records instead of {expected}")
         yield from arrow_batches(records(), schema)
 
