@@ -198,3 +198,23 @@ def test_reference_index_gives_counts_at_any_score(spark):
     near = index.at(spark.createDataFrame([(0.9,)], "x double"))
     filters = near._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
     assert "range" in filters and len(index.names) > 8
+
+
+def test_a_landing_is_one_batch_of_the_drift_query_in_however_many_files(spark, tmpdir_fresh, monkeypatch):
+    """A batch reads the state of all snapshots, so more files a landing must not mean more batches."""
+    from veracity.plans import catalog
+    docs = [(None if i % 40 == 7 else i, f"a nation of many words {i} " * 30, "en", f"s{i % 3}") for i in range(400)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").repartition(8).write.parquet(f"{tmpdir_fresh}/documents.parquet")
+    spark.range(400).selectExpr("id as doc_id", "cast(id % 2 as int) as quality", "0 as toxic").write.parquet(f"{tmpdir_fresh}/labels.parquet")
+    read, seen = S.read_latest, []
+    monkeypatch.setattr(S, "read_latest", lambda spark, path, key: seen.append(path) or read(spark, path, key))
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    try:
+        spark.conf.set(size, "2k")
+        got = sorted(map(tuple, catalog.QUERIES["stream_drift"](spark, tmpdir_fresh).collect()))
+    finally:
+        spark.conf.set(size, before)
+    assert got == sorted(map(tuple, catalog.QUERIES["drift_by_snapshot"](spark, tmpdir_fresh).collect()))
+    assert sum(r[1] for r in got) == 400
+    assert spark.read.parquet(seen[0]).select("batch_id").distinct().count() == catalog.LANDINGS

@@ -1005,9 +1005,16 @@ def q_stream_monitor(spark, d):
 
 @register("stream_drift", ORACLE["drift_by_snapshot"])
 def q_stream_drift(spark, d):
-    """Every file holds rows of every source, so each batch adds to what the state has of them."""
-    S, stream = _stream_input(spark, X.new_scores(spark, d).withColumn("file", F.col("doc_id") % LANDINGS), "file", 1)
-    out, ckpt = S.work_dir(spark, "drift"), S.work_dir(spark, "ckpt")
-    ref = X.reference_scores(spark, d)
-    S.run_available(S.start_drift(stream, ref, out, ckpt, "source", "text", "score", HIT_KEYWORDS))
+    """Every file holds rows of every source, so each batch adds to what the state has of them.
+
+    A batch is a landing, in however many Parquet files it was written, as in :func:`q_stream_ingest`:
+    a batch reads the state of all sources, so the number of batches must not follow the input's size."""
+    from veracity.streaming import monitor as S
+    landed = F.coalesce(F.pmod("doc_id", F.lit(LANDINGS)), F.lit(0))  # rows without an id land with the first
+    new, ref = X.new_scores(spark, d), X.reference_scores(spark, d)
+    landing, out, ckpt = (S.work_dir(spark, x) for x in ("landing", "drift", "ckpt"))
+    for n in range(LANDINGS):
+        new.filter(landed == n).write.mode("append").parquet(landing)
+        stream = S.read_landing(spark, landing, new.schema)
+        S.run_available(S.start_drift(stream, ref, out, ckpt, "source", "text", "score", HIT_KEYWORDS))
     return S.read_latest(spark, out, "source")
