@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from veracity.functions.text import ngram_rows, word_terms
 from veracity.operators import features as M
 
 TEXTS = ["The cat sat", "the dog", "a cat a dog the end", "", "Dog dog DOG", "x y z"]
@@ -167,3 +168,38 @@ def test_weights_count_terms_of_the_vocabulary_only(spark):
     again = M.tfidf_transform(docs, vocab, "id", "t", counts=shared)
     key = lambda t: sorted((r.id, r.term, round(r.weight, 12)) for r in t.collect())
     assert key(weights) == key(again)
+
+
+def test_terms_are_counted_in_portions_without_an_aggregate_by_document(spark, monkeypatch):
+    """Repeated and null ids are one document each; no task groups or sorts the n-grams of its documents."""
+    rng = random.Random(3)
+    words = ["un", "deux", "dÉjà", "x", "İstanbul", "four", "5", "66", "a_b"]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(40)))) for i in range(60)] + [(61, None), (62, ""), (63, "x 5")]
+    again = [(3, "un deux un"), (None, "four un"), (None, "un four"), (5, None)]
+    plain = spark.createDataFrame(rows, "id long, t string").repartition(3)
+    docs = plain.unionByName(spark.createDataFrame(again, "id long, t string"))
+    monkeypatch.setattr(M, "COUNTED_BYTES", 300)
+    for df, features in ((plain, 7), (plain, 30000), (docs, 9), (docs, 30000)):
+        exploded = ngram_rows(df, "id", "t").groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
+        row = lambda t, *c: sorted((tuple(r[x] if not isinstance(r[x], float) else round(r[x], 12) for x in c) for r in t.collect()), key=str)
+        assert row(M.term_counts(df, "id", "t"), "id", "term", "tf") == row(exploded, "id", "term", "tf")
+        vocab, weights = M.tfidf_fit_transform(df, "id", "t", features)
+        want = M.tfidf_fit(df, "id", "t", features, counts=exploded)
+        assert row(vocab, "term", "index", "df", "idf") == row(want, "term", "index", "df", "idf")
+        assert row(weights, "id", "term", "index", "weight") == row(M.tfidf_transform(df, vocab, "id", "t", counts=exploded), "id", "term", "index", "weight")
+    plan = M.tfidf_transform(plain, vocab, "id", "t")._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Aggregate", "Window", "Sort", "Generate", "Join"))
+
+
+def test_words_in_arrow_are_those_of_spark(spark):
+    """Every character between letters, as a text; and letters whose lower case goes by the word or is longer."""
+    texts = [f"aA{chr(c)}Bb" for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF and (c < 0x3100 or c % 7 == 0 or 0x9F00 < c < 0x11000)]
+    texts += ["ΟΔΟΣ ΟΔΟΣ'Α ΣΑΣ", "İSTANBUL İ", "", "_ __ a_", "\u2019s it\u2014is", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string").repartition(4)
+    got = M._by_row(df, "id", "t").toArrow()
+    row, words = M._words(got.column("text").combine_chunks())
+    found = {i: [] for i in range(len(texts))}
+    ids = got.column("id").to_pylist()
+    for r, w in zip(row, words.to_pylist(), strict=True):
+        found[ids[r]].append(w)
+    assert found == {r.id: r.w or [] for r in df.select("id", word_terms("t").alias("w")).collect()}
