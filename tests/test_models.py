@@ -134,3 +134,28 @@ def test_all_rows_fit_on_executors_is_a_minimum(spark, labelled, fit, monkeypatc
         assert np.abs(gradient).max() < 1e-4
     scores = {x.doc_id: x.score for x in ML.score(model, more, "doc_id", "text").collect()}
     assert len(scores) == 27 and scores[6] > scores[7]
+
+
+def test_scores_and_fits_take_no_aggregate_of_n_grams(spark, labelled, monkeypatch):
+    """No table of all counts is stored for a fit or a tournament, and a task that scores keeps sums by document only."""
+    from veracity.operators import features as M
+    monkeypatch.setattr(M, "_counts_of_rows", None)
+    model = ML.fit_logreg(labelled, "doc_id", "text")
+    plan = ML.score(model, labelled, "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Generate" not in plan and not any("term" in x.split("functions")[0] for x in plan.split("HashAggregate(keys=")[1:])
+    weights = M.tfidf_transform(labelled, model.vocab, "doc_id", "text")
+    key = lambda t: {r.doc_id: r.score for r in t.collect()}
+    assert key(ML.score(model, labelled, "doc_id", "text", weights)) == pytest.approx(key(ML.score(model, labelled, "doc_id", "text")))
+    assert ML.model_tournament(labelled, labelled, "doc_id", "text").count() == 12 * len(ML.MODELS)
+
+
+def test_linear_score_of_repeated_ids(spark):
+    """Rows that share an id, or have none, are one document, whatever task counts them."""
+    from veracity.operators import features as M
+    df = spark.createDataFrame([(0, "aa bb"), (1, "aa"), (1, "cc aa"), (None, "bb"), (None, "bb cc"), (2, None)], "doc_id long, text string")
+    vocab, weights = M.tfidf_fit_transform(df, "doc_id", "text")
+    _, want = vocab, M.tfidf_transform(df, vocab, "doc_id", "text", counts=M.term_counts(df, "doc_id", "text"))
+    coef = vocab.select("term", (F.col("index") - 1.5).alias("coef"))
+    key = lambda w: sorted(((r.doc_id is None, r.doc_id or 0, round(r.score, 12)) for r in ML.linear_score(df, w, coef, "doc_id").collect()))
+    assert key(weights) == key(want) and len(key(weights)) == 6
+    assert {r.term: r.tf for r in M.term_counts(df, "doc_id", "text").filter("doc_id = 1").collect()} == {"aa": 2, "cc": 1, "cc aa": 1}

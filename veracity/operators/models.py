@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veracity.functions.common import hash32, sigmoid
-from veracity.operators.features import broadcast_within, term_counts, tfidf_fit, tfidf_fit_transform, tfidf_transform
+from veracity.operators.features import broadcast_within, tfidf_fit, tfidf_fit_transform, tfidf_transform
 from veracity.session import materialize
 
 # --- fixed values that must equal the reference's -----------------------------
@@ -292,14 +292,13 @@ def fit_sample(train: DataFrame, id_col: str, text_col: str, label_col: str = "l
                max_rows: int = FIT_ROWS) -> tuple[DataFrame, Sparse]:
     """Vocabulary of all training rows, and the TF-IDF rows to fit on.
 
-    Rows without a label are no training rows. The n-gram counts are made
-    once, for the vocabulary and for the rows."""
+    Rows without a label are no training rows. All texts are counted for the
+    vocabulary, those of the rows to fit on again; no counts are stored."""
     train = train.filter(F.col(label_col).isNotNull())
-    counts = materialize(term_counts(train, id_col, text_col))
-    vocab = materialize(tfidf_fit(train, id_col, text_col, counts=counts))
+    vocab = materialize(tfidf_fit(train, id_col, text_col))
     chosen = train.select(id_col, F.col(label_col).cast("int").alias("label")).orderBy(hash32(id_col, "fit"), id_col).limit(max_rows).toPandas()
     ids = train.sparkSession.createDataFrame(chosen[[id_col]], train.select(id_col).schema) if len(chosen) else train.select(id_col).limit(0)
-    weights = tfidf_transform(train, vocab, id_col, text_col, counts=counts.join(F.broadcast(ids), id_col, "left_semi"))
+    weights = tfidf_transform(train.join(F.broadcast(ids), id_col, "left_semi"), vocab, id_col, text_col)
     cells = weights.select(id_col, "index", "weight").orderBy(id_col, "index").toPandas()
     place = {i: n for n, i in enumerate(chosen[id_col])}
     return vocab, Sparse(cells[id_col].map(place).to_numpy(np.int64), cells["index"].to_numpy(np.int64), cells["weight"].to_numpy(np.float64),
@@ -373,9 +372,9 @@ def fit_svm(train: DataFrame, id_col: str, text_col: str, label_col: str = "labe
     return _model(vocab, coefficients, parts)
 
 
-def score(model: LinearModel, docs: DataFrame, id_col: str, text_col: str, counts: DataFrame | None = None) -> DataFrame:
-    """``(id, score)`` of every row of ``docs``."""
-    weights = tfidf_transform(docs, model.vocab, id_col, text_col, counts=counts)
+def score(model: LinearModel, docs: DataFrame, id_col: str, text_col: str, weights: DataFrame | None = None) -> DataFrame:
+    """``(id, score)`` of every row of ``docs``; ``weights``: of these by the model's vocabulary, if they are there already."""
+    weights = tfidf_transform(docs, model.vocab, id_col, text_col) if weights is None else weights
     margins = weights.join(broadcast_within(model.coef), "term").groupBy(id_col).agg(
         *[F.sum(F.col("weight") * F.col("coef")[k]).alias(f"__m{k}") for k in range(len(model.parts))])
     scores = [sigmoid(F.lit(a) * (F.coalesce(f"__m{k}", F.lit(0.0)) + F.lit(c)) + F.lit(b)) for k, (c, a, b) in enumerate(model.parts)]
@@ -388,13 +387,14 @@ MODELS = {"TF-IDF + LogReg": fit_logreg, "TF-IDF + SVM": fit_svm}
 def model_tournament(train: DataFrame, test: DataFrame, id_col: str, text_col: str, label_col: str = "label",
                      models: Sequence[str] = tuple(MODELS), max_rows: int = FIT_ROWS) -> DataFrame:
     """Fit every candidate on one sample; return the long
-    ``(model, id, label, score)`` table for :func:`evaluate.model_comparison`."""
+    ``(model, id, label, score)`` table for :func:`evaluate.model_comparison`.
+    The candidates share a vocabulary, so the test rows' weights are made once."""
     sample = fit_sample(train, id_col, text_col, label_col, max_rows)
-    counts = materialize(term_counts(test, id_col, text_col))
+    weights = materialize(tfidf_transform(test, sample[0], id_col, text_col))
     labels = test.select(id_col, label_col)
     out = None
     for name in models:
-        s = score(MODELS[name](train, id_col, text_col, label_col, sample=sample), test, id_col, text_col, counts)
+        s = score(MODELS[name](train, id_col, text_col, label_col, sample=sample), test, id_col, text_col, weights)
         s = s.join(labels, id_col).select(F.lit(name).alias("model"), id_col, label_col, "score")
         out = s if out is None else out.unionByName(s)
     return out
