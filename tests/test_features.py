@@ -203,3 +203,10 @@ def test_words_in_arrow_are_those_of_spark(spark):
     for r, w in zip(row, words.to_pylist(), strict=True):
         found[ids[r]].append(w)
     assert found == {r.id: r.w or [] for r in df.select("id", word_terms("t").alias("w")).collect()}
+
+
+def test_tasks_that_count_terms_are_more_for_more_texts(spark, monkeypatch):
+    monkeypatch.setattr(M, "TASK_TEXTS", 10)
+    df = spark.range(95).selectExpr("id", "'a text' as t")
+    assert M._by_row(df, "id", "t").rdd.getNumPartitions() == 10
+    assert M._by_row(df.limit(5), "id", "t").rdd.getNumPartitions() == max(4, spark.sparkContext.defaultParallelism)
