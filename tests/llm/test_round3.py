@@ -8,6 +8,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
@@ -47,6 +48,7 @@ def brute_audit(rows, least, top):
 
 
 AUDIT = "doc_id long, text string, lang string, source string, value string, rank string, term string, n long"
+AUDITED = pa.schema([(c, pa.string()) for c in ("lang", "source", "text")])
 
 
 def audit_rows(seed, size, sources, vocabulary=40):
@@ -97,6 +99,29 @@ def test_long_texts_are_split_at_terms():
             divergence.PIECE = before
 
 
+@pytest.mark.parametrize("letters", [0, 1000])  # a source for each row and no text; long terms of one source
+def test_counts_are_passed_on_by_their_bytes(monkeypatch, letters):
+    monkeypatch.setattr(divergence, "HELD", 1_000_000)
+    rows = [("en", "s" if letters else f"s{i}", f"{'ab'[i % 2]}{chr(0x4e00 + i) * (letters // 3)}" * 2 if letters else None) for i in range(60 * (100 if letters else 1000))]
+    read, first, n, docs = 0, None, Counter(), Counter()
+
+    def batches():
+        nonlocal read
+        for at in range(0, len(rows), len(rows) // 60):
+            read += 1
+            yield pa.RecordBatch.from_pylist([dict(zip(("lang", "source", "text"), x, strict=True)) for x in rows[at:at + len(rows) // 60]], AUDITED)
+
+    for b in divergence._counted(batches()):
+        first = first or read
+        for x in b.to_pylist():
+            n[x["lang"], x["source"], x["term"]] += x["n"]
+            docs[x["lang"], x["source"], x["term"]] += x["docs"]
+    want = Counter((lang, source, text) for lang, source, text in rows if text)
+    assert {k: v for k, v in n.items() if k[2]} == want == {k: v for k, v in docs.items() if k[2]}
+    assert {k[:2] for k in n if k[2] is None} == {x[:2] for x in rows}
+    assert first <= 45  # the task has not read all its input by then
+
+
 # --- vector codes ----------------------------------------------------------------------
 def brute_codes(rows, parts=4, entries=256, rounds=4):
     kept = [(i, label, [math.floor(1024 * x) for x in v]) for i, v, label in rows if v and all(x is not None and math.isfinite(x) for x in v)]

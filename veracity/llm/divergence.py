@@ -36,6 +36,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -48,9 +49,10 @@ from veracity.session import materialize
 
 MIN_DOCUMENTS, TOP = 10, 10
 UNIT = 1_000_000_000
-#: Groups and (on average) terms of a tile, cells of a leaf; terms that a task counts before it passes them on.
+#: Groups and (on average) terms of a tile, cells of a leaf.
 ROWS, COLUMNS, LEAF_ROWS, LEAF_COLUMNS = 256, 4096, 4, 64
-HELD = 800_000
+#: Bytes of counts that a task holds before it passes them on; what a term and a group take beside their letters.
+HELD, TERM_BYTES, GROUP_BYTES = 200_000_000, 250, 1000
 
 #: Bytes that end a term become spaces, A-Z become lower case; all others, with those of other scripts, stay.
 _TABLE = bytes(b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in range(256)).lower()
@@ -75,16 +77,18 @@ def terms_of(text: bytes) -> Iterator[list[bytes]]:
 
 
 def _counted(batches):
-    """Partial counts of a task: a row for each term of a group, ``docs`` of them documents; term null for the group itself."""
+    """Partial counts of a task: a row for each term of a group, ``docs`` of them documents; term null for the group itself.
+
+    Terms and groups are held by their bytes, so long terms or a source for each text are passed on sooner."""
     held: dict[tuple[bytes, bytes], tuple[Counter, Counter]] = {}
-    groups: set[tuple[bytes, bytes]] = set()
 
     def flush():
         for (lang, source), (n, docs) in held.items():
-            names = lang.decode(), source.decode()
+            names, size = (lang.decode(), source.decode()), 60 + len(lang) + len(source)
+            yield (*names, None, 0, 0), size
             for term, count in n.items():
                 if term:
-                    yield (*names, term.decode(), count, docs[term]), 60 + len(term)
+                    yield (*names, term.decode(), count, docs[term]), size + len(term)
         held.clear()
 
     def rows():
@@ -93,20 +97,21 @@ def _counted(batches):
             for part in slices(b):
                 columns = [c.cast(pa.binary()).fill_null(b"").to_pylist() for c in (part.column("lang"), part.column("source"), part.column("text"))]
                 for lang, source, text in zip(*columns, strict=True):
-                    groups.add((lang, source))
-                    n, docs = held.setdefault((lang, source), (Counter(), Counter()))
+                    group = lang, source
+                    if group not in held:
+                        held[group] = Counter(), Counter()
+                        size += GROUP_BYTES + len(lang) + len(source)
+                    n, docs = held[group]
                     before, own = len(n), set()
                     for terms in terms_of(text):
                         n.update(terms)
                         own.update(terms)
+                    size += TERM_BYTES * (len(n) - before) + sum(map(len, filterfalse(docs.__contains__, own)))
                     docs.update(own)
-                    size += len(n) - before
                     if size > HELD:
                         yield from flush()
                         size = 0
         yield from flush()
-        for lang, source in groups:
-            yield (lang.decode(), source.decode(), None, 0, 0), 60
 
     yield from arrow_batches(rows(), _COUNTS)
 
