@@ -159,3 +159,53 @@ def test_linear_score_of_repeated_ids(spark):
     key = lambda w: sorted(((r.doc_id is None, r.doc_id or 0, round(r.score, 12)) for r in ML.linear_score(df, w, coef, "doc_id").collect()))
     assert key(weights) == key(want) and len(key(weights)) == 6
     assert {r.term: r.tf for r in M.term_counts(df, "doc_id", "text").filter("doc_id = 1").collect()} == {"aa": 2, "cc": 1, "cc aa": 1}
+
+
+# --- whole jobs ----------------------------------------------------------------------
+@pytest.mark.parametrize("name", ["logreg_scores", "svm_scores", "model_tournament"])
+def test_queries_fit_on_every_labelled_row(spark, labelled, name, monkeypatch):
+    """More rows than were once sampled come down to the fit; none is chosen, and none goes to the driver."""
+    from veracity.plans import catalog as Q
+    n, seen = 10_400, []
+    texts = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("word w"), F.col("id") % 7).alias("text"))
+    train = texts.withColumn("label", (F.col("doc_id") % 4 != 0).cast("int"))
+    monkeypatch.setattr(Q, "_train_test", lambda spark, d: (train, train.filter("doc_id < 40")))
+    monkeypatch.setattr(Q.X, "documents", lambda spark, d: texts.filter("doc_id < 40"))
+    monkeypatch.setattr(ML, "fit_sample", None)
+    init, newton = ML.SparkRows.__init__, ML._newton
+    monkeypatch.setattr(ML, "_newton", lambda width, on_intercept, tol, steps: newton(width, on_intercept, tol, 1))  # which rows, not how far
+
+    def noted(self, rows, *rest, **named):
+        seen.append(rows.groupBy("fold").count().collect())
+        init(self, rows, *rest, **named)
+    monkeypatch.setattr(ML.SparkRows, "__init__", noted)
+    assert Q.QUERIES[name](spark, "").count() == (len(ML.MODELS) if name == "model_tournament" else 40)
+    assert seen and all(sum(r["count"] for r in x) == n and max(r["count"] for r in x) - min(r["count"] for r in x) <= 2 for x in seen)
+
+
+def test_folds_on_executors_are_those_in_memory(spark):
+    """The rows of a class take turns by the hash of the id; the terms of an id that several rows have are held by one of them."""
+    ids = [*range(60), 7, 7, 8, None]
+    rows = spark.createDataFrame([(i, f"common x{i}", 1 if i is None else int(i % 3 > 0)) for i in ids], "doc_id long, text string, label int")
+    _, x = ML.fit_sample(rows, "doc_id", "text", "label", 1000)
+    want = sorted(zip(x.label.tolist(), ML.stratified_folds(x.label).tolist(), np.bincount(x.row, minlength=len(x.label)).tolist(), strict=True))
+    got = [(r.label, r.fold, len(r.indices)) for r in ML.fit_rows(rows, "doc_id", "text")[1].collect()]
+    assert sorted(x[:2] for x in got) == sorted(x[:2] for x in want)
+    assert sorted(x[2] for x in got) == sorted(x[2] for x in want) and len(got) == 64
+
+
+def test_folds_share_passes(spark):
+    """Fits that run together end where each ends alone, and take no more passes than the longest."""
+    _, s = sample(n=90, d=8)
+    fold = ML.stratified_folds(s.label)
+    rows = stored(spark, s, 1).withColumn("place", F.monotonically_increasing_id()).join(
+        spark.createDataFrame(list(enumerate(fold.tolist())), "place long, fold int"), "place").drop("place").coalesce(1).sortWithinPartitions("fold").localCheckpoint()
+    objectives = [ML.SparkRows(rows, s.width, "squared_hinge", 1.0, without=k) for k in range(3)]
+    passes = []
+    first = objectives[0]
+    answers = ML.SparkRows.answers
+    first.answers = lambda asked: passes.append(len(asked)) or answers(first, asked)
+    for k, theta in enumerate(ML.newton_together(objectives)):
+        b, c = ML.fit_linear(s.only(fold != k), "squared_hinge")
+        assert theta == pytest.approx(np.append(b, c), abs=1e-6)
+    assert passes[0] == 3 and len(passes) < sum(passes) / 2

@@ -371,9 +371,11 @@ def _term_sums(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return _by_row(docs, id_col, text_col).mapInArrow(run, "term string, cf long, df long")
 
 
-def _row_weights(docs: DataFrame, vocab: Sequence, id_col: str, text_col: str) -> DataFrame:
-    """``(id, term, index, weight)`` of rows that are a document each, for the rows ``term, index, idf`` of a vocabulary."""
-    schema = T.StructType([docs.schema[id_col], T.StructField("term", T.StringType()), T.StructField("index", T.IntegerType()), T.StructField("weight", T.DoubleType())])
+def _row_weights(docs: DataFrame, vocab: Sequence, id_col: str, text_col: str, listed: bool = False) -> DataFrame:
+    """``(id, term, index, weight)`` of rows that are a document each, for the rows ``term, index, idf`` of a
+    vocabulary; ``listed``: ``(id, indices, weights)``, a row for each document, also for one without terms."""
+    cells = [("indices", T.ArrayType(T.IntegerType())), ("weights", T.ArrayType(T.DoubleType()))] if listed else [("term", T.StringType()), ("index", T.IntegerType()), ("weight", T.DoubleType())]
+    schema = T.StructType([docs.schema[id_col], *[T.StructField(*x) for x in cells]])
     table = docs.sparkSession.sparkContext.broadcast(
         (pa.array([r.term for r in vocab], pa.string()), np.array([r["index"] for r in vocab], np.int32), np.array([r.idf for r in vocab], np.float64)))
 
@@ -391,8 +393,12 @@ def _row_weights(docs: DataFrame, vocab: Sequence, id_col: str, text_col: str) -
             row, term, tf = _row_counts(grams.row[there], order[at[there]])
             raw = (1.0 + np.log(tf)) * idf[term]
             norm = np.sqrt(np.bincount(row, raw * raw, len(ids)))
-            yield pa.RecordBatch.from_arrays(
-                [ids.take(pa.array(row)), terms.take(pa.array(term)), pa.array(index[term]), pa.array(raw / norm[row])], names=[id_col, "term", "index", "weight"])
+            weight = raw / norm[row]
+            if listed:
+                ends = pa.array(np.append(0, np.cumsum(np.bincount(row, minlength=len(ids)))).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([ids, pa.ListArray.from_arrays(ends, pa.array(index[term])), pa.ListArray.from_arrays(ends, pa.array(weight))], names=[id_col, "indices", "weights"])
+            else:
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(row)), terms.take(pa.array(term)), pa.array(index[term]), pa.array(weight)], names=[id_col, "term", "index", "weight"])
     return _by_row(docs, id_col, text_col).mapInArrow(run, schema)
 
 
@@ -445,13 +451,29 @@ def tfidf_transform(docs: DataFrame, vocab: DataFrame, id_col: str, text_col: st
     if counts is None and vocab.count() <= BROADCAST_ROWS:
         once, repeated = _once_and_repeated(docs, id_col)
         weights = _row_weights(once, few.collect(), id_col, text_col)
-        if repeated is None:
-            return weights
-        counts = _added_up(_counts_of_rows(repeated, id_col, text_col).join(F.broadcast(few.select("term")), "term", "left_semi"), id_col)
-        return weights.unionByName(_weights_of_counts(counts, few, id_col))
+        return weights if repeated is None else weights.unionByName(_weights_of_repeated(repeated, few, id_col, text_col))
     return _weights_of_counts(term_counts(docs, id_col, text_col) if counts is None else counts, few, id_col)
 
 
+def tfidf_rows(docs: DataFrame, vocab: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The same with a document's terms in one row, ``(id, indices, weights)``; a document without terms
+    has a row with empty lists or none. Tasks make the lists where they weigh a row, so no weight is
+    exchanged but of rows that share an id."""
+    few = vocab.select("term", "index", "idf")
+    lists = lambda w: w.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("index", "weight"))).alias("c")).select(
+        id_col, F.col("c.index").alias("indices"), F.col("c.weight").alias("weights"))
+    if vocab.count() > BROADCAST_ROWS:
+        return lists(tfidf_transform(docs, vocab, id_col, text_col))
+    once, repeated = _once_and_repeated(docs, id_col)
+    rows = _row_weights(once, few.collect(), id_col, text_col, listed=True)
+    return rows if repeated is None else rows.unionByName(lists(_weights_of_repeated(repeated, few, id_col, text_col)))
+
+
+def _weights_of_repeated(docs: DataFrame, vocab: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    counts = _counts_of_rows(docs, id_col, text_col).join(F.broadcast(vocab.select("term")), "term", "left_semi")
+    return _weights_of_counts(_added_up(counts, id_col), vocab, id_col)
+
+
 def _weights_of_counts(counts: DataFrame, vocab: DataFrame, id_col: str) -> DataFrame:
     raw = (F.lit(1.0) + F.log(F.col("tf"))) * F.col("idf")
     w = Window.partitionBy(id_col)
