@@ -256,7 +256,7 @@ def _newton(width: int, on_intercept: float, tol: float, steps: int) -> Generato
             break
         move, left = np.zeros_like(theta), -gradient
         along, size = left.copy(), float(left @ left)
-        goal = max(size * min(0.25, size ** 0.5) ** 2, (tol / 2) ** 2)
+        goal = max(size * min(0.25, size ** 0.5) ** 2, (tol / 100) ** 2)  # no finer than rounded scores can show
         for _ in range(200):  # conjugate gradients
             bent = (yield theta, along) + (ridge + 1e-12) * along
             step = size / float(along @ bent)
